@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from shelfmart.functions.columns import decimals_to_double
 from shelfmart.operators import bi
 from shelfmart.plans.oracle import build
-from shelfmart.plans.warehouse import Warehouse
+from shelfmart.plans.warehouse import Warehouse, shared
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -24,7 +24,7 @@ ORACLE: dict[str, str] = {}
 def query(name: str, sql: str | None = None):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return decimals_to_double(fn(Warehouse(spark, sf_dir)))
+            return decimals_to_double(fn(shared(spark, sf_dir)))
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run

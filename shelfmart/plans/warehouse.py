@@ -1,8 +1,12 @@
-"""The layer graph for one build: extract -> bronze -> silver -> gold, built lazily.
-
-Nothing here writes; ``plans.pipeline`` persists the same frames as versioned
-tables. Each property is one DataFrame plan; Catalyst prunes and pushes down
-through the whole chain when a query uses only part of it.
+"""The layer graph for one build: extract -> bronze -> silver -> gold.
+
+Each property is one DataFrame plan. Without a store the graph stays lazy (one big
+plan per query, used by unit tests on tiny inputs). With a store (``shared``), each
+layer is written once as Parquet under the session's checkpoint folder and read back,
+as a warehouse publishes its tables: lineage is cut at every layer, a lost executor
+recomputes from the last written table, and downstream queries scan Parquet with
+column pruning and pushed filters. ``plans.pipeline`` uses the same operators with
+versioned tables and control state.
 """
 
 from __future__ import annotations
@@ -18,7 +22,9 @@ from shelfmart.operators import dims, facts
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.keys import choose_method
 from shelfmart.operators.silver import RunContext
-from shelfmart.sources import fixture
+from shelfmart import __version__
+from shelfmart.session import ensure_checkpoint_dir
+from shelfmart.sources import fixture, store as store_ops
 
 # Parameters of the demonstration build used by the query catalogue (no clock reads).
 DEMO_RUN = RunContext(
@@ -31,23 +37,36 @@ DEMO_RUN = RunContext(
 BROADCAST_DIM_ROWS = 500_000
 
 
+INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
+
+
 class Warehouse:
-    def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN):
-        self.spark, self.sf_dir, self.ctx = spark, sf_dir, ctx
+    def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN,
+                 store: str | None = None):
+        self.spark, self.sf_dir, self.ctx, self.store = spark, sf_dir, ctx, store
+
+    def _layer(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
+        if self.store is None:
+            return build()
+        path = f"{self.store}/{name}"
+        if not store_ops.committed(self.spark, path):
+            store_ops.write_table(build(), path, partition_by)
+        return self.spark.read.parquet(path)
 
     # ---- bronze ------------------------------------------------------------------
     @cached_property
     def extract(self) -> DataFrame:
-        return fixture.source_extract(self.spark, self.sf_dir)
+        """The landing copy of the raw extract (all text)."""
+        return self._layer("landing/extract", lambda: fixture.source_extract(self.spark, self.sf_dir))
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return bronze_ops.dedup_by_key(self.extract)
+        return self._layer("bronze/sales", lambda: bronze_ops.dedup_by_key(self.extract))
 
     # ---- silver ------------------------------------------------------------------
     @cached_property
     def silver(self) -> DataFrame:
-        return silver_ops.clean(self.bronze, self.ctx)
+        return self._layer("silver/sales", lambda: silver_ops.clean(self.bronze, self.ctx))
 
     # ---- size check for keys and broadcasts -------------------------------------------
     @cached_property
@@ -74,48 +93,59 @@ class Warehouse:
     # ---- gold dimensions ------------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:
-        return dims.dim_customers(self.silver, self.key_method("customers"))
+        return self._layer("gold/dim_customers",
+                           lambda: dims.dim_customers(self.silver, self.key_method("customers")))
 
     @cached_property
     def dim_products(self) -> DataFrame:
-        return dims.dim_products(self.silver, self.key_method("products"))
+        return self._layer("gold/dim_products",
+                           lambda: dims.dim_products(self.silver, self.key_method("products")))
 
     @cached_property
     def dim_location(self) -> DataFrame:
-        return dims.dim_location(self.silver, self.key_method("locations"))
+        return self._layer("gold/dim_location",
+                           lambda: dims.dim_location(self.silver, self.key_method("locations")))
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        return dims.dim_date(self.silver)
+        return self._layer("gold/dim_date", lambda: dims.dim_date(self.silver))
 
     @cached_property
     def scd2(self) -> DataFrame:
         """SCD2 history after this build's single batch (empty history before it)."""
-        return dims.scd2_merge(None, self.dim_customers, self.key_method("customers"))
+        return self._layer("gold/dim_customers_scd2", lambda: dims.scd2_merge(
+            None, self.dim_customers, self.key_method("customers")))
 
     # ---- gold facts -----------------------------------------------------------------
+    @cached_property
+    def fact_partitioned(self) -> DataFrame:
+        """The fact with its ``order_year`` partition column."""
+        return self._layer("gold/fact_sales", lambda: facts.with_order_year(facts.fact_sales(
+            self.silver, self.dim_customers, self.dim_products, self.dim_location,
+            dims.scd2_current_keys(self.scd2), self.small_dims)), partition_by=["order_year"])
+
     @cached_property
     def fact(self) -> DataFrame:
-        return facts.fact_sales(self.silver, self.dim_customers, self.dim_products, self.dim_location,
-                                dims.scd2_current_keys(self.scd2), self.small_dims)
+        return self.fact_partitioned.select(*facts.FACT_COLUMNS)
 
     @cached_property
     def daily(self) -> DataFrame:
-        return facts.sales_daily(self.fact)
+        return self._layer("gold/sales_daily", lambda: facts.sales_daily(self.fact))
 
     @cached_property
     def monthly(self) -> DataFrame:
-        return facts.sales_monthly(self.daily)
+        return self._layer("gold/sales_monthly", lambda: facts.sales_monthly(self.daily))
 
     @cached_property
     def fulfillment(self) -> DataFrame:
-        return facts.order_fulfillment(self.silver)
+        return self._layer("gold/fact_order_fulfillment", lambda: facts.order_fulfillment(self.silver))
 
     # ---- scenario inputs ----------------------------------------------------------------
     @cached_property
     def previous(self) -> DataFrame:
         """Stored bronze before the next delivery."""
-        return bronze_ops.dedup_by_key(fixture.previous_extract(self.extract))
+        return self._layer("scenario/previous_bronze",
+                           lambda: bronze_ops.dedup_by_key(fixture.previous_extract(self.extract)))
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -123,7 +153,8 @@ class Warehouse:
 
     @cached_property
     def customer_batches(self) -> DataFrame:
-        return fixture.customer_batches(self.dim_customers)
+        return self._layer("scenario/customer_batches",
+                           lambda: fixture.customer_batches(self.dim_customers))
 
     def batch(self, k: int) -> DataFrame:
         return self.customer_batches.filter(F.col("batch") == k)
@@ -133,6 +164,25 @@ class Warehouse:
         """History after batch 1, 2 and 3, merged one batch at a time."""
         out, h = [], None
         for k in (1, 2, 3):
-            h = dims.scd2_merge(h, self.batch(k), self.key_method("customers"))
+            prev = h
+            h = self._layer(f"scenario/scd2_after_batch{k}", lambda prev=prev, k=k: dims.scd2_merge(
+                prev, self.batch(k), self.key_method("customers")))
             out.append(h)
         return out
+
+
+_SHARED: dict[tuple, Warehouse] = {}
+
+
+def shared(spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN) -> Warehouse:
+    """The stored build for (session, input directory, run parameters), made once."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ctx)
+    w = _SHARED.get(key)
+    if w is None:
+        root = ensure_checkpoint_dir(spark)
+        fp = store_ops.input_fingerprint(
+            spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES],
+            salt=f"{__version__}|{ctx}")
+        w = Warehouse(spark, sf_dir, ctx, store=f"{root}/shelfmart-store/{fp}")
+        _SHARED[key] = w
+    return w
