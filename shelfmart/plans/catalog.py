@@ -180,6 +180,9 @@ def sales_by_weekend(w: Warehouse) -> DataFrame:
     return bi.sales_by_weekend(w.fact, w.dim_date)
 
 
+from shelfmart.plans import q_gold, q_ingest, q_profile  # noqa: E402,F401  (register their entries)
+
+
 def queries() -> dict[str, QueryFn]:
     return dict(QUERIES)
 

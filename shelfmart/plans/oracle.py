@@ -29,7 +29,8 @@ def _dedup(source: str) -> str:
     ) WHERE _rn = 1"""
 
 
-def _silver_select(source: str, where: str = "") -> str:
+def _silver_select(source: str, where: str = "", run_id: str = RUN_ID, ts: str = RUN_TS,
+                   source_file: str = SOURCE_FILE) -> str:
     return f"""SELECT CAST("Row ID" AS BIGINT) AS row_id, "Order ID" AS order_id,
       CAST(strptime("Order Date", '%m/%d/%Y') AS DATE) AS order_date,
       CAST(strptime("Ship Date", '%m/%d/%Y') AS DATE) AS ship_date,
@@ -39,11 +40,19 @@ def _silver_select(source: str, where: str = "") -> str:
       "Category" AS category, "Sub-Category" AS sub_category, "Product Name" AS product_name,
       CAST("Sales" AS DECIMAL(18,4)) AS sales, CAST("Quantity" AS INTEGER) AS quantity,
       CAST("Discount" AS DECIMAL(18,4)) AS discount, CAST("Profit" AS DECIMAL(18,4)) AS profit,
-      TIMESTAMP '{RUN_TS}' AS ingested_at, '{RUN_ID}' AS run_id, '{SOURCE_FILE}' AS source_file,
+      TIMESTAMP '{ts}' AS ingested_at, '{run_id}' AS run_id, '{source_file}' AS source_file,
       '{PIPELINE_VERSION}' AS pipeline_version
     FROM {source} WHERE "Order ID" IS NOT NULL {where}"""
 
 
+def silver_select(source: str, where: str = "", **kw) -> str:
+    return _silver_select(source, where, **kw)
+
+
+def dedup(source: str) -> str:
+    return _dedup(source)
+
+
 def _latest(source: str, key: str, attrs: str) -> str:
     return f"""SELECT {key}, {attrs} FROM (
       SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY ingested_at DESC, row_id DESC) AS _rn
@@ -201,4 +210,7 @@ def build(select: str, *needs: str) -> str:
     if not names:
         return select.strip()
     body = ",\n".join(f"{n} AS ({CTES[n][1]})" for n in names)
-    return f"WITH {body}\n{select.strip()}"
+    sel = select.strip()
+    if sel[:5].upper() == "WITH ":
+        return f"WITH {body},\n{sel[5:]}"
+    return f"WITH {body}\n{sel}"
