@@ -3,9 +3,9 @@ describe, histograms, box plots, outliers, value counts and a binned density.
 
 Every statistic is an aggregate over all rows. The numeric columns are unpivoted into
 one long (column_name, value) frame so each statistic is one grouped pass instead of
-one job per column. Exact quantiles rank values with ``keys.dense_key``, which for
-large inputs range-partitions the ranking instead of collecting a column's values in
-one task; fences, bins and densities only ever join small per-column tables.
+one job per column. Exact quantiles rank distinct values with a weighted cumulative
+count (``keys.cumulative_count``), which for large inputs range-partitions the ranking
+instead of collecting a column's values in one task; fences, bins and densities only ever join small per-column tables.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmart.functions.columns import col, count_if
-from shelfmart.operators.keys import dense_key
+from shelfmart.operators.keys import choose_method, cumulative_count
 
 # ---- FIXED VALUES ------------------------------------------------------------------
 # Columns excluded from the numeric profile although numeric (identifiers).
@@ -89,28 +89,32 @@ def numeric_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     ])).alias("_p")).select("_p.*")
 
 
-def quantiles(long: DataFrame, probs: list[float], method: str = "window") -> DataFrame:
+def quantiles(long: DataFrame, probs: list[float], method: str = "auto") -> DataFrame:
     """Exact quantiles with linear interpolation: (column_name, p, q).
 
-    Rank r (0-based within a column) is computed once for all columns; only the rows at
-    floor/ceil of p*(n-1) are kept, so everything after the ranking is tiny.
+    Values are first reduced to (column, value, count) by a partial aggregation, so a
+    low-cardinality column costs a few rows whatever the table size. A weighted
+    cumulative count gives each distinct value its rank interval [before, before+count);
+    the ranks floor/ceil of p*(n-1) are then looked up with a range join against a
+    broadcast table of (columns x probabilities x 2) targets.
     """
     v = long.filter(F.col("value").isNotNull())
-    n = v.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
-    ranked = dense_key(v, ["column_name", "value"], "_rk", method)
-    first = ranked.groupBy("column_name").agg(F.min("_rk").alias("_first"))
-    pos = ranked.join(F.broadcast(first), "column_name").select(
-        "column_name", (F.col("_rk") - F.col("_first")).alias("r"), "value")
+    vc = v.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    if method == "auto":
+        method = choose_method(vc.count())
+    pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before", method)
+    n = vc.groupBy("column_name").agg(F.sum("cnt").alias("n"))
     spark = long.sparkSession
     ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
     tg = (n.crossJoin(F.broadcast(ps))  # columns x probabilities, both tiny
            .withColumn("_pos", F.col("p") * (F.col("n") - 1))
            .withColumn("lo", F.floor("_pos").cast("long")).withColumn("hi", F.ceil("_pos").cast("long"))
            .withColumn("frac", F.col("_pos") - F.col("lo")))
-    need = tg.select("column_name", F.explode(F.array("lo", "hi")).alias("r")).distinct()
-    picked = pos.join(F.broadcast(need), ["column_name", "r"])
-    lo = picked.select("column_name", F.col("r").alias("lo"), F.col("value").alias("_vlo"))
-    hi = picked.select("column_name", F.col("r").alias("hi"), F.col("value").alias("_vhi"))
+    need = tg.select(F.col("column_name").alias("_c"), F.explode(F.array("lo", "hi")).alias("r")).distinct()
+    hit = pos.join(F.broadcast(need), (F.col("column_name") == F.col("_c")) & (F.col("before") <= F.col("r"))
+                   & (F.col("r") < F.col("before") + F.col("cnt"))).select("column_name", "r", "value")
+    lo = hit.select("column_name", F.col("r").alias("lo"), F.col("value").alias("_vlo"))
+    hi = hit.select("column_name", F.col("r").alias("hi"), F.col("value").alias("_vhi"))
     q = (tg.join(lo, ["column_name", "lo"]).join(hi, ["column_name", "hi"])
            .withColumn("q", F.when(F.col("lo") == F.col("hi"), F.col("_vlo"))
                        .otherwise(F.col("_vlo") * (1.0 - F.col("frac")) + F.col("_vhi") * F.col("frac"))))
@@ -124,7 +128,7 @@ def _pivot_quartiles(q: DataFrame) -> DataFrame:
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
 
 
-def describe(long: DataFrame, method: str = "window") -> DataFrame:
+def describe(long: DataFrame, method: str = "auto") -> DataFrame:
     """E5: count, mean, sample std, min, quartiles, max per numeric column."""
     base = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -160,7 +164,7 @@ def histogram(long: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         F.round(F.col("lo") + F.col("bin") * F.col("width"), STAT_DIGITS).alias("bin_hi"), "count")
 
 
-def fences(long: DataFrame, method: str = "window") -> DataFrame:
+def fences(long: DataFrame, method: str = "auto") -> DataFrame:
     qs = _pivot_quartiles(quantiles(long, QUARTILES, method))
     iqr = F.col("q3") - F.col("q1")
     return qs.select("column_name", "q1", "median", "q3", iqr.alias("iqr"),
@@ -168,7 +172,7 @@ def fences(long: DataFrame, method: str = "window") -> DataFrame:
                      (F.col("q3") + IQR_FACTOR * iqr).alias("upper_fence"))
 
 
-def boxplot(long: DataFrame, method: str = "window") -> DataFrame:
+def boxplot(long: DataFrame, method: str = "auto") -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme values inside them), outlier count."""
     fz = fences(long, method)
     v = long.filter(F.col("value").isNotNull()).join(F.broadcast(fz), "column_name")
@@ -184,7 +188,7 @@ def boxplot(long: DataFrame, method: str = "window") -> DataFrame:
 
 
 def outlier_rows(df: DataFrame, key: str, columns: list[str] | None = None,
-                 method: str = "window") -> DataFrame:
+                 method: str = "auto") -> DataFrame:
     """(column_name, key, value) for every value outside its column's fences."""
     cols = columns or numeric_columns(df)
     long = df.select(col(key).alias("row_key"), F.explode(F.array(*[

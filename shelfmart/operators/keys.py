@@ -52,3 +52,37 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_name: str,
         key_name, (F.col("_base") + F.row_number().over(Window.partitionBy("_pid").orderBy(*orders)) + off)
         .cast("long"))
     return numbered.drop("_pid", "_base")
+
+
+def cumulative_count(df: DataFrame, group: str, order_cols: Sequence[str], weight: str, out: str,
+                     method: str = "window", partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = sum of ``weight`` over the rows before this one inside its ``group``
+    (ordered by ``order_cols``, which must be unique within the group).
+
+    The window form partitions by group; the range form is the weighted version of the
+    range-partitioned numbering above (checkpointed layout, per-partition totals turned
+    into offsets, running sums inside partitions), so one large group is spread over many
+    tasks.
+    """
+    keys = [group, *order_cols]
+    if method == "window":
+        w = (Window.partitionBy(group).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        return df.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long"))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    orders = _orders(keys)
+    tagged = df.repartitionByRange(n_parts, *orders).checkpoint(eager=True).withColumn(
+        "_pid", F.spark_partition_id())
+    base = (tagged.groupBy("_pid").agg(F.sum(weight).alias("_w"))
+                  .withColumn("_base", F.coalesce(F.sum("_w").over(
+                      Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+                  .select("_pid", "_base"))
+    run = F.coalesce(F.sum(weight).over(Window.partitionBy("_pid").orderBy(*orders)
+                                        .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    glob = tagged.join(F.broadcast(base), "_pid").withColumn("_g", F.col("_base") + run)
+    first = glob.groupBy(group).agg(F.min("_g").alias("_g0"))      # one row per group
+    return (glob.join(F.broadcast(first), group)
+                .withColumn(out, (F.col("_g") - F.col("_g0")).cast("long"))
+                .drop("_pid", "_base", "_g", "_g0"))

@@ -225,3 +225,18 @@ def dedup_previous(w: Warehouse) -> DataFrame:
 
 __all__: list[str] = []
 _ = (SOURCE_COLUMNS, dedup)
+
+
+@query("ingest_microbatch", build("SELECT * FROM bronze", "bronze"))
+def ingest_microbatch(w: Warehouse) -> DataFrame:
+    """The extract landed as six files and ingested two files per micro-batch by a
+    Structured Streaming file source, each batch upserted into a versioned table."""
+    from shelfmart.sources import store
+    from shelfmart.streaming.ingest import ingest_microbatch as run_ingest, stage_files
+    if w.store is None:
+        return w.bronze
+    src, table = f"{w.store}/landing/stream_files", f"{w.store}/scenario/stream_bronze"
+    if store.current_version(w.spark, table) is None:
+        stage_files(w.extract, src)
+        run_ingest(w.spark, src, table, f"{w.store}/scenario/stream_checkpoint")
+    return store.read_current(w.spark, table)

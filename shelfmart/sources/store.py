@@ -103,10 +103,46 @@ def read_current(spark: SparkSession, table: str) -> DataFrame | None:
     return None if v is None else spark.read.parquet(f"{table}/v={v}")
 
 
-def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
-    """Write a new version next to the current one, then switch the pointer."""
+def stage(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+    """Write the next version beside the current one without making it visible."""
     spark = df.sparkSession
     v = (current_version(spark, table) or 0) + 1
+    while exists(spark, f"{table}/v={v}"):  # an abandoned staged version is never reused
+        v += 1
     write_table(df, f"{table}/v={v}", partition_by)
-    write_text(spark, f"{table}/_CURRENT", json.dumps({"version": v}))
     return v
+
+
+def commit(spark: SparkSession, table: str, version: int) -> None:
+    """Make a staged version the current one (a single small pointer write)."""
+    write_text(spark, f"{table}/_CURRENT", json.dumps({"version": version}))
+
+
+def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
+    """Stage a new version, then switch the pointer (S5: never overwrite what is read)."""
+    v = stage(df, table, partition_by)
+    commit(df.sparkSession, table, v)
+    return v
+
+
+def current_path(spark: SparkSession, table: str) -> str | None:
+    v = current_version(spark, table)
+    return None if v is None else f"{table}/v={v}"
+
+
+def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
+    """Rewrite only the partitions present in ``df`` (dynamic partition overwrite)."""
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*partition_by).parquet(path))
+
+
+# ---- append-only logs (control state) ------------------------------------------------------
+
+def append_log(df: DataFrame, path: str) -> None:
+    df.write.mode("append").parquet(path)
+
+
+def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    if not exists(spark, path):
+        return None
+    return spark.read.parquet(path)
