@@ -74,7 +74,9 @@ def rebuild_bounds(mode: str, start: str | None, end: str | None) -> tuple[str |
 
 def ledger(events: DataFrame) -> DataFrame:
     """Latest state per run from STARTED / SUCCESS / NOOP / FAILED events."""
-    latest = F.max_by(F.struct(*[c for c in LEDGER_COLUMNS if c not in ("run_id",)]), F.col("event_at"))
+    # at equal times a terminal state (SUCCESS / NOOP / FAILED) follows STARTED
+    order = F.struct(F.col("event_at"), (F.col("status") != "STARTED").alias("_terminal"))
+    latest = F.max_by(F.struct(*[c for c in LEDGER_COLUMNS if c not in ("run_id",)]), order)
     started = F.min(F.when(F.col("status") == "STARTED", F.col("event_at")))
     finished = F.max(F.when(F.col("status") != "STARTED", F.col("event_at")))
     return (events.groupBy("run_id")
