@@ -36,15 +36,16 @@ def snapshot_rows(extract: DataFrame, run_id: str, snapshot_at: str) -> DataFram
 
 
 def apply_load(existing: DataFrame | None, incoming: DataFrame, mode: str,
-               key: str = SOURCE_KEY) -> DataFrame:
+               key: str = SOURCE_KEY, deduplicated: bool = False) -> DataFrame:
     """New bronze state after one load.
 
     full / snapshot: the deduplicated extract replaces everything.
     append / upsert: stored rows whose key arrives again are replaced, the rest kept.
     (upsert differs only in recording deletions, see ``cdc.source_deletions``.)
+    ``deduplicated`` says ``incoming`` already holds one row per key.
     """
     check_load_mode(mode)
-    fresh = dedup_by_key(incoming, key)
+    fresh = incoming if deduplicated else dedup_by_key(incoming, key)
     if mode in ("full", "snapshot") or existing is None:
         return fresh
     kept = existing.join(incoming.select(col(key).alias("_k")).distinct(),

@@ -17,9 +17,11 @@ from shelfmart.operators.bronze import check_load_mode, dedup_by_key
 EVENT_COLUMNS = ["run_id", "row_id", "operation", "detected_at"]
 
 
-def classify(existing: DataFrame, incoming: DataFrame, key: str = SOURCE_KEY) -> DataFrame:
-    """(row_id, operation) for every key that changed; unchanged keys are dropped."""
-    fresh = dedup_by_key(incoming, key)
+def classify(existing: DataFrame, incoming: DataFrame, key: str = SOURCE_KEY,
+             deduplicated: bool = False) -> DataFrame:
+    """(row_id, operation) for every key that changed; unchanged keys are dropped.
+    ``existing`` holds one row per key; so does ``incoming`` when ``deduplicated``."""
+    fresh = incoming if deduplicated else dedup_by_key(incoming, key)
     e_cols, i_cols = existing.columns, fresh.columns
     e = existing.select(*[col(c).alias(f"e_{i}") for i, c in enumerate(e_cols)])
     i_ = fresh.select(*[col(c).alias(f"i_{i}") for i, c in enumerate(i_cols)])
@@ -37,14 +39,14 @@ def classify(existing: DataFrame, incoming: DataFrame, key: str = SOURCE_KEY) ->
 
 
 def cdc_events(existing: DataFrame, incoming: DataFrame, run_id: str, detected_at: str,
-               mode: str = "full", key: str = SOURCE_KEY) -> DataFrame:
+               mode: str = "full", key: str = SOURCE_KEY, deduplicated: bool = False) -> DataFrame:
     """Change log rows (run_id, row_id, operation, detected_at).
 
     In append mode a key missing from a partial file is not a deletion, so DELETE
     events are not emitted there.
     """
     check_load_mode(mode)
-    ev = classify(existing, incoming, key)
+    ev = classify(existing, incoming, key, deduplicated)
     if mode == "append":
         ev = ev.filter(F.col("operation") != "DELETE")
     return ev.select(F.lit(run_id).alias("run_id"), "row_id", "operation",

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from shelfmart.config import DEFAULT_OVERLAP_DAYS, SOURCE_KEY
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
-from shelfmart.functions.columns import col, parse_source_date
+from shelfmart.functions.columns import col
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import cdc, contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
@@ -154,7 +154,7 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     sv = store.stage(silver_ops.clean(bronze, ctx, all_deletions), silver_table)
     silver = spark.read.parquet(f"{silver_table}/v={sv}")
     silver_ops.assert_keys(silver_ops.key_violations(silver, "silver", ["row_id"]))    # V15
-    b_rows, s_rows = silver_ops.assert_reconciled(                                    # V13
+    _, s_rows = silver_ops.assert_reconciled(                                    # V13
         silver_ops.reconcile_bronze_silver(bronze, silver, ctx, all_deletions))
     store.commit(spark, silver_table, sv)
     store.append_log(silver_ops.quarantine(silver), cfg.table("quarantine", "sales_invalid"))   # V11
@@ -218,7 +218,6 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
             store.append_log(control.advance(cur, prop), cfg.log("pipeline_watermarks"))
     _ledger_event(spark, cfg, "SUCCESS", cfg.now, bronze_rows, s_rows, gold_rows)
     LOGGER.info("run %s: bronze=%s silver=%s gold=%s", cfg.run_id, bronze_rows, s_rows, gold_rows)
-    _ = b_rows
     return RunResult(cfg.run_id, "SUCCESS", bronze_rows, s_rows, gold_rows, failed)
 
 
@@ -235,5 +234,3 @@ def replay_fact_years(spark: SparkSession, root: str, silver: DataFrame, start:
         dims.scd2_current_keys(gold("dim_customers_scd2"))))
     store.replace_partitions(fresh, fact_path, ["order_year"])
 
-
-_ = parse_source_date

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmart.config import CONTRACT_NAME, QUALITY_RULE_VERSION, QUALITY_RULES, RECON_TOLERANCE
+from shelfmart.config import QUALITY_RULE_VERSION, QUALITY_RULES, RECON_TOLERANCE
 from shelfmart.functions.columns import col, round2
 from shelfmart.operators import control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
@@ -392,6 +392,3 @@ def replay_window(w: Warehouse) -> DataFrame:
     return f.groupBy(F.trunc("order_date", "month").alias("month_key")).agg(
         F.count(F.lit(1)).alias("lines"), round2(F.sum("sales")).alias("total_sales"))
 
-
-__all__: list[str] = []
-_ = CONTRACT_NAME

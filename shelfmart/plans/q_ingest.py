@@ -8,12 +8,11 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.config import SOURCE_COLUMNS
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import cdc
 from shelfmart.operators import silver as silver_ops
 from shelfmart.plans.catalog import _dbl, query
-from shelfmart.plans.oracle import CTES, SRC_COLS, build, dedup, silver_select
+from shelfmart.plans.oracle import CTES, SRC_COLS, build, silver_select
 from shelfmart.plans.warehouse import DEMO_RUN, Warehouse
 from shelfmart.sources import files
 
@@ -48,7 +47,7 @@ _SILVER_DBL = _dbl("sales", "discount", "profit")
 # ---- CDC (B4-B8) -----------------------------------------------------------------------------
 
 def _events(w: Warehouse, mode: str = "upsert") -> DataFrame:
-    return cdc.cdc_events(w.previous, w.incoming, CDC_RUN.run_id, DETECTED_AT, mode)
+    return cdc.cdc_events(w.previous, w.incoming_dedup, CDC_RUN.run_id, DETECTED_AT, mode, deduplicated=True)
 
 
 @query("cdc_events", build("SELECT * FROM cdc_ev", "cdc_ev"))
@@ -98,25 +97,25 @@ def source_deletions(w: Warehouse) -> DataFrame:
 @query("load_full", build("SELECT * FROM incoming_dedup", "incoming_dedup"))
 def load_full(w: Warehouse) -> DataFrame:
     """Full load replaces bronze with the deduplicated delivery."""
-    return bronze_ops.apply_load(w.previous, w.incoming, "full")
+    return bronze_ops.apply_load(w.previous, w.incoming_dedup, "full", deduplicated=True)
 
 
 @query("load_append", build("SELECT * FROM upsert_state", "upsert_state"))
 def load_append(w: Warehouse) -> DataFrame:
     """Stored rows with an arriving key are replaced, all others kept."""
-    return bronze_ops.apply_load(w.previous, w.incoming, "append")
+    return bronze_ops.apply_load(w.previous, w.incoming_dedup, "append", deduplicated=True)
 
 
 @query("load_upsert", build("SELECT * FROM upsert_state", "upsert_state"))
 def load_upsert(w: Warehouse) -> DataFrame:
     """Physically the append result (deletions are recorded, see source_deletions)."""
-    return bronze_ops.apply_load(w.previous, w.incoming, "upsert")
+    return bronze_ops.apply_load(w.previous, w.incoming_dedup, "upsert", deduplicated=True)
 
 
 @query("load_snapshot", build("SELECT * FROM incoming_dedup", "incoming_dedup"))
 def load_snapshot(w: Warehouse) -> DataFrame:
     """Snapshot load = history append + full load."""
-    return bronze_ops.apply_load(w.previous, w.incoming, "snapshot")
+    return bronze_ops.apply_load(w.previous, w.incoming_dedup, "snapshot", deduplicated=True)
 
 
 @query("bronze_snapshot_append", build(f"""
@@ -136,7 +135,7 @@ def bronze_snapshot_append(w: Warehouse) -> DataFrame:
     "upsert_state", "deletions"))
 def silver_soft_delete(w: Warehouse) -> DataFrame:
     """V9: silver after an upsert hides the rows deleted in this run."""
-    state = bronze_ops.apply_load(w.previous, w.incoming, "upsert")
+    state = bronze_ops.apply_load(w.previous, w.incoming_dedup, "upsert", deduplicated=True)
     return silver_ops.clean(state, CDC_RUN, cdc.source_deletions(_events(w), "upsert"))
 
 
@@ -223,9 +222,6 @@ def dedup_previous(w: Warehouse) -> DataFrame:
     return w.previous
 
 
-__all__: list[str] = []
-_ = (SOURCE_COLUMNS, dedup)
-
 
 @query("ingest_microbatch", build("SELECT * FROM bronze", "bronze"))
 def ingest_microbatch(w: Warehouse) -> DataFrame:

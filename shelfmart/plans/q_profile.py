@@ -148,5 +148,3 @@ def eda_density(w: Warehouse) -> DataFrame:
     """Binned Gaussian density on the histogram grid."""
     return eda.density(eda.numeric_long(_frame(w)))
 
-
-__all__: list[str] = []

@@ -151,6 +151,11 @@ class Warehouse:
     def incoming(self) -> DataFrame:
         return fixture.incoming_extract(self.extract)
 
+    @cached_property
+    def incoming_dedup(self) -> DataFrame:
+        """The next delivery, one row per key (stored once, shared by CDC and loads)."""
+        return self._layer("scenario/incoming_dedup", lambda: bronze_ops.dedup_by_key(self.incoming))
+
     @cached_property
     def customer_batches(self) -> DataFrame:
         return self._layer("scenario/customer_batches",
