@@ -65,6 +65,21 @@ def summary(events: DataFrame) -> DataFrame:
     return events.groupBy("operation").agg(F.count(F.lit(1)).alias("events"))
 
 
+def deleted_keys(existing: DataFrame, incoming: DataFrame, run_id: str, detected_at: str, mode: str,
+                 key: str = SOURCE_KEY) -> DataFrame:
+    """B8 from keys alone: stored keys absent from the delivery (run_id, row_id, detected_at).
+
+    Equal to the DELETE events, but a key-only anti join: no row comparison and only the
+    key column crosses the shuffle. Empty in append mode.
+    """
+    check_load_mode(mode)
+    out = (existing.select(col(key).cast("string").alias("row_id")).filter(F.col("row_id").isNotNull())
+                   .join(incoming.select(col(key).cast("string").alias("row_id")), "row_id", "left_anti")
+                   .select(F.lit(run_id).alias("run_id"), "row_id",
+                           F.lit(detected_at).cast("timestamp_ntz").alias("detected_at")))
+    return out.filter(F.lit(False)) if mode == "append" else out
+
+
 def source_deletions(events: DataFrame, mode: str) -> DataFrame:
     """Deletions recorded for full / upsert / snapshot loads (never for append)."""
     check_load_mode(mode)

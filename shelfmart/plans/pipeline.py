@@ -130,7 +130,7 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     events = cdc.cdc_events(base, extract, cfg.run_id, cfg.now, mode)   # B4-B7
     log = store.read_log(spark, cfg.log("cdc_events"))
     store.append_log(cdc.new_events(log, events), cfg.log("cdc_events"))
-    deletions = cdc.source_deletions(events, mode)                      # B8
+    deletions = cdc.deleted_keys(base, extract, cfg.run_id, cfg.now, mode)   # B8 (keys only)
     store.append_log(deletions, cfg.log("source_deletions"))
     store.publish(bronze_ops.apply_load(existing, extract, mode), bronze_table)   # B9-B12
     bronze = store.read_current(spark, bronze_table)

@@ -136,7 +136,8 @@ def bronze_snapshot_append(w: Warehouse) -> DataFrame:
 def silver_soft_delete(w: Warehouse) -> DataFrame:
     """V9: silver after an upsert hides the rows deleted in this run."""
     state = bronze_ops.apply_load(w.previous, w.incoming_dedup, "upsert", deduplicated=True)
-    return silver_ops.clean(state, CDC_RUN, cdc.source_deletions(_events(w), "upsert"))
+    gone = cdc.deleted_keys(w.previous, w.incoming_dedup, CDC_RUN.run_id, DETECTED_AT, "upsert")
+    return silver_ops.clean(state, CDC_RUN, gone)
 
 
 @query("silver_window", build(f"SELECT * REPLACE ({_SILVER_DBL}) FROM silver_window", "silver_window"))

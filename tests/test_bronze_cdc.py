@@ -76,3 +76,12 @@ def test_snapshot_rows(spark):
     df = bronze.snapshot_rows(frame(spark, [("1", "a", "b")]), "r9", "2024-01-01 00:00:00")
     r = df.first()
     assert r["snapshot_run_id"] == "r9" and str(r["snapshot_at"]) == "2024-01-01 00:00:00"
+
+
+def test_deleted_keys_equal_delete_events(spark):
+    old = frame(spark, [(str(i), "a", "b") for i in range(30)])
+    new = frame(spark, [(str(i), "a", "c") for i in range(10, 45)])
+    ev = cdc.source_deletions(cdc.cdc_events(old, new, "r", "2024-01-01 00:00:00", "upsert"), "upsert")
+    dk = cdc.deleted_keys(old, new, "r", "2024-01-01 00:00:00", "upsert")
+    assert rows(ev) == rows(dk) and len(rows(dk)) == 10
+    assert cdc.deleted_keys(old, new, "r", "2024-01-01 00:00:00", "append").count() == 0
