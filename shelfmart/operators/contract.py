@@ -24,6 +24,15 @@ def check(df: DataFrame, required: Iterable[str] = REQUIRED_SOURCE_COLUMNS) -> D
     return df
 
 
+def contract_report(observations: DataFrame, required: Iterable[str] = REQUIRED_SOURCE_COLUMNS) -> DataFrame:
+    """B1 as data: per observed header (source_name, run_id, columns) whether it passes and
+    which required columns are missing, sorted."""
+    req = F.array(*[F.lit(c) for c in sorted(set(required))])
+    missing = F.array_sort(F.array_except(req, F.split(F.col("columns"), ",")))
+    return observations.select("source_name", "run_id", (F.size(missing) == 0).alias("passed"),
+                               F.array_join(missing, ", ").alias("missing_columns"))
+
+
 def schema_text(columns: Iterable[str]) -> str:
     return ",".join(str(c) for c in columns)
 

@@ -6,9 +6,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmart.config import QUALITY_RULE_VERSION, QUALITY_RULES, RECON_TOLERANCE
+from shelfmart.config import QUALITY_RULE_VERSION, QUALITY_RULES, RECON_TOLERANCE, REQUIRED_SOURCE_COLUMNS, SOURCE_COLUMNS
 from shelfmart.functions.columns import col, round2
-from shelfmart.operators import control, dims, facts, quality
+from shelfmart.operators import contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.keys import dense_key
 from shelfmart.plans.catalog import _dbl, query
@@ -392,3 +392,76 @@ def replay_window(w: Warehouse) -> DataFrame:
     return f.groupBy(F.trunc("order_date", "month").alias("month_key")).agg(
         F.count(F.lit(1)).alias("lines"), round2(F.sum("sales")).alias("total_sales"))
 
+
+
+# ---- schema registry over the monthly deliveries (B2, B3) ----------------------------------------------
+# Each monthly delivery carries a header; every tenth adds a column, every tenth offset by
+# five drops the optional "Postal Code", and deliveries 7 (mod 20) lack the required
+# "Profit" (scenario rule, deterministic in the run sequence).
+SOURCE_NAME = "sales_extract.csv"
+_STD = ",".join(SOURCE_COLUMNS)
+_ADDED = ",".join(SOURCE_COLUMNS + ["Row Note"])
+_DROPPED = ",".join(c for c in SOURCE_COLUMNS if c != "Postal Code")
+_BROKEN = ",".join(c for c in SOURCE_COLUMNS if c != "Profit")
+
+CTES.update({
+    "obs": (["runs"], f"""
+      SELECT '{SOURCE_NAME}' AS source_name, run_id, run_seq,
+             TIMESTAMP '{LEDGER_BASE}' + to_minutes(CAST(run_seq AS BIGINT)) AS observed_at,
+             CASE WHEN run_seq % 10 = 0 THEN '{_ADDED}' WHEN run_seq % 10 = 5 THEN '{_DROPPED}'
+                  WHEN run_seq % 20 = 7 THEN '{_BROKEN}' ELSE '{_STD}' END AS columns FROM runs"""),
+    "obs_h": (["obs"], """
+      SELECT *, lag(schema_hash) OVER w AS previous_hash,
+             coalesce(lag(schema_hash) OVER w <> schema_hash, FALSE) AS changed FROM (
+        SELECT *, sha256(columns) AS schema_hash FROM obs) WINDOW w AS (PARTITION BY source_name ORDER BY observed_at)"""),
+    "obs_v": (["obs_h"], """
+      SELECT *, CAST(1 + sum(CAST(changed AS INTEGER)) OVER (PARTITION BY source_name ORDER BY observed_at
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS INTEGER) AS schema_version FROM obs_h"""),
+})
+
+
+def _observations(w: Warehouse) -> DataFrame:
+    r = _runs(w)
+    cols = (F.when(F.col("run_seq") % 10 == 0, F.lit(_ADDED)).when(F.col("run_seq") % 10 == 5, F.lit(_DROPPED))
+             .when(F.col("run_seq") % 20 == 7, F.lit(_BROKEN)).otherwise(F.lit(_STD)))
+    return r.select(F.lit(SOURCE_NAME).alias("source_name"), "run_id",
+                    F.timestamp_add("MINUTE", F.col("run_seq"), F.lit(LEDGER_BASE).cast("timestamp_ntz"))
+                    .alias("observed_at"), cols.alias("columns"))
+
+
+@query("schema_hash", build("SELECT source_name, run_id, columns, sha256(columns) AS schema_hash FROM obs", "obs"))
+def schema_hash(w: Warehouse) -> DataFrame:
+    """B2: sha256 of the comma-joined header of every delivery."""
+    return contract.with_schema_hash(_observations(w)).select("source_name", "run_id", "columns", "schema_hash")
+
+
+@query("schema_drift_events", build("""
+    SELECT source_name, run_id, previous_hash, schema_hash AS new_hash, observed_at AS detected_at
+    FROM obs_h WHERE changed""", "obs_h"))
+def schema_drift_events(w: Warehouse) -> DataFrame:
+    """A change row whenever a delivery's header hash differs from the previous one."""
+    h = contract.drift_history(_observations(w))
+    return h.filter("changed").select("source_name", "run_id", "previous_hash",
+                                      F.col("schema_hash").alias("new_hash"), F.col("observed_at").alias("detected_at"))
+
+
+@query("schema_versions", build("""
+    SELECT source_name, schema_hash, columns, schema_version, observed_at FROM (
+      SELECT *, row_number() OVER (PARTITION BY source_name ORDER BY observed_at DESC) AS rn FROM obs_v)
+    WHERE rn = 1""", "obs_v"))
+def schema_versions(w: Warehouse) -> DataFrame:
+    """The registry (latest hash, columns and version per source; version +1 per change)."""
+    return contract.registry(contract.drift_history(_observations(w)))
+
+
+_REQ_LIST = "[" + ", ".join(f"'{c}'" for c in REQUIRED_SOURCE_COLUMNS) + "]"
+
+
+@query("contract_check", build(f"""
+    SELECT source_name, run_id, len(missing) = 0 AS passed, array_to_string(missing, ', ') AS missing_columns
+    FROM (SELECT source_name, run_id,
+                 list_sort(list_filter({_REQ_LIST}, lambda c: NOT list_contains(string_split(columns, ','), c))) AS missing
+          FROM obs)""", "obs"))
+def contract_check(w: Warehouse) -> DataFrame:
+    """B1 per delivery: required columns missing from its header (sorted), extras allowed."""
+    return contract.contract_report(_observations(w))
