@@ -58,5 +58,18 @@ def decimals_to_double(df: DataFrame) -> DataFrame:
     return df.select(*out)
 
 
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """Place several one-row aggregates next to each other without a join: the rows are
+    unioned by name (missing columns null) and folded by ``max``, which keeps each
+    side's value (a NULL aggregate stays NULL)."""
+    names = [c for r in rows for c in r.columns]
+    if len(set(names)) != len(names):
+        raise ValueError(f"column names must be distinct across sides: {names}")
+    u = rows[0]
+    for r in rows[1:]:
+        u = u.unionByName(r, allowMissingColumns=True)
+    return u.agg(*[F.max(F.col(f"`{c}`")).alias(c) for c in names])
+
+
 def count_if(cond: Column) -> Column:
     return F.sum(F.when(cond, 1).otherwise(0)).cast("long")

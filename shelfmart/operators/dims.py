@@ -103,8 +103,8 @@ def scd2_opened(history: DataFrame | None, snapshot: DataFrame, method: str = "w
                          rows_differ([F.col("_hn"), F.col("_hs")],
                                      [F.col("customer_name"), F.col("segment")]))
         fresh = fresh.drop("_hn", "_hs", "_has")
-        top = history.agg(F.coalesce(F.max("customer_key"), F.lit(0)).cast("long").alias("_off"))
-        base = fresh.crossJoin(F.broadcast(top))  # one-row aggregate
+        top = history.agg(F.max("customer_key")).first()[0] or 0   # one scalar
+        base = fresh.withColumn("_off", F.lit(int(top)).cast("long"))
     keyed = dense_key(base, ["customer_id"], "customer_key", method, offset=F.col("_off"))
     return keyed.select(
         "customer_key", "customer_id", "customer_name", "segment",

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmart.functions.columns import col, count_if
+from shelfmart.functions.columns import col, count_if, side_by_side
 from shelfmart.operators.keys import choose_method, cumulative_count
 
 # ---- FIXED VALUES ------------------------------------------------------------------
@@ -78,7 +78,7 @@ def exact_duplicates(df: DataFrame) -> DataFrame:
     """Rows beyond the first of each group of identical rows (NULLs compare equal)."""
     total = df.agg(F.count(F.lit(1)).alias("total_rows"))
     distinct = df.distinct().agg(F.count(F.lit(1)).alias("distinct_rows"))
-    return total.crossJoin(distinct).withColumn(
+    return side_by_side(total, distinct).withColumn(
         "duplicate_rows", F.col("total_rows") - F.col("distinct_rows"))
 
 
@@ -104,9 +104,7 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "auto") -> Data
         method = choose_method(vc.count())
     pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before", method)
     n = vc.groupBy("column_name").agg(F.sum("cnt").alias("n"))
-    spark = long.sparkSession
-    ps = spark.createDataFrame([(float(p),) for p in probs], "p double")
-    tg = (n.crossJoin(F.broadcast(ps))  # columns x probabilities, both tiny
+    tg = (n.select("column_name", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
            .withColumn("_pos", F.col("p") * (F.col("n") - 1))
            .withColumn("lo", F.floor("_pos").cast("long")).withColumn("hi", F.ceil("_pos").cast("long"))
            .withColumn("frac", F.col("_pos") - F.col("lo")))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmart.config import LOCATION_COLUMNS
-from shelfmart.functions.columns import count_if
+from shelfmart.functions.columns import count_if, side_by_side
 
 FACT_COLUMNS = ["row_id", "order_id", "order_date", "ship_date", "customer_key",
                 "scd2_customer_key", "product_key", "location_id", "ship_mode", "sales",
@@ -121,7 +121,7 @@ def reconcile_fact_daily(fact: DataFrame, daily: DataFrame, tol: float) -> DataF
               (F.abs(F.coalesce("fact_profit", z) - F.coalesce("daily_profit", z)) <= tol) &
               (F.coalesce("fact_quantity", z) == F.coalesce("daily_quantity", z)) &
               (F.col("fact_rows") == F.col("daily_rows")))
-    return f.crossJoin(d).withColumn("passed", F.coalesce(passed, F.lit(False)))
+    return side_by_side(f, d).withColumn("passed", F.coalesce(passed, F.lit(False)))
 
 
 def null_location_rows(fact: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from shelfmart.config import (
     REASON_QUANTITY, REASON_SALES, SOURCE_KEY,
 )
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
-from shelfmart.functions.columns import col, count_if, parse_source_date
+from shelfmart.functions.columns import col, count_if, parse_source_date, side_by_side
 
 
 @dataclass(frozen=True)
@@ -142,7 +142,7 @@ def reconcile_bronze_silver(bronze: DataFrame, silver: DataFrame, ctx: RunContex
     start, end = (ctx.start_date, ctx.end_date) if windowed else (None, None)
     b = window_count(bronze, ctx.run_id, deletions, start, end).withColumnRenamed("source_rows", "bronze_rows")
     s = silver.agg(F.count(F.lit(1)).alias("silver_rows"))
-    return b.crossJoin(s).withColumn("passed", F.col("bronze_rows") == F.col("silver_rows"))
+    return side_by_side(b, s).withColumn("passed", F.col("bronze_rows") == F.col("silver_rows"))
 
 
 def assert_reconciled(recon: DataFrame) -> tuple[int, int]:
