@@ -18,9 +18,15 @@ from shelfmart.plans.warehouse import Warehouse, shared
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+BODIES: dict[str, Callable[[Warehouse], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 
 
+def run_on(name: str, w: Warehouse) -> DataFrame:
+    """Run a catalogue query against a given build."""
+    return decimals_to_double(BODIES[name](w))
+
+
 def query(name: str, sql: str | None = None):
     def deco(fn: Callable[[Warehouse], DataFrame]) -> QueryFn:
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,6 +34,7 @@ def query(name: str, sql: str | None = None):
         run.__name__ = name
         run.__doc__ = fn.__doc__
         QUERIES[name] = run
+        BODIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
         return run

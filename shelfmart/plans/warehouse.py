@@ -179,15 +179,32 @@ class Warehouse:
 _SHARED: dict[tuple, Warehouse] = {}
 
 
-def shared(spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN) -> Warehouse:
-    """The stored build for (session, input directory, run parameters), made once."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ctx)
+def _code_digest() -> str:
+    """Digest of this package's source, so a code change never reuses an older build."""
+    import hashlib
+    import pathlib
+    h = hashlib.sha256(__version__.encode())
+    for p in sorted(pathlib.Path(__file__).resolve().parents[1].rglob("*.py")):
+        h.update(p.read_bytes())
+    return h.hexdigest()[:16]
+
+
+def shared(spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN, fresh: bool = False) -> Warehouse:
+    """The stored build for (input files, code, run parameters).
+
+    Tables live under the shared folder named by ``spark.checkpoint.dir`` (falling back to
+    the session's checkpoint directory), keyed by a fingerprint of the input files, the
+    package source and the run parameters; a committed build is reused by later sessions.
+    ``fresh`` salts the key with the application id, forcing a new build (bench).
+    """
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ctx, fresh)
     w = _SHARED.get(key)
     if w is None:
-        root = ensure_checkpoint_dir(spark)
+        session_dir = ensure_checkpoint_dir(spark)
+        base = (spark.conf.get("spark.checkpoint.dir", None) or session_dir).rstrip("/")
+        salt = f"{_code_digest()}|{ctx}" + (f"|{spark.sparkContext.applicationId}" if fresh else "")
         fp = store_ops.input_fingerprint(
-            spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES],
-            salt=f"{__version__}|{ctx}")
-        w = Warehouse(spark, sf_dir, ctx, store=f"{root}/shelfmart-store/{fp}")
+            spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES], salt=salt)
+        w = Warehouse(spark, sf_dir, ctx, store=f"{base}/shelfmart-store/{fp}")
         _SHARED[key] = w
     return w
