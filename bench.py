@@ -46,11 +46,8 @@ def main() -> None:
         fn()
         phases[name] = round(time.time() - t0, 3)
 
-    timed("build_bronze", lambda: (w.extract, w.bronze))
-    timed("build_silver", lambda: w.silver)
-    timed("build_gold", lambda: (w.dim_customers, w.dim_products, w.dim_location, w.dim_date, w.scd2,
-                                 w.fact, w.daily, w.monthly, w.fulfillment))
-    timed("build_scenarios", lambda: (w.previous, w.incoming_dedup, w.customer_batches, w.scd2_history))
+    for phase in ("bronze", "silver", "gold", "scenarios"):
+        timed(f"build_{phase}", lambda phase=phase: w.build(phase))
 
     times: dict[str, float] = {}
     for name in HEADLINE:

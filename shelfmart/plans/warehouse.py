@@ -11,6 +11,8 @@ versioned tables and control state.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -39,6 +41,24 @@ BROADCAST_DIM_ROWS = 500_000
 
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
 
+# Layers in dependency waves; the layers of one wave are independent of each other.
+BUILD_WAVES = {
+    "bronze": [["extract"], ["bronze"]],
+    "silver": [["silver"], ["dim_rows"]],
+    "gold": [["dim_customers", "dim_products", "dim_location", "dim_date", "fulfillment"],
+             ["scd2"], ["fact_partitioned"], ["daily"], ["monthly"]],
+    "scenarios": [["previous", "incoming_dedup", "customer_batches"], ["scd2_history"]],
+}
+
+
+def run_concurrently(tasks: list[Callable[[], object]], max_workers: int = 8) -> list[object]:
+    """Run independent driver-side actions from parallel threads; Spark schedules their
+    jobs side by side, so small stages of different tables overlap instead of queueing."""
+    if len(tasks) <= 1:
+        return [t() for t in tasks]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(tasks))) as pool:
+        return [f.result() for f in [pool.submit(t) for t in tasks]]
+
 
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN,
@@ -53,6 +73,11 @@ class Warehouse:
             store_ops.write_table(build(), path, partition_by)
         return self.spark.read.parquet(path)
 
+    def build(self, phase: str) -> None:
+        """Materialise one phase's layers wave by wave, a wave's layers concurrently."""
+        for wave in BUILD_WAVES[phase]:
+            run_concurrently([lambda n=n: getattr(self, n) for n in wave])
+
     # ---- bronze ------------------------------------------------------------------
     @cached_property
     def extract(self) -> DataFrame:
