@@ -84,11 +84,15 @@ def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") ->
     return h.hexdigest()[:16]
 
 
-def content_fingerprint(spark: SparkSession, path: str) -> DataFrame:
-    """Per-file sha256 of the bytes (path, length, modificationTime, sha256)."""
-    return (spark.read.format("binaryFile").load(path)
-                 .select("path", "length", "modificationTime",
-                         F.sha2(F.col("content"), 256).alias("sha256")))
+def content_fingerprint(spark: SparkSession, path: str, deep: bool = True) -> DataFrame:
+    """Per-file fingerprint (path, length, modificationTime, sha256).
+
+    ``deep`` hashes the bytes (reads every file once more); otherwise sha256 is NULL and
+    only the listing metadata is compared, which costs no data I/O at any size.
+    """
+    df = spark.read.format("binaryFile").load(path)
+    digest = F.sha2(F.col("content"), 256) if deep else F.lit(None).cast("string")
+    return df.select("path", "length", "modificationTime", digest.alias("sha256"))
 
 
 # ---- versioned tables (pipeline) -------------------------------------------------------

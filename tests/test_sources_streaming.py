@@ -24,13 +24,36 @@ def test_csv_round_trip_and_contract(spark, tmp):
 def test_fingerprint_guard(spark, tmp):
     ex = fixture.source_extract(spark, SF_SMALL)
     files.write_extract_csv(ex, f"{tmp}/x")
-    df, fp = files.guarded_read(spark, f"{tmp}/x")
+    df, fp = files.guarded_read(spark, f"{tmp}/x", f"{tmp}/stage", deep=True)
+    assert df.count() == ex.count()
     import hashlib, glob
     f = sorted(glob.glob(f"{tmp}/x/*.csv"))[0]
     want = hashlib.sha256(open(f, "rb").read()).hexdigest()
     assert want in {r["sha256"] for r in fp.collect()}
 
 
+def test_fingerprint_guard_detects_change(spark, tmp, monkeypatch):
+    from shelfmart.errors import SourceChangedError
+    ex = fixture.source_extract(spark, SF_SMALL)
+    real = files.read_extract_csv
+    for mode in ("grow", "replace"):
+        files.write_extract_csv(ex, f"{tmp}/{mode}")
+
+        def read_then_change(sp, path, columns=None, mode=mode):   # the source changes while it is read
+            df = real(sp, path, columns)
+            import glob
+            if mode == "grow":
+                with open(sorted(glob.glob(f"{path}/*.csv"))[0], "a") as f:
+                    f.write("\n")
+            else:
+                files.write_extract_csv(ex.limit(5), path)
+            return df
+        monkeypatch.setattr(files, "read_extract_csv", read_then_change)
+        with pytest.raises(SourceChangedError):
+            files.guarded_read(spark, f"{tmp}/{mode}", f"{tmp}/stage_{mode}")
+        monkeypatch.setattr(files, "read_extract_csv", real)
+
+
 def test_versioned_publish_never_overwrites_what_is_read(spark, tmp):
     t = f"{tmp}/t"
     store.publish(spark.range(3), t)
