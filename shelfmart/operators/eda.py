@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from shelfmart.functions.columns import col, count_if, side_by_side
 from shelfmart.operators.keys import choose_method, cumulative_count
+from shelfmart.session import ensure_checkpoint_dir
 
 # ---- FIXED VALUES ------------------------------------------------------------------
 # Columns excluded from the numeric profile although numeric (identifiers).
@@ -99,7 +100,9 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "auto") -> Data
     broadcast table of (columns x probabilities x 2) targets.
     """
     v = long.filter(F.col("value").isNotNull())
-    vc = v.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
+    # every later step reads this reduction: write it once (it also cuts the lineage)
+    ensure_checkpoint_dir(long.sparkSession)
+    vc = v.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)
     if method == "auto":
         method = choose_method(vc.count())
     pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before", method)
