@@ -23,6 +23,7 @@ from shelfmart.operators import cdc, contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.keys import choose_method
 from shelfmart.operators.silver import RunContext
+from shelfmart.plans.warehouse import run_concurrently
 from shelfmart.sources import files, store
 
 LOGGER = logging.getLogger(__name__)
@@ -171,10 +172,14 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
         staged[name] = store.stage(df, t, partition_by)
         return spark.read.parquet(f"{t}/v={staged[name]}")
 
-    customers = stage("dim_customers", dims.dim_customers(silver, choose_method(counts["c"] + 1)))
-    products = stage("dim_products", dims.dim_products(silver, choose_method(counts["p"] + 1)))
-    locations = stage("dim_location", dims.dim_location(silver, choose_method(counts["l"] + 1)))
-    dates = stage("dim_date", dims.dim_date(silver))
+    # independent tables are written concurrently (their small jobs overlap)
+    customers, products, locations, dates, _ = run_concurrently([
+        lambda: stage("dim_customers", dims.dim_customers(silver, choose_method(counts["c"] + 1))),
+        lambda: stage("dim_products", dims.dim_products(silver, choose_method(counts["p"] + 1))),
+        lambda: stage("dim_location", dims.dim_location(silver, choose_method(counts["l"] + 1))),
+        lambda: stage("dim_date", dims.dim_date(silver)),
+        lambda: stage("fact_order_fulfillment", facts.order_fulfillment(silver)),
+    ])
     history = store.read_current(spark, cfg.table("gold", "dim_customers_scd2"))
     snap = customers.select("customer_id", "customer_name", "segment", "ingested_at")
     scd2 = stage("dim_customers_scd2", dims.scd2_merge(history, snap, choose_method(counts["c"] + 1)))
@@ -185,7 +190,6 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     fact = stage("fact_sales", fact_df, ["order_year"]).select(*facts.FACT_COLUMNS)
     daily = stage("sales_daily", facts.sales_daily(fact))
     stage("sales_monthly", facts.sales_monthly(daily))
-    stage("fact_order_fulfillment", facts.order_fulfillment(silver))
     recon = facts.reconcile_fact_daily(fact, daily, 0.000001).first()                     # Q1
     if not recon["passed"]:
         raise ReconciliationError("Fact/serving reconciliation failed")
