@@ -3,9 +3,10 @@ describe, histograms, box plots, outliers, value counts and a binned density.
 
 Every statistic is an aggregate over all rows. The numeric columns are unpivoted into
 one long (column_name, value) frame so each statistic is one grouped pass instead of
-one job per column. Exact quantiles rank distinct values with a weighted cumulative
-count (``keys.cumulative_count``), which for large inputs range-partitions the ranking
-instead of collecting a column's values in one task; fences, bins and densities only ever join small per-column tables.
+one job per column. Exact quantiles bracket each target rank with a quantile sketch and
+rank only the values inside the bracket (two scans); the fallback ranks every distinct
+value with a weighted cumulative count (``keys.cumulative_count``), range-partitioned for
+large inputs, never collecting a column's values in one task; fences, bins and densities only ever join small per-column tables.
 """
 
 from __future__ import annotations
@@ -90,9 +91,76 @@ def numeric_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     ])).alias("_p")).select("_p.*")
 
 
-def quantiles(long: DataFrame, probs: list[float], method: str = "auto") -> DataFrame:
+SKETCH_ACCURACY = 10_000    # rank error of the bracketing sketch: n / accuracy
+
+
+def _targets(n: DataFrame, probs: list[float]) -> DataFrame:
+    """(column_name, n, p, lo, hi, frac): the ranks floor/ceil of p*(n-1) per column."""
+    return (n.select("column_name", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
+             .withColumn("_pos", F.col("p") * (F.col("n") - 1))
+             .withColumn("lo", F.floor("_pos").cast("long")).withColumn("hi", F.ceil("_pos").cast("long"))
+             .withColumn("frac", F.col("_pos") - F.col("lo")).drop("_pos"))
+
+
+def _interpolate(tg: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
+    """Join the values found at ranks lo and hi and interpolate linearly."""
+    lo = hits.select(*keys, F.col("r").alias("lo"), F.col("value").alias("_vlo"))
+    hi = hits.select(*keys, F.col("r").alias("hi"), F.col("value").alias("_vhi"))
+    q = (tg.join(lo, [*keys, "lo"], "left").join(hi, [*keys, "hi"], "left")
+           .withColumn("q", F.when(F.col("lo") == F.col("hi"), F.col("_vlo"))
+                       .otherwise(F.col("_vlo") * (1.0 - F.col("frac")) + F.col("_vhi") * F.col("frac"))))
+    return q
+
+
+def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
+              accuracy: int = SKETCH_ACCURACY) -> DataFrame:
     """Exact quantiles with linear interpolation: (column_name, p, q).
 
+    ``sketch`` (default): two scans whatever the cardinality. A ``percentile_approx``
+    sketch brackets every target rank within n/accuracy; one pass then counts the rows
+    below each bracket and reduces the bracket band to (value, count); ranks inside the
+    small band are exact. A bracket that misses its rank falls back to ``ranked``.
+    ``window`` / ``range`` / ``auto``: rank all distinct values (see ``_ranked``).
+    """
+    if method != "sketch":
+        return _ranked(long, probs, method)
+    spark = long.sparkSession
+    ensure_checkpoint_dir(spark)
+    v = long.filter(F.col("value").isNotNull())
+    delta = 2.0 / accuracy
+    edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
+    sk = v.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"),
+                                      F.percentile_approx("value", edges, accuracy).alias("_e"))
+    at = {e: i for i, e in enumerate(edges)}
+    tg = _targets(sk.select("column_name", "n"), probs).join(
+        sk.select("column_name", F.explode(F.array(*[
+            F.struct(F.lit(float(p)).alias("p"), F.col("_e")[at[min(1.0, max(0.0, p - delta))]].alias("a"),
+                     F.col("_e")[at[min(1.0, max(0.0, p + delta))]].alias("b")) for p in probs])).alias("_t"))
+          .select("column_name", "_t.*"), ["column_name", "p"])
+    # one pass: rows below a bracket collapse to one count, rows inside it to (value, count)
+    j = v.join(F.broadcast(tg.select("column_name", "p", "a", "b")), "column_name").filter(F.col("value") <= F.col("b"))
+    g = j.groupBy("column_name", "p", F.when(F.col("value") >= F.col("a"), F.col("value")).alias("bv")).agg(
+        F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)     # about 4n/accuracy rows per target
+    below = g.filter(F.col("bv").isNull()).select("column_name", "p", F.col("cnt").alias("_below"))
+    inside = g.filter(F.col("bv").isNotNull())
+    ranked = cumulative_count(inside, ["column_name", "p"], ["bv"], "cnt", "_in", choose_method(inside.count()))
+    band = (ranked.join(F.broadcast(below), ["column_name", "p"], "left")
+                  .withColumn("before", F.coalesce("_below", F.lit(0)) + F.col("_in")))
+    ranks = tg.select("column_name", "p", F.explode(F.array("lo", "hi")).alias("r")).distinct()
+    hits = (band.join(ranks, ["column_name", "p"])
+                .filter((F.col("before") <= F.col("r")) & (F.col("r") < F.col("before") + F.col("cnt")))
+                .select("column_name", "p", "r", F.col("bv").alias("value")))
+    q = _interpolate(tg, hits, ["column_name", "p"]).select(
+        "column_name", "p", "q", (F.col("_vlo").isNotNull() & F.col("_vhi").isNotNull()).alias("_ok"))
+    q = q.checkpoint(eager=True)                     # columns x probabilities rows
+    if not q.filter(~F.col("_ok")).isEmpty():        # a bracket missed: rank exactly instead
+        return _ranked(long, probs, "auto")
+    return q.select("column_name", "p", "q")
+
+
+def _ranked(long: DataFrame, probs: list[float], method: str = "auto") -> DataFrame:
+    """Exact quantiles by ranking every distinct value.
+
     Values are first reduced to (column, value, count) by a partial aggregation, so a
     low-cardinality column costs a few rows whatever the table size. A weighted
     cumulative count gives each distinct value its rank interval [before, before+count);
@@ -106,20 +174,11 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "auto") -> Data
     if method == "auto":
         method = choose_method(vc.count())
     pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before", method)
-    n = vc.groupBy("column_name").agg(F.sum("cnt").alias("n"))
-    tg = (n.select("column_name", "n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("p"))
-           .withColumn("_pos", F.col("p") * (F.col("n") - 1))
-           .withColumn("lo", F.floor("_pos").cast("long")).withColumn("hi", F.ceil("_pos").cast("long"))
-           .withColumn("frac", F.col("_pos") - F.col("lo")))
+    tg = _targets(vc.groupBy("column_name").agg(F.sum("cnt").alias("n")), probs)
     need = tg.select(F.col("column_name").alias("_c"), F.explode(F.array("lo", "hi")).alias("r")).distinct()
-    hit = pos.join(F.broadcast(need), (F.col("column_name") == F.col("_c")) & (F.col("before") <= F.col("r"))
-                   & (F.col("r") < F.col("before") + F.col("cnt"))).select("column_name", "r", "value")
-    lo = hit.select("column_name", F.col("r").alias("lo"), F.col("value").alias("_vlo"))
-    hi = hit.select("column_name", F.col("r").alias("hi"), F.col("value").alias("_vhi"))
-    q = (tg.join(lo, ["column_name", "lo"]).join(hi, ["column_name", "hi"])
-           .withColumn("q", F.when(F.col("lo") == F.col("hi"), F.col("_vlo"))
-                       .otherwise(F.col("_vlo") * (1.0 - F.col("frac")) + F.col("_vhi") * F.col("frac"))))
-    return q.select("column_name", "p", "q")
+    hits = pos.join(F.broadcast(need), (F.col("column_name") == F.col("_c")) & (F.col("before") <= F.col("r"))
+                    & (F.col("r") < F.col("before") + F.col("cnt"))).select("column_name", "r", "value")
+    return _interpolate(tg, hits, ["column_name"]).select("column_name", "p", "q")
 
 
 def _pivot_quartiles(q: DataFrame) -> DataFrame:
@@ -129,7 +188,7 @@ def _pivot_quartiles(q: DataFrame) -> DataFrame:
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
 
 
-def describe(long: DataFrame, method: str = "auto") -> DataFrame:
+def describe(long: DataFrame, method: str = "sketch") -> DataFrame:
     """E5: count, mean, sample std, min, quartiles, max per numeric column."""
     base = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
@@ -165,7 +224,7 @@ def histogram(long: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         F.round(F.col("lo") + F.col("bin") * F.col("width"), STAT_DIGITS).alias("bin_hi"), "count")
 
 
-def fences(long: DataFrame, method: str = "auto") -> DataFrame:
+def fences(long: DataFrame, method: str = "sketch") -> DataFrame:
     qs = _pivot_quartiles(quantiles(long, QUARTILES, method))
     iqr = F.col("q3") - F.col("q1")
     return qs.select("column_name", "q1", "median", "q3", iqr.alias("iqr"),
@@ -173,7 +232,7 @@ def fences(long: DataFrame, method: str = "auto") -> DataFrame:
                      (F.col("q3") + IQR_FACTOR * iqr).alias("upper_fence"))
 
 
-def boxplot(long: DataFrame, method: str = "auto") -> DataFrame:
+def boxplot(long: DataFrame, method: str = "sketch") -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme values inside them), outlier count."""
     fz = fences(long, method)
     v = long.filter(F.col("value").isNotNull()).join(F.broadcast(fz), "column_name")
@@ -189,7 +248,7 @@ def boxplot(long: DataFrame, method: str = "auto") -> DataFrame:
 
 
 def outlier_rows(df: DataFrame, key: str, columns: list[str] | None = None,
-                 method: str = "auto") -> DataFrame:
+                 method: str = "sketch") -> DataFrame:
     """(column_name, key, value) for every value outside its column's fences."""
     cols = columns or numeric_columns(df)
     long = df.select(col(key).alias("row_key"), F.explode(F.array(*[

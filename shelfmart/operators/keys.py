@@ -54,8 +54,8 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_name: str,
     return numbered.drop("_pid", "_base")
 
 
-def cumulative_count(df: DataFrame, group: str, order_cols: Sequence[str], weight: str, out: str,
-                     method: str = "window", partitions: int | None = None) -> DataFrame:
+def cumulative_count(df: DataFrame, group: str | Sequence[str], order_cols: Sequence[str], weight: str,
+                     out: str, method: str = "window", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over the rows before this one inside its ``group``
     (ordered by ``order_cols``, which must be unique within the group).
 
@@ -64,9 +64,10 @@ def cumulative_count(df: DataFrame, group: str, order_cols: Sequence[str], weigh
     into offsets, running sums inside partitions), so one large group is spread over many
     tasks.
     """
-    keys = [group, *order_cols]
+    groups = [group] if isinstance(group, str) else list(group)
+    keys = [*groups, *order_cols]
     if method == "window":
-        w = (Window.partitionBy(group).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
+        w = (Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
                    .rowsBetween(Window.unboundedPreceding, -1))
         return df.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long"))
     spark = df.sparkSession
@@ -82,7 +83,7 @@ def cumulative_count(df: DataFrame, group: str, order_cols: Sequence[str], weigh
     run = F.coalesce(F.sum(weight).over(Window.partitionBy("_pid").orderBy(*orders)
                                         .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     glob = tagged.join(F.broadcast(base), "_pid").withColumn("_g", F.col("_base") + run)
-    first = glob.groupBy(group).agg(F.min("_g").alias("_g0"))      # one row per group
-    return (glob.join(F.broadcast(first), group)
+    first = glob.groupBy(*groups).agg(F.min("_g").alias("_g0"))      # one row per group
+    return (glob.join(F.broadcast(first), groups)
                 .withColumn(out, (F.col("_g") - F.col("_g0")).cast("long"))
                 .drop("_pid", "_base", "_g", "_g0"))

@@ -13,7 +13,7 @@ def test_quantiles_match_linear_interpolation_both_methods(spark):
     rng = np.random.default_rng(3)
     vals = list(rng.integers(0, 50, 997)) + [None]
     lg = _long(spark, vals).union(_long(spark, [5, 1, 3, 3], "y"))
-    for method in ("window", "range", "auto"):
+    for method in ("window", "range", "auto", "sketch"):
         q = {(r["column_name"], r["p"]): r["q"] for r in eda.quantiles(lg, [0.25, 0.5, 0.75], method).collect()}
         xs = np.array([v for v in vals if v is not None], dtype=float)
         for p in (0.25, 0.5, 0.75):
@@ -54,3 +54,14 @@ def test_missing_duplicates_value_counts(spark):
     assert vc == [("Region", "z", 1), ("Segment", "a", 2), ("Segment", "b", 1)]
     ov = eda.columns_overview(df.withColumn("n", F.lit(1)))
     assert [r["non_null"] for r in ov.orderBy("position").collect()] == [3, 1, 3]
+
+
+def test_sketch_quantiles_exact_with_small_accuracy_and_fallback(spark):
+    rng = np.random.default_rng(11)
+    xs = np.round(rng.lognormal(3, 1.5, 5000), 2)
+    lg = _long(spark, list(xs)).union(_long(spark, [1] * 300 + [2] * 3 + [9], "t"))
+    for acc in (50, 1000, 100_000):           # tiny accuracy: wide brackets, still exact
+        q = {(r["column_name"], r["p"]): r["q"] for r in eda.quantiles(lg, [0.0, 0.25, 0.5, 0.75, 1.0], "sketch", acc).collect()}
+        for p in (0.0, 0.25, 0.5, 0.75, 1.0):
+            assert abs(q[("x", p)] - np.percentile(xs, p * 100)) < 1e-9
+            assert abs(q[("t", p)] - np.percentile([1] * 300 + [2] * 3 + [9], p * 100)) < 1e-9

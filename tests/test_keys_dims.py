@@ -78,3 +78,15 @@ def test_scd2_current_keys(spark):
          (3, "C2", dt.datetime(2024, 1, 1), False)],
         "customer_key long, customer_id string, valid_from timestamp_ntz, is_current boolean")
     assert rows(dims.scd2_current_keys(h)) == [("C1", 2)]
+
+
+def test_cumulative_count_range_equals_window_multi_group(spark):
+    from shelfmart.operators.keys import cumulative_count
+    df = spark.range(3000).select((F.col("id") % 3).alias("g1"), (F.col("id") % 2).alias("g2"),
+                                  (F.col("id") * 37 % 1000).cast("double").alias("v"),
+                                  (F.col("id") % 5 + 1).alias("w")).groupBy("g1", "g2", "v").agg(F.sum("w").alias("w"))
+    a = rows(cumulative_count(df, ["g1", "g2"], ["v"], "w", "before", "window"))
+    b = rows(cumulative_count(df, ["g1", "g2"], ["v"], "w", "before", "range", partitions=5))
+    assert a == b
+    first = {(r[0], r[1]): r[4] for r in a if r[2] == min(x[2] for x in a if x[:2] == r[:2])}
+    assert set(first.values()) == {0}
