@@ -2,7 +2,7 @@
 
 Each property is one DataFrame plan. Without a store the graph stays lazy (one big
 plan per query, used by unit tests on tiny inputs). With a store (``shared``), each
-layer is written once as Parquet under the session's checkpoint folder and read back,
+layer is written once as Parquet under the shared checkpoint folder and read back,
 as a warehouse publishes its tables: lineage is cut at every layer, a lost executor
 recomputes from the last written table, and downstream queries scan Parquet with
 column pruning and pushed filters. ``plans.pipeline`` uses the same operators with
@@ -11,6 +11,7 @@ versioned tables and control state.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
@@ -18,13 +19,13 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfmart import __version__
 from shelfmart.config import LOCATION_COLUMNS
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import dims, facts
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.keys import choose_method
 from shelfmart.operators.silver import RunContext
-from shelfmart import __version__
 from shelfmart.session import ensure_checkpoint_dir
 from shelfmart.sources import fixture, store as store_ops
 
@@ -60,6 +61,15 @@ def run_concurrently(tasks: list[Callable[[], object]], max_workers: int = 8) ->
         return [f.result() for f in [pool.submit(t) for t in tasks]]
 
 
+_LOCKS: dict[str, threading.Lock] = {}
+_LOCKS_GUARD = threading.Lock()
+
+
+def _lock(key: str) -> threading.Lock:
+    with _LOCKS_GUARD:
+        return _LOCKS.setdefault(key, threading.Lock())
+
+
 class Warehouse:
     def __init__(self, spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN,
                  store: str | None = None):
@@ -69,8 +79,9 @@ class Warehouse:
         if self.store is None:
             return build()
         path = f"{self.store}/{name}"
-        if not store_ops.committed(self.spark, path):
-            store_ops.write_table(build(), path, partition_by)
+        with _lock(path):            # one writer per table, even if callers run in threads
+            if not store_ops.committed(self.spark, path):
+                store_ops.write_table(build(), path, partition_by)
         return self.spark.read.parquet(path)
 
     def build(self, phase: str) -> None:
@@ -223,13 +234,16 @@ def shared(spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN, fresh:
     ``fresh`` salts the key with the application id, forcing a new build (bench).
     """
     key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), ctx, fresh)
-    w = _SHARED.get(key)
-    if w is None:
-        session_dir = ensure_checkpoint_dir(spark)
-        base = (spark.conf.get("spark.checkpoint.dir", None) or session_dir).rstrip("/")
-        salt = f"{_code_digest()}|{ctx}" + (f"|{spark.sparkContext.applicationId}" if fresh else "")
-        fp = store_ops.input_fingerprint(
-            spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES], salt=salt)
-        w = Warehouse(spark, sf_dir, ctx, store=f"{base}/shelfmart-store/{fp}")
-        _SHARED[key] = w
+    with _lock(f"shared:{key}"):
+        return _SHARED[key] if key in _SHARED else _new_shared(spark, sf_dir, ctx, fresh, key)
+
+
+def _new_shared(spark: SparkSession, sf_dir: str, ctx: RunContext, fresh: bool, key: tuple) -> Warehouse:
+    session_dir = ensure_checkpoint_dir(spark)
+    base = (spark.conf.get("spark.checkpoint.dir", None) or session_dir).rstrip("/")
+    salt = f"{_code_digest()}|{ctx}" + (f"|{spark.sparkContext.applicationId}" if fresh else "")
+    fp = store_ops.input_fingerprint(
+        spark, [f"{sf_dir.rstrip('/')}/{t}.parquet" for t in INPUT_TABLES], salt=salt)
+    w = Warehouse(spark, sf_dir, ctx, store=f"{base}/shelfmart-store/{fp}")
+    _SHARED[key] = w
     return w
