@@ -59,7 +59,3 @@ SILVER_COLUMNS = [
     "discount", "profit", "ingested_at", "run_id", "source_file", "pipeline_version",
 ]
 LOCATION_COLUMNS = ["country", "region", "state", "city", "postal_code"]
-
-# Dimensions up to this many rows are numbered with one ordered window; larger ones
-# use the range-partitioned numbering in ``operators.keys``.
-SINGLE_PARTITION_KEY_LIMIT = 2_000_000

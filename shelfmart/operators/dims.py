@@ -25,22 +25,22 @@ def latest_per_key(df: DataFrame, key: str, attrs: list[str],
     return picked.select(key, *[F.col("_v").getField(a).alias(a) for a in attrs])
 
 
-def dim_customers(silver: DataFrame, method: str = "window") -> DataFrame:
+def dim_customers(silver: DataFrame) -> DataFrame:
     latest = latest_per_key(silver, "customer_id", ["customer_name", "segment", "ingested_at"])
-    return dense_key(latest, ["customer_id"], "customer_key", method).select(
+    return dense_key(latest, ["customer_id"], "customer_key").select(
         "customer_key", "customer_id", "customer_name", "segment", "ingested_at")
 
 
-def dim_products(silver: DataFrame, method: str = "window") -> DataFrame:
+def dim_products(silver: DataFrame) -> DataFrame:
     latest = latest_per_key(silver, "product_id",
                             ["product_name", "category", "sub_category", "ingested_at"])
-    return dense_key(latest, ["product_id"], "product_key", method).select(
+    return dense_key(latest, ["product_id"], "product_key").select(
         "product_key", "product_id", "product_name", "category", "sub_category", "ingested_at")
 
 
-def dim_location(silver: DataFrame, method: str = "window") -> DataFrame:
+def dim_location(silver: DataFrame) -> DataFrame:
     places = silver.select(*LOCATION_COLUMNS).distinct()
-    return dense_key(places, LOCATION_COLUMNS, "location_id", method).select(
+    return dense_key(places, LOCATION_COLUMNS, "location_id").select(
         "location_id", *LOCATION_COLUMNS)
 
 
@@ -88,7 +88,7 @@ def scd2_closed(history: DataFrame, snapshot: DataFrame) -> DataFrame:
         F.lit(False).alias("is_current"))
 
 
-def scd2_opened(history: DataFrame | None, snapshot: DataFrame, method: str = "window") -> DataFrame:
+def scd2_opened(history: DataFrame | None, snapshot: DataFrame) -> DataFrame:
     """New current rows for customers that are new or changed; keys continue after the max."""
     s = _snapshot(snapshot)
     if history is None:
@@ -105,19 +105,19 @@ def scd2_opened(history: DataFrame | None, snapshot: DataFrame, method: str = "w
         fresh = fresh.drop("_hn", "_hs", "_has")
         top = history.agg(F.max("customer_key")).first()[0] or 0   # one scalar
         base = fresh.withColumn("_off", F.lit(int(top)).cast("long"))
-    keyed = dense_key(base, ["customer_id"], "customer_key", method, offset=F.col("_off"))
+    keyed = dense_key(base, ["customer_id"], "customer_key", offset=F.col("_off"))
     return keyed.select(
         "customer_key", "customer_id", "customer_name", "segment",
         F.col("ingested_at").alias("valid_from"),
         F.lit(None).cast("timestamp_ntz").alias("valid_to"), F.lit(True).alias("is_current"))
 
 
-def scd2_merge(history: DataFrame | None, snapshot: DataFrame, method: str = "window") -> DataFrame:
+def scd2_merge(history: DataFrame | None, snapshot: DataFrame) -> DataFrame:
     """History after one batch: unchanged rows, closed rows and opened rows.
 
     Customers missing from the snapshot keep their open row.
     """
-    opened = scd2_opened(history, snapshot, method)
+    opened = scd2_opened(history, snapshot)
     if history is None:
         return opened
     closed = scd2_closed(history, snapshot)
@@ -125,7 +125,7 @@ def scd2_merge(history: DataFrame | None, snapshot: DataFrame, method: str = "wi
     return untouched.select(*SCD2_COLUMNS).unionByName(closed).unionByName(opened)
 
 
-def scd2_backfill(snapshots: DataFrame, method: str = "window") -> DataFrame:
+def scd2_backfill(snapshots: DataFrame) -> DataFrame:
     """Set-based equivalent of merging every batch in time order.
 
     A version starts where a customer's attributes differ from its previous present
@@ -140,7 +140,7 @@ def scd2_backfill(snapshots: DataFrame, method: str = "window") -> DataFrame:
                .filter("_start").drop("_start"))
     versions = starts.withColumn("valid_to", F.lead("ingested_at").over(w)).withColumnRenamed(
         "ingested_at", "valid_from")
-    keyed = dense_key(versions, ["valid_from", "customer_id"], "customer_key", method)
+    keyed = dense_key(versions, ["valid_from", "customer_id"], "customer_key")
     return keyed.select(
         "customer_key", "customer_id", "customer_name", "segment", "valid_from", "valid_to",
         F.col("valid_to").isNull().alias("is_current"))

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfmart.functions.columns import col, count_if, side_by_side
-from shelfmart.operators.keys import choose_method, cumulative_count
+from shelfmart.operators.keys import cumulative_count
 from shelfmart.session import ensure_checkpoint_dir
 
 # ---- FIXED VALUES ------------------------------------------------------------------
@@ -120,10 +120,10 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
     sketch brackets every target rank within n/accuracy; one pass then counts the rows
     below each bracket and reduces the bracket band to (value, count); ranks inside the
     small band are exact. A bracket that misses its rank falls back to ``ranked``.
-    ``window`` / ``range`` / ``auto``: rank all distinct values (see ``_ranked``).
+    ``ranked``: rank all distinct values (see ``_ranked``).
     """
     if method != "sketch":
-        return _ranked(long, probs, method)
+        return _ranked(long, probs)
     spark = long.sparkSession
     ensure_checkpoint_dir(spark)
     v = long.filter(F.col("value").isNotNull())
@@ -143,7 +143,7 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
         F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)     # about 4n/accuracy rows per target
     below = g.filter(F.col("bv").isNull()).select("column_name", "p", F.col("cnt").alias("_below"))
     inside = g.filter(F.col("bv").isNotNull())
-    ranked = cumulative_count(inside, ["column_name", "p"], ["bv"], "cnt", "_in", choose_method(inside.count()))
+    ranked = cumulative_count(inside, ["column_name", "p"], ["bv"], "cnt", "_in")
     band = (ranked.join(F.broadcast(below), ["column_name", "p"], "left")
                   .withColumn("before", F.coalesce("_below", F.lit(0)) + F.col("_in")))
     ranks = tg.select("column_name", "p", F.explode(F.array("lo", "hi")).alias("r")).distinct()
@@ -154,11 +154,11 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
         "column_name", "p", "q", (F.col("_vlo").isNotNull() & F.col("_vhi").isNotNull()).alias("_ok"))
     q = q.checkpoint(eager=True)                     # columns x probabilities rows
     if not q.filter(~F.col("_ok")).isEmpty():        # a bracket missed: rank exactly instead
-        return _ranked(long, probs, "auto")
+        return _ranked(long, probs)
     return q.select("column_name", "p", "q")
 
 
-def _ranked(long: DataFrame, probs: list[float], method: str = "auto") -> DataFrame:
+def _ranked(long: DataFrame, probs: list[float]) -> DataFrame:
     """Exact quantiles by ranking every distinct value.
 
     Values are first reduced to (column, value, count) by a partial aggregation, so a
@@ -171,9 +171,7 @@ def _ranked(long: DataFrame, probs: list[float], method: str = "auto") -> DataFr
     # every later step reads this reduction: write it once (it also cuts the lineage)
     ensure_checkpoint_dir(long.sparkSession)
     vc = v.groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)
-    if method == "auto":
-        method = choose_method(vc.count())
-    pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before", method)
+    pos = cumulative_count(vc, "column_name", ["value"], "cnt", "before")
     tg = _targets(vc.groupBy("column_name").agg(F.sum("cnt").alias("n")), probs)
     need = tg.select(F.col("column_name").alias("_c"), F.explode(F.array("lo", "hi")).alias("r")).distinct()
     hits = pos.join(F.broadcast(need), (F.col("column_name") == F.col("_c")) & (F.col("before") <= F.col("r"))

@@ -13,27 +13,23 @@ FACT_COLUMNS = ["row_id", "order_id", "order_date", "ship_date", "customer_key",
                 "quantity", "discount", "profit", "run_id", "ingested_at"]
 
 
-def _maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    # ``small`` comes from a counted row bound (see plans.warehouse); beyond it the
-    # join stays a shuffle join and AQE may still convert or split it at runtime.
-    return F.broadcast(df) if small else df
-
-
 def fact_sales(silver: DataFrame, customers: DataFrame, products: DataFrame,
-               locations: DataFrame, scd2_current: DataFrame | None = None,
-               small_dims: frozenset[str] = frozenset()) -> DataFrame:
+               locations: DataFrame, scd2_current: DataFrame | None = None) -> DataFrame:
     """One row per silver row: inner customer and product lookups, left location and
-    SCD2 lookups. The location key is a null-rejecting 5-column equi-join."""
-    f = silver.join(_maybe_broadcast(customers.select("customer_id", "customer_key"), "customers" in small_dims),
-                    "customer_id")
+    SCD2 lookups. The location key is a null-rejecting 5-column equi-join.
+
+    The SCD2 key is looked up on the customer side first, so the fact is joined by
+    ``customer_id`` once. No join is hinted: dimension sizes are known to AQE in bytes,
+    which broadcasts the small ones and splits skewed shuffle joins."""
+    keys = customers.select("customer_id", "customer_key")
     if scd2_current is not None:
-        f = f.join(_maybe_broadcast(scd2_current, "scd2" in small_dims), "customer_id", "left")
+        keys = keys.join(scd2_current, "customer_id", "left")
     else:
-        f = f.withColumn("scd2_customer_key", F.lit(None).cast("long"))
-    f = f.join(_maybe_broadcast(products.select("product_id", "product_key"), "products" in small_dims),
-               "product_id")
-    f = f.join(_maybe_broadcast(locations, "locations" in small_dims), LOCATION_COLUMNS, "left")
-    return f.select(*FACT_COLUMNS)
+        keys = keys.withColumn("scd2_customer_key", F.lit(None).cast("long"))
+    return (silver.join(keys, "customer_id")
+                  .join(products.select("product_id", "product_key"), "product_id")
+                  .join(locations, LOCATION_COLUMNS, "left")
+                  .select(*FACT_COLUMNS))
 
 
 def with_order_year(fact: DataFrame) -> DataFrame:

@@ -1,12 +1,11 @@
 """Dense surrogate keys: ``ROW_NUMBER() OVER (ORDER BY business key)`` that scales.
 
-A window with no partition sends every row to one task. That is fine for a
-dimension with a proven small size, and wrong for a large one. The large path
-range-partitions the rows by the order key, checkpoints that layout (the range
-bounds come from sampling, so they must be fixed before being used twice), counts
-rows per range partition, turns the counts into offsets (one row per partition, so
-the broadcast is bounded by the partition count) and numbers rows inside each
-partition.
+A window with no partition sends every row to one task. Here the rows are
+range-partitioned by the order key and that layout is checkpointed (the range bounds
+come from sampling, so they must be fixed before being used twice). Rows are counted
+per range partition, the counts become offsets (one row per partition, so the
+broadcast is bounded by the partition count) and rows are numbered inside their
+partition. The plan is the same at every size.
 """
 
 from __future__ import annotations
@@ -16,7 +15,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfmart.config import SINGLE_PARTITION_KEY_LIMIT
 from shelfmart.session import ensure_checkpoint_dir
 
 
@@ -25,20 +23,11 @@ def _orders(order_cols: Sequence[str | Column]) -> list[Column]:
     return [F.col(c).asc_nulls_last() if isinstance(c, str) else c for c in order_cols]
 
 
-def choose_method(rows: int, limit: int = SINGLE_PARTITION_KEY_LIMIT) -> str:
-    return "window" if rows <= limit else "range"
-
-
 def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_name: str,
-              method: str = "window", offset: Column | int = 0,
-              partitions: int | None = None) -> DataFrame:
+              offset: Column | int = 0, partitions: int | None = None) -> DataFrame:
     """Add ``key_name`` = offset + 1..n in ``order_cols`` order (order must be total)."""
     orders = _orders(order_cols)
     off = offset if isinstance(offset, Column) else F.lit(offset)
-    if method == "window":
-        return df.withColumn(key_name, (F.row_number().over(Window.orderBy(*orders)) + off).cast("long"))
-    if method != "range":
-        raise ValueError(f"unknown key method {method}")
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -55,21 +44,16 @@ def dense_key(df: DataFrame, order_cols: Sequence[str | Column], key_name: str,
 
 
 def cumulative_count(df: DataFrame, group: str | Sequence[str], order_cols: Sequence[str], weight: str,
-                     out: str, method: str = "window", partitions: int | None = None) -> DataFrame:
+                     out: str, partitions: int | None = None) -> DataFrame:
     """Add ``out`` = sum of ``weight`` over the rows before this one inside its ``group``
     (ordered by ``order_cols``, which must be unique within the group).
 
-    The window form partitions by group; the range form is the weighted version of the
-    range-partitioned numbering above (checkpointed layout, per-partition totals turned
-    into offsets, running sums inside partitions), so one large group is spread over many
-    tasks.
+    The weighted version of the numbering above: checkpointed range layout, per-partition
+    totals turned into offsets, running sums inside partitions. One large group is spread
+    over many tasks; only ``group`` totals (one row per group) are broadcast.
     """
     groups = [group] if isinstance(group, str) else list(group)
     keys = [*groups, *order_cols]
-    if method == "window":
-        w = (Window.partitionBy(*groups).orderBy(*[F.col(c).asc_nulls_last() for c in order_cols])
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        return df.withColumn(out, F.coalesce(F.sum(weight).over(w), F.lit(0)).cast("long"))
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

@@ -21,7 +21,6 @@ from shelfmart.functions.columns import col
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import cdc, contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
-from shelfmart.operators.keys import choose_method
 from shelfmart.operators.silver import RunContext
 from shelfmart.plans.warehouse import run_concurrently
 from shelfmart.sources import files, store
@@ -110,7 +109,7 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
     try:
         return _run(spark, cfg, start, end)
     except Exception as err:  # noqa: BLE001 - recorded, then re-raised
-        _ledger_event(spark, cfg, "FAILED", cfg.now, error=str(err)[:2000])
+        _ledger_event(spark, cfg, "FAILED", cfg.now, error=str(err))
         raise
 
 
@@ -162,9 +161,6 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     store.append_log(silver_ops.quarantine(silver), cfg.table("quarantine", "sales_invalid"))   # V11
 
     # ---- gold (staged, published after validation) -----------------------------------------------
-    counts = silver.agg(F.countDistinct("customer_id").alias("c"), F.countDistinct("product_id").alias("p"),
-                        F.countDistinct(F.struct("country", "region", "state", "city", "postal_code"))
-                        .alias("l")).first()
     staged: dict[str, int] = {}
 
     def stage(name: str, df: DataFrame, partition_by=None) -> DataFrame:
@@ -174,19 +170,17 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
 
     # independent tables are written concurrently (their small jobs overlap)
     customers, products, locations, dates, _ = run_concurrently([
-        lambda: stage("dim_customers", dims.dim_customers(silver, choose_method(counts["c"] + 1))),
-        lambda: stage("dim_products", dims.dim_products(silver, choose_method(counts["p"] + 1))),
-        lambda: stage("dim_location", dims.dim_location(silver, choose_method(counts["l"] + 1))),
+        lambda: stage("dim_customers", dims.dim_customers(silver)),
+        lambda: stage("dim_products", dims.dim_products(silver)),
+        lambda: stage("dim_location", dims.dim_location(silver)),
         lambda: stage("dim_date", dims.dim_date(silver)),
         lambda: stage("fact_order_fulfillment", facts.order_fulfillment(silver)),
     ])
     history = store.read_current(spark, cfg.table("gold", "dim_customers_scd2"))
     snap = customers.select("customer_id", "customer_name", "segment", "ingested_at")
-    scd2 = stage("dim_customers_scd2", dims.scd2_merge(history, snap, choose_method(counts["c"] + 1)))
-    small = frozenset(k for k, n in (("customers", counts["c"]), ("products", counts["p"]),
-                                     ("locations", counts["l"])) if n <= 500_000)
+    scd2 = stage("dim_customers_scd2", dims.scd2_merge(history, snap))
     fact_df = facts.with_order_year(facts.fact_sales(silver, customers, products, locations,
-                                                     dims.scd2_current_keys(scd2), small))
+                                                     dims.scd2_current_keys(scd2)))
     fact = stage("fact_sales", fact_df, ["order_year"]).select(*facts.FACT_COLUMNS)
     daily = stage("sales_daily", facts.sales_daily(fact))
     stage("sales_monthly", facts.sales_monthly(daily))

@@ -117,13 +117,13 @@ def scd2_closed(w: Warehouse) -> DataFrame:
     "h2", "b3"))
 def scd2_opened(w: Warehouse) -> DataFrame:
     """Rows opened by batch 3 (new or changed customers), keys after the max."""
-    return dims.scd2_opened(w.scd2_history[1], w.batch(3), w.key_method("customers"))
+    return dims.scd2_opened(w.scd2_history[1], w.batch(3))
 
 
 @query("scd2_backfill", build("SELECT * FROM h3", "h3"))
 def scd2_backfill(w: Warehouse) -> DataFrame:
     """The same history computed set-based from all batches at once."""
-    return dims.scd2_backfill(w.customer_batches, w.key_method("customers"))
+    return dims.scd2_backfill(w.customer_batches)
 
 
 @query("fact_scd2_lookup", build("""

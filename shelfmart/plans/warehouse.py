@@ -24,28 +24,17 @@ from shelfmart.config import LOCATION_COLUMNS
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import dims, facts
 from shelfmart.operators import silver as silver_ops
-from shelfmart.operators.keys import choose_method
 from shelfmart.operators.silver import RunContext
 from shelfmart.session import ensure_checkpoint_dir
 from shelfmart.sources import fixture, store as store_ops
 
-# Parameters of the demonstration build used by the query catalogue (no clock reads).
-DEMO_RUN = RunContext(
-    run_id="00000000-0000-7000-8000-000000000001",
-    ingested_at="2024-01-01 00:00:00",
-    source_file="sales_extract.csv",
-)
-# A dimension with at most this many rows is broadcast to the fact join; the bound is
-# checked by an exact count, beyond it the join stays a shuffle join under AQE.
-BROADCAST_DIM_ROWS = 500_000
-
 
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
 
 # Layers in dependency waves; the layers of one wave are independent of each other.
 BUILD_WAVES = {
     "bronze": [["extract"], ["bronze"]],
-    "silver": [["silver"], ["dim_rows"]],
+    "silver": [["silver"]],
     "gold": [["dim_customers", "dim_products", "dim_location", "dim_date", "fulfillment"],
              ["scd2"], ["fact_partitioned"], ["daily"], ["monthly"]],
     "scenarios": [["previous", "incoming_dedup", "customer_batches"], ["scd2_history"]],
@@ -104,43 +93,21 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return self._layer("silver/sales", lambda: silver_ops.clean(self.bronze, self.ctx))
 
-    # ---- size check for keys and broadcasts -------------------------------------------
-    @cached_property
-    def dim_rows(self) -> dict[str, int]:
-        """Exact distinct counts of the dimension keys, one aggregate over silver."""
-        r = self.silver.agg(
-            F.countDistinct("customer_id").alias("customers"),
-            F.countDistinct("product_id").alias("products"),
-            F.countDistinct(F.struct(*LOCATION_COLUMNS)).alias("locations"),
-        ).first()
-        # a null business key forms one more group
-        return {k: int(r[k]) + 1 for k in ("customers", "products", "locations")}
-
-    def key_method(self, dim: str) -> str:
-        return choose_method(self.dim_rows[dim])
-
-    @cached_property
-    def small_dims(self) -> frozenset[str]:
-        small = {k for k, n in self.dim_rows.items() if n <= BROADCAST_DIM_ROWS}
-        if "customers" in small:
-            small.add("scd2")
-        return frozenset(small)
-
     # ---- gold dimensions ------------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:
         return self._layer("gold/dim_customers",
-                           lambda: dims.dim_customers(self.silver, self.key_method("customers")))
+                           lambda: dims.dim_customers(self.silver))
 
     @cached_property
     def dim_products(self) -> DataFrame:
         return self._layer("gold/dim_products",
-                           lambda: dims.dim_products(self.silver, self.key_method("products")))
+                           lambda: dims.dim_products(self.silver))
 
     @cached_property
     def dim_location(self) -> DataFrame:
         return self._layer("gold/dim_location",
-                           lambda: dims.dim_location(self.silver, self.key_method("locations")))
+                           lambda: dims.dim_location(self.silver))
 
     @cached_property
     def dim_date(self) -> DataFrame:
@@ -150,7 +117,7 @@ class Warehouse:
     def scd2(self) -> DataFrame:
         """SCD2 history after this build's single batch (empty history before it)."""
         return self._layer("gold/dim_customers_scd2", lambda: dims.scd2_merge(
-            None, self.dim_customers, self.key_method("customers")))
+            None, self.dim_customers))
 
     # ---- gold facts -----------------------------------------------------------------
     @cached_property
@@ -158,7 +125,7 @@ class Warehouse:
         """The fact with its ``order_year`` partition column."""
         return self._layer("gold/fact_sales", lambda: facts.with_order_year(facts.fact_sales(
             self.silver, self.dim_customers, self.dim_products, self.dim_location,
-            dims.scd2_current_keys(self.scd2), self.small_dims)), partition_by=["order_year"])
+            dims.scd2_current_keys(self.scd2))), partition_by=["order_year"])
 
     @cached_property
     def fact(self) -> DataFrame:
@@ -207,7 +174,7 @@ class Warehouse:
         for k in (1, 2, 3):
             prev = h
             h = self._layer(f"scenario/scd2_after_batch{k}", lambda prev=prev, k=k: dims.scd2_merge(
-                prev, self.batch(k), self.key_method("customers")))
+                prev, self.batch(k)))
             out.append(h)
         return out
 
@@ -222,7 +189,7 @@ def _code_digest() -> str:
     h = hashlib.sha256(__version__.encode())
     for p in sorted(pathlib.Path(__file__).resolve().parents[1].rglob("*.py")):
         h.update(p.read_bytes())
-    return h.hexdigest()[:16]
+    return h.hexdigest()
 
 
 def shared(spark: SparkSession, sf_dir: str, ctx: RunContext = DEMO_RUN, fresh: bool = False) -> Warehouse:

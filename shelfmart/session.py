@@ -31,15 +31,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the session's checkpoint dir; only when none is configured (local runs,
-    tests) create a scratch one. On a cluster ``spark.checkpoint.dir`` names the
-    shared folder and is used as is."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    A local session without the setting (tests) gets a scratch folder. Anywhere else a
+    missing setting is an error: a folder of one machine is not seen by the others."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="shelfmart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

@@ -108,7 +108,7 @@ def incoming_extract(extract: DataFrame) -> DataFrame:
 
 
 def customer_number(customer_id: Column) -> Column:
-    return F.substring(customer_id, 3, 100).cast("long")
+    return F.substr(customer_id, F.lit(3)).cast("long")
 
 
 def customer_batches(current_customers: DataFrame) -> DataFrame:

@@ -81,7 +81,7 @@ def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") ->
     h = hashlib.sha256(salt.encode())
     for r in meta:
         h.update(f"{r['path']}|{r['length']}|{r['modificationTime']}\n".encode())
-    return h.hexdigest()[:16]
+    return h.hexdigest()
 
 
 def content_fingerprint(spark: SparkSession, path: str, deep: bool = True) -> DataFrame:
