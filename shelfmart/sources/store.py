@@ -32,6 +32,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     return bool(fs.exists(p))
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder; a missing one is no error."""
+    fs, p, _ = _jvm_fs(spark, path)
+    fs.delete(p, True)
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     fs, p, _ = _jvm_fs(spark, path)
     out = fs.create(p, True)
