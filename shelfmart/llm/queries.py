@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmart.llm import langid, packing, pfair_mix, simhash, suffix_dedup
+from shelfmart.llm import (chat_preference, embedding_lsh, langid, license_scan, nn_descent, packing, pfair_mix,
+                           simhash, suffix_dedup, toxicity_chain)
 
 #: Target weights of the mixed corpus; sources not named have weight 1.
 MIX_WEIGHTS = {"src0": 8, "src1": 5, "src2": 3, "src3": 2}
@@ -18,6 +19,27 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_preference_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A formatted preference pair of every conversation with a reply."""
+    pairs = chat_preference.reply_pairs(_table(spark, sf_dir, "conversations"))
+    done = chat_preference.format_pairs(pairs)
+    ranges = lambda c: F.array_join(F.transform(c, lambda m: F.concat_ws("-", m["start"], m["end"])), ",")
+    return done.withColumns({c: ranges(F.col(c)) for c in ("chosen_mask", "rejected_mask")})
+
+
+def op2_nn_descent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 10 nearest other vectors of every hundredth one."""
+    vectors = _table(spark, sf_dir, "embeddings")
+    return nn_descent.nearest_neighbours(vectors, vectors.filter("vec_id % 100 = 0"), k=10)
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices in every document, with coverage and spans."""
+    found = license_scan.scan_licenses(_table(spark, sf_dir, "documents"))
+    return found.withColumn("spans", F.array_join(F.transform(
+        "spans", lambda s: F.concat_ws("-", s["start"], s["end"])), ","))
+
+
 def op4_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Repeated passages of 50 words or more, all but their first occurrence."""
     return suffix_dedup.repeated_spans(_table(spark, sf_dir, "documents"))
@@ -31,6 +53,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op6_embedding_lsh(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and component of every vector at cosine 0.95."""
+    return embedding_lsh.near_duplicates(_table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
 def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and near-duplicate component of every document."""
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=4, radius=4)
@@ -41,6 +68,15 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.digest(packing.pack(_table(spark, sf_dir, "documents"), packing.default_tokenizer()))
 
 
+def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Probabilities of low quality and of toxicity for every document."""
+    docs, labels = _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")
+    chain = toxicity_chain.fit_chain(docs, labels.withColumn("low_quality", 1 - F.col("quality")),
+                                     ["low_quality", "toxic"])
+    scored = toxicity_chain.score(docs, chain)
+    return scored.select("doc_id", "low_quality", "toxic", F.array_contains("flags", "toxic").alias("is_toxic"))
+
+
 def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Position of every document in the mix of sources."""
     return pfair_mix.mix(_table(spark, sf_dir, "documents"), MIX_WEIGHTS, block_rows=MIX_BLOCK_ROWS)
@@ -85,11 +121,63 @@ JOIN (SELECT slot, chosen, done[chosen] - 1 AS block FROM steps WHERE slot >= 0)
   ON s.chosen = o.i AND s.block = r.r // {MIX_BLOCK_ROWS}
 """
 
+_SAFE = "replace(coalesce({0}, ''), '<|', '< |')"
+_TURN = ("'<|' || replace(coalesce(role, 'unknown'), '<|', '< |') || '|>' || chr(10) || "
+         + _SAFE.format("text") + " || '<|end|>' || chr(10)")
+PREFERENCE_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, role, text, {_TURN} AS line, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), last AS (
+  SELECT conv_id, max(n) AS n FROM turns WHERE role = 'assistant' GROUP BY conv_id
+), reply AS (
+  SELECT t.conv_id, t.n, t.text, t.line, '14-' || (21 + length({_SAFE.format("t.text")})) AS mask
+  FROM turns t JOIN last l ON t.conv_id = l.conv_id AND t.n = l.n
+), prompts AS (
+  SELECT r.conv_id, string_agg(t.line, '' ORDER BY t.n) AS prompt
+  FROM reply r JOIN turns t ON t.conv_id = r.conv_id AND t.n < r.n GROUP BY r.conv_id
+), pairs AS (
+  SELECT a.conv_id AS pair_id, a.n, coalesce(p.prompt, '') AS prompt, a.line AS chosen, a.mask AS chosen_mask,
+         coalesce(b.line, '') AS rejected, coalesce(b.mask, '') AS rejected_mask, b.conv_id IS NULL AS alone,
+         b.conv_id IS NOT NULL AND a.text IS NOT DISTINCT FROM b.text AS same
+  FROM reply a LEFT JOIN reply b ON b.conv_id = xor(a.conv_id, 1) LEFT JOIN prompts p ON p.conv_id = a.conv_id
+)
+SELECT pair_id, CAST(CASE WHEN same THEN n ELSE n - 1 END AS BIGINT) AS n_common,
+       CASE WHEN same THEN prompt || chosen ELSE prompt END AS prompt,
+       CASE WHEN same THEN '' ELSE chosen END AS chosen, CASE WHEN same THEN '' ELSE rejected END AS rejected,
+       CASE WHEN same THEN '' ELSE chosen_mask END AS chosen_mask,
+       CASE WHEN same THEN '' ELSE rejected_mask END AS rejected_mask,
+       CASE WHEN same THEN 'identical' WHEN alone THEN 'rejected_empty' ELSE 'ok' END AS status
+FROM pairs
+"""
+
+#: Every pair of vectors, for small tables.
+LINKS_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+), u AS (
+  SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM u a JOIN u b ON a.vec_id <> b.vec_id
+  WHERE a.norm > 0 AND b.norm > 0 AND list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.95
+), reach AS (
+  SELECT vec_id AS node, vec_id AS c FROM embeddings WHERE vec_id IS NOT NULL
+  UNION SELECT l.b, r.c FROM reach r JOIN links l ON l.a = r.node
+)
+SELECT r.node AS vec_id, CAST(coalesce(d.n, 0) AS BIGINT) AS n_links, min(r.c) AS component_id,
+       min(r.c) = r.node AS kept
+FROM reach r LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a = r.node
+GROUP BY r.node, d.n
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_suffix_array_dedup": op4_suffix_array_dedup,
-    "op5_language_id": op5_language_id,
-    "op7_simhash_near_dedup": op7_simhash_near_dedup,
-    "op8_packing": op8_packing,
-    "op10_source_mixing": op10_source_mixing,
+    f.__name__: f for f in (
+        op1_preference_formatting, op2_nn_descent, op3_license_scan, op4_suffix_array_dedup, op5_language_id,
+        op6_embedding_lsh, op7_simhash_near_dedup, op8_packing, op9_toxicity_chain, op10_source_mixing)}
+ORACLE: dict[str, str] = {
+    "op1_preference_formatting": PREFERENCE_SQL,
+    "op6_embedding_lsh": LINKS_SQL,
+    "op10_source_mixing": MIX_SQL,
 }
-ORACLE: dict[str, str] = {"op10_source_mixing": MIX_SQL}
