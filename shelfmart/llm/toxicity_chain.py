@@ -38,28 +38,32 @@ SHAPES = 6
 _WORD, _UPPER, _DIGIT = re.compile(r"[^\W\d_]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"\d")
 
 
-class _WordFeatures(dict):
-    """Word -> hashed ids of the word and of its first letters, which stand for its stem."""
+class WordFeatures(dict):
+    """Word -> hashed ids of the word and of its first letters, which stand for its stem.
+
+    With ``kept``, only ids among these: most words then have none."""
+
+    def __init__(self, kept: frozenset[int] | None = None):
+        super().__init__()
+        self.kept = kept
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHE_WORDS:
             self.clear()
         names = [word] + [f"{n}^{word[:n]}" for n in STEM_LENGTHS if len(word) > n]
-        ids = self[word] = tuple(xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass"), 5) % BUCKETS for n in names)
+        ids = tuple(xxhash.xxh64_intdigest(n.encode("utf-8", "surrogatepass"), 5) % BUCKETS for n in names)
+        if self.kept is not None:
+            ids = tuple(i for i in ids if i in self.kept)
+        self[word] = ids
         return ids
 
 
-_FEATURES = _WordFeatures()
-
-
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+def features(text: str | None, known: WordFeatures) -> tuple[np.ndarray, np.ndarray]:
     """(sorted distinct feature ids, shape of the text)."""
     text = text or ""
     words = _WORD.findall(text.lower())
     distinct = set(words)
-    ids: set[int] = set()
-    for w in distinct:
-        ids.update(_FEATURES[w])
+    ids = set().union(*filter(None, map(known.__getitem__, distinct)))
     n = max(len(text), 1)
     letters = sum(map(len, words))
     shape = np.array([np.log1p(len(words)), letters / n, len(_UPPER.findall(text)) / n, len(_DIGIT.findall(text)) / n,
@@ -173,8 +177,9 @@ def fit_chain(docs: DataFrame, labels: DataFrame, categories: list[str], id_col:
     sample = known.filter(drawn)                                          # bounded by max_rows
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        known = WordFeatures()
         for b in batches:
-            both = [features(t) for t in b["text"]]
+            both = [features(t, known) for t in b["text"]]
             yield pd.DataFrame({**{c: b[c] for c in b.columns if c != "text"}, "ids": [i.tobytes() for i, _ in both],
                                 "dense": [s.tobytes() for _, s in both]})
 
@@ -210,16 +215,17 @@ def score(docs: DataFrame, chain: list[Link], threshold: float = 0.5, id_col: st
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         links = shared.value
+        known = WordFeatures(frozenset(i for link in links for i in link.ids.tolist()))
         for b in batches:
             out = np.full((len(b), len(links)), np.nan)
             for r, text in enumerate(b["text"]):
-                ids, shape = features(text)
+                ids, shape = features(text, known)
                 before: list[float] = []
                 for k, link in enumerate(links):
                     p = link.probability(ids, shape, before)
                     if p is not None:
                         before.append(p)
-                        out[r, k] = p if len(ids) else 0.0
+                        out[r, k] = p if shape[1] else 0.0
             yield pd.DataFrame({"doc_id": b["doc_id"], "no_id": b["no_id"],
                                 **{f"p{k}": out[:, k] for k in range(len(links))}})
 
