@@ -24,6 +24,18 @@ def null_ids(df: DataFrame) -> DataFrame:
     return df.withColumn("doc_id", F.when(~F.col("no_id"), F.col("doc_id"))).drop("no_id")
 
 
+def unused(df: DataFrame, *names: str) -> list[str]:
+    """The names, each with as many underscores in front as it takes to clash with no column."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
 class Stored:
     """An intermediate table in the shared folder, removed when its reader is done with it.
 

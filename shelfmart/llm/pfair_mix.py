@@ -24,6 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmart.llm.common import unused
 from shelfmart.operators.keys import cumulative_count
 
 MAX_SOURCES = 1000
@@ -143,9 +144,9 @@ def mixed_documents(docs: DataFrame, weights: Mapping[str, int] | None = None, d
 
     Rows with one id and source take the first position among them.
     """
+    doc, source, place = unused(docs, "_doc", "_source", "_position")
     order = mix(docs, weights, default_weight, block_rows, source_col, id_col).groupBy("doc_id", "source").agg(
-        F.min("position").alias("_position")).withColumnsRenamed({"doc_id": "_doc", "source": "_source"})
-    same = (F.col(id_col).cast("long").eqNullSafe(F.col("_doc"))
-            & F.col(source_col).cast("string").eqNullSafe(F.col("_source")))
-    return (docs.join(order, same).repartitionByRange("_position").sortWithinPartitions("_position")
-                .select(*docs.columns))
+        F.min("position").alias(place)).withColumnsRenamed({"doc_id": doc, "source": source})
+    same = (F.col(id_col).cast("long").eqNullSafe(F.col(doc))
+            & F.col(source_col).cast("string").eqNullSafe(F.col(source)))
+    return docs.join(order, same).repartitionByRange(place).sortWithinPartitions(place).select(*docs.columns)

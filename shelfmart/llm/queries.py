@@ -155,7 +155,7 @@ FROM pairs
 #: Every pair of vectors, for small tables.
 LINKS_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, [CAST(x AS DOUBLE) FOR x IN embedding] AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
 ), u AS (
   SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v
