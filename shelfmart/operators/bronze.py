@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmart.config import LOAD_MODES, SOURCE_KEY
-from shelfmart.functions.columns import col
+from shelfmart.functions.columns import col, parse_source_date
+
+ORDER_DAY, ORDER_YEAR = "_order_day", "_order_year"
 
 
 def check_load_mode(mode: str) -> str:
     if mode not in LOAD_MODES:
-        raise ValueError(f"Unsupported load mode: {mode}")
+        raise ValueError(f"{mode!r} is not a load mode; known are {', '.join(LOAD_MODES)}")
     return mode
 
 
+def load_mode_known(mode: Column) -> Column:
+    """B14 as data."""
+    return F.coalesce(mode.isin(*LOAD_MODES), F.lit(False))
+
+
+def with_order_day(extract: DataFrame) -> DataFrame:
+    """The landed text rows with their typed order date and its year, by which the stored
+    table is partitioned so that date windows prune files and row groups."""
+    day = parse_source_date(col("Order Date"))
+    return extract.withColumn(ORDER_DAY, day).withColumn(ORDER_YEAR, F.year(day))
+
+
 def dedup_by_key(df: DataFrame, key: str = SOURCE_KEY) -> DataFrame:
     """One row per key: the greatest full row (columns compared in order, null lowest).
 
@@ -48,6 +62,5 @@ def apply_load(existing: DataFrame | None, incoming: DataFrame, mode: str,
     fresh = incoming if deduplicated else dedup_by_key(incoming, key)
     if mode in ("full", "snapshot") or existing is None:
         return fresh
-    kept = existing.join(incoming.select(col(key).alias("_k")).distinct(),
-                         col(key) == F.col("_k"), "left_anti")
+    kept = existing.join(fresh.select(col(key).alias("_k")), col(key) == F.col("_k"), "left_anti")
     return kept.unionByName(fresh, allowMissingColumns=True)

@@ -53,14 +53,6 @@ def cdc_events(existing: DataFrame, incoming: DataFrame, run_id: str, detected_a
                      F.lit(detected_at).cast("timestamp_ntz").alias("detected_at"))
 
 
-def new_events(log: DataFrame | None, events: DataFrame) -> DataFrame:
-    """Events not yet logged for (run_id, row_id, operation): makes the append idempotent."""
-    if log is None:
-        return events
-    return events.join(log.select("run_id", "row_id", "operation"),
-                       ["run_id", "row_id", "operation"], "left_anti")
-
-
 def summary(events: DataFrame) -> DataFrame:
     return events.groupBy("operation").agg(F.count(F.lit(1)).alias("events"))
 

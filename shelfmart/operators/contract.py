@@ -16,7 +16,7 @@ def check_columns(columns: Iterable[str], required: Iterable[str] = REQUIRED_SOU
     """B1: fail before any action when required columns are missing (extras allowed)."""
     missing = sorted(set(required).difference(columns))
     if missing:
-        raise ContractError("Source schema validation failed; missing columns: " + ", ".join(missing))
+        raise ContractError(f"the extract lacks {len(missing)} required column(s): {', '.join(missing)}")
 
 
 def check(df: DataFrame, required: Iterable[str] = REQUIRED_SOURCE_COLUMNS) -> DataFrame:
@@ -53,7 +53,8 @@ def drift_history(observations: DataFrame) -> DataFrame:
     A change is logged only when a previous hash exists and differs; the version starts
     at 1 and increments on every change.
     """
-    w = Window.partitionBy("source_name").orderBy("observed_at")
+    order = ["observed_at", "run_id"] if "run_id" in observations.columns else ["observed_at"]
+    w = Window.partitionBy("source_name").orderBy(*order)
     h = with_schema_hash(observations)
     prev = F.lag("schema_hash").over(w)
     changed = prev.isNotNull() & (prev != F.col("schema_hash"))
@@ -63,10 +64,10 @@ def drift_history(observations: DataFrame) -> DataFrame:
                              w.rowsBetween(Window.unboundedPreceding, Window.currentRow))).cast("int")))
 
 
-def drift_events(history: DataFrame, run_ids: DataFrame | None = None) -> DataFrame:
-    """One change row per detected drift (source_name, previous_hash, new_hash, detected_at)."""
+def drift_events(history: DataFrame) -> DataFrame:
+    """One change row per detected drift."""
     return history.filter("changed").select(
-        "source_name", "previous_hash", F.col("schema_hash").alias("new_hash"),
+        "source_name", "run_id", "previous_hash", F.col("schema_hash").alias("new_hash"),
         F.col("observed_at").alias("detected_at"))
 
 

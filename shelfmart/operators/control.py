@@ -51,22 +51,24 @@ def overlap_start(watermark_date, overlap_days: int = DEFAULT_OVERLAP_DAYS):
     return F.date_sub(watermark_date, overlap_days)
 
 
-def window_bounds(mode: str, replay: bool, start: str | None, end: str | None,
-                  watermark_date, overlap_days: int = DEFAULT_OVERLAP_DAYS):
-    """(start, end) columns for a run: explicit bounds win; append/upsert without a start
-    and not replaying use watermark - overlap."""
-    s = F.lit(start).cast("date") if start is not None else None
-    if s is None and mode in ("append", "upsert") and not replay:
-        s = overlap_start(watermark_date, overlap_days)
-    e = F.lit(end).cast("date") if end is not None else None
-    return s, e
-
-
 def is_noop(window_rows: int, mode: str, replay: bool) -> bool:
     """C4: an incremental, non-replay run whose window is empty changes nothing downstream."""
     return window_rows == 0 and mode in ("append", "upsert") and not replay
 
 
+def noop_decisions(runs: DataFrame) -> DataFrame:
+    """C4 as data over runs (run_id, mode, replay, window_rows): adds ``noop``."""
+    decided = (F.col("window_rows") == 0) & F.col("mode").isin("append", "upsert") & ~F.col("replay")
+    return runs.withColumn("noop", F.coalesce(decided, F.lit(False)))
+
+
+def rebuild_scopes(runs: DataFrame) -> DataFrame:
+    """C6 as data over runs (run_id, mode, start_date, end_date): the dates that silver is rebuilt for."""
+    kept = ~F.col("mode").isin("append", "upsert")
+    return runs.select("run_id", "mode", F.when(kept, F.col("start_date")).alias("rebuild_start"),
+                       F.when(kept, F.col("end_date")).alias("rebuild_end"))
+
+
 def rebuild_bounds(mode: str, start: str | None, end: str | None) -> tuple[str | None, str | None]:
     """append/upsert rebuild silver from all of bronze; full/snapshot keep the window."""
     return (None, None) if mode in ("append", "upsert") else (start, end)

@@ -44,6 +44,23 @@ def dim_location(silver: DataFrame) -> DataFrame:
         "location_id", *LOCATION_COLUMNS)
 
 
+def keep_keys(current: DataFrame, fresh: DataFrame, business: list[str], key: str) -> DataFrame:
+    """``fresh`` with the surrogate keys of ``current``: known members keep theirs, new ones
+    are numbered after the largest, and members only ``current`` knows stay as they are.
+
+    A replay that rewrites some years uses it, so that the keys in all others stay valid."""
+    same = F.lit(True)
+    for c in business:
+        same = same & F.col(f"f.{c}").eqNullSafe(F.col(f"c.{c}"))
+    known = current.select(key, *business)
+    joined = fresh.drop(key).alias("f").join(known.alias("c"), same, "left").select(
+        *[F.col(f"f.{c}").alias(c) for c in fresh.columns if c != key], F.col(f"c.{key}").alias(key))
+    top = current.agg(F.max(key)).first()[0] or 0
+    new = dense_key(joined.filter(F.col(key).isNull()).drop(key), business, key, offset=top)
+    gone = current.alias("f").join(fresh.select(*business).alias("c"), same, "left_anti")
+    return (joined.filter(F.col(key).isNotNull()).unionByName(new).unionByName(gone).select(*fresh.columns))
+
+
 def dim_date(silver: DataFrame) -> DataFrame:
     days = (silver.select(F.col("order_date").alias("date_key"))
                   .union(silver.select(F.col("ship_date").alias("date_key")))

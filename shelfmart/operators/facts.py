@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfmart.config import LOCATION_COLUMNS
@@ -102,14 +102,37 @@ def fk_violations(fact: DataFrame, customers: DataFrame, scd2: DataFrame, produc
         ("order_date", dates, "date_key"),
         ("ship_date", dates, "date_key"),
     ]
-    out = None
+    names = [fk for fk, _, _ in checks]
+    # one scan of the fact: its rows collapse to (foreign key, value, rows) on the map side
+    pairs = F.explode(F.array(*[F.struct(F.lit(fk).alias("foreign_key"), F.col(fk).cast("string").alias("value"))
+                                for fk in names]))
+    used = (fact.select(pairs.alias("p")).select("p.*").filter(F.col("value").isNotNull())
+                .groupBy("foreign_key", "value").agg(F.count(F.lit(1)).alias("rows")))
+    held = None
     for fk, parent, pk in checks:
-        keys = parent.select(F.col(pk).alias("_pk")).distinct()
-        orphans = (fact.select(F.col(fk).alias("_fk")).filter(F.col("_fk").isNotNull())
-                       .join(keys, F.col("_fk") == F.col("_pk"), "left_anti"))
-        row = orphans.agg(F.lit(fk).alias("foreign_key"), F.count(F.lit(1)).alias("orphan_rows"))
-        out = row if out is None else out.unionByName(row)
-    return out
+        keys = parent.select(F.lit(fk).alias("foreign_key"), F.col(pk).cast("string").alias("value"))
+        held = keys if held is None else held.unionByName(keys)
+    orphans = used.join(held, ["foreign_key", "value"], "left_anti").groupBy("foreign_key").agg(
+        F.sum("rows").alias("rows"))
+    every = fact.sparkSession.range(1).select(F.explode(F.array(*[F.lit(n) for n in names])).alias("foreign_key"))
+    return every.join(orphans, "foreign_key", "left").select(
+        "foreign_key", F.coalesce("rows", F.lit(0)).cast("long").alias("orphan_rows"))
+
+
+def years_touched(day: Column, start: str | None, end: str | None, more: list[int] = ()) -> Column:
+    """True for dates in a year that the window [start, end] reaches, or in one of ``more``."""
+    year = F.year(day)
+    inside = F.lit(True)
+    if start is not None:
+        inside = inside & (year >= int(start[:4]))
+    if end is not None:
+        inside = inside & (year <= int(end[:4]))
+    return F.coalesce(inside | year.isin(list(more)) if more else inside, F.lit(True))
+
+
+def replace_years(current: DataFrame, fresh: DataFrame, touched: Column) -> DataFrame:
+    """``current`` with its touched years replaced by those of ``fresh``."""
+    return current.filter(~touched).select(*fresh.columns).unionByName(fresh.filter(touched))
 
 
 def reconcile_fact_daily(fact: DataFrame, daily: DataFrame, tol: float) -> DataFrame:
@@ -125,7 +148,3 @@ def reconcile_fact_daily(fact: DataFrame, daily: DataFrame, tol: float) -> DataF
               (F.coalesce("fact_quantity", z) == F.coalesce("daily_quantity", z)) &
               (F.col("fact_rows") == F.col("daily_rows")))
     return side_by_side(f, d).withColumn("passed", F.coalesce(passed, F.lit(False)))
-
-
-def null_location_rows(fact: DataFrame) -> DataFrame:
-    return fact.agg(count_if(F.col("location_id").isNull()).alias("null_locations"))

@@ -13,6 +13,7 @@ from shelfmart.config import (
 )
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
 from shelfmart.functions.columns import col, count_if, parse_source_date, side_by_side
+from shelfmart.operators.bronze import ORDER_DAY, ORDER_YEAR
 
 
 @dataclass(frozen=True)
@@ -45,13 +46,30 @@ def profile_long(metrics: DataFrame, run_id: str) -> DataFrame:
 
 # ---- V8-V10 row selection shared by silver, the source-window count and reconcile -----
 
-def _window_filter(df: DataFrame, order_date: Column, start: str | None, end: str | None) -> DataFrame:
-    # Only set bounds become predicates; a null date drops once any bound is set.
+def _window_filter(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Only set bounds become predicates; a null date drops once any bound is set. A table
+    stored with its typed order day is pruned by year partition and by day statistics."""
+    typed_day = ORDER_DAY in df.columns
+    day = F.col(ORDER_DAY) if typed_day else parse_source_date(col("Order Date"))
+    for bound, at_least in ((start, True), (end, False)):
+        if bound is None:
+            continue
+        limit = F.lit(bound).cast("date")
+        df = df.filter(day >= limit if at_least else day <= limit)
+        if typed_day and ORDER_YEAR in df.columns:
+            year = F.lit(int(bound[:4]))
+            df = df.filter(F.col(ORDER_YEAR) >= year if at_least else F.col(ORDER_YEAR) <= year)
+    return df
+
+
+def in_window(day: Column, start: str | None, end: str | None) -> Column:
+    """The window's condition on a typed date (null for a null date once a bound is set)."""
+    inside = F.lit(True)
     if start is not None:
-        df = df.filter(order_date >= F.lit(start).cast("date"))
+        inside = inside & (day >= F.lit(start).cast("date"))
     if end is not None:
-        df = df.filter(order_date <= F.lit(end).cast("date"))
-    return df
+        inside = inside & (day <= F.lit(end).cast("date"))
+    return inside
 
 
 def selectable(bronze: DataFrame, run_id: str | None = None, deletions: DataFrame | None = None,
@@ -62,7 +80,7 @@ def selectable(bronze: DataFrame, run_id: str | None = None, deletions: DataFram
     if deletions is not None and run_id is not None:
         gone = deletions.filter(F.col("run_id") == F.lit(run_id)).select(F.col("row_id").alias("_gone"))
         df = df.join(gone, col(key).cast("string") == F.col("_gone"), "left_anti")
-    return _window_filter(df, parse_source_date(col("Order Date")), start, end)
+    return _window_filter(df, start, end)
 
 
 def window_count(bronze: DataFrame, run_id: str | None = None, deletions: DataFrame | None = None,
@@ -149,7 +167,7 @@ def assert_reconciled(recon: DataFrame) -> tuple[int, int]:
     r = recon.first()
     if not r["passed"]:
         raise ReconciliationError(
-            f"Bronze/Silver reconciliation failed: bronze={r['bronze_rows']}, silver={r['silver_rows']}")
+            f"silver holds {r['silver_rows']} rows where bronze has {r['bronze_rows']} to keep")
     return r["bronze_rows"], r["silver_rows"]
 
 

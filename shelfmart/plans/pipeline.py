@@ -1,21 +1,23 @@
 """End-to-end run: source -> bronze -> silver -> gold -> validation -> control state.
 
-Tables are versioned Parquet directories (``sources.store``): a run stages new
-versions and switches pointers only after the checks they depend on passed, so a
-failed run leaves the published warehouse untouched. Control state (runs, watermarks,
-CDC log, deletions, schema registry, profile, quality and reconciliation results)
-are append-only logs. The driver only ever sees counts and the 4-row rule result.
+Every table a run makes is staged beside the live version; one write of the warehouse
+manifest publishes them together after all checks passed. A failed or stopped run leaves
+every published table as it was. Logs hold one part per run, which a repeated run
+replaces, and a repeated run starts from the versions its first attempt started from, so
+running twice under one run id gives the state of running once. The driver only sees
+counts, the rule results and the years a replay touches.
 """
 
 from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field, replace
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmart.config import DEFAULT_OVERLAP_DAYS, SOURCE_KEY
+from shelfmart.config import DEFAULT_OVERLAP_DAYS, LOCATION_COLUMNS, RECON_TOLERANCE, SOURCE_KEY
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
 from shelfmart.functions.columns import col
 from shelfmart.operators import bronze as bronze_ops
@@ -66,7 +68,8 @@ def _ledger_event(spark: SparkSession, cfg: PipelineConfig, status: str, at: str
     row = [(cfg.run_id, cfg.pipeline_name, status, bronze, silver, gold, error)]
     df = spark.createDataFrame(row, "run_id string, pipeline_name string, status string, bronze_rows long, "
                                     "silver_rows long, gold_rows long, error_message string")
-    store.append_log(df.withColumn("event_at", F.lit(at).cast("timestamp_ntz")), cfg.log("pipeline_runs"))
+    store.write_log(df.withColumn("event_at", F.lit(at).cast("timestamp_ntz")), cfg.log("pipeline_runs"),
+                    f"{cfg.run_id}.{'started' if status == 'STARTED' else 'ended'}")
 
 
 def run_ledger(spark: SparkSession, root: str) -> DataFrame | None:
@@ -82,18 +85,18 @@ def current_watermark(spark: SparkSession, cfg: PipelineConfig):
     return None if r is None else r["watermark_date"]
 
 
-def _observe_schema(spark: SparkSession, cfg: PipelineConfig, columns: list[str]) -> DataFrame:
-    """Log this observation, return this run's drift events (possibly empty)."""
+def _observe_schema(spark: SparkSession, cfg: PipelineConfig, columns: list[str]) -> None:
+    """Log this run's header and its drift events, and store the registry."""
     obs = spark.createDataFrame([(cfg.source_name, contract.schema_text(columns))],
                                 "source_name string, columns string").withColumn(
         "observed_at", F.lit(cfg.now).cast("timestamp_ntz")).withColumn("run_id", F.lit(cfg.run_id))
-    store.append_log(obs, cfg.log("source_schema_observations"))
-    hist = contract.drift_history(store.read_log(spark, cfg.log("source_schema_observations")))
-    events = hist.filter(F.col("changed") & (F.col("run_id") == cfg.run_id)).select(
-        "source_name", "run_id", "previous_hash", F.col("schema_hash").alias("new_hash"),
-        F.col("observed_at").alias("detected_at"))
-    store.append_log(events, cfg.log("source_schema_changes"))
-    return events
+    log = cfg.log("source_schema_observations")
+    store.write_log(obs, log, cfg.run_id)
+    history = contract.drift_history(store.read_log(spark, log))
+    store.write_log(contract.drift_events(history).filter(F.col("run_id") == cfg.run_id),
+                    cfg.log("source_schema_changes"), cfg.run_id)
+    store.write_log(contract.registry(history).filter(F.col("source_name") == cfg.source_name),
+                    cfg.log("source_schema_registry"), cfg.source_name)
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
@@ -104,7 +107,7 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
     if cfg.load_mode in ("append", "upsert") and not cfg.replay and start is None:
         wm = current_watermark(spark, cfg)
         if wm is not None:
-            start = spark.range(1).select(control.overlap_start(F.lit(wm), cfg.overlap_days)).first()[0].isoformat()
+            start = (wm - timedelta(days=cfg.overlap_days)).isoformat()        # C3
     _ledger_event(spark, cfg, "STARTED", cfg.now)
     try:
         return _run(spark, cfg, start, end)
@@ -113,8 +116,31 @@ def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
         raise
 
 
+class _Stage:
+    """The tables of one run: reads what was live before it, stages new versions."""
+
+    def __init__(self, spark: SparkSession, cfg: PipelineConfig):
+        self.spark, self.cfg = spark, cfg
+        self.base = store.base_versions(spark, cfg.root, cfg.run_id)
+        self.versions: dict[str, int] = {}
+
+    def before(self, layer: str, name: str) -> DataFrame | None:
+        v = self.base.get(f"{layer}/{name}")
+        return None if v is None else self.spark.read.parquet(f"{self.cfg.table(layer, name)}/v={v}")
+
+    def put(self, layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+        t = self.cfg.table(layer, name)
+        v = self.versions[f"{layer}/{name}"] = store.stage(df, t, partition_by)
+        return self.spark.read.parquet(f"{t}/v={v}")
+
+    def publish(self) -> None:
+        store.publish_all(self.spark, self.cfg.root, self.cfg.run_id, self.versions)
+
+
 def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str | None) -> RunResult:
-    mode = cfg.load_mode
+    mode, stage = cfg.load_mode, _Stage(spark, cfg)
+    log = lambda df, name: store.write_log(df, cfg.log(name), cfg.run_id)
+    at = lambda name: F.lit(cfg.now).cast("timestamp_ntz").alias(name)
     # ---- bronze ------------------------------------------------------------------------------
     extract, _fp = files.guarded_read(spark, cfg.source_path,                 # S1, S2, B1
                                       cfg.table("bronze", f"sales_stage/run={cfg.run_id}"), cfg.deep_fingerprint)
@@ -123,24 +149,28 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
         raise KeyIntegrityError(f"source rows with a null {SOURCE_KEY!r} cannot be keyed")
     bronze_rows = extract.count()
     if mode == "snapshot":                                              # S4
-        store.append_log(bronze_ops.snapshot_rows(extract, cfg.run_id, cfg.now),
-                         cfg.table("bronze", "sales_snapshots"))
-    bronze_table = cfg.table("bronze", "sales")
-    existing = store.read_current(spark, bronze_table)
-    base = existing if existing is not None else spark.createDataFrame([], extract.schema)
-    events = cdc.cdc_events(base, extract, cfg.run_id, cfg.now, mode)   # B4-B7
-    log = store.read_log(spark, cfg.log("cdc_events"))
-    store.append_log(cdc.new_events(log, events), cfg.log("cdc_events"))
-    deletions = cdc.deleted_keys(base, extract, cfg.run_id, cfg.now, mode)   # B8 (keys only)
-    store.append_log(deletions, cfg.log("source_deletions"))
-    store.publish(bronze_ops.apply_load(existing, extract, mode), bronze_table)   # B9-B12
-    bronze = store.read_current(spark, bronze_table)
-    all_deletions = store.read_log(spark, cfg.log("source_deletions"))
+        store.write_log(bronze_ops.snapshot_rows(extract, cfg.run_id, cfg.now),
+                        cfg.table("bronze", "sales_snapshots"), cfg.run_id)
+    # the delivery is deduplicated once; events and the new state both read that copy
+    delivered = cfg.table("bronze", f"sales_delivery/run={cfg.run_id}")
+    bronze_ops.dedup_by_key(extract).write.mode("overwrite").parquet(delivered)      # B13
+    delivery = spark.read.parquet(delivered)
+    stored = stage.before("bronze", "sales")
+    existing = None if stored is None else stored.drop(bronze_ops.ORDER_DAY, bronze_ops.ORDER_YEAR)
+    base = existing if existing is not None else spark.createDataFrame([], delivery.schema)
+    log(cdc.cdc_events(base, delivery, cfg.run_id, cfg.now, mode, deduplicated=True), "cdc_events")   # B4-B7
+    own_events = store.read_log(spark, cfg.log("cdc_events")).filter(F.col("run_id") == cfg.run_id)
+    log(cdc.source_deletions(own_events, mode), "source_deletions")         # B8
+    state = bronze_ops.apply_load(existing, delivery, mode, deduplicated=True)      # B9-B12
+    bronze = stage.put("bronze", "sales", bronze_ops.with_order_day(state).sortWithinPartitions(
+        bronze_ops.ORDER_YEAR, bronze_ops.ORDER_DAY), [bronze_ops.ORDER_YEAR])
+    deletions = store.read_log(spark, cfg.log("source_deletions"))
 
     # ---- NOOP decision (C4) -------------------------------------------------------------------
-    window_rows = silver_ops.window_count(bronze, cfg.run_id, all_deletions, start, end).first()["source_rows"]
+    window_rows = silver_ops.window_count(bronze, cfg.run_id, deletions, start, end).first()["source_rows"]
     if control.is_noop(window_rows, mode, cfg.replay):
-        fact = store.read_current(spark, cfg.table("gold", "fact_sales"))
+        stage.publish()                                                 # the new bronze alone
+        fact = stage.before("gold", "fact_sales")
         gold_rows = 0 if fact is None else fact.count()
         _ledger_event(spark, cfg, "NOOP", cfg.now, bronze_rows, 0, gold_rows)
         return RunResult(cfg.run_id, "NOOP", bronze_rows, 0, gold_rows)
@@ -148,88 +178,88 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     # ---- silver ------------------------------------------------------------------------------
     s_start, s_end = control.rebuild_bounds(mode, start, end)           # C6
     ctx = RunContext(cfg.run_id, cfg.now, cfg.source_name, s_start, s_end)
-    metrics = silver_ops.profile(bronze)                                # V1, V2
-    store.append_log(silver_ops.profile_long(metrics, cfg.run_id).withColumn(
-        "profiled_at", F.lit(cfg.now).cast("timestamp_ntz")), cfg.log("data_profile_results"))
-    silver_table = cfg.table("silver", "sales")
-    sv = store.stage(silver_ops.clean(bronze, ctx, all_deletions), silver_table)
-    silver = spark.read.parquet(f"{silver_table}/v={sv}")
-    silver_ops.assert_keys(silver_ops.key_violations(silver, "silver", ["row_id"]))    # V15
-    _, s_rows = silver_ops.assert_reconciled(                                    # V13
-        silver_ops.reconcile_bronze_silver(bronze, silver, ctx, all_deletions))
-    store.commit(spark, silver_table, sv)
-    store.append_log(silver_ops.quarantine(silver), cfg.table("quarantine", "sales_invalid"))   # V11
+    log(silver_ops.profile_long(silver_ops.profile(extract), cfg.run_id).withColumn("profiled_at", at("x")),   # V1, V2
+        "data_profile_results")
+    built = stage.put("silver", "sales_window", silver_ops.clean(bronze, ctx, deletions))
+    silver_ops.assert_reconciled(silver_ops.reconcile_bronze_silver(bronze, built, ctx, deletions))     # V13
+    old_silver = stage.before("silver", "sales")
+    # a replay of a window keeps every row outside it
+    partial = cfg.replay and old_silver is not None and (s_start is not None or s_end is not None)
+    moved: list[int] = []
+    if partial:
+        outside = ~F.coalesce(silver_ops.in_window(F.col("order_date"), s_start, s_end), F.lit(False))
+        rest = old_silver.filter(outside)
+        moved = [r[0] for r in rest.join(built.select("row_id"), "row_id", "left_semi")
+                 .select(F.year("order_date")).filter("order_date is not null").distinct().collect()]   # years
+        built = rest.join(built.select("row_id"), "row_id", "left_anti").unionByName(built)
+    silver = stage.put("silver", "sales", built)
+    s_rows = silver.count()
+    store.write_log(silver_ops.quarantine(silver), cfg.table("quarantine", "sales_invalid"), cfg.run_id)      # V11
 
     # ---- gold (staged, published after validation) -----------------------------------------------
-    staged: dict[str, int] = {}
-
-    def stage(name: str, df: DataFrame, partition_by=None) -> DataFrame:
-        t = cfg.table("gold", name)
-        staged[name] = store.stage(df, t, partition_by)
-        return spark.read.parquet(f"{t}/v={staged[name]}")
+    def dimension(name: str, df: DataFrame, business: list[str], key: str) -> DataFrame:
+        old = stage.before("gold", name) if partial else None
+        return stage.put("gold", name, df if old is None else dims.keep_keys(old, df, business, key))
 
     # independent tables are written concurrently (their small jobs overlap)
-    customers, products, locations, dates, _ = run_concurrently([
-        lambda: stage("dim_customers", dims.dim_customers(silver)),
-        lambda: stage("dim_products", dims.dim_products(silver)),
-        lambda: stage("dim_location", dims.dim_location(silver)),
-        lambda: stage("dim_date", dims.dim_date(silver)),
-        lambda: stage("fact_order_fulfillment", facts.order_fulfillment(silver)),
+    customers, products, locations, dates, fulfillment = run_concurrently([
+        lambda: dimension("dim_customers", dims.dim_customers(silver), ["customer_id"], "customer_key"),
+        lambda: dimension("dim_products", dims.dim_products(silver), ["product_id"], "product_key"),
+        lambda: dimension("dim_location", dims.dim_location(silver), LOCATION_COLUMNS, "location_id"),
+        lambda: stage.put("gold", "dim_date", dims.dim_date(silver)),
+        lambda: stage.put("gold", "fact_order_fulfillment", facts.order_fulfillment(silver)),
     ])
-    history = store.read_current(spark, cfg.table("gold", "dim_customers_scd2"))
     snap = customers.select("customer_id", "customer_name", "segment", "ingested_at")
-    scd2 = stage("dim_customers_scd2", dims.scd2_merge(history, snap))
-    fact_df = facts.with_order_year(facts.fact_sales(silver, customers, products, locations,
-                                                     dims.scd2_current_keys(scd2)))
-    fact = stage("fact_sales", fact_df, ["order_year"]).select(*facts.FACT_COLUMNS)
-    daily = stage("sales_daily", facts.sales_daily(fact))
-    stage("sales_monthly", facts.sales_monthly(daily))
-    recon = facts.reconcile_fact_daily(fact, daily, 0.000001).first()                     # Q1
+    scd2 = stage.put("gold", "dim_customers_scd2",
+                     dims.scd2_merge(stage.before("gold", "dim_customers_scd2"), snap))
+
+    def years(name: str, fresh: DataFrame, day: str) -> DataFrame:
+        """``fresh`` in full, or in a replay its touched years beside the others as they were."""
+        old = stage.before("gold", name) if partial else None
+        if old is None:
+            return fresh
+        return facts.replace_years(old, fresh, facts.years_touched(F.col(day), s_start, s_end, moved))
+
+    touched = silver.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else silver
+    fresh_fact = facts.fact_sales(touched, customers, products, locations, dims.scd2_current_keys(scd2))
+    fact = stage.put("gold", "fact_sales", facts.with_order_year(years("fact_sales", fresh_fact, "order_date")),
+                     ["order_year"]).select(*facts.FACT_COLUMNS)          # S7, S8
+    in_touched = fact.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else fact
+    daily = stage.put("gold", "sales_daily", years("sales_daily", facts.sales_daily(in_touched), "order_date"))
+    fresh_daily = daily.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else daily
+    stage.put("gold", "sales_monthly", years("sales_monthly", facts.sales_monthly(fresh_daily), "month_key"))
+
+    # ---- validation (V15, F9, Q1-Q9) -----------------------------------------------------------------
+    silver_ops.assert_keys(quality.key_report({
+        "silver": silver, "dim_customers": customers, "dim_products": products, "dim_location": locations,
+        "dim_date": dates, "fact_sales": fact, "fact_order_fulfillment": fulfillment}))
+    recon = facts.reconcile_fact_daily(fact, daily, RECON_TOLERANCE).first()
     if not recon["passed"]:
-        raise ReconciliationError("Fact/serving reconciliation failed")
-    orphans = facts.fk_violations(fact, customers, scd2, products, locations, dates)      # F9
+        raise ReconciliationError(f"run {cfg.run_id}: the daily rollup does not add up to the fact: {recon.asDict()}")
+    orphans = facts.fk_violations(fact, customers, scd2, products, locations, dates)
     bad_fk = orphans.filter(F.col("orphan_rows") > 0).collect()
     if bad_fk:
         raise KeyIntegrityError("foreign keys without parent: " + ", ".join(r["foreign_key"] for r in bad_fk))
     gold_rows = fact.count()
-
-    # ---- validation (Q2-Q9) ------------------------------------------------------------------------
-    results = quality.quality_results(quality.rule_checks(silver, fact), cfg.run_id, cfg.now).cache()
-    store.append_log(results, cfg.log("data_quality_results"))
-    quality.rule_catalogue(spark).withColumn("updated_at", F.lit(cfg.now).cast("timestamp_ntz")) \
-        .write.mode("overwrite").parquet(cfg.log("data_contract_rules"))
-    store.append_log(quality.reconciliation_row(silver, fact, cfg.run_id).withColumn(
-        "checked_at", F.lit(cfg.now).cast("timestamp_ntz")), cfg.log("reconciliation_results"))
+    log(quality.quality_results(quality.rule_checks(silver, fact), cfg.run_id, cfg.now), "data_quality_results")
+    results = store.read_log(spark, cfg.log("data_quality_results")).filter(F.col("run_id") == cfg.run_id)
+    quality.rule_catalogue(spark).withColumn("updated_at", at("x")).write.mode("overwrite").parquet(
+        cfg.log("data_contract_rules"))
+    log(quality.reconciliation_row(silver, fact, cfg.run_id).withColumn("checked_at", at("x")),
+        "reconciliation_results")
     failed = quality.enforce(results, cfg.failure_mode)                 # raises under STOP
-    results.unpersist()
 
-    # ---- publish gold, watermark, ledger ------------------------------------------------------------
-    for name, v in staged.items():
-        store.commit(spark, cfg.table("gold", name), v)
+    # ---- publish all tables, watermark, ledger --------------------------------------------------------
+    stage.publish()
     if not cfg.replay:                                                   # C2
         max_date = silver.agg(F.max("order_date")).first()[0]
         if max_date is not None:
             prop = spark.createDataFrame([(cfg.pipeline_name, max_date, False)],
                                          "pipeline_name string, watermark_date date, replay boolean") \
-                .withColumn("updated_at", F.lit(cfg.now).cast("timestamp_ntz"))
-            cur_log = store.read_log(spark, cfg.log("pipeline_watermarks"))
-            cur = None if cur_log is None else control.watermark(cur_log)
-            store.append_log(control.advance(cur, prop), cfg.log("pipeline_watermarks"))
+                .withColumn("updated_at", at("x"))
+            marks = store.read_log(spark, cfg.log("pipeline_watermarks"))
+            current = None if marks is None else control.watermark(marks.filter(F.col("written_by") != cfg.run_id))
+            log(control.advance(current, prop).withColumn("written_by", F.lit(cfg.run_id)), "pipeline_watermarks")
     _ledger_event(spark, cfg, "SUCCESS", cfg.now, bronze_rows, s_rows, gold_rows)
     LOGGER.info("run %s: bronze=%s silver=%s gold=%s", cfg.run_id, bronze_rows, s_rows, gold_rows)
     return RunResult(cfg.run_id, "SUCCESS", bronze_rows, s_rows, gold_rows, failed)
-
-
-def replay_fact_years(spark: SparkSession, root: str, silver: DataFrame, start: str, end: str) -> None:
-    """S8 + C5: recompute the fact for a replay window and rewrite only the touched
-    order-year partitions of the current fact version (dynamic partition overwrite)."""
-    gold = lambda n: store.read_current(spark, f"{root.rstrip('/')}/gold/{n}")
-    fact_path = store.current_path(spark, f"{root.rstrip('/')}/gold/fact_sales")
-    window = silver.filter(F.col("order_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    years = window.select(F.year("order_date").alias("y")).distinct()
-    touched = silver.filter(F.year("order_date").isin([r["y"] for r in years.collect()]))
-    fresh = facts.with_order_year(facts.fact_sales(
-        touched, gold("dim_customers"), gold("dim_products"), gold("dim_location"),
-        dims.scd2_current_keys(gold("dim_customers_scd2"))))
-    store.replace_partitions(fresh, fact_path, ["order_year"])
-

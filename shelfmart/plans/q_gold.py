@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from shelfmart.config import QUALITY_RULE_VERSION, QUALITY_RULES, RECON_TOLERANCE, REQUIRED_SOURCE_COLUMNS, SOURCE_COLUMNS
 from shelfmart.functions.columns import col, round2
+from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.keys import dense_key
@@ -200,10 +201,7 @@ def fk_violations(w: Warehouse) -> DataFrame:
     return facts.fk_violations(w.fact, w.dim_customers, w.scd2, w.dim_products, w.dim_location, w.dim_date)
 
 
-_KEYS = [("silver", ["row_id"]), ("dim_customers", ["customer_key"]), ("dim_customers", ["customer_id"]),
-         ("dim_products", ["product_key"]), ("dim_products", ["product_id"]), ("dim_location", ["location_id"]),
-         ("dim_date", ["date_key"]), ("fact_sales", ["row_id", "order_date"]),
-         ("fact_order_fulfillment", ["order_id"])]
+_KEYS = quality.TABLE_KEYS
 _KEY_CTE = {"silver": "silver", "dim_customers": "dim_customers", "dim_products": "dim_products",
             "dim_location": "dim_location", "dim_date": "dim_date", "fact_sales": "fact",
             "fact_order_fulfillment": "fulfillment"}
@@ -221,11 +219,7 @@ def key_violations(w: Warehouse) -> DataFrame:
     frames = {"silver": w.silver, "dim_customers": w.dim_customers, "dim_products": w.dim_products,
               "dim_location": w.dim_location, "dim_date": w.dim_date, "fact_sales": w.fact,
               "fact_order_fulfillment": w.fulfillment}
-    out = None
-    for t, k in _KEYS:
-        r = silver_ops.key_violations(frames[t], t, k)
-        out = r if out is None else out.unionByName(r)
-    return out
+    return quality.key_report(frames)
 
 
 # ---- quality and reconciliation (Q1-Q11) ---------------------------------------------------------------
@@ -394,6 +388,84 @@ def replay_window(w: Warehouse) -> DataFrame:
 
 
 
+# ---- replay of a year (S8, C5), run decisions (B14, C4, C6, Q9) ---------------------------------------
+REPLAYED_YEAR = 1996
+
+CTES.update({
+    "modes": (["runs"], """
+      SELECT run_id, run_seq, CASE run_seq % 6 WHEN 0 THEN 'full' WHEN 1 THEN 'append' WHEN 2 THEN 'upsert'
+               WHEN 3 THEN 'snapshot' WHEN 4 THEN 'merge' END AS mode,
+             run_seq % 5 = 0 AS replay, month AS start_date, last_day(month) AS end_date,
+             CASE WHEN run_seq % 7 = 0 THEN 0 ELSE silver_rows END AS window_rows FROM runs"""),
+})
+
+
+def _mode_runs(w: Warehouse) -> DataFrame:
+    """The monthly deliveries with the mode each is asked to load in (one of them unknown, one
+    missing), its window, and the rows in it (every seventh delivery came without any)."""
+    seq = F.col("run_seq")
+    mode = (F.when(seq % 6 == 0, "full").when(seq % 6 == 1, "append").when(seq % 6 == 2, "upsert")
+             .when(seq % 6 == 3, "snapshot").when(seq % 6 == 4, "merge"))
+    return _runs(w).select("run_id", "run_seq", mode.alias("mode"), (seq % 5 == 0).alias("replay"),
+                           F.col("month").alias("start_date"), F.last_day("month").alias("end_date"),
+                           F.when(seq % 7 == 0, F.lit(0)).otherwise(F.col("silver_rows")).alias("window_rows"))
+
+
+@query("fact_partition_overwrite", build(f"""
+    SELECT * REPLACE ({_dbl('sales', 'discount', 'profit')}, CASE WHEN year(order_date) = {REPLAYED_YEAR}
+                      THEN quantity + 1 ELSE quantity END AS quantity)
+    FROM fact WHERE year(order_date) IS DISTINCT FROM {REPLAYED_YEAR} OR row_id % 11 <> 0""", "fact"))
+def fact_partition_overwrite(w: Warehouse) -> DataFrame:
+    """One year recomputed from a silver in which it changed (quantities one higher, every
+    eleventh row gone); all other years as they were. Written as a new version and read back."""
+    from shelfmart.sources import store
+    changed = w.silver.filter((F.year("order_date") == REPLAYED_YEAR) & (F.col("row_id") % 11 != 0)).withColumn(
+        "quantity", F.col("quantity") + 1)
+    fresh = facts.fact_sales(changed, w.dim_customers, w.dim_products, w.dim_location, dims.scd2_current_keys(w.scd2))
+    touched = facts.years_touched(F.col("order_date"), f"{REPLAYED_YEAR}-01-01", f"{REPLAYED_YEAR}-12-31")
+    table = f"{w.store}/scenario/replayed_fact"
+    v = store.stage(facts.with_order_year(facts.replace_years(w.fact, fresh, touched)), table, ["order_year"])
+    return w.spark.read.parquet(f"{table}/v={v}").select(*facts.FACT_COLUMNS)
+
+
+@query("load_mode_check", build("""
+    SELECT run_id, mode, coalesce(mode IN ('full', 'append', 'upsert', 'snapshot'), FALSE) AS accepted FROM modes""",
+    "modes"))
+def load_mode_check(w: Warehouse) -> DataFrame:
+    """Whether each delivery's load mode is a known one."""
+    return _mode_runs(w).select("run_id", "mode", bronze_ops.load_mode_known(F.col("mode")).alias("accepted"))
+
+
+@query("noop_decisions", build("""
+    SELECT run_id, mode, replay, CAST(window_rows AS BIGINT) AS window_rows,
+           coalesce(window_rows = 0 AND mode IN ('append', 'upsert') AND NOT replay, FALSE) AS noop FROM modes""",
+    "modes"))
+def noop_decisions(w: Warehouse) -> DataFrame:
+    """C4: deliveries that change nothing downstream."""
+    runs = _mode_runs(w).select("run_id", "mode", "replay", F.col("window_rows").cast("long"))
+    return control.noop_decisions(runs)
+
+
+@query("rebuild_scopes", build("""
+    SELECT run_id, mode, CASE WHEN mode NOT IN ('append', 'upsert') THEN start_date END AS rebuild_start,
+           CASE WHEN mode NOT IN ('append', 'upsert') THEN end_date END AS rebuild_end FROM modes""", "modes"))
+def rebuild_scopes(w: Warehouse) -> DataFrame:
+    """The dates silver is rebuilt for (append and upsert rebuild all of bronze)."""
+    return control.rebuild_scopes(_mode_runs(w))
+
+
+@query("policy_outcomes", build("""
+    SELECT run_id, failure_mode, coalesce(string_agg(rule_name, ', ' ORDER BY rule_name) FILTER (WHERE NOT passed), '')
+             AS failed_rules,
+           CASE WHEN bool_and(passed) THEN 'publish' WHEN failure_mode = 'STOP' THEN 'stop'
+                WHEN failure_mode = 'WARN' THEN 'publish_with_warning' ELSE 'publish_with_quarantine' END AS outcome
+    FROM qres, (VALUES ('STOP'), ('WARN'), ('QUARANTINE')) m(failure_mode) GROUP BY run_id, failure_mode""", "qres"))
+def policy_outcomes(w: Warehouse) -> DataFrame:
+    """Q9: what the rule results lead to under each failure mode."""
+    results = quality.quality_results(quality.rule_checks(w.silver, w.fact), DEMO_RUN.run_id, CHECKED_AT)
+    return quality.policy_outcomes(results)
+
+
 # ---- schema registry over the monthly deliveries (B2, B3) ----------------------------------------------
 # Each monthly delivery carries a header; every tenth adds a column, every tenth offset by
 # five drops the optional "Postal Code", and deliveries 7 (mod 20) lack the required

@@ -143,7 +143,7 @@ def silver_soft_delete(w: Warehouse) -> DataFrame:
 @query("silver_window", build(f"SELECT * REPLACE ({_SILVER_DBL}) FROM silver_window", "silver_window"))
 def silver_window(w: Warehouse) -> DataFrame:
     """Inclusive optional date window on the typed order date."""
-    return silver_ops.clean(w.bronze, WINDOW_RUN)
+    return silver_ops.clean(w.bronze_dated, WINDOW_RUN)
 
 
 @query("source_window_count", build("""
@@ -152,7 +152,7 @@ def silver_window(w: Warehouse) -> DataFrame:
     "bronze"))
 def source_window_count(w: Warehouse) -> DataFrame:
     """Bronze rows a windowed silver build must keep."""
-    return silver_ops.window_count(w.bronze, start=WINDOW_RUN.start_date, end=WINDOW_RUN.end_date)
+    return silver_ops.window_count(w.bronze_dated, start=WINDOW_RUN.start_date, end=WINDOW_RUN.end_date)
 
 
 @query("recon_bronze_silver", build("""
@@ -162,7 +162,8 @@ def source_window_count(w: Warehouse) -> DataFrame:
          (SELECT count(*) AS n FROM silver_window) s""", "bronze", "silver_window"))
 def recon_bronze_silver(w: Warehouse) -> DataFrame:
     """Bronze and silver counts under the same predicate."""
-    return silver_ops.reconcile_bronze_silver(w.bronze, silver_ops.clean(w.bronze, WINDOW_RUN), WINDOW_RUN)
+    return silver_ops.reconcile_bronze_silver(
+        w.bronze_dated, silver_ops.clean(w.bronze_dated, WINDOW_RUN), WINDOW_RUN)
 
 
 _REASON = """CASE WHEN quantity <= 0 THEN 'quantity <= 0'
@@ -226,8 +227,8 @@ def dedup_previous(w: Warehouse) -> DataFrame:
 
 @query("ingest_microbatch", build("SELECT * FROM bronze", "bronze"))
 def ingest_microbatch(w: Warehouse) -> DataFrame:
-    """The extract landed as six files and ingested two files per micro-batch by a
-    Structured Streaming file source, each batch upserted into a versioned table."""
+    """The extract dealt into six files (a key may be in several), landed two files per
+    micro-batch by a Structured Streaming file source and merged once after the drain."""
     from shelfmart.sources import store
     from shelfmart.streaming.ingest import ingest_microbatch as run_ingest, stage_files
     if w.store is None:
@@ -237,3 +238,27 @@ def ingest_microbatch(w: Warehouse) -> DataFrame:
         stage_files(w.extract, src)
         run_ingest(w.spark, src, table, f"{w.store}/scenario/stream_checkpoint")
     return store.read_current(w.spark, table)
+
+
+@query("source_fingerprint")
+def source_fingerprint(w: Warehouse) -> DataFrame:
+    """Length and digest of the landed files (their names differ from run to run, so the
+    result is checked against the files themselves in the tests)."""
+    from shelfmart.sources import store
+    src_csv_scan(w.spark, w.sf_dir)
+    return store.content_fingerprint(w.spark, f"{w.store}/landing/extract_csv").select("length", "sha256")
+
+
+@query("versioned_replace", build("""
+    SELECT *, CAST(2 AS BIGINT) AS version FROM incoming_dedup""", "incoming_dedup"))
+def versioned_replace(w: Warehouse) -> DataFrame:
+    """The stored snapshot, replaced by a version that was made while reading it."""
+    from shelfmart.sources import store
+    table = f"{w.store}/scenario/replaced"
+    if store.current_version(w.spark, table) != 2:
+        store.delete(w.spark, table)
+        store.publish(w.previous, table)
+        live = store.read_current(w.spark, table)
+        store.publish(bronze_ops.apply_load(live, w.incoming_dedup, "full", deduplicated=True), table)
+    return store.read_current(w.spark, table).withColumn(
+        "version", F.lit(store.current_version(w.spark, table)).cast("long"))

@@ -90,9 +90,16 @@ class Warehouse:
         """The landing copy of the raw extract (all text)."""
         return self._layer("landing/extract", lambda: fixture.source_extract(self.spark, self.sf_dir))
 
+    @cached_property
+    def bronze_dated(self) -> DataFrame:
+        """Bronze with its typed order day, partitioned by order year."""
+        return self._layer("bronze/sales", lambda: bronze_ops.with_order_day(
+            bronze_ops.dedup_by_key(self.extract)).sortWithinPartitions(bronze_ops.ORDER_YEAR, bronze_ops.ORDER_DAY),
+            partition_by=[bronze_ops.ORDER_YEAR])
+
     @cached_property
     def bronze(self) -> DataFrame:
-        return self._layer("bronze/sales", lambda: bronze_ops.dedup_by_key(self.extract))
+        return self.bronze_dated.drop(bronze_ops.ORDER_DAY, bronze_ops.ORDER_YEAR)
 
     # ---- silver ------------------------------------------------------------------
     @cached_property

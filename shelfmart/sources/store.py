@@ -5,16 +5,18 @@ cluster), keyed by a fingerprint of the inputs, so a lost executor recomputes fr
 written table instead of from the raw extract, and every downstream query scans
 Parquet with pushdown and pruning.
 
-Versioned publish (for the pipeline): a table is a set of ``v=N`` directories plus a
-``_CURRENT`` pointer file naming the live one; a new version is written beside the old
-one and the pointer is switched after the write committed, so a reader never sees a
-half-written table and the table being read is never overwritten in place.
+Versioned publish (for the pipeline): a table is a set of ``v=N`` directories. A new
+version is written beside the old one and becomes live by a small write after the data is
+complete: all tables of a warehouse together in its ``_PUBLISHED`` manifest, a table on its
+own in its ``_CURRENT`` pointer. A reader never sees a half-written table and the table
+being read is never overwritten in place.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -76,18 +78,27 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+def _manifest_hash(files: DataFrame) -> DataFrame:
+    """One row that changes with any file's row: count, bytes and two order-free digests."""
+    row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in files.columns])
+    return files.agg(F.count(F.lit(1)).alias("files"), F.coalesce(F.sum("length"), F.lit(0)).alias("bytes"),
+                     F.coalesce(F.bit_xor(row), F.lit(0)).alias("xor"),
+                     F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).cast("string").alias("sum"))
+
+
+def manifest(spark: SparkSession, path: str, deep: bool = False) -> tuple:
+    """The files under ``path`` as one comparable row (made on the executors)."""
+    return tuple(_manifest_hash(content_fingerprint(spark, path, deep)).first())
+
+
 def input_fingerprint(spark: SparkSession, paths: list[str], salt: str = "") -> str:
-    """sha256 over (path, length, modificationTime) of every input file.
+    """sha256 over the manifest (path, length, modificationTime) of the input files.
 
     Uses the binaryFile source with the content column pruned, so file bytes are not
     read; this is the cheap form of the source fingerprint (S2) for large inputs.
     """
-    meta = (spark.read.format("binaryFile").load(paths)
-                 .select("path", "length", "modificationTime").orderBy("path").collect())
-    h = hashlib.sha256(salt.encode())
-    for r in meta:
-        h.update(f"{r['path']}|{r['length']}|{r['modificationTime']}\n".encode())
-    return h.hexdigest()
+    meta = spark.read.format("binaryFile").load(paths).select("path", "length", "modificationTime")
+    return hashlib.sha256(f"{salt}|{tuple(_manifest_hash(meta).first())}".encode()).hexdigest()
 
 
 def content_fingerprint(spark: SparkSession, path: str, deep: bool = True) -> DataFrame:
@@ -103,9 +114,38 @@ def content_fingerprint(spark: SparkSession, path: str, deep: bool = True) -> Da
 
 # ---- versioned tables (pipeline) -------------------------------------------------------
 
-def current_version(spark: SparkSession, table: str) -> int | None:
+def _pointer(spark: SparkSession, table: str) -> dict | None:
     text = read_text(spark, f"{table}/_CURRENT")
-    return None if text is None else int(json.loads(text)["version"])
+    return None if text is None else json.loads(text)
+
+
+def current_version(spark: SparkSession, table: str) -> int | None:
+    """The live version: of the warehouse's manifest if the table is in one, else its own pointer."""
+    root, layer, name = table.rsplit("/", 2)
+    v = published(spark, root)["tables"].get(f"{layer}/{name}")
+    if v is not None:
+        return v
+    own = _pointer(spark, table)
+    return None if own is None else int(own["version"])
+
+
+def published(spark: SparkSession, root: str) -> dict:
+    """The warehouse manifest: the run that wrote it, live versions, and those before that run."""
+    text = read_text(spark, f"{root.rstrip('/')}/_PUBLISHED")
+    return json.loads(text) if text else {"run_id": None, "tables": {}, "base": {}}
+
+
+def base_versions(spark: SparkSession, root: str, run_id: str) -> dict[str, int]:
+    """Versions a run starts from: a repeated run starts where its first attempt did."""
+    now = published(spark, root)
+    return now["base"] if now["run_id"] == run_id else now["tables"]
+
+
+def publish_all(spark: SparkSession, root: str, run_id: str, versions: dict[str, int]) -> None:
+    """Make the staged versions of one run live together, by one write of the manifest."""
+    base = base_versions(spark, root, run_id)
+    write_text(spark, f"{root.rstrip('/')}/_PUBLISHED", json.dumps(
+        {"run_id": run_id, "tables": {**base, **versions}, "base": base}))
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame | None:
@@ -123,9 +163,14 @@ def stage(df: DataFrame, table: str, partition_by: list[str] | None = None) -> i
     return v
 
 
-def commit(spark: SparkSession, table: str, version: int) -> None:
-    """Make a staged version the current one (a single small pointer write)."""
-    write_text(spark, f"{table}/_CURRENT", json.dumps({"version": version}))
+def commit(spark: SparkSession, table: str, version: int, **notes) -> None:
+    """Make a staged version of a table outside a warehouse the current one, by one small
+    write; ``notes`` are kept beside it."""
+    write_text(spark, f"{table}/_CURRENT", json.dumps({"version": version, **notes}))
+
+
+def pointer_note(spark: SparkSession, table: str, name: str, default=None):
+    return (_pointer(spark, table) or {}).get(name, default)
 
 
 def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
@@ -135,24 +180,16 @@ def publish(df: DataFrame, table: str, partition_by: list[str] | None = None) ->
     return v
 
 
-def current_path(spark: SparkSession, table: str) -> str | None:
-    v = current_version(spark, table)
-    return None if v is None else f"{table}/v={v}"
-
-
-def replace_partitions(df: DataFrame, path: str, partition_by: list[str]) -> None:
-    """Rewrite only the partitions present in ``df`` (dynamic partition overwrite)."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*partition_by).parquet(path))
-
-
-# ---- append-only logs (control state) ------------------------------------------------------
+# ---- logs (control state) ----------------------------------------------------------------
 
-def append_log(df: DataFrame, path: str) -> None:
-    df.write.mode("append").parquet(path)
+def write_log(df: DataFrame, path: str, run_id: str) -> None:
+    """Store one run's rows of a log. A repeated run replaces its own rows, so it leaves the
+    log as one run does."""
+    df.write.mode("overwrite").parquet(f"{path}/run={quote(run_id, safe='')}")
 
 
 def read_log(spark: SparkSession, path: str) -> DataFrame | None:
+    """All runs' rows of a log."""
     if not exists(spark, path):
         return None
-    return spark.read.parquet(path)
+    return spark.read.parquet(path).drop("run")

@@ -14,7 +14,7 @@ def test_contract_accepts_required_set_and_extras():
 
 
 def test_contract_rejects_missing_profit():
-    with pytest.raises(ContractError, match="missing columns: Profit"):
+    with pytest.raises(ContractError, match="required column.*: Profit"):
         contract.check_columns([c for c in REQUIRED_SOURCE_COLUMNS if c != "Profit"])
 
 
@@ -37,10 +37,10 @@ def test_drift_history_versions_and_events(spark):
     b = ",".join(SOURCE_COLUMNS + ["Extra"])          # column added
     c = ",".join(reversed(SOURCE_COLUMNS))             # reordered
     obs = spark.createDataFrame(
-        [("f.csv", a, "2024-01-01 00:00:00"), ("f.csv", a, "2024-01-02 00:00:00"),
-         ("f.csv", b, "2024-01-03 00:00:00"), ("f.csv", c, "2024-01-04 00:00:00"),
-         ("g.csv", a, "2024-01-01 00:00:00")],
-        "source_name string, columns string, observed_at string").withColumn(
+        [("f.csv", a, "2024-01-01 00:00:00", "r1"), ("f.csv", a, "2024-01-02 00:00:00", "r2"),
+         ("f.csv", b, "2024-01-03 00:00:00", "r3"), ("f.csv", c, "2024-01-04 00:00:00", "r4"),
+         ("g.csv", a, "2024-01-01 00:00:00", "r1")],
+        "source_name string, columns string, observed_at string, run_id string").withColumn(
         "observed_at", F.col("observed_at").cast("timestamp_ntz"))
     h = contract.drift_history(obs)
     ver = {(r["source_name"], str(r["observed_at"])[:10]): r["schema_version"] for r in h.collect()}

@@ -32,6 +32,19 @@ def gold_count(spark, root, name="fact_sales"):
     return None if df is None else df.count()
 
 
+def years(spark, root):
+    f = store.read_current(spark, f"{root}/gold/fact_sales").groupBy("order_year").agg(
+        F.count(F.lit(1)), F.sum("quantity"), F.sum("sales"), F.sum("customer_key"), F.sum("product_key"))
+    return {r[0]: tuple(r)[1:] for r in f.collect()}
+
+
+def totals_agree(spark, root):
+    sums = lambda n: tuple(store.read_current(spark, f"{root}/gold/{n}").agg(F.sum("sales"), F.sum("quantity")).first())
+    assert sums("fact_sales") == sums("sales_daily") == sums("sales_monthly")
+    silver = store.read_current(spark, f"{root}/silver/sales").agg(F.sum("sales"), F.sum("quantity")).first()
+    assert sums("fact_sales") == tuple(silver)
+
+
 def test_full_runs_are_idempotent(spark, sources, tmp_path):
     root = str(tmp_path / "wh")
     r1 = pipeline.run(spark, cfg(root, sources["clean"], "run1"))
@@ -62,11 +75,16 @@ def test_full_runs_are_idempotent(spark, sources, tmp_path):
     r4 = pipeline.run(spark, cfg(root, sources["partial"], "run4", load_mode="append", start_date="2030-01-01"))
     assert r4.status == "NOOP" and r4.gold_rows == r3.gold_rows
 
-    # replay with explicit dates does not move the watermark
+    # replay with explicit dates does not move the watermark and keeps all other years
+    before_years = years(spark, root)
     before = pipeline.current_watermark(spark, cfg(root, sources["clean"], "run5"))
     r5 = pipeline.run(spark, cfg(root, sources["clean"], "run5", start_date="1996-01-01", end_date="1996-12-31",
                                  replay=True))
     assert r5.status == "SUCCESS" and pipeline.current_watermark(spark, cfg(root, sources["clean"], "run6")) == before
+    after_years = years(spark, root)
+    assert len(before_years) > 2 and set(after_years) == set(before_years)
+    assert all(after_years[y] == before_years[y] for y in before_years if y != 1996)
+    totals_agree(spark, root)
 
     # the reordered header is a schema change for the same source
     pipeline.run(spark, cfg(root, sources["reordered"], "run6"))
@@ -88,11 +106,76 @@ def test_stop_policy_keeps_gold_unpublished(spark, sources, tmp_path):
         "quantity <= 0", "discount outside [0,1]", "sales < 0"}
 
 
-def test_replay_partition_overwrite_equals_rebuild(spark, sources, tmp_path):
+def test_replay_of_changed_years(spark, sources, tmp_path):
+    """A replayed window takes the delivery's rows: one year changed, one vanished, rows moved in."""
     root = str(tmp_path / "wh")
     pipeline.run(spark, cfg(root, sources["clean"], "run1"))
-    before = sorted(tuple(r) for r in store.read_current(spark, f"{root}/gold/fact_sales").collect())
-    silver = store.read_current(spark, f"{root}/silver/sales")
-    pipeline.replay_fact_years(spark, root, silver, "1996-01-01", "1996-12-31")
-    after = sorted(tuple(r) for r in store.read_current(spark, f"{root}/gold/fact_sales").collect())
-    assert after == before                           # rewriting touched years == full rebuild
+    before = years(spark, root)
+    row_ids = lambda: {r[0] for r in store.read_current(spark, f"{root}/gold/fact_sales").select("row_id").collect()}
+    all_ids = row_ids()
+    extract = files.read_extract_csv(spark, sources["clean"])
+    year = F.split("`Order Date`", "/")[2]
+    other = max(y for y in before if y not in (1996, 1997))
+    moved = (year == str(other)) & (F.col("`Row ID`").cast("long") % 5 == 0)
+    changed = (extract.filter(year != "1997")
+               .withColumn("Quantity", F.when(year == "1996", F.col("Quantity").cast("int") + 1)
+                           .otherwise(F.col("Quantity").cast("int") + 100).cast("string"))
+               .withColumn("Customer ID", F.when((year == "1996") & (F.col("`Row ID`").cast("long") % 7 == 0), "C-0new")
+                           .otherwise(F.col("`Customer ID`")))
+               .withColumn("Order Date", F.when(moved, F.lit("6/15/1996")).otherwise(F.col("`Order Date`"))))
+    files.write_extract_csv(changed, str(tmp_path / "changed"))
+    r = pipeline.run(spark, cfg(root, str(tmp_path / "changed"), "run2", start_date="1996-01-01", end_date="1997-12-31",
+                                replay=True))
+    assert r.status == "SUCCESS"
+    after = years(spark, root)
+    assert 1997 not in after and 1996 in after and after[1996] != before[1996]
+    assert after[other][0] < before[other][0]                # rows that moved into the window left their year
+    assert all(after[y] == before[y] for y in before if y not in (other, 1996, 1997))
+    gone = {r[0] for r in extract.filter(year == "1997").select(F.col("`Row ID`").cast("long")).collect()}
+    assert row_ids() == all_ids - gone
+    totals_agree(spark, root)
+    c = store.read_current(spark, f"{root}/gold/dim_customers")
+    assert c.filter("customer_id = 'C-0new'").first()["customer_key"] == c.agg(F.max("customer_key")).first()[0]
+
+
+def state(spark, root):
+    """All logs and published tables as sorted rows, without the file names."""
+    import glob
+    out = {}
+    for t in sorted(glob.glob(f"{root}/*/*")):
+        layer, name = t.split("/")[-2:]
+        if name in ("sales_stage", "sales_delivery", "sales_window"):
+            continue
+        df = store.read_current(spark, t) if layer in ("gold", "silver") or name == "sales" else store.read_log(spark, t)
+        if df is not None:
+            out[f"{layer}/{name}"] = sorted(str(r) for r in df.collect())
+    return out
+
+
+def test_a_repeated_run_id_leaves_the_state_of_one_run(spark, sources, tmp_path):
+    root = str(tmp_path / "wh")
+    pipeline.run(spark, cfg(root, sources["clean"], "run1"))
+    for k, mode in enumerate(("upsert", "append", "snapshot", "full"), start=2):
+        again = cfg(root, sources["partial" if k < 4 else "clean"], f"run{k}", load_mode=mode)
+        pipeline.run(spark, again)
+        once = state(spark, root)
+        pipeline.run(spark, again)
+        twice = state(spark, root)
+        assert len(once) >= 15 and once.keys() == twice.keys()
+        assert [n for n in once if once[n] != twice[n]] == [], mode
+
+
+def test_null_order_date_is_refused_and_nothing_is_published(spark, sources, tmp_path):
+    from shelfmart.errors import KeyIntegrityError
+    root = str(tmp_path / "wh")
+    pipeline.run(spark, cfg(root, sources["clean"], "run1"))
+    before = years(spark, root), store.read_current(spark, f"{root}/bronze/sales").count()
+    extract = files.read_extract_csv(spark, sources["clean"])
+    first = extract.select(F.min(F.col("`Row ID`").cast("long"))).first()[0]
+    broken = extract.withColumn("Order Date", F.when(F.col("`Row ID`") == str(first), F.lit(None)).otherwise(F.col("`Order Date`")))
+    files.write_extract_csv(broken.limit(50).union(broken.filter(F.col("`Row ID`") == str(first))), str(tmp_path / "null"))
+    with pytest.raises(KeyIntegrityError, match="fact_sales"):
+        pipeline.run(spark, cfg(root, str(tmp_path / "null"), "run2", failure_mode="WARN"))
+    assert (years(spark, root), store.read_current(spark, f"{root}/bronze/sales").count()) == before
+    led = {r["run_id"]: r["status"] for r in pipeline.run_ledger(spark, root).collect()}
+    assert led == {"run1": "SUCCESS", "run2": "FAILED"}

@@ -66,10 +66,49 @@ def test_versioned_publish_never_overwrites_what_is_read(spark, tmp):
 def test_microbatch_ingest_equals_dedup(spark, tmp):
     ex = fixture.source_extract(spark, SF_SMALL)
     stage_files(ex, f"{tmp}/in", n_files=6)
-    applied = ingest_microbatch(spark, f"{tmp}/in", f"{tmp}/bronze", f"{tmp}/ckpt", max_files_per_trigger=2)
-    assert len(applied) == 3
+    assert ingest_microbatch(spark, f"{tmp}/in", f"{tmp}/bronze", f"{tmp}/ckpt", max_files_per_trigger=2) == 2
+    assert store.current_version(spark, f"{tmp}/bronze") == 1            # three batches, written once
     got = store.read_current(spark, f"{tmp}/bronze")
     want = bronze.dedup_by_key(ex)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     # a restarted query with the same checkpoint finds nothing new
-    assert ingest_microbatch(spark, f"{tmp}/in", f"{tmp}/bronze", f"{tmp}/ckpt") == []
+    assert ingest_microbatch(spark, f"{tmp}/in", f"{tmp}/bronze", f"{tmp}/ckpt") == 2
+    assert store.current_version(spark, f"{tmp}/bronze") == 1
+
+
+def test_microbatch_survivor_does_not_depend_on_the_batch(spark, tmp):
+    from shelfmart.streaming.ingest import merge_landed
+    ex = fixture.source_extract(spark, SF_SMALL).limit(1)
+    row = lambda q: ex.withColumn("Quantity", F.lit(q))
+    for k, q in enumerate(("9", "5")):                     # one key, a batch each, the smaller row last
+        row(q).write.parquet(f"{tmp}/t/_landing/batch={k}")
+    assert merge_landed(spark, f"{tmp}/t") == 1
+    want = bronze.dedup_by_key(row("9").union(row("5"))).collect()
+    assert store.read_current(spark, f"{tmp}/t").collect() == want
+    row("1").write.parquet(f"{tmp}/t/_landing/batch=2")    # a later drain replaces what is stored
+    assert merge_landed(spark, f"{tmp}/t") == 2 and merge_landed(spark, f"{tmp}/t") == 2
+    assert [r["Quantity"] for r in store.read_current(spark, f"{tmp}/t").collect()] == ["1"]
+
+
+def test_checkpoint_folder_is_required_off_local_masters(spark):
+    from types import SimpleNamespace
+
+    from shelfmart.session import ensure_checkpoint_dir
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]", "yarn"):
+        sc = SimpleNamespace(getCheckpointDir=lambda: None, master=master)
+        bare = SimpleNamespace(sparkContext=sc, conf=SimpleNamespace(get=lambda k, d=None: d))
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            ensure_checkpoint_dir(bare)
+
+
+def test_source_fingerprint_query_matches_the_files(spark):
+    import glob
+    import hashlib
+    import os
+
+    from shelfmart.plans import catalog
+    from shelfmart.plans.warehouse import shared
+    got = sorted(tuple(r) for r in catalog.QUERIES["source_fingerprint"](spark, SF_SMALL).select("length", "sha256").collect())
+    folder = shared(spark, SF_SMALL).store.removeprefix("file:") + "/landing/extract_csv"
+    names = [f for f in glob.glob(f"{folder}/*") if not os.path.basename(f).startswith(("_", "."))]
+    assert got == sorted((os.path.getsize(f), hashlib.sha256(open(f, "rb").read()).hexdigest()) for f in names)
