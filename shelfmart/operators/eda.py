@@ -91,7 +91,9 @@ def numeric_long(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
     ])).alias("_p")).select("_p.*")
 
 
-SKETCH_ACCURACY = 10_000    # rank error of the bracketing sketch: n / accuracy
+SKETCH_K = 16_000           # KLL size: a rank is off by about 2.3 / k^0.9 of n, 0.04 %
+BRACKET = 0.001             # bracket half-width, as a share of n
+SKETCH_SALT = 16            # sketches per column before the merge
 
 
 def _targets(n: DataFrame, probs: list[float]) -> DataFrame:
@@ -113,13 +115,14 @@ def _interpolate(tg: DataFrame, hits: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
-              accuracy: int = SKETCH_ACCURACY) -> DataFrame:
+              sketch_k: int = SKETCH_K, bracket: float = BRACKET) -> DataFrame:
     """Exact quantiles with linear interpolation: (column_name, p, q).
 
-    ``sketch`` (default): two scans whatever the cardinality. A ``percentile_approx``
-    sketch brackets every target rank within n/accuracy; one pass then counts the rows
-    below each bracket and reduces the bracket band to (value, count); ranks inside the
-    small band are exact. A bracket that misses its rank falls back to ``ranked``.
+    ``sketch`` (default): two scans whatever the cardinality. KLL sketches per (column,
+    salt), merged per column and stored, bracket every target rank; a second pass counts
+    the rows below each bracket and reduces the bracket band to (value, count); ranks inside
+    the small band are exact. A bracket that misses its rank falls back to ``ranked``, which
+    gives the same result.
     ``ranked``: rank all distinct values (see ``_ranked``).
     """
     if method != "sketch":
@@ -127,10 +130,15 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
     spark = long.sparkSession
     ensure_checkpoint_dir(spark)
     v = long.filter(F.col("value").isNotNull())
-    delta = 2.0 / accuracy
+    delta = bracket
     edges = sorted({min(1.0, max(0.0, p + d)) for p in probs for d in (-delta, delta)})
-    sk = v.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"),
-                                      F.percentile_approx("value", edges, accuracy).alias("_e"))
+    sketches = v.withColumn("_s", F.spark_partition_id() % SKETCH_SALT).groupBy("column_name", "_s").agg(
+        F.count(F.lit(1)).alias("n"), F.kll_sketch_agg_double("value", F.lit(sketch_k)).alias("_k"))
+    sk = (sketches.groupBy("column_name").agg(F.sum("n").alias("n"),
+                                              F.kll_merge_agg_double("_k", F.lit(sketch_k)).alias("_k"))
+          .select("column_name", "n", F.kll_sketch_get_quantile_double(
+              "_k", F.array(*[F.lit(e) for e in edges])).alias("_e"))
+          .checkpoint(eager=True))                             # one row per column
     at = {e: i for i, e in enumerate(edges)}
     tg = _targets(sk.select("column_name", "n"), probs).join(
         sk.select("column_name", F.explode(F.array(*[
@@ -140,7 +148,7 @@ def quantiles(long: DataFrame, probs: list[float], method: str = "sketch",
     # one pass: rows below a bracket collapse to one count, rows inside it to (value, count)
     j = v.join(F.broadcast(tg.select("column_name", "p", "a", "b")), "column_name").filter(F.col("value") <= F.col("b"))
     g = j.groupBy("column_name", "p", F.when(F.col("value") >= F.col("a"), F.col("value")).alias("bv")).agg(
-        F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)     # about 4n/accuracy rows per target
+        F.count(F.lit(1)).alias("cnt")).checkpoint(eager=True)     # at most 2 x BRACKET x n rows per target
     below = g.filter(F.col("bv").isNull()).select("column_name", "p", F.col("cnt").alias("_below"))
     inside = g.filter(F.col("bv").isNotNull())
     ranked = cumulative_count(inside, ["column_name", "p"], ["bv"], "cnt", "_in")
@@ -186,12 +194,18 @@ def _pivot_quartiles(q: DataFrame) -> DataFrame:
         F.max(F.when(F.col("p") == 0.75, F.col("q"))).alias("q3"))
 
 
-def describe(long: DataFrame, method: str = "sketch") -> DataFrame:
-    """E5: count, mean, sample std, min, quartiles, max per numeric column."""
+def quartiles(long: DataFrame, method: str = "sketch") -> DataFrame:
+    """(column_name, q1, median, q3): what E5, E7 and E8 share."""
+    return _pivot_quartiles(quantiles(long, QUARTILES, method))
+
+
+def describe(long: DataFrame, quarters: DataFrame | None = None) -> DataFrame:
+    """E5: count, mean, sample std, min, quartiles, max per numeric column. ``quarters``:
+    the stored result of ``quartiles``, computed here if absent."""
     base = long.groupBy("column_name").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    qs = _pivot_quartiles(quantiles(long, QUARTILES, method))
+    qs = quartiles(long) if quarters is None else quarters
     r = lambda c: F.round(F.col(c), STAT_DIGITS).alias(c)
     return base.join(qs, "column_name", "left").select(
         "column_name", "count", r("mean"), r("std"), r("min"), F.round("q1", STAT_DIGITS).alias("p25"),
@@ -222,17 +236,16 @@ def histogram(long: DataFrame, bins: int = HISTOGRAM_BINS) -> DataFrame:
         F.round(F.col("lo") + F.col("bin") * F.col("width"), STAT_DIGITS).alias("bin_hi"), "count")
 
 
-def fences(long: DataFrame, method: str = "sketch") -> DataFrame:
-    qs = _pivot_quartiles(quantiles(long, QUARTILES, method))
+def fences(qs: DataFrame) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return qs.select("column_name", "q1", "median", "q3", iqr.alias("iqr"),
                      (F.col("q1") - IQR_FACTOR * iqr).alias("lower_fence"),
                      (F.col("q3") + IQR_FACTOR * iqr).alias("upper_fence"))
 
 
-def boxplot(long: DataFrame, method: str = "sketch") -> DataFrame:
+def boxplot(long: DataFrame, quarters: DataFrame | None = None) -> DataFrame:
     """Quartiles, 1.5 IQR fences, whiskers (extreme values inside them), outlier count."""
-    fz = fences(long, method)
+    fz = fences(quartiles(long) if quarters is None else quarters)
     v = long.filter(F.col("value").isNotNull()).join(F.broadcast(fz), "column_name")
     inside = (F.col("value") >= F.col("lower_fence")) & (F.col("value") <= F.col("upper_fence"))
     agg = v.groupBy("column_name").agg(
@@ -246,13 +259,13 @@ def boxplot(long: DataFrame, method: str = "sketch") -> DataFrame:
 
 
 def outlier_rows(df: DataFrame, key: str, columns: list[str] | None = None,
-                 method: str = "sketch") -> DataFrame:
+                 quarters: DataFrame | None = None) -> DataFrame:
     """(column_name, key, value) for every value outside its column's fences."""
     cols = columns or numeric_columns(df)
     long = df.select(col(key).alias("row_key"), F.explode(F.array(*[
         F.struct(F.lit(c).alias("column_name"), col(c).cast("double").alias("value")) for c in cols
     ])).alias("_p")).select("row_key", "_p.*")
-    fz = fences(long.select("column_name", "value"), method)
+    fz = fences(quartiles(long.select("column_name", "value")) if quarters is None else quarters)
     v = long.join(F.broadcast(fz.select("column_name", "lower_fence", "upper_fence")), "column_name")
     return v.filter((F.col("value") < F.col("lower_fence")) | (F.col("value") > F.col("upper_fence"))).select(
         "column_name", "row_key", "value")

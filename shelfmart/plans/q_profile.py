@@ -90,7 +90,7 @@ def eda_duplicates(w: Warehouse) -> DataFrame:
     FROM nl GROUP BY column_name""", "nl"))
 def eda_describe(w: Warehouse) -> DataFrame:
     """E4 + E5: describe the numeric, non-identifier columns."""
-    return eda.describe(eda.numeric_long(_frame(w)))
+    return eda.describe(eda.numeric_long(_frame(w)), w.quartiles)
 
 
 @query("eda_histogram", build(f"""
@@ -112,7 +112,7 @@ def eda_histogram(w: Warehouse) -> DataFrame:
     GROUP BY f.column_name, q1, median, q3, iqr, lower_fence, upper_fence""", "nl", "fz"))
 def eda_boxplot(w: Warehouse) -> DataFrame:
     """Box-plot statistics."""
-    return eda.boxplot(eda.numeric_long(_frame(w)))
+    return eda.boxplot(eda.numeric_long(_frame(w)), w.quartiles)
 
 
 @query("eda_outliers", build("""
@@ -120,7 +120,7 @@ def eda_boxplot(w: Warehouse) -> DataFrame:
     WHERE n.value < f.lower_fence OR n.value > f.upper_fence""", "nlk", "fz"))
 def eda_outliers(w: Warehouse) -> DataFrame:
     """The rows behind the box-plot outliers."""
-    return eda.outlier_rows(_frame(w), "Row ID", NUMERIC)
+    return eda.outlier_rows(_frame(w), "Row ID", NUMERIC, w.quartiles)
 
 
 _VC_SQL = " UNION ALL ".join(

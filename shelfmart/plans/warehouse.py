@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from shelfmart import __version__
 from shelfmart.config import LOCATION_COLUMNS
 from shelfmart.operators import bronze as bronze_ops
-from shelfmart.operators import dims, facts
+from shelfmart.operators import dims, eda, facts
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.silver import RunContext
 from shelfmart.session import ensure_checkpoint_dir
@@ -106,6 +106,11 @@ class Warehouse:
     def silver(self) -> DataFrame:
         return self._layer("silver/sales", lambda: silver_ops.clean(self.bronze, self.ctx))
 
+    @cached_property
+    def quartiles(self) -> DataFrame:
+        """Quartiles of the numeric columns of the extract, shared by E5, E7 and E8."""
+        return self._layer("profile/quartiles", lambda: eda.quartiles(eda.numeric_long(eda.profile_frame(self.extract))))
+
     # ---- gold dimensions ------------------------------------------------------------
     @cached_property
     def dim_customers(self) -> DataFrame:

@@ -60,8 +60,9 @@ def test_sketch_quantiles_exact_with_small_accuracy_and_fallback(spark):
     rng = np.random.default_rng(11)
     xs = np.round(rng.lognormal(3, 1.5, 5000), 2)
     lg = _long(spark, list(xs)).union(_long(spark, [1] * 300 + [2] * 3 + [9], "t"))
-    for acc in (50, 1000, 100_000):           # tiny accuracy: wide brackets, still exact
-        q = {(r["column_name"], r["p"]): r["q"] for r in eda.quantiles(lg, [0.0, 0.25, 0.5, 0.75, 1.0], "sketch", acc).collect()}
+    for k, bracket in ((8, 0.2), (200, 0.02), (16_000, 0.001), (8, 0.0001)):    # the last misses its ranks
+        q = {(r["column_name"], r["p"]): r["q"] for r in eda.quantiles(lg, [0.0, 0.25, 0.5, 0.75, 1.0],
+                                                                          sketch_k=k, bracket=bracket).collect()}
         for p in (0.0, 0.25, 0.5, 0.75, 1.0):
             assert abs(q[("x", p)] - np.percentile(xs, p * 100)) < 1e-9
             assert abs(q[("t", p)] - np.percentile([1] * 300 + [2] * 3 + [9], p * 100)) < 1e-9
