@@ -70,9 +70,9 @@ def _history(w: Warehouse) -> DataFrame:
 
 @query("surrogate_keys", build("SELECT customer_key, customer_id FROM dim_customers", "dim_customers"))
 def surrogate_keys(w: Warehouse) -> DataFrame:
-    """G3, scalable form forced: range-partitioned numbering with partition offsets."""
+    """Range-partitioned numbering with partition offsets."""
     latest = dims.latest_per_key(w.silver, "customer_id", ["customer_name"])
-    return dense_key(latest, ["customer_id"], "customer_key", "range", partitions=8).select(
+    return dense_key(latest, ["customer_id"], "customer_key", partitions=8).select(
         "customer_key", "customer_id")
 
 
