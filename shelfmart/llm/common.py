@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,6 +14,29 @@ from shelfmart.session import ensure_checkpoint_dir
 from shelfmart.sources import store
 
 
+T = TypeVar("T")
+_HELD: dict[str, object] = {}
+
+
+def hand_back() -> None:
+    """Return freed memory to the system: a Python worker outlives its task, and what the C
+    library keeps for it counts against the executor."""
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError, TypeError):
+        pass                                       # another C library
+
+
+def worker_cache(name: str, make: Callable[[], T]) -> T:
+    """A table of words that a Python worker keeps between tasks. Only one is held at a time:
+    a worker outlives the stages of a job, and each stage needs its own."""
+    if name not in _HELD:
+        _HELD.clear()
+        hand_back()
+        _HELD[name] = make()
+    return _HELD[name]
+
+
 def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, no_id, text): pandas holds a long column with nulls as floating point, which
     would change large ids, so a null id travels as 0 with a mark."""

@@ -16,24 +16,21 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import id_and_text, null_ids
+from shelfmart.llm.common import hand_back, id_and_text, null_ids, worker_cache
 
 UNKNOWN = "und"
 BATCH_CHARS = 1 << 18
-_TABLES: dict[str, np.ndarray] = {}
 
 
 def _folding() -> np.ndarray:
     """Code point -> lower-case code point of a letter, 0 for everything else."""
-    if "fold" not in _TABLES:
-        fold = np.zeros(0x110000, np.uint32)
-        for i in range(0x110000):
-            c = chr(i)
-            if c.isalpha():
-                low = c.lower()
-                fold[i] = ord(low) if len(low) == 1 else i
-        _TABLES["fold"] = fold
-    return _TABLES["fold"]
+    fold = np.zeros(0x110000, np.uint32)
+    for i in range(0x110000):
+        c = chr(i)
+        if c.isalpha():
+            low = c.lower()
+            fold[i] = ord(low) if len(low) == 1 else i
+    return fold
 
 
 def _grams(texts: list[str], orders: tuple[int, ...], buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -41,7 +38,7 @@ def _grams(texts: list[str], orders: tuple[int, ...], buckets: int) -> tuple[np.
 
     Runs of other characters than letters count as one blank; n-grams do not cross texts."""
     sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    codes = _folding()[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
+    codes = worker_cache("letters", _folding)[np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)]
     owner = np.repeat(np.arange(len(texts)), sizes)
     letter = codes != 0
     letters = np.bincount(owner[letter], minlength=len(texts))
@@ -118,6 +115,7 @@ def fit(docs: DataFrame, train: Column, text_col: str = "text", lang_col: str =
                 rows[lang] = rows.get(lang, 0) + len(texts)
                 for s, e in _pieces(texts):
                     into += np.bincount(_grams(texts[s:e], orders, buckets)[0], minlength=buckets)
+        hand_back()
         for lang, into in sums.items():
             at = np.flatnonzero(into)
             yield pd.DataFrame({"lang": lang, "bucket": np.append(at, -1), "n": np.append(into[at], rows[lang])})

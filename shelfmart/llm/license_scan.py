@@ -18,7 +18,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import id_and_text, null_ids
+from shelfmart.llm.common import id_and_text, null_ids, worker_cache
 from shelfmart.llm.suffix_dedup import BASES, rolling
 
 # Notices by which works state their license.
@@ -54,7 +54,7 @@ TEMPLATES = {
 KGRAM, WINNOW, BAND = 3, 2, 8
 MIN_COVERAGE = 0.8
 MAX_TEMPLATE_WORDS = 1_000_000
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -66,9 +66,6 @@ class _Hashes(dict):
         return h
 
 
-_HASHES = _Hashes()
-
-
 def words_of(text: str) -> list[str]:
     """Lower-cased runs of letters and digits."""
     return _WORD.findall(text.lower())
@@ -76,7 +73,8 @@ def words_of(text: str) -> list[str]:
 
 def winnow(words: list[str], kgram: int = KGRAM, window: int = WINNOW) -> tuple[np.ndarray, np.ndarray]:
     """(hash, word position) of the smallest k-gram hash of every window (rightmost if tied)."""
-    h = rolling(np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words)), kgram, BASES[0])
+    known = worker_cache("license", _Hashes)
+    h = rolling(np.fromiter(map(known.__getitem__, words), np.uint64, len(words)), kgram, BASES[0])
     if not len(h):
         return h, np.empty(0, np.int64)
     if len(h) <= window:

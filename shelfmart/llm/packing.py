@@ -16,13 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import id_and_text, null_ids
+from shelfmart.llm.common import id_and_text, null_ids, worker_cache
 
 END_ID = 1
 GROUP_CHARS = 16 << 20
 CACHE_WORDS = 400_000
 PIECE_SCHEMA = "doc_id long, no_id boolean, start long, length long, doc_tokens long, ids binary"
-_WORKER: dict[str, object] = {}
 
 
 class WordIds(dict):
@@ -69,10 +68,7 @@ class WordIds(dict):
 
 
 def _word_ids(tokenizer_json: str) -> WordIds:
-    """One per Python worker, kept between tasks."""
-    if _WORKER.get("json") != tokenizer_json:
-        _WORKER.update(json=tokenizer_json, words=WordIds(tokenizer_json))
-    return _WORKER["words"]
+    return worker_cache(f"packing {hash(tokenizer_json)}", lambda: WordIds(tokenizer_json))
 
 
 class CapacityTree:

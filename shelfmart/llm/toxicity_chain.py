@@ -33,7 +33,7 @@ MAX_TRAIN_ROWS = 12_000
 KEPT_FEATURES = 1024
 RIDGE = 1.0
 STEPS = 12
-CACHE_WORDS = 300_000
+CACHE_WORDS = 100_000
 SHAPES = 6
 _WORD, _UPPER, _DIGIT = re.compile(r"[^\W\d_]+"), re.compile(r"[A-ZÀ-ÖØ-Þ]"), re.compile(r"\d")
 
