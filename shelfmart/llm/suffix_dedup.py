@@ -15,8 +15,8 @@ min_words - window + 1 words or more.
    join to the whole repeated passage.
 
 The sort order includes document and position, so one very frequent passage spreads over
-many partitions; equal rows that meet at partition bounds are settled by one row per
-partition. Exact copies of whole texts are found first, by digest, and only their first
+many partitions; the runs that meet at partition bounds, two per partition, are settled
+afterwards. Exact copies of whole texts are found first, by digest, and only their first
 document takes part in step 2.
 """
 
@@ -31,13 +31,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import Stored, shuffle_partitions
+from shelfmart.llm.common import Stored, shuffle_partitions, unused, worker_cache
 from shelfmart.session import ensure_checkpoint_dir
 
 MIN_WORDS, WINDOW, KMER = 50, 25, 5
 #: Odd multipliers of the two rolling hashes (suffixes, whole stretches).
 BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 
@@ -49,16 +49,14 @@ class _WordHashes(dict):
         return h
 
 
-_HASHES = _WordHashes()
-
-
 def words_of(text: str | None) -> list[bytes]:
     """Runs of bytes other than space and \\x09-\\x0D."""
     return (text or "").encode("utf-8", "surrogatepass").split()
 
 
 def word_hashes(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    known = worker_cache("suffix", _WordHashes)
+    return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
 
 
 def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -139,23 +137,57 @@ def _stretches(docs: DataFrame, min_words: int, window: int, kmer: int) -> DataF
     return docs.mapInPandas(run, "key long, doc_id long, pos int")
 
 
+#: Rows of ``_compare_sorted``: settled; of a run that may have begun in an earlier partition;
+#: alone at the end of a partition; no row but the last run of a partition.
+SETTLED, OPENING, ALONE, SUMMARY = range(4)
+
+
 def _compare_sorted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Members of runs of equal keys in sorted rows, each with its run's first row.
+    """Members of runs of equal keys in one sorted partition, each with its run's first row.
+
+    Runs of one row are left out, except at the ends of the partition: they may go on in a
+    neighbouring one, as may the first and last run, which are marked."""
+    run_on = None       # the open run: key, first doc, first pos, rows, opens the partition, last doc, last pos
+
+    def frame(key, doc, pos, first_doc, first_pos, kind) -> pd.DataFrame:
+        return pd.DataFrame({"key": key, "doc_id": doc, "pos": pos, "first_doc": first_doc, "first_pos": first_pos,
+                             "kind": kind})
+
+    def held(kind: int) -> pd.DataFrame:
+        k, fd, fp, _, _, d, p = run_on
+        return frame([k], [d], [p], [fd], [fp], [kind])
 
-    Runs of one row are left out, except the first and the last run of a batch: those may go
-    on in the neighbouring batch or partition, so their rows are returned and marked."""
     for b in batches:
         k, d, p = b["key"].to_numpy(), b["doc_id"].to_numpy(), b["pos"].to_numpy()
         if not len(k):
             continue
-        new = np.append(True, k[1:] != k[:-1])
-        run = np.cumsum(new) - 1
-        heads = np.flatnonzero(new)
-        edge = (run == 0) | (run == run[-1])
-        keep = (np.bincount(run)[run] > 1) | edge
-        first = heads[run][keep]
-        yield pd.DataFrame({"key": k[keep], "doc_id": d[keep], "pos": p[keep], "first_doc": d[first],
-                            "first_pos": p[first], "edge": edge[keep]})
+        heads = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+        rows = np.diff(np.append(heads, len(k)))
+        run = np.repeat(np.arange(len(heads)), rows)
+        fd, fp, opens = d[heads], p[heads], np.zeros(len(heads), bool)
+        if run_on is None:
+            opens[0] = True
+        elif run_on[0] == k[0]:
+            if run_on[3] == 1:
+                yield held(OPENING if run_on[4] else SETTLED)
+            fd[0], fp[0], opens[0] = run_on[1], run_on[2], run_on[4]
+            rows = rows.copy()
+            rows[0] += run_on[3]
+        elif run_on[3] == 1 and run_on[4]:
+            yield held(OPENING)
+        out = (rows > 1) | opens
+        if rows[-1] == 1:
+            out[-1] = False                    # alone so far: decided with the next row
+        at = np.flatnonzero(out[run])
+        if len(at):
+            r = run[at]
+            yield frame(k[at], d[at], p[at], fd[r], fp[r], np.where(opens[r], OPENING, SETTLED))
+        run_on = (k[-1], fd[-1], fp[-1], int(rows[-1]), bool(opens[-1]), d[-1], p[-1])
+    if run_on is not None:
+        if run_on[3] == 1:
+            yield held(OPENING if run_on[4] else ALONE)
+        elif not run_on[4]:
+            yield held(SUMMARY)
 
 
 def repeated(rows: DataFrame, partitions: int) -> DataFrame:
@@ -163,15 +195,31 @@ def repeated(rows: DataFrame, partitions: int) -> DataFrame:
     or more members, with the first (document, position) of the class."""
     order = ["key", "doc_id", "pos"]
     near = (rows.repartitionByRange(partitions, *order).sortWithinPartitions(*order)
-                .mapInPandas(_compare_sorted, "key long, doc_id long, pos int, first_doc long, "
-                                              "first_pos int, edge boolean").checkpoint())
-    # runs that may be cut by a batch or partition bound: two keys of every batch
-    first = F.min(F.struct("first_doc", "first_pos")).alias("f")
-    cut = near.filter("edge").groupBy("key").agg(first, F.count(F.lit(1)).alias("n"))
-    inner = near.filter("not edge").select("doc_id", "pos", "first_doc", "first_pos")
-    outer = near.filter("edge").select("doc_id", "pos", "key").join(cut.filter("n > 1"), "key").select(
-        "doc_id", "pos", F.col("f.first_doc").alias("first_doc"), F.col("f.first_pos").alias("first_pos"))
-    return inner.union(outer)
+                .mapInPandas(_compare_sorted, "key long, doc_id long, pos int, first_doc long, first_pos int, kind int")
+                .checkpoint())
+    # runs at partition bounds: two keys of every partition at most, however many rows a run has
+    met = near.filter(F.col("kind") != SETTLED).groupBy("key").agg(
+        F.min(F.struct("first_doc", "first_pos")).alias("f"),
+        F.sum(F.when(F.col("kind") == SUMMARY, 2).otherwise(1)).alias("n")).filter("n > 1").orderBy("key").collect()
+    bounds = rows.sparkSession.sparkContext.broadcast((
+        np.array([r["key"] for r in met], np.int64), np.array([r["f"]["first_doc"] for r in met], np.int64),
+        np.array([r["f"]["first_pos"] for r in met], np.int32)))
+
+    def settle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        keys, docs, places = bounds.value
+        for b in batches:
+            b = b[b["kind"] != SUMMARY]
+            fd, fp = b["first_doc"].to_numpy().copy(), b["first_pos"].to_numpy().copy()
+            open_run = (b["kind"] != SETTLED).to_numpy()
+            at = np.searchsorted(keys, b["key"].to_numpy())
+            met_again = open_run & (at < len(keys))
+            met_again[met_again] = keys[at[met_again]] == b["key"].to_numpy()[met_again]
+            fd[met_again], fp[met_again] = docs[at[met_again]], places[at[met_again]]
+            keep = ~open_run | met_again
+            yield pd.DataFrame({"doc_id": b["doc_id"].to_numpy()[keep], "pos": b["pos"].to_numpy()[keep],
+                                "first_doc": fd[keep], "first_pos": fp[keep]})
+
+    return near.mapInPandas(settle, "doc_id long, pos int, first_doc long, first_pos int")
 
 
 def _join_stretches(min_words: int):
@@ -257,9 +305,10 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
     text) are cut; everything else stays as it is. Rows with a null id or without spans pass
     unchanged.
     """
+    whose, begins, ends = unused(docs, "_span_doc", "_from", "_to")
     cuts = (spans.groupBy("doc_id").agg(F.sort_array(F.collect_list(F.struct("start_word", "end_word"))).alias("c"))
-                 .select(F.col("doc_id").alias("_span_doc"), F.col("c.start_word").alias("_from"),
-                         F.col("c.end_word").alias("_to")))
+                 .select(F.col("doc_id").alias(whose), F.col("c.start_word").alias(begins),
+                         F.col("c.end_word").alias(ends)))
 
     def cut(texts: pd.Series, froms: pd.Series, tos: pd.Series) -> pd.Series:
         word = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -280,8 +329,8 @@ def remove_spans(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text
         return pd.Series(out, dtype=object)
 
     cutter = F.pandas_udf(cut, "string")
-    joined = docs.join(cuts, F.col(id_col) == F.col("_span_doc"), "left")
+    joined = docs.join(cuts, F.col(id_col) == F.col(whose), "left")
     done = joined.withColumn(text_col, F.when(
-        F.col("_from").isNotNull(), cutter(F.col(text_col).cast("string"), "_from", "_to")).otherwise(F.col(text_col)))
-    kept = F.col("_from").isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
+        F.col(begins).isNotNull(), cutter(F.col(text_col).cast("string"), begins, ends)).otherwise(F.col(text_col)))
+    kept = F.col(begins).isNull() | F.col(text_col).rlike(r"[^\x20\x09-\x0D]")
     return done.filter(kept).select(*docs.columns)
