@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import Stored, shuffle_partitions, unused, worker_cache
+from shelfmart.llm.common import Stored, hand_back, shuffle_partitions, unused, worker_cache
 from shelfmart.session import ensure_checkpoint_dir
 
 MIN_WORDS, WINDOW, KMER = 50, 25, 5
@@ -114,6 +114,7 @@ def _suffixes(docs: DataFrame, min_words: int, window: int, kmer: int) -> DataFr
             if key:
                 yield pd.DataFrame({"key": np.concatenate(key).view(np.int64), "doc_id": np.concatenate(doc),
                                     "pos": np.concatenate(pos)})
+        hand_back()
 
     return docs.mapInPandas(run, "key long, doc_id long, pos int")
 
@@ -133,6 +134,7 @@ def _stretches(docs: DataFrame, min_words: int, window: int, kmer: int) -> DataF
             if key:
                 yield pd.DataFrame({"key": np.concatenate(key).view(np.int64), "doc_id": np.concatenate(doc),
                                     "pos": np.concatenate(pos)})
+        hand_back()
 
     return docs.mapInPandas(run, "key long, doc_id long, pos int")
 
