@@ -10,6 +10,15 @@ from shelfmart.sources import files, fixture, store
 from conftest import SF_SMALL
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_partitions(spark):
+    """Whole runs on a few thousand rows: their time is the number of tasks."""
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "2")
+    yield
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 @pytest.fixture(scope="module")
 def sources(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("src")
