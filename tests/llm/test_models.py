@@ -146,3 +146,16 @@ def test_nearest_neighbours_copies_ties_and_odd_rows(spark):
         i for _, i in _exact(rows, [(999, [0.9, 0.1, 0.0])], 5)[999]]
     assert nn_descent.nearest_neighbours(df.limit(0), df, 5).isEmpty()
     assert nn_descent.nearest_neighbours(df, df.limit(0), 5).isEmpty()
+
+
+def test_nn_descent_goes_on_until_few_edges_change(spark):
+    x = np.random.default_rng(8).standard_normal((3000, 48)).astype(np.float32)
+    nodes = spark.createDataFrame([(i, bytearray(c)) for i, c in enumerate(nn_descent.encode(x))], "id long, code binary")
+    d = (x * x).sum(1)[:, None] + (x * x).sum(1)[None] - 2 * x @ x.T
+    np.fill_diagonal(d, np.inf)
+    near = {(a, b) for a, row in enumerate(np.argpartition(d, 5, axis=1)[:, :6].tolist()) for b in row}
+    hits = [len(near & {(r["a"], r["b"]) for r in nn_descent.build_graph(nodes, 6, **kw).collect()})
+            for kw in ({}, {"rounds": 5})]
+    assert hits[0] > hits[1]
+    small, check_l, large = (nn_descent.sizes(n) for n in (2_000, 51_282, 3_000_000))
+    assert all(a <= b < c for a, b, c in zip(small, check_l, large))
