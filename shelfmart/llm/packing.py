@@ -1,9 +1,9 @@
 """Packing tokenised documents into training sequences: best-fit decreasing.
 
 Documents are tokenised in Arrow batches and cut into pieces of at most one window: full
-windows first, the rest of the document last. Pieces are dealt by hash into groups whose
-number follows the text volume, so a group is bounded however large the corpus or one
-document is. Inside a group the pieces are placed longest first into the tightest open
+windows first, the rest of the document last. Pieces are dealt into groups whose number
+follows the text volume, so a group is bounded however large the corpus or one document is:
+by hash, or, where the order of the rows counts, by consecutive ranges of it. Inside a group the pieces are placed longest first into the tightest open
 window, which a segment tree indexed by remaining capacity finds in logarithmic time.
 """
 
@@ -13,15 +13,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmart.llm.common import id_and_text, null_ids, worker_cache
+from shelfmart.operators.keys import cumulative_count
+from shelfmart.session import ensure_checkpoint_dir
 
 END_ID = 1
 GROUP_CHARS = 16 << 20
 CACHE_WORDS = 400_000
-PIECE_SCHEMA = "doc_id long, no_id boolean, start long, length long, doc_tokens long, ids binary"
+PIECE_SCHEMA = "doc_id long, no_id boolean, start long, length long, doc_tokens long, ids binary, at long"
 
 
 class WordIds(dict):
@@ -163,9 +166,37 @@ def even_out(lengths: np.ndarray, window: np.ndarray, capacity: int) -> list[tup
     return rows
 
 
-def tokenise(docs: DataFrame, tokenizer_json: str, window: int, id_col: str, text_col: str) -> DataFrame:
-    """PIECE_SCHEMA rows: every document's ids, then END_ID, cut into pieces of at most ``window``."""
-    spark = docs.sparkSession
+def in_row_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(doc_id, no_id, text, at): ``at`` counts the characters of the rows before, and one for each row.
+
+    The order is that of the files and the rows in them, as a writer numbers its files; of
+    rows that are not read from Parquet, that of the partitions.
+    """
+    ensure_checkpoint_dir(docs.sparkSession)
+    keys = ["part", "chunk", "name", "row"]
+    columns = [*id_and_text(docs, id_col, text_col).columns, *keys]
+    text = F.col(text_col).cast("string")
+    i = F.col(id_col).cast("long")
+    body = [F.coalesce(i, F.lit(0)), i.isNull(), text]
+    try:
+        meta = docs.metadataColumn("_metadata")
+        path = meta["file_name"]
+        number = lambda mark: F.coalesce(F.regexp_extract(path, mark, 1).try_cast("long"), F.lit(-1))
+        rows = docs.select(*body, number(r"part-(\d+)"), number(r"-c(\d+)"), F.xxhash64(meta["file_path"]),
+                           meta["row_index"]).toDF(*columns)
+    except AnalysisException:
+        none = F.lit(0).cast("long")
+        rows = docs.select(*body, none, none, none, F.monotonically_increasing_id()).toDF(*columns).checkpoint()
+    narrow = rows.select(*keys, F.lit(1).alias("all"), (F.coalesce(F.length("text"), F.lit(0)) + 1).alias("n"))
+    counted = cumulative_count(narrow, "all", keys, "n", "at").select(*keys, "at")
+    return rows.join(counted, keys).select("doc_id", "no_id", "text", "at")
+
+
+def tokenise(rows: DataFrame, tokenizer_json: str, window: int) -> DataFrame:
+    """PIECE_SCHEMA rows: every document's ids, then END_ID, cut into pieces of at most ``window``.
+
+    A piece's ``at`` is its document's plus its share of the characters."""
+    spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(tokenizer_json)     # the vocabulary file: fixed size
     end = np.array([END_ID], "<u4").tobytes()
 
@@ -173,27 +204,27 @@ def tokenise(docs: DataFrame, tokenizer_json: str, window: int, id_col: str, tex
         words = _word_ids(shared.value)
         for b in batches:
             out, held = [], 0
-            for doc_id, no_id, text in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["text"]):
+            for doc_id, no_id, text, at in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["text"], b["at"].tolist()):
                 ids = words.ids(text or "") + end
-                n = len(ids) // 4
+                n, chars = len(ids) // 4, len(text or "") + 1
                 for s in range(0, n, window):
                     piece = ids[4 * s:4 * (s + window)]
-                    out.append((doc_id, no_id, s, len(piece) // 4, n, piece))
+                    out.append((doc_id, no_id, s, len(piece) // 4, n, piece, at + s * chars // n))
                 held += n
                 if held > 1 << 21:
                     yield _frame(out)
                     out, held = [], 0
             yield _frame(out)
 
-    return id_and_text(docs, id_col, text_col).mapInPandas(run, PIECE_SCHEMA)
+    return rows.mapInPandas(run, PIECE_SCHEMA)
 
 
 def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["doc_id", "no_id", "start", "length", "doc_tokens", "ids"])
+    return pd.DataFrame(rows, columns=["doc_id", "no_id", "start", "length", "doc_tokens", "ids", "at"])
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str = "doc_id",
-         text_col: str = "text", group_chars: int = GROUP_CHARS) -> DataFrame:
+         text_col: str = "text", group_chars: int = GROUP_CHARS, in_order: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
     Every row of ``docs`` is a document: the ids of its whole text (null: none) and END_ID.
@@ -202,38 +233,52 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str =
     most ``window`` ids. Documents are cut at full windows; whatever best-fit decreasing
     leaves open is filled by cutting pieces of the emptiest windows. Repeated rows and null
     ids are documents like any other. An empty table gives no rows.
+
+    With ``in_order`` the order of the rows counts (``in_row_order``): a group takes the pieces
+    of consecutive rows, and sequences are numbered by group and by their earliest piece.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
     chars = docs.agg(F.sum(F.length(F.col(text_col).cast("string"))) + F.count(F.lit(1))).first()[0] or 0
     groups = max(1, -(-chars // group_chars))
-    pieces = tokenise(docs, tokenizer_json, window, id_col, text_col).withColumn(
-        "g", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    if in_order:
+        rows, group = in_row_order(docs, id_col, text_col), F.floor(F.col("at") / F.lit(group_chars))
+    else:
+        rows = id_and_text(docs, id_col, text_col).withColumn("at", F.lit(0).cast("long"))
+        group = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))
+    pieces = tokenise(rows, tokenizer_json, window).withColumn("g", group)
+    order = ["at", "start"] if in_order else ["doc_id", "start"]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
         for b in batches:                                    # rows are sorted by group
             for g, part in b.groupby("g", sort=False):
                 if held and held[0]["g"].iat[0] != g:
-                    yield from _packed(pd.concat(held), window)
+                    yield from _packed(pd.concat(held), window, in_order)
                     held = []
                 held.append(part)
         if held:
-            yield from _packed(pd.concat(held), window)
+            yield from _packed(pd.concat(held), window, in_order)
 
-    dealt = pieces.repartition(groups, "g").sortWithinPartitions("g", F.desc("length"), "doc_id", "start")
+    dealt = pieces.repartition(groups, "g").sortWithinPartitions("g", F.desc("length"), *order)
     return null_ids(dealt.mapInPandas(place, "doc_id long, no_id boolean, start long, length long, doc_tokens long, "
                                              "sequence_id long, offset long, ids binary"))
 
 
-def _packed(f: pd.DataFrame, window: int) -> Iterator[pd.DataFrame]:
+def _packed(f: pd.DataFrame, window: int, in_order: bool = False) -> Iterator[pd.DataFrame]:
     """Place one group; its sequences are numbered from group * 2^40."""
     base = int(f["g"].iat[0]) << 40
     lengths = f["length"].to_numpy(np.int64)
     which, _ = best_fit_decreasing(lengths, window)
     rows = even_out(lengths, which, window)
     at = np.array(rows, np.int64)
+    if in_order:
+        earliest = np.full(at[:, 3].max() + 1, np.iinfo(np.int64).max)
+        np.minimum.at(earliest, at[:, 3], f["at"].to_numpy(np.int64)[at[:, 0]])
+        nth = np.empty_like(earliest)
+        nth[np.argsort(earliest, kind="stable")] = np.arange(len(nth))
+        at[:, 3] = nth[at[:, 3]]
     ids, start = f["ids"].to_numpy(), f["start"].to_numpy(np.int64)
     for s in range(0, len(at), 4096):
         p, cut, n, w, offset = at[s:s + 4096].T

@@ -4,7 +4,7 @@ import duckdb
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from shelfmart.llm import queries
+from shelfmart.llm import packing, pfair_mix, queries
 
 SF = "/root/testdata/sf0.001"
 
@@ -44,3 +44,30 @@ def test_pipeline_stages(spark, tmp):
             assert out.filter("n_chars <> length(text)").isEmpty()
         last, docs = docs, out
     assert {r[0] for r in out.select("doc_id").distinct().collect()} == {r[0] for r in last.select("doc_id").distinct().collect()}
+
+
+def test_mix_decides_the_packed_order(spark, tmp, monkeypatch):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    packed, digests = {}, {}
+    for name, weights in (("plain", None), ("src0", {"src0": 90}), ("src1", {"src1": 90})):
+        monkeypatch.setattr(corpus_pipeline, "MIX_WEIGHTS", weights)
+        mixed = corpus_pipeline.source_mixing(spark, docs, SF) if weights else docs
+        mixed.write.parquet(f"{tmp}/{name}")
+        read = spark.read.parquet(f"{tmp}/{name}")
+        digests[name] = sorted(map(tuple, corpus_pipeline.pack_sequences(spark, read, SF).collect()))
+        packed[name] = packing.pack(read, packing.default_tokenizer(), group_chars=20_000, in_order=True).collect()
+    assert len(set(map(str, digests.values()))) == 3
+    first = [{r["doc_id"] for r in v if r["sequence_id"] >> 40 == 0} for v in packed.values()]
+    assert first[1] != first[2] != first[0] != first[1]
+    every = {r["doc_id"] for r in docs.collect()}
+    for name in ("src0", "src1"):
+        place = {r["doc_id"]: r["position"] for r in pfair_mix.mix(docs, {name: 90}).collect()}
+        spans = {}
+        for r in packed[name]:
+            spans.setdefault(r["sequence_id"] >> 40, []).append(place[r["doc_id"]])
+        groups = sorted(spans)
+        assert len(groups) > 3 and all(max(spans[a]) <= min(spans[b]) for a, b in zip(groups, groups[1:]))
+        sizes = {}
+        for r in packed[name]:
+            sizes[r["doc_id"]] = sizes.get(r["doc_id"], 0) + r["length"]
+        assert all(sizes[r["doc_id"]] == r["doc_tokens"] for r in packed[name]) and set(sizes) == every
