@@ -151,14 +151,18 @@ def scan(text: str, index: Index, min_coverage: float) -> list[tuple[str, float,
     found, taken = [], {}
     for t, diagonal, pos in hits:
         template = index.words[t]
-        if any(s <= pos < e for s, e in taken.get(t, ())):
-            continue
+        spans = taken.setdefault(t, [])
         begin = max(0, diagonal - BAND)
         end = min(len(words), diagonal + len(template) + BAND)
-        pairs = align(template, words, begin, end, diagonal)
-        if pairs and len(pairs) >= min_coverage * len(template):
-            taken.setdefault(t, []).append((pairs[0][1], pairs[-1][1] + 1))
+        while not any(s <= pos < e for s, e in spans):
+            pairs = align(template, words, begin, end, diagonal)
+            if not pairs or len(pairs) < min_coverage * len(template):
+                break
+            spans.append((pairs[0][1], pairs[-1][1] + 1))
             found.append((t, len(pairs), [j for _, j in pairs]))
+            # the band may hold another copy of a short template: look again between the matches
+            begin = max([begin, *(e for _, e in spans if e <= pos)])
+            end = min([end, *(s for s, _ in spans if s > pos)])
     # a match inside a larger one of another template says nothing new
     found.sort(key=lambda m: (-m[1], m[0], m[2][0]))
     kept: list[tuple[int, int, list[int]]] = []

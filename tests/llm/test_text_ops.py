@@ -197,3 +197,15 @@ def test_plan_is_bounded_and_json_safe():
     phases = pfair_mix.plan({"sa": 1000, "sb": 10, "n": 3}, {"sa": 2, "sb": 1, "n": 1}, 16)
     assert len(json.dumps([vars(p) for p in phases])) < 5000
     assert sum(p.end_block - p.first_block for p in phases) == 63 + 1 + 1
+
+
+def test_license_notices_repeated_at_once():
+    index = license_scan.Index(license_scan.TEMPLATES)
+    mit, other = license_scan.TEMPLATES["MIT"], license_scan.TEMPLATES["Apache-2.0"]
+    for notice, name in ((mit, "MIT"), (other, "Apache-2.0")):
+        for between in (" ", " and "):
+            for copies in (2, 3, 4):
+                text = between.join([notice] * copies)
+                found = license_scan.scan(text, index, license_scan.MIN_COVERAGE)
+                step = len(notice) + len(between)
+                assert [(f[0], f[3]) for f in found] == [(name, k * step) for k in range(copies)]
