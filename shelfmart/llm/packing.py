@@ -13,6 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -195,32 +196,39 @@ def in_row_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def tokenise(rows: DataFrame, tokenizer_json: str, window: int) -> DataFrame:
     """PIECE_SCHEMA rows: every document's ids, then END_ID, cut into pieces of at most ``window``.
 
-    A piece's ``at`` is its document's plus its share of the characters."""
+    A piece's ``at`` is its document's plus its share of the characters. If ``rows`` have no
+    ``at``, it tells equal pieces of a task apart: 0 for the first of them."""
     spark = rows.sparkSession
+    placed = "at" in rows.columns
     shared = spark.sparkContext.broadcast(tokenizer_json)     # the vocabulary file: fixed size
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _word_ids(shared.value)
+        words, task = _word_ids(shared.value), TaskContext.get().partitionId() + 1
         for b in batches:
+            place = b["at"].tolist() if placed else [0] * len(b)
             out, held = [], 0
-            for doc_id, no_id, text, at in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["text"], b["at"].tolist()):
+            for doc_id, no_id, text, at in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["text"], place):
                 ids = words.ids(text or "") + end
                 n, chars = len(ids) // 4, len(text or "") + 1
                 for s in range(0, n, window):
                     piece = ids[4 * s:4 * (s + window)]
-                    out.append((doc_id, no_id, s, len(piece) // 4, n, piece, at + s * chars // n))
+                    out.append((doc_id, no_id, s, len(piece) // 4, n, piece, at + s * chars // n if placed else 0))
                 held += n
                 if held > 1 << 21:
-                    yield _frame(out)
+                    yield _frame(out, None if placed else task)
                     out, held = [], 0
-            yield _frame(out)
+            yield _frame(out, None if placed else task)
 
     return rows.mapInPandas(run, PIECE_SCHEMA)
 
 
-def _frame(rows: list[tuple]) -> pd.DataFrame:
-    return pd.DataFrame(rows, columns=["doc_id", "no_id", "start", "length", "doc_tokens", "ids", "at"])
+def _frame(rows: list[tuple], task: int | None) -> pd.DataFrame:
+    f = pd.DataFrame(rows, columns=["doc_id", "no_id", "start", "length", "doc_tokens", "ids", "at"])
+    if task is not None and f.duplicated(["doc_id", "start"]).any():
+        again = f.groupby(["doc_id", "start", "ids"], sort=False).cumcount()
+        f["at"] = np.where(again > 0, again + (task << 32), 0)
+    return f
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str = "doc_id",
@@ -245,8 +253,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str =
     if in_order:
         rows, group = in_row_order(docs, id_col, text_col), F.floor(F.col("at") / F.lit(group_chars))
     else:
-        rows = id_and_text(docs, id_col, text_col).withColumn("at", F.lit(0).cast("long"))
-        group = F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups))
+        rows = id_and_text(docs, id_col, text_col)
+        group = F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids"), "at"), F.lit(groups))
     pieces = tokenise(rows, tokenizer_json, window).withColumn("g", group)
     order = ["at", "start"] if in_order else ["doc_id", "start"]
 

@@ -209,3 +209,14 @@ def test_license_notices_repeated_at_once():
                 found = license_scan.scan(text, index, license_scan.MIN_COVERAGE)
                 step = len(notice) + len(between)
                 assert [(f[0], f[3]) for f in found] == [(name, k * step) for k in range(copies)]
+
+
+def test_packing_spreads_rows_of_one_id(spark):
+    rows = [(None, "same words here") for _ in range(300)] + [(7, f"text number {i}") for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = packing.pack(df, packing.default_tokenizer(), 64, group_chars=500).collect()
+    for i in (None, 7):
+        groups = [r["sequence_id"] >> 40 for r in out if r["doc_id"] == i]
+        assert max(map(groups.count, groups)) < len(groups) / 3
+    words = packing.WordIds(open(packing.default_tokenizer(), encoding="utf-8").read())
+    assert sum(r["length"] for r in out) == sum(len(words.ids(t)) // 4 + 1 for _, t in rows)
