@@ -40,11 +40,12 @@ class WordIds(dict):
 
     MARKS = frozenset(",.;:!?")
 
-    def __init__(self, tokenizer_json: str):
+    def __init__(self, tokenizer_json: str, special_tokens: bool = False):
         super().__init__()
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True       # their strings in a text are ordinary text
+        if not special_tokens:                            # their strings in a text are ordinary text
+            self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         probe = self.tokenizer.encode("Ab.", add_special_tokens=False).ids
         self.direct = probe == self._model_ids("ab") + self._model_ids(".")
@@ -71,8 +72,9 @@ class WordIds(dict):
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
 
 
-def _word_ids(tokenizer_json: str) -> WordIds:
-    return worker_cache(f"packing {hash(tokenizer_json)}", lambda: WordIds(tokenizer_json))
+def _word_ids(tokenizer_json: str, special_tokens: bool) -> WordIds:
+    return worker_cache(f"packing {hash(tokenizer_json)} {special_tokens}",
+                        lambda: WordIds(tokenizer_json, special_tokens))
 
 
 class CapacityTree:
@@ -193,7 +195,7 @@ def in_row_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return rows.join(counted, keys).select("doc_id", "no_id", "text", "at")
 
 
-def tokenise(rows: DataFrame, tokenizer_json: str, window: int) -> DataFrame:
+def tokenise(rows: DataFrame, tokenizer_json: str, window: int, special_tokens: bool = False) -> DataFrame:
     """PIECE_SCHEMA rows: every document's ids, then END_ID, cut into pieces of at most ``window``.
 
     A piece's ``at`` is its document's plus its share of the characters. If ``rows`` have no
@@ -204,7 +206,7 @@ def tokenise(rows: DataFrame, tokenizer_json: str, window: int) -> DataFrame:
     end = np.array([END_ID], "<u4").tobytes()
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, task = _word_ids(shared.value), TaskContext.get().partitionId() + 1
+        words, task = _word_ids(shared.value, special_tokens), TaskContext.get().partitionId() + 1
         for b in batches:
             place = b["at"].tolist() if placed else [0] * len(b)
             out, held = [], 0
@@ -232,7 +234,8 @@ def _frame(rows: list[tuple], task: int | None) -> pd.DataFrame:
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str = "doc_id",
-         text_col: str = "text", group_chars: int = GROUP_CHARS, in_order: bool = False) -> DataFrame:
+         text_col: str = "text", group_chars: int = GROUP_CHARS, in_order: bool = False,
+         special_tokens: bool = False) -> DataFrame:
     """One row per piece: doc_id, start, length, doc_tokens, sequence_id, offset, ids.
 
     Every row of ``docs`` is a document: the ids of its whole text (null: none) and END_ID.
@@ -244,6 +247,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str =
 
     With ``in_order`` the order of the rows counts (``in_row_order``): a group takes the pieces
     of consecutive rows, and sequences are numbered by group and by their earliest piece.
+    With ``special_tokens`` the strings of special tokens in a text get their own ids, as the
+    tokenizer does when loaded; otherwise they are ordinary text.
     """
     spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
@@ -255,7 +260,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str =
     else:
         rows = id_and_text(docs, id_col, text_col)
         group = F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids"), "at"), F.lit(groups))
-    pieces = tokenise(rows, tokenizer_json, window).withColumn("g", group)
+    pieces = tokenise(rows, tokenizer_json, window, special_tokens).withColumn("g", group)
     order = ["at", "start"] if in_order else ["doc_id", "start"]
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

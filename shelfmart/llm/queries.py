@@ -65,7 +65,8 @@ def op7_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of 2048 tokens."""
-    return packing.digest(packing.pack(_table(spark, sf_dir, "documents"), packing.default_tokenizer()))
+    return packing.digest(packing.pack(_table(spark, sf_dir, "documents"), packing.default_tokenizer(),
+                                       special_tokens=True))
 
 
 def op9_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -220,3 +220,18 @@ def test_packing_spreads_rows_of_one_id(spark):
         assert max(map(groups.count, groups)) < len(groups) / 3
     words = packing.WordIds(open(packing.default_tokenizer(), encoding="utf-8").read())
     assert sum(r["length"] for r in out) == sum(len(words.ids(t)) // 4 + 1 for _, t in rows)
+
+
+def test_packing_query_encodes_as_the_tokenizer_is_loaded(spark, tmp):
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(packing.default_tokenizer())
+    texts = ["<|endoftext|> ab<|startoftext|>", "Ab<|endoftext|>Cd, plain", "none here.", "a\t<|endoftext|>\n<|endoftext|>"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp}/documents.parquet")
+    got = {}
+    for r in packing.pack(spark.read.parquet(f"{tmp}/documents.parquet"), packing.default_tokenizer(),
+                          special_tokens=True).collect():
+        got.setdefault(r["doc_id"], []).append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    want = {i: plain.encode(t, add_special_tokens=False).ids + [packing.END_ID] for i, t in enumerate(texts)}
+    assert {i: sum((x for _, x in sorted(p)), []) for i, p in got.items()} == want
+    query = queries.op8_packing(spark, tmp).collect()
+    assert {r["doc_id"]: r["doc_tokens"] for r in query} == {i: len(w) for i, w in want.items()}
