@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfmart.llm import (chat_preference, embedding_lsh, langid, license_scan, nn_descent, packing, pfair_mix,
-                           simhash, suffix_dedup, toxicity_chain)
+from shelfmart.llm import (bpe_codec, chat_preference, embedding_lsh, filter_audit, langid, license_scan, nn_descent,
+                           packing, periodic_runs, pfair_mix, simhash, suffix_dedup, toxicity_chain)
 
 #: Target weights of the mixed corpus; sources not named have weight 1.
 MIX_WEIGHTS = {"src0": 8, "src1": 5, "src2": 3, "src3": 2}
@@ -83,6 +83,23 @@ def op10_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pfair_mix.mix(_table(spark, sf_dir, "documents"), MIX_WEIGHTS, block_rows=MIX_BLOCK_ROWS)
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of repeated words in every document, with some planted."""
+    return periodic_runs.digest(periodic_runs.runs(periodic_runs.plant(_table(spark, sf_dir, "documents"))))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove in each of their orders, per language."""
+    return filter_audit.interactions(filter_audit.filter_masks(_table(spark, sf_dir, "documents")),
+                                     _table(spark, sf_dir, "labels"))
+
+
+def op13_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document and the text decoded from them, as digests."""
+    tokenizer = bpe_codec.default_tokenizer()
+    return bpe_codec.digest(bpe_codec.decode(bpe_codec.encode(_table(spark, sf_dir, "documents"), tokenizer), tokenizer))
+
+
 _WEIGHT = "CASE source " + " ".join(f"WHEN '{k}' THEN {v}" for k, v in MIX_WEIGHTS.items()) + " ELSE 1 END"
 
 #: The schedule, simulated slot by slot: each step takes, of the sources whose next block is
@@ -173,12 +190,65 @@ FROM reach r LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) d ON d.a
 GROUP BY r.node, d.n
 """
 
+#: Documents by failed filters, then every order of the five, step by step.
+AUDIT_SQL = """
+WITH RECURSIVE texts AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), words AS (
+  SELECT *, regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+') AS w FROM texts
+), failed AS (
+  SELECT doc_id, part,
+         len(w) < 100 AS a,
+         100 * len(list_distinct(w)) < 80 * len(w) AS b,
+         100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) AS c,
+         regexp_matches(text, '[#$%&*|]') AS d,
+         coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false) AS e
+  FROM words
+), masks AS (
+  SELECT f.part, [a, b, c, d, e] AS fails,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.quality = 1) AS good,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id AND l.toxic = 1) AS bad
+  FROM failed f
+), counts AS (
+  SELECT part, fails, good, bad, count(*) AS n FROM masks GROUP BY ALL
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c, unnest([1, 2, 3, 4, 5]) AS i
+), orders AS (
+  SELECT '' AS o, CAST([] AS INTEGER[]) AS idx
+  UNION ALL
+  SELECT o || c, list_append(idx, i) FROM orders, letters WHERE NOT list_contains(idx, i)
+), steps AS (
+  SELECT o, idx, step, idx[step] AS f, idx[1:step - 1] AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step) WHERE len(idx) = 5
+), judged AS (
+  SELECT part, o, step, f, n, good, bad, fails[f] AS here,
+         list_bool_or([false] || [fails[x] FOR x IN before]) AS gone,
+         len([x FOR x IN fails IF x]) AS total
+  FROM counts, steps
+), summed AS (
+  SELECT part, o, step, f,
+         sum(n) FILTER (WHERE NOT here AND NOT gone) AS kept, sum(n) FILTER (WHERE here AND NOT gone) AS removed,
+         sum(n) FILTER (WHERE here AND gone) AS redundant, sum(n) FILTER (WHERE here AND total = 1) AS unique_fails,
+         sum(n) FILTER (WHERE here AND NOT gone AND good) AS good_lost,
+         sum(n) FILTER (WHERE here AND NOT gone AND bad) AS toxic_lost
+  FROM judged GROUP BY part, o, step, f
+)
+SELECT part, o AS filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley
+FROM summed
+"""
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_preference_formatting, op2_nn_descent, op3_license_scan, op4_suffix_array_dedup, op5_language_id,
-        op6_embedding_lsh, op7_simhash_near_dedup, op8_packing, op9_toxicity_chain, op10_source_mixing)}
+        op6_embedding_lsh, op7_simhash_near_dedup, op8_packing, op9_toxicity_chain, op10_source_mixing,
+        op11_periodic_runs, op12_filter_audit, op13_bpe_codec)}
 ORACLE: dict[str, str] = {
     "op1_preference_formatting": PREFERENCE_SQL,
     "op6_embedding_lsh": LINKS_SQL,
     "op10_source_mixing": MIX_SQL,
+    "op12_filter_audit": AUDIT_SQL,
 }
