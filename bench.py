@@ -47,7 +47,7 @@ def main() -> None:
         fn()
         phases[name] = round(time.time() - t0, 3)
 
-    for phase in ("bronze", "silver", "gold", "scenarios"):
+    for phase in ("bronze", "silver", "gold", "profile", "scenarios"):
         timed(f"build_{phase}", lambda phase=phase: w.build(phase))
 
     times: dict[str, float] = {}

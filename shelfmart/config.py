@@ -51,11 +51,6 @@ RECON_TOLERANCE = 0.000001
 # depend on partition order, decimals do not.
 MONEY_TYPE = "decimal(18,4)"
 
-# Silver column order (25 columns).
-SILVER_COLUMNS = [
-    "row_id", "order_id", "order_date", "ship_date", "ship_mode", "customer_id",
-    "customer_name", "segment", "country", "city", "state", "postal_code", "region",
-    "product_id", "category", "sub_category", "product_name", "sales", "quantity",
-    "discount", "profit", "ingested_at", "run_id", "source_file", "pipeline_version",
-]
+# Column in which landed rows carry the name of the file they were read from.
+SOURCE_FILE = "_source_file"
 LOCATION_COLUMNS = ["country", "region", "state", "city", "postal_code"]

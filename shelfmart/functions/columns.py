@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfmart.config import MONEY_TYPE, SOURCE_DATE_FORMAT
+from shelfmart.config import SOURCE_DATE_FORMAT
 
 
 def col(name: str) -> Column:
@@ -26,10 +26,6 @@ def render_source_date(c: Column) -> Column:
     return F.date_format(c, SOURCE_DATE_FORMAT)
 
 
-def money(c: Column) -> Column:
-    return c.cast(MONEY_TYPE)
-
-
 def round2(c: Column) -> Column:
     """Round an exact decimal half away from zero to cents, then expose as double."""
     return F.round(c, 2).cast("double")

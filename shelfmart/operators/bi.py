@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfmart.operators import facts
 from shelfmart.functions.columns import avg2, round2
 
 
@@ -45,12 +46,16 @@ def top_products(fact: DataFrame, products: DataFrame, top: int = 10) -> DataFra
              .drop("product_id"))
 
 
-def sales_by_region(fact: DataFrame, locations: DataFrame) -> DataFrame:
-    """Materialisable region summary."""
-    j = fact.join(locations.select("location_id", "region"), "location_id")
-    return (j.groupBy("region").agg(round2(F.sum("sales")).alias("total_sales"),
-                                    F.count(F.lit(1)).alias("lines"))
-             .orderBy("region"))
+def region_totals(fact: DataFrame, locations: DataFrame) -> DataFrame:
+    """The stored region summary: exact sums, so that deltas can be merged into it
+    (``facts.merge_rollup``)."""
+    return fact.join(locations.select("location_id", "region"), "location_id").groupBy("region").agg(*facts.totals())
+
+
+def sales_by_region(totals: DataFrame) -> DataFrame:
+    """The region summary as it is reported."""
+    return totals.select("region", round2(F.col("sales")).alias("total_sales"),
+                         F.col("transaction_count").alias("lines")).orderBy("region")
 
 
 def sales_by_weekend(fact: DataFrame, dates: DataFrame) -> DataFrame:

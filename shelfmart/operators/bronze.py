@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.config import LOAD_MODES, SOURCE_KEY
-from shelfmart.functions.columns import col, parse_source_date
+from shelfmart.config import LOAD_MODES, SOURCE_DATE_FORMAT, SOURCE_FILE, SOURCE_KEY
+from shelfmart.functions.columns import col, parse_source_date, rows_differ
 
 ORDER_DAY, ORDER_YEAR = "_order_day", "_order_year"
 
@@ -22,10 +22,11 @@ def load_mode_known(mode: Column) -> Column:
     return F.coalesce(mode.isin(*LOAD_MODES), F.lit(False))
 
 
-def with_order_day(extract: DataFrame) -> DataFrame:
+def with_order_day(extract: DataFrame, lenient: bool = False) -> DataFrame:
     """The landed text rows with their typed order date and its year, by which the stored
-    table is partitioned so that date windows prune files and row groups."""
-    day = parse_source_date(col("Order Date"))
+    table is partitioned so that date windows prune files and row groups. ``lenient``: a text
+    that is no date gives a null day instead of an error."""
+    day = (F.try_to_date(col("Order Date"), SOURCE_DATE_FORMAT) if lenient else parse_source_date(col("Order Date")))
     return extract.withColumn(ORDER_DAY, day).withColumn(ORDER_YEAR, F.year(day))
 
 
@@ -49,18 +50,76 @@ def snapshot_rows(extract: DataFrame, run_id: str, snapshot_at: str) -> DataFram
                    .withColumn("snapshot_at", F.lit(snapshot_at).cast("timestamp_ntz")))
 
 
+# ---- one classified stream per load (B4-B12) ----------------------------------------------------
+
+CHANGE, LIVE, OLD = "_change", "_live", "_old"
+KEEP, INSERT, UPDATE, DELETE = "KEEP", "INSERT", "UPDATE", "DELETE"
+
+
+def changes(existing: DataFrame | None, delivery: DataFrame, mode: str, key: str = SOURCE_KEY) -> DataFrame:
+    """Every key of the stored state or the delivery, once, with what the load does to it.
+
+    Columns: the row as it is after the load (of a deleted key, as it was), then CHANGE
+    (KEEP, INSERT, UPDATE, DELETE), LIVE (in the state after the load) and OLD (the stored
+    row that an UPDATE replaced, else null). Events, deletions, the new state and the rows
+    before and after are projections of it, so one full outer join serves them all; when
+    both sides are bucketed by the key it needs no exchange.
+
+    Both sides hold one row per key and no null key. Rows are compared null-safe in all
+    columns but the name of the file they came in; a changed set of columns changes every row.
+    full / snapshot: a key that does not arrive is a DELETE and leaves the state.
+    upsert: it is a DELETE, recorded and hidden for this run, and stays in the state.
+    append: a partial file deletes nothing; it is a KEEP.
+    """
+    check_load_mode(mode)
+    if existing is None:
+        none = F.lit(None).cast(delivery.schema)
+        return delivery.select("*", F.lit(INSERT).alias(CHANGE), F.lit(True).alias(LIVE), none.alias(OLD))
+    before, after = existing.columns, delivery.columns
+    e = existing.select(*[col(c).alias(f"e_{n}") for n, c in enumerate(before)])
+    d = delivery.select(*[col(c).alias(f"d_{n}") for n, c in enumerate(after)])
+    e_of, d_of = ({c: F.col(f"{side}_{n}") for n, c in enumerate(names)} for side, names in (("e", before), ("d", after)))
+    arrived, stored = d_of[key].isNotNull(), e_of[key].isNotNull()
+    compared, others = ([c for c in names if c != SOURCE_FILE] for names in (before, after))
+    differs = rows_differ([e_of[c] for c in compared], [d_of[c] for c in compared]) if compared == others else F.lit(True)
+    missing = KEEP if mode == "append" else DELETE
+    change = F.when(~stored, INSERT).when(~arrived, missing).when(differs, UPDATE).otherwise(KEEP)
+    nothing = F.lit(None)
+    row = [F.when(arrived, d_of.get(c, nothing)).otherwise(e_of.get(c, nothing)).alias(c)
+           for c in [*before, *[c for c in after if c not in before]]]
+    image = F.struct(*[e_of[c].alias(c) for c in before])
+    return e.join(d, e_of[key] == d_of[key], "full_outer").select(
+        *row, change.alias(CHANGE), (F.lit(True) if mode in ("append", "upsert") else arrived).alias(LIVE),
+        F.when(stored & arrived & differs, image).alias(OLD))
+
+
+def live(stored: DataFrame) -> DataFrame:
+    """The state of a stored classified stream: its live rows, without its bookkeeping columns."""
+    rows = stored.filter(F.col(LIVE)) if LIVE in stored.columns else stored
+    return rows.drop(CHANGE, LIVE, OLD, ORDER_DAY, ORDER_YEAR)
+
+
+def images(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(before, after): the changed rows of a classified stream as they were and as they are."""
+    names = [c for c in stored.columns if c not in (CHANGE, LIVE, OLD, ORDER_DAY, ORDER_YEAR)]
+    row = [col(c) for c in names]
+    kind, kept = F.col(CHANGE), {f.name for f in stored.schema[OLD].dataType.fields}
+    old = [F.when(kind == UPDATE, F.col(OLD).getField(c) if c in kept else F.lit(None)).otherwise(col(c)).alias(c)
+           for c in names]
+    return (stored.filter(kind.isin(UPDATE, DELETE)).select(*old), stored.filter(kind.isin(INSERT, UPDATE)).select(*row))
+
+
 def apply_load(existing: DataFrame | None, incoming: DataFrame, mode: str,
                key: str = SOURCE_KEY, deduplicated: bool = False) -> DataFrame:
     """New bronze state after one load.
 
     full / snapshot: the deduplicated extract replaces everything.
-    append / upsert: stored rows whose key arrives again are replaced, the rest kept.
-    (upsert differs only in recording deletions, see ``cdc.source_deletions``.)
+    append / upsert: stored rows whose key arrives again are replaced, the rest kept
+    (``changes`` tells the two apart by what it records).
     ``deduplicated`` says ``incoming`` already holds one row per key.
     """
     check_load_mode(mode)
     fresh = incoming if deduplicated else dedup_by_key(incoming, key)
     if mode in ("full", "snapshot") or existing is None:
         return fresh
-    kept = existing.join(fresh.select(col(key).alias("_k")), col(key) == F.col("_k"), "left_anti")
-    return kept.unionByName(fresh, allowMissingColumns=True)
+    return live(changes(existing, fresh, mode, key))

@@ -1,8 +1,8 @@
 """Change data capture between the stored bronze snapshot and an incoming extract.
 
-One full outer join on the key classifies every key at once (INSERT / UPDATE /
-DELETE), instead of three separate scans. The incoming side is deduplicated first so
-the log describes exactly the rows that get applied.
+One full outer join on the key classifies every key at once (``bronze.changes``); the
+log and the deletions are projections of it, like the new state. The incoming side is
+deduplicated first so the log describes exactly the rows that get applied.
 """
 
 from __future__ import annotations
@@ -11,8 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfmart.config import SOURCE_KEY
-from shelfmart.functions.columns import col, rows_differ
-from shelfmart.operators.bronze import check_load_mode, dedup_by_key
+from shelfmart.functions.columns import col
+from shelfmart.operators.bronze import CHANGE, KEEP, changes, check_load_mode, dedup_by_key
 
 EVENT_COLUMNS = ["run_id", "row_id", "operation", "detected_at"]
 
@@ -22,20 +22,15 @@ def classify(existing: DataFrame, incoming: DataFrame, key: str = SOURCE_KEY,
     """(row_id, operation) for every key that changed; unchanged keys are dropped.
     ``existing`` holds one row per key; so does ``incoming`` when ``deduplicated``."""
     fresh = incoming if deduplicated else dedup_by_key(incoming, key)
-    e_cols, i_cols = existing.columns, fresh.columns
-    e = existing.select(*[col(c).alias(f"e_{i}") for i, c in enumerate(e_cols)])
-    i_ = fresh.select(*[col(c).alias(f"i_{i}") for i, c in enumerate(i_cols)])
-    ek, ik = F.col(f"e_{e_cols.index(key)}"), F.col(f"i_{i_cols.index(key)}")
-    j = e.join(i_, ek == ik, "full_outer")
-    if e_cols == i_cols:
-        differs = rows_differ([F.col(f"e_{n}") for n in range(len(e_cols))],
-                              [F.col(f"i_{n}") for n in range(len(i_cols))])
-    else:
-        differs = F.lit(True)  # a changed column set changes every row's rendering
-    op = (F.when(ek.isNull(), "INSERT").when(ik.isNull(), "DELETE")
-           .when(differs, "UPDATE"))
-    return (j.select(F.coalesce(ik, ek).cast("string").alias("row_id"), op.alias("operation"))
-             .filter(F.col("operation").isNotNull()))
+    return (changes(existing, fresh, "upsert", key).filter(F.col(CHANGE) != KEEP)
+            .select(col(key).cast("string").alias("row_id"), F.col(CHANGE).alias("operation")))
+
+
+def events(classified: DataFrame, run_id: str, detected_at: str, key: str = SOURCE_KEY) -> DataFrame:
+    """The change log of a load (run_id, row_id, operation, detected_at), from its classified stream."""
+    return classified.filter(F.col(CHANGE) != KEEP).select(
+        F.lit(run_id).alias("run_id"), col(key).cast("string").alias("row_id"), F.col(CHANGE).alias("operation"),
+        F.lit(detected_at).cast("timestamp_ntz").alias("detected_at"))
 
 
 def cdc_events(existing: DataFrame, incoming: DataFrame, run_id: str, detected_at: str,
@@ -45,12 +40,8 @@ def cdc_events(existing: DataFrame, incoming: DataFrame, run_id: str, detected_a
     In append mode a key missing from a partial file is not a deletion, so DELETE
     events are not emitted there.
     """
-    check_load_mode(mode)
-    ev = classify(existing, incoming, key, deduplicated)
-    if mode == "append":
-        ev = ev.filter(F.col("operation") != "DELETE")
-    return ev.select(F.lit(run_id).alias("run_id"), "row_id", "operation",
-                     F.lit(detected_at).cast("timestamp_ntz").alias("detected_at"))
+    fresh = incoming if deduplicated else dedup_by_key(incoming, key)
+    return events(changes(existing, fresh, mode, key), run_id, detected_at, key)
 
 
 def summary(events: DataFrame) -> DataFrame:

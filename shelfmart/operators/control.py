@@ -51,29 +51,21 @@ def overlap_start(watermark_date, overlap_days: int = DEFAULT_OVERLAP_DAYS):
     return F.date_sub(watermark_date, overlap_days)
 
 
-def is_noop(window_rows: int, mode: str, replay: bool) -> bool:
-    """C4: an incremental, non-replay run whose window is empty changes nothing downstream."""
-    return window_rows == 0 and mode in ("append", "upsert") and not replay
-
-
 def noop_decisions(runs: DataFrame) -> DataFrame:
-    """C4 as data over runs (run_id, mode, replay, window_rows): adds ``noop``."""
+    """C4 over runs (run_id, mode, replay, window_rows): adds ``noop``, true for an incremental run
+    that is no replay and whose window is empty. The pipeline asks it for its one run."""
     decided = (F.col("window_rows") == 0) & F.col("mode").isin("append", "upsert") & ~F.col("replay")
     return runs.withColumn("noop", F.coalesce(decided, F.lit(False)))
 
 
 def rebuild_scopes(runs: DataFrame) -> DataFrame:
-    """C6 as data over runs (run_id, mode, start_date, end_date): the dates that silver is rebuilt for."""
+    """C6 over runs (run_id, mode, start_date, end_date): the dates that silver is rebuilt for;
+    append and upsert rebuild it from all of bronze, full and snapshot keep the window."""
     kept = ~F.col("mode").isin("append", "upsert")
     return runs.select("run_id", "mode", F.when(kept, F.col("start_date")).alias("rebuild_start"),
                        F.when(kept, F.col("end_date")).alias("rebuild_end"))
 
 
-def rebuild_bounds(mode: str, start: str | None, end: str | None) -> tuple[str | None, str | None]:
-    """append/upsert rebuild silver from all of bronze; full/snapshot keep the window."""
-    return (None, None) if mode in ("append", "upsert") else (start, end)
-
-
 def ledger(events: DataFrame) -> DataFrame:
     """Latest state per run from STARTED / SUCCESS / NOOP / FAILED events."""
     # at equal times a terminal state (SUCCESS / NOOP / FAILED) follows STARTED

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -66,18 +68,53 @@ def fact_scd2_asof(silver: DataFrame, history: DataFrame) -> DataFrame:
     return f.join(h, cond, "left").select("row_id", "customer_id", "order_date", "asof_customer_key")
 
 
+MEASURES = ["sales", "quantity", "profit", "transaction_count"]
+DAILY_KEYS = ["order_date", "customer_key", "product_key", "location_id"]
+
+
+def totals() -> list[Column]:
+    """The measures of fact rows."""
+    return [F.sum("sales").alias("sales"), F.sum("quantity").cast("long").alias("quantity"),
+            F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("transaction_count")]
+
+
+def merged_totals() -> list[Column]:
+    """The measures of rows that hold measures already."""
+    return [F.sum("sales").alias("sales"), F.sum("quantity").cast("long").alias("quantity"),
+            F.sum("profit").alias("profit"), F.sum("transaction_count").cast("long").alias("transaction_count")]
+
+
 def sales_daily(fact: DataFrame) -> DataFrame:
-    return fact.groupBy("order_date", "customer_key", "product_key", "location_id").agg(
-        F.sum("sales").alias("sales"), F.sum("quantity").cast("long").alias("quantity"),
-        F.sum("profit").alias("profit"), F.count(F.lit(1)).alias("transaction_count"))
+    return fact.groupBy(*DAILY_KEYS).agg(*totals())
 
 
 def sales_monthly(daily: DataFrame) -> DataFrame:
     """Monthly rollup re-aggregated from the daily one (never from the fact)."""
     month = F.trunc("order_date", "month").alias("month_key")
-    return daily.groupBy(month, "customer_key", "product_key", "location_id").agg(
-        F.sum("sales").alias("sales"), F.sum("quantity").cast("long").alias("quantity"),
-        F.sum("profit").alias("profit"), F.sum("transaction_count").cast("long").alias("transaction_count"))
+    return daily.groupBy(month, *DAILY_KEYS[1:]).agg(*merged_totals())
+
+
+# ---- incremental rollups ------------------------------------------------------------------------
+
+def rollup_delta(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
+    """What changed fact rows do to a rollup by ``keys``: the rows as they were count negative, the
+    rows as they are positive. Its size follows the change, not the fact."""
+    sign = lambda df, n: df.select(*keys, *[(F.col(m) * n).alias(m) for m in MEASURES[:3]],
+                                   F.lit(n).cast("long").alias("transaction_count"))
+    return sign(before, -1).unionByName(sign(after, 1)).groupBy(*keys).agg(*merged_totals()).filter(
+        " or ".join(f"{m} <> 0 or {m} is null" for m in MEASURES))
+
+
+def merge_rollup(stored: DataFrame, delta: DataFrame, keys: list[str]) -> DataFrame:
+    """The rollup after the change. Sums are exact, so a group without rows left has none of its
+    measures left and goes."""
+    merged = stored.select(*keys, *MEASURES).unionByName(delta.select(*keys, *MEASURES))
+    return merged.groupBy(*keys).agg(*merged_totals()).filter("transaction_count <> 0")
+
+
+def monthly_delta(daily_delta: DataFrame) -> DataFrame:
+    """The change of the monthly rollup from that of the daily one."""
+    return sales_monthly(daily_delta)
 
 
 def order_fulfillment(silver: DataFrame) -> DataFrame:
@@ -119,8 +156,13 @@ def fk_violations(fact: DataFrame, customers: DataFrame, scd2: DataFrame, produc
         "foreign_key", F.coalesce("rows", F.lit(0)).cast("long").alias("orphan_rows"))
 
 
+def year_touched(year: int, start: str | None, end: str | None, more: Iterable[int] = ()) -> bool:
+    """A year that the window [start, end] reaches, or one of ``more``."""
+    return (start is None or year >= int(start[:4])) and (end is None or year <= int(end[:4])) or year in set(more)
+
+
 def years_touched(day: Column, start: str | None, end: str | None, more: list[int] = ()) -> Column:
-    """True for dates in a year that the window [start, end] reaches, or in one of ``more``."""
+    """``year_touched`` for a column of dates; a null date counts as touched."""
     year = F.year(day)
     inside = F.lit(True)
     if start is not None:

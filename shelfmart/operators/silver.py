@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 from shelfmart.config import (
     DEFAULT_POSTAL_CODE, MONEY_TYPE, PIPELINE_VERSION, PROFILE_METRICS, REASON_DISCOUNT,
-    REASON_QUANTITY, REASON_SALES, SOURCE_KEY,
+    REASON_QUANTITY, REASON_SALES, SOURCE_COLUMNS, SOURCE_DATE_FORMAT, SOURCE_FILE, SOURCE_KEY,
 )
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
 from shelfmart.functions.columns import col, count_if, parse_source_date, side_by_side
-from shelfmart.operators.bronze import ORDER_DAY, ORDER_YEAR
+from shelfmart.operators.bronze import CHANGE, DELETE, LIVE, ORDER_DAY, ORDER_YEAR
 
 
 @dataclass(frozen=True)
@@ -46,11 +46,21 @@ def profile_long(metrics: DataFrame, run_id: str) -> DataFrame:
 
 # ---- V8-V10 row selection shared by silver, the source-window count and reconcile -----
 
-def _window_filter(df: DataFrame, start: str | None, end: str | None) -> DataFrame:
+def _day(df: DataFrame, lenient: bool = False) -> Column:
+    if ORDER_DAY in df.columns:
+        return F.col(ORDER_DAY)
+    return F.try_to_date(col("Order Date"), SOURCE_DATE_FORMAT) if lenient else parse_source_date(col("Order Date"))
+
+
+def _window_condition(df: DataFrame, start: str | None, end: str | None, lenient: bool = False) -> Column:
+    return in_window(_day(df, lenient), start, end)
+
+
+def _window_filter(df: DataFrame, start: str | None, end: str | None, lenient: bool = False) -> DataFrame:
     """Only set bounds become predicates; a null date drops once any bound is set. A table
     stored with its typed order day is pruned by year partition and by day statistics."""
     typed_day = ORDER_DAY in df.columns
-    day = F.col(ORDER_DAY) if typed_day else parse_source_date(col("Order Date"))
+    day = _day(df, lenient)
     for bound, at_least in ((start, True), (end, False)):
         if bound is None:
             continue
@@ -74,35 +84,53 @@ def in_window(day: Column, start: str | None, end: str | None) -> Column:
 
 def selectable(bronze: DataFrame, run_id: str | None = None, deletions: DataFrame | None = None,
                start: str | None = None, end: str | None = None,
-               key: str = SOURCE_KEY) -> DataFrame:
-    """Bronze rows that silver keeps: order id present, not deleted in this run, in window."""
+               key: str = SOURCE_KEY, lenient: bool = False) -> DataFrame:
+    """Bronze rows that silver keeps: order id present, not deleted in this run, in window.
+
+    A stored classified stream (``bronze.changes``) marks the rows its load deleted itself;
+    the log of deletions is needed for other forms of bronze only."""
     df = bronze.filter(col("Order ID").isNotNull())
+    if CHANGE in bronze.columns:
+        df = df.filter(F.col(LIVE) & (F.col(CHANGE) != DELETE))
     if deletions is not None and run_id is not None:
         gone = deletions.filter(F.col("run_id") == F.lit(run_id)).select(F.col("row_id").alias("_gone"))
         df = df.join(gone, col(key).cast("string") == F.col("_gone"), "left_anti")
-    return _window_filter(df, start, end)
+    return _window_filter(df, start, end, lenient)
 
 
 def window_count(bronze: DataFrame, run_id: str | None = None, deletions: DataFrame | None = None,
-                 start: str | None = None, end: str | None = None) -> DataFrame:
+                 start: str | None = None, end: str | None = None, lenient: bool = False) -> DataFrame:
     """Rows of bronze in the requested window (one row, ``source_rows``)."""
-    return selectable(bronze, run_id, deletions, start, end).agg(
+    return selectable(bronze, run_id, deletions, start, end, lenient=lenient).agg(
         F.count(F.lit(1)).alias("source_rows"))
 
 
 # ---- V3-V12 the typed table ------------------------------------------------------------
 
-def typed(bronze_rows: DataFrame, ctx: RunContext) -> DataFrame:
+def _cells(lenient: bool) -> dict[str, Column]:
+    """The typed columns that a source text can fail to give, by source column."""
+    cast = (lambda c, t: col(c).try_cast(t)) if lenient else (lambda c, t: col(c).cast(t))
+    day = (lambda c: F.try_to_date(col(c), SOURCE_DATE_FORMAT)) if lenient else (lambda c: parse_source_date(col(c)))
+    return {"Row ID": cast("Row ID", "long"), "Order Date": day("Order Date"), "Ship Date": day("Ship Date"),
+            "Sales": cast("Sales", MONEY_TYPE), "Quantity": cast("Quantity", "int"),
+            "Discount": cast("Discount", MONEY_TYPE), "Profit": cast("Profit", MONEY_TYPE)}
+
+
+def typed(bronze_rows: DataFrame, ctx: RunContext, lenient: bool = False) -> DataFrame:
     """Rename, cast and trim the 21 text columns and add the 4 audit columns.
 
     Casts are strict (ANSI): a non-numeric quantity fails the build instead of
-    silently becoming null. Money stays an exact decimal.
+    silently becoming null. ``lenient`` is for rows whose casts are known to succeed
+    (``route_bad_values``). Money stays an exact decimal. The source file is the file the
+    row was read from, if the rows name it, else the run's.
     """
+    cell = _cells(lenient)
+    read_from = F.col(SOURCE_FILE) if SOURCE_FILE in bronze_rows.columns else F.lit(ctx.source_file)
     return bronze_rows.select(
-        col("Row ID").cast("long").alias("row_id"),
+        cell["Row ID"].alias("row_id"),
         col("Order ID").alias("order_id"),
-        parse_source_date(col("Order Date")).alias("order_date"),
-        parse_source_date(col("Ship Date")).alias("ship_date"),
+        cell["Order Date"].alias("order_date"),
+        cell["Ship Date"].alias("ship_date"),
         col("Ship Mode").alias("ship_mode"),
         col("Customer ID").alias("customer_id"),
         F.trim(col("Customer Name")).alias("customer_name"),
@@ -116,17 +144,56 @@ def typed(bronze_rows: DataFrame, ctx: RunContext) -> DataFrame:
         col("Category").alias("category"),
         col("Sub-Category").alias("sub_category"),
         col("Product Name").alias("product_name"),
-        col("Sales").cast(MONEY_TYPE).alias("sales"),
-        col("Quantity").cast("int").alias("quantity"),
-        col("Discount").cast(MONEY_TYPE).alias("discount"),
-        col("Profit").cast(MONEY_TYPE).alias("profit"),
+        cell["Sales"].alias("sales"),
+        cell["Quantity"].alias("quantity"),
+        cell["Discount"].alias("discount"),
+        cell["Profit"].alias("profit"),
         F.lit(ctx.ingested_at).cast("timestamp_ntz").alias("ingested_at"),
         F.lit(ctx.run_id).alias("run_id"),
-        F.lit(ctx.source_file).alias("source_file"),
+        read_from.alias("source_file"),
         F.lit(PIPELINE_VERSION).alias("pipeline_version"),
     )
 
 
+def bad_columns() -> Column:
+    """Source columns (sorted, comma-joined) whose text is there but is no value of the column's
+    type; empty for a row that can be typed."""
+    return F.array_join(F.array_compact(F.array(*[
+        F.when(col(name).isNotNull() & cell.isNull(), F.lit(name)) for name, cell in sorted(_cells(True).items())])), ", ")
+
+
+def route_bad_values(bronze: DataFrame, ctx: RunContext, deletions: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """V4 that keeps the run going: (silver rows, rejected rows).
+
+    A row with a value that cannot be cast is rejected as it was delivered, with
+    ``failed_columns`` and the audit columns; all other rows make silver as ``clean`` does.
+    A row whose order date cannot be read is in no window, so every window rejects it.
+    Every selectable row of the window is on exactly one side.
+    """
+    rows = selectable(bronze, ctx.run_id, deletions)
+    marked = rows.withColumn("failed_columns", bad_columns())
+    good = _window_filter(marked.filter(F.col("failed_columns") == ""), ctx.start_date, ctx.end_date, lenient=True)
+    no_day = col("Order Date").isNotNull() & _cells(True)["Order Date"].isNull()
+    held = _window_condition(rows, ctx.start_date, ctx.end_date, lenient=True) | no_day
+    names = [c for c in SOURCE_COLUMNS if c in bronze.columns]
+    rejected = marked.filter((F.col("failed_columns") != "") & F.coalesce(held, F.lit(False))).select(
+        *[col(c) for c in names], "failed_columns", F.lit(ctx.run_id).alias("run_id"),
+        F.lit(ctx.ingested_at).cast("timestamp_ntz").alias("rejected_at"))
+    return typed(good, ctx, lenient=True), rejected
+
+
+def reconcile_routed(bronze: DataFrame, silver: DataFrame, rejected: DataFrame, ctx: RunContext,
+                     deletions: DataFrame | None = None) -> DataFrame:
+    """V13 for routed casts: bronze rows of the window = silver + rejected rows (one row)."""
+    rows = selectable(bronze, ctx.run_id, deletions)
+    no_day = col("Order Date").isNotNull() & _cells(True)["Order Date"].isNull()
+    held = F.coalesce(_window_condition(rows, ctx.start_date, ctx.end_date, lenient=True) | no_day, F.lit(False))
+    return side_by_side(rows.filter(held).agg(F.count(F.lit(1)).alias("bronze_rows")),
+                        silver.agg(F.count(F.lit(1)).alias("silver_rows")),
+                        rejected.agg(F.count(F.lit(1)).alias("rejected_rows"))).withColumn(
+        "passed", F.col("bronze_rows") == F.col("silver_rows") + F.col("rejected_rows"))
+
+
 def clean(bronze: DataFrame, ctx: RunContext, deletions: DataFrame | None = None,
           windowed: bool = True) -> DataFrame:
     """The silver table: V8 not-null, V9 soft deletes of this run, V10 window, then V3-V12."""
@@ -171,6 +238,20 @@ def assert_reconciled(recon: DataFrame) -> tuple[int, int]:
     return r["bronze_rows"], r["silver_rows"]
 
 
+def lost_by_replay(bronze: DataFrame, before: DataFrame, after: DataFrame, ctx: RunContext,
+                   routed: bool = False) -> DataFrame:
+    """V13 for a replayed window, over all rows: bronze rows that silver held before, at whatever
+    date, or that lie in the window, and that silver holds no more (one row, ``lost_rows``).
+    Rows that are set aside for a bad value (``routed``) are not owed."""
+    kept = selectable(bronze, ctx.run_id)
+    rows = (kept.filter(bad_columns() == "") if routed else kept).select(
+        col(SOURCE_KEY).try_cast("long").alias("row_id"),
+        F.coalesce(_window_condition(bronze, ctx.start_date, ctx.end_date, lenient=True), F.lit(False)).alias("inside"))
+    owed = rows.filter("inside").select("row_id").unionByName(
+        rows.filter("not inside").select("row_id").join(before.select("row_id"), "row_id", "left_semi"))
+    return owed.join(after.select("row_id"), "row_id", "left_anti").agg(F.count(F.lit(1)).alias("lost_rows"))
+
+
 def key_violations(df: DataFrame, table: str, keys: list[str]) -> DataFrame:
     """One row per (table, key): null key rows and keys held by more than one row."""
     per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))

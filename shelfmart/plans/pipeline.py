@@ -21,13 +21,14 @@ from shelfmart.config import DEFAULT_OVERLAP_DAYS, LOCATION_COLUMNS, RECON_TOLER
 from shelfmart.errors import KeyIntegrityError, ReconciliationError
 from shelfmart.functions.columns import col
 from shelfmart.operators import bronze as bronze_ops
-from shelfmart.operators import cdc, contract, control, dims, facts, quality
+from shelfmart.operators import bi, cdc, contract, control, dims, facts, quality
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.silver import RunContext
 from shelfmart.plans.warehouse import run_concurrently
 from shelfmart.sources import files, store
 
 LOGGER = logging.getLogger(__name__)
+YEAR = "order_year"                 # partition column of the tables that a replay changes year by year
 
 
 @dataclass(frozen=True)
@@ -42,6 +43,7 @@ class PipelineConfig:
     replay: bool = False
     overlap_days: int = DEFAULT_OVERLAP_DAYS
     failure_mode: str = "STOP"
+    bad_values: str = "fail"        # a value that cannot be cast fails the run, or 'route': its row is set aside
     pipeline_name: str = "retail_sales"
     source_name: str = field(default="")
     deep_fingerprint: bool = False  # hash source bytes (small sources) instead of listing metadata
@@ -60,6 +62,7 @@ class RunResult:
     bronze_rows: int = 0
     silver_rows: int = 0
     gold_rows: int = 0
+    rejected_rows: int = 0
     failed_rules: list[str] = field(default_factory=list)
 
 
@@ -101,6 +104,8 @@ def _observe_schema(spark: SparkSession, cfg: PipelineConfig, columns: list[str]
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> RunResult:
     bronze_ops.check_load_mode(cfg.load_mode)
+    if cfg.bad_values not in ("fail", "route"):
+        raise ValueError(f"bad_values is 'fail' or 'route', not {cfg.bad_values!r}")
     if not cfg.source_name:
         cfg = replace(cfg, source_name=cfg.source_path.rstrip("/").split("/")[-1])
     start, end = cfg.start_date, cfg.end_date
@@ -125,13 +130,31 @@ class _Stage:
         self.versions: dict[str, int] = {}
 
     def before(self, layer: str, name: str) -> DataFrame | None:
-        v = self.base.get(f"{layer}/{name}")
-        return None if v is None else self.spark.read.parquet(f"{self.cfg.table(layer, name)}/v={v}")
+        return store.read_version(self.spark, self.cfg.table(layer, name), self.base.get(f"{layer}/{name}"))
 
-    def put(self, layer: str, name: str, df: DataFrame, partition_by: list[str] | None = None) -> DataFrame:
+    def put(self, layer: str, name: str, df: DataFrame) -> DataFrame:
         t = self.cfg.table(layer, name)
-        v = self.versions[f"{layer}/{name}"] = store.stage(df, t, partition_by)
-        return self.spark.read.parquet(f"{t}/v={v}")
+        v = self.versions[f"{layer}/{name}"] = store.stage(df, t)
+        return store.read_version(self.spark, t, v)
+
+    def put_bucketed(self, layer: str, name: str, df: DataFrame, key: str, buckets: int, partition_by: list[str],
+                     sort_by: str) -> DataFrame:
+        t = self.cfg.table(layer, name)
+        v = self.versions[f"{layer}/{name}"] = store.next_version(self.spark, t)
+        store.write_bucketed(df, f"{t}/v={v}", key, buckets, partition_by, sort_by)
+        return store.read_version(self.spark, t, v)
+
+    def put_years(self, layer: str, name: str, df: DataFrame, day: str, touched=None) -> DataFrame:
+        """Stage a table by the years of ``day``. With ``touched`` (years as a condition) ``df`` holds
+        the rows of those years alone, and all other years stay in the files they are in."""
+        t, before = self.cfg.table(layer, name), self.base.get(f"{layer}/{name}")
+        replaced = None
+        if touched is not None and before is not None:
+            held = store.live_parts(self.spark, t, before, YEAR)
+            replaced = [p for p in held if not p.isdigit() or touched(int(p))]
+        by_year = df.withColumn(YEAR, F.year(day)).sortWithinPartitions(YEAR, day)
+        v = self.versions[f"{layer}/{name}"] = store.stage_parts(by_year, t, YEAR, before, replaced)
+        return store.read_version(self.spark, t, v)
 
     def publish(self) -> None:
         store.publish_all(self.spark, self.cfg.root, self.cfg.run_id, self.versions)
@@ -151,24 +174,27 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     if mode == "snapshot":                                              # S4
         store.write_log(bronze_ops.snapshot_rows(extract, cfg.run_id, cfg.now),
                         cfg.table("bronze", "sales_snapshots"), cfg.run_id)
-    # the delivery is deduplicated once; events and the new state both read that copy
+    # the delivery is deduplicated once and stored in the buckets of the stored state, so the one
+    # join that classifies every key exchanges neither side; all that follows reads its result
+    stored, route = stage.before("bronze", "sales"), cfg.bad_values == "route"
+    laid = None if stored is None else store.layout(spark, f"{cfg.table('bronze', 'sales')}/v={stage.base['bronze/sales']}")
+    buckets = laid["buckets"] if laid else int(spark.conf.get("spark.sql.shuffle.partitions"))
     delivered = cfg.table("bronze", f"sales_delivery/run={cfg.run_id}")
-    bronze_ops.dedup_by_key(extract).write.mode("overwrite").parquet(delivered)      # B13
-    delivery = spark.read.parquet(delivered)
-    stored = stage.before("bronze", "sales")
-    existing = None if stored is None else stored.drop(bronze_ops.ORDER_DAY, bronze_ops.ORDER_YEAR)
-    base = existing if existing is not None else spark.createDataFrame([], delivery.schema)
-    log(cdc.cdc_events(base, delivery, cfg.run_id, cfg.now, mode, deduplicated=True), "cdc_events")   # B4-B7
-    own_events = store.read_log(spark, cfg.log("cdc_events")).filter(F.col("run_id") == cfg.run_id)
-    log(cdc.source_deletions(own_events, mode), "source_deletions")         # B8
-    state = bronze_ops.apply_load(existing, delivery, mode, deduplicated=True)      # B9-B12
-    bronze = stage.put("bronze", "sales", bronze_ops.with_order_day(state).sortWithinPartitions(
-        bronze_ops.ORDER_YEAR, bronze_ops.ORDER_DAY), [bronze_ops.ORDER_YEAR])
-    deletions = store.read_log(spark, cfg.log("source_deletions"))
+    with store.shuffled_into(spark, buckets):
+        store.write_bucketed(bronze_ops.dedup_by_key(extract), delivered, SOURCE_KEY, buckets)          # B13
+        existing = None if stored is None else bronze_ops.live(stored)
+        classified = bronze_ops.changes(existing, store.read_table(spark, delivered), mode)           # B4-B12
+        bronze = stage.put_bucketed("bronze", "sales", bronze_ops.with_order_day(classified, route), SOURCE_KEY, buckets,
+                                    [bronze_ops.CHANGE, bronze_ops.ORDER_YEAR], bronze_ops.ORDER_DAY)
+    log(cdc.events(bronze, cfg.run_id, cfg.now), "cdc_events")              # B7, from the changed partitions
+    log(cdc.source_deletions(store.read_run_log(spark, cfg.log("cdc_events"), cfg.run_id), mode), "source_deletions")   # B8
 
     # ---- NOOP decision (C4) -------------------------------------------------------------------
-    window_rows = silver_ops.window_count(bronze, cfg.run_id, deletions, start, end).first()["source_rows"]
-    if control.is_noop(window_rows, mode, cfg.replay):
+    asked = silver_ops.window_count(bronze, cfg.run_id, None, start, end, lenient=route).select(
+        F.lit(cfg.run_id).alias("run_id"), F.lit(mode).alias("mode"), F.lit(cfg.replay).alias("replay"),
+        F.col("source_rows").alias("window_rows"), F.lit(start).cast("string").alias("start_date"),
+        F.lit(end).cast("string").alias("end_date"))
+    if control.noop_decisions(asked).first()["noop"]:
         stage.publish()                                                 # the new bronze alone
         fact = stage.before("gold", "fact_sales")
         gold_rows = 0 if fact is None else fact.count()
@@ -176,23 +202,48 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
         return RunResult(cfg.run_id, "NOOP", bronze_rows, 0, gold_rows)
 
     # ---- silver ------------------------------------------------------------------------------
-    s_start, s_end = control.rebuild_bounds(mode, start, end)           # C6
+    scope = control.rebuild_scopes(asked).first()                       # C6
+    s_start, s_end = scope["rebuild_start"], scope["rebuild_end"]
     ctx = RunContext(cfg.run_id, cfg.now, cfg.source_name, s_start, s_end)
     log(silver_ops.profile_long(silver_ops.profile(extract), cfg.run_id).withColumn("profiled_at", at("x")),   # V1, V2
         "data_profile_results")
-    built = stage.put("silver", "sales_window", silver_ops.clean(bronze, ctx, deletions))
-    silver_ops.assert_reconciled(silver_ops.reconcile_bronze_silver(bronze, built, ctx, deletions))     # V13
-    old_silver = stage.before("silver", "sales")
+    fresh, rejected = silver_ops.route_bad_values(bronze, ctx) if route else (silver_ops.clean(bronze, ctx), None)
+    built = stage.put("silver", "sales_window", fresh)
+    n_rejected = 0
+    if route:                                                           # V4, V11, V13
+        set_aside = cfg.table("quarantine", "sales_rejected")
+        store.write_log(rejected, set_aside, cfg.run_id)
+        counts = silver_ops.reconcile_routed(bronze, built, store.read_run_log(spark, set_aside, cfg.run_id), ctx)
+        n_rejected = counts.first()["rejected_rows"]
+        silver_ops.assert_reconciled(counts)
+    else:
+        silver_ops.assert_reconciled(silver_ops.reconcile_bronze_silver(bronze, built, ctx))     # V13
+    stored_silver = stage.before("silver", "sales")
     # a replay of a window keeps every row outside it
-    partial = cfg.replay and old_silver is not None and (s_start is not None or s_end is not None)
-    moved: list[int] = []
+    partial = cfg.replay and stored_silver is not None and (s_start is not None or s_end is not None)
+    touched, in_years = None, lambda day: F.lit(True)
     if partial:
+        old = stored_silver.drop(YEAR)
         outside = ~F.coalesce(silver_ops.in_window(F.col("order_date"), s_start, s_end), F.lit(False))
-        rest = old_silver.filter(outside)
-        moved = [r[0] for r in rest.join(built.select("row_id"), "row_id", "left_semi")
+        # rows whose date moved out of the window are rebuilt under the new date, rows that moved in leave
+        # their year: both years are touched beside those of the window
+        everywhere = replace(ctx, start_date=None, end_date=None)
+        everything = silver_ops.route_bad_values(bronze, everywhere)[0] if route else silver_ops.clean(bronze, everywhere)
+        left = everything.filter(outside).join(old.filter(~outside).select("row_id"), "row_id", "left_semi")
+        built = stage.put("silver", "sales_replayed", built.unionByName(left))
+        rest = old.filter(outside)
+        moved = [r[0] for r in rest.join(built.select("row_id"), "row_id", "left_semi").select("order_date")
+                 .unionByName(built.filter(outside).select("order_date"))
                  .select(F.year("order_date")).filter("order_date is not null").distinct().collect()]   # years
-        built = rest.join(built.select("row_id"), "row_id", "left_anti").unionByName(built)
-    silver = stage.put("silver", "sales", built)
+        touched = lambda y: facts.year_touched(y, s_start, s_end, moved)
+        in_years = lambda day: facts.years_touched(day, s_start, s_end, moved)
+        built = (rest.filter(in_years(F.col("order_date"))).join(built.select("row_id"), "row_id", "left_anti")
+                     .unionByName(built))
+    silver = stage.put_years("silver", "sales", built, "order_date", touched).drop(YEAR)
+    if partial:
+        lost = silver_ops.lost_by_replay(bronze, old, silver, ctx, route).first()["lost_rows"]
+        if lost:
+            raise ReconciliationError(f"the replay would lose {lost} rows that bronze still has")
     s_rows = silver.count()
     store.write_log(silver_ops.quarantine(silver), cfg.table("quarantine", "sales_invalid"), cfg.run_id)      # V11
 
@@ -213,21 +264,14 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     scd2 = stage.put("gold", "dim_customers_scd2",
                      dims.scd2_merge(stage.before("gold", "dim_customers_scd2"), snap))
 
-    def years(name: str, fresh: DataFrame, day: str) -> DataFrame:
-        """``fresh`` in full, or in a replay its touched years beside the others as they were."""
-        old = stage.before("gold", name) if partial else None
-        if old is None:
-            return fresh
-        return facts.replace_years(old, fresh, facts.years_touched(F.col(day), s_start, s_end, moved))
-
-    touched = silver.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else silver
-    fresh_fact = facts.fact_sales(touched, customers, products, locations, dims.scd2_current_keys(scd2))
-    fact = stage.put("gold", "fact_sales", facts.with_order_year(years("fact_sales", fresh_fact, "order_date")),
-                     ["order_year"]).select(*facts.FACT_COLUMNS)          # S7, S8
-    in_touched = fact.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else fact
-    daily = stage.put("gold", "sales_daily", years("sales_daily", facts.sales_daily(in_touched), "order_date"))
-    fresh_daily = daily.filter(facts.years_touched(F.col("order_date"), s_start, s_end, moved)) if partial else daily
-    stage.put("gold", "sales_monthly", years("sales_monthly", facts.sales_monthly(fresh_daily), "month_key"))
+    fresh_fact = facts.fact_sales(silver.filter(in_years(F.col("order_date"))), customers, products, locations,
+                                  dims.scd2_current_keys(scd2))
+    fact = stage.put_years("gold", "fact_sales", fresh_fact, "order_date", touched).select(*facts.FACT_COLUMNS)   # S7, S8
+    daily = stage.put_years("gold", "sales_daily", facts.sales_daily(fact.filter(in_years(F.col("order_date")))),
+                            "order_date", touched).drop(YEAR)
+    stage.put_years("gold", "sales_monthly", facts.sales_monthly(daily.filter(in_years(F.col("order_date")))),
+                    "month_key", touched)
+    stage.put("gold", "sales_by_region", bi.region_totals(fact, locations))          # A4
 
     # ---- validation (V15, F9, Q1-Q9) -----------------------------------------------------------------
     silver_ops.assert_keys(quality.key_report({
@@ -242,7 +286,7 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
         raise KeyIntegrityError("foreign keys without parent: " + ", ".join(r["foreign_key"] for r in bad_fk))
     gold_rows = fact.count()
     log(quality.quality_results(quality.rule_checks(silver, fact), cfg.run_id, cfg.now), "data_quality_results")
-    results = store.read_log(spark, cfg.log("data_quality_results")).filter(F.col("run_id") == cfg.run_id)
+    results = store.read_run_log(spark, cfg.log("data_quality_results"), cfg.run_id)
     quality.rule_catalogue(spark).withColumn("updated_at", at("x")).write.mode("overwrite").parquet(
         cfg.log("data_contract_rules"))
     log(quality.reconciliation_row(silver, fact, cfg.run_id).withColumn("checked_at", at("x")),
@@ -262,4 +306,4 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
             log(control.advance(current, prop).withColumn("written_by", F.lit(cfg.run_id)), "pipeline_watermarks")
     _ledger_event(spark, cfg, "SUCCESS", cfg.now, bronze_rows, s_rows, gold_rows)
     LOGGER.info("run %s: bronze=%s silver=%s gold=%s", cfg.run_id, bronze_rows, s_rows, gold_rows)
-    return RunResult(cfg.run_id, "SUCCESS", bronze_rows, s_rows, gold_rows, failed)
+    return RunResult(cfg.run_id, "SUCCESS", bronze_rows, s_rows, gold_rows, n_rejected, failed)

@@ -47,7 +47,7 @@ _SILVER_DBL = _dbl("sales", "discount", "profit")
 # ---- CDC (B4-B8) -----------------------------------------------------------------------------
 
 def _events(w: Warehouse, mode: str = "upsert") -> DataFrame:
-    return cdc.cdc_events(w.previous, w.incoming_dedup, CDC_RUN.run_id, DETECTED_AT, mode, deduplicated=True)
+    return cdc.events(w.changes(mode), CDC_RUN.run_id, DETECTED_AT)
 
 
 @query("cdc_events", build("SELECT * FROM cdc_ev", "cdc_ev"))
@@ -92,7 +92,7 @@ def source_deletions(w: Warehouse) -> DataFrame:
     return cdc.source_deletions(_events(w), "upsert")
 
 
-# ---- load modes (B9-B12) and snapshot history (S4) --------------------------------------------
+# ---- load modes (B9-B11) --------------------------------------------
 
 @query("load_full", build("SELECT * FROM incoming_dedup", "incoming_dedup"))
 def load_full(w: Warehouse) -> DataFrame:
@@ -112,20 +112,6 @@ def load_upsert(w: Warehouse) -> DataFrame:
     return bronze_ops.apply_load(w.previous, w.incoming_dedup, "upsert", deduplicated=True)
 
 
-@query("load_snapshot", build("SELECT * FROM incoming_dedup", "incoming_dedup"))
-def load_snapshot(w: Warehouse) -> DataFrame:
-    """Snapshot load = history append + full load."""
-    return bronze_ops.apply_load(w.previous, w.incoming_dedup, "snapshot", deduplicated=True)
-
-
-@query("bronze_snapshot_append", build(f"""
-    SELECT *, '{CDC_RUN.run_id}' AS snapshot_run_id, TIMESTAMP '{DETECTED_AT}' AS snapshot_at
-    FROM incoming""", "incoming"))
-def bronze_snapshot_append(w: Warehouse) -> DataFrame:
-    """Rows appended to the snapshot history for this run."""
-    return bronze_ops.snapshot_rows(w.incoming, CDC_RUN.run_id, DETECTED_AT)
-
-
 # ---- silver filters, quarantine, profile (V1-V15) ----------------------------------------------
 
 @query("silver_soft_delete", build(
@@ -134,10 +120,9 @@ def bronze_snapshot_append(w: Warehouse) -> DataFrame:
         run_id=CDC_RUN.run_id, ts=CDC_RUN.ingested_at, source_file=CDC_RUN.source_file) + ")",
     "upsert_state", "deletions"))
 def silver_soft_delete(w: Warehouse) -> DataFrame:
-    """V9: silver after an upsert hides the rows deleted in this run."""
-    state = bronze_ops.apply_load(w.previous, w.incoming_dedup, "upsert", deduplicated=True)
-    gone = cdc.deleted_keys(w.previous, w.incoming_dedup, CDC_RUN.run_id, DETECTED_AT, "upsert")
-    return silver_ops.clean(state, CDC_RUN, gone)
+    """V9: silver after an upsert hides the rows deleted in this run, which the classified stream
+    of the load marks."""
+    return silver_ops.clean(w.changes("upsert"), CDC_RUN)
 
 
 @query("silver_window", build(f"SELECT * REPLACE ({_SILVER_DBL}) FROM silver_window", "silver_window"))

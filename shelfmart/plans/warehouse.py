@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfmart import __version__
-from shelfmart.config import LOCATION_COLUMNS
+from shelfmart.config import SOURCE_KEY
+from shelfmart.operators import bi, dims, eda, facts
 from shelfmart.operators import bronze as bronze_ops
-from shelfmart.operators import dims, eda, facts
 from shelfmart.operators import silver as silver_ops
 from shelfmart.operators.silver import RunContext
 from shelfmart.session import ensure_checkpoint_dir
@@ -42,8 +42,11 @@ BUILD_WAVES = {
     "bronze": [["extract"], ["bronze"]],
     "silver": [["silver"]],
     "gold": [["dim_customers", "dim_products", "dim_location", "dim_date", "fulfillment"],
-             ["scd2"], ["fact_partitioned"], ["daily"], ["monthly"]],
+             ["scd2"], ["fact_partitioned"], ["daily", "region_totals"], ["monthly"]],
+    "profile": [["quartiles"]],
     "scenarios": [["previous", "incoming_dedup", "customer_batches"], ["scd2_history"]],
+    # inputs of the queries on changing data, which are not among the headline queries
+    "changing": [["previous"], ["correction", "corrupted_bronze", "snapshot_history"]],
 }
 
 
@@ -70,14 +73,20 @@ class Warehouse:
                  store: str | None = None):
         self.spark, self.sf_dir, self.ctx, self.store = spark, sf_dir, ctx, store
 
-    def _layer(self, name: str, build, partition_by: list[str] | None = None) -> DataFrame:
+    def _layer(self, name: str, build, partition_by: list[str] | None = None, bucket_by: str | None = None) -> DataFrame:
+        """A stored layer; ``bucket_by`` a key it is in as many buckets as a shuffle has partitions,
+        so that joins on the key read it without an exchange."""
         if self.store is None:
             return build()
         path = f"{self.store}/{name}"
         with _lock(path):            # one writer per table, even if callers run in threads
             if not store_ops.committed(self.spark, path):
-                store_ops.write_table(build(), path, partition_by)
-        return self.spark.read.parquet(path)
+                if bucket_by is None:
+                    store_ops.write_table(build(), path, partition_by)
+                else:
+                    store_ops.write_bucketed(build(), path, bucket_by,
+                                             int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+            return store_ops.read_table(self.spark, path)
 
     def build(self, phase: str) -> None:
         """Materialise one phase's layers wave by wave, a wave's layers concurrently."""
@@ -157,6 +166,11 @@ class Warehouse:
     def monthly(self) -> DataFrame:
         return self._layer("gold/sales_monthly", lambda: facts.sales_monthly(self.daily))
 
+    @cached_property
+    def region_totals(self) -> DataFrame:
+        """A4 as a stored table."""
+        return self._layer("gold/sales_by_region", lambda: bi.region_totals(self.fact, self.dim_location))
+
     @cached_property
     def fulfillment(self) -> DataFrame:
         return self._layer("gold/fact_order_fulfillment", lambda: facts.order_fulfillment(self.silver))
@@ -166,7 +180,8 @@ class Warehouse:
     def previous(self) -> DataFrame:
         """Stored bronze before the next delivery."""
         return self._layer("scenario/previous_bronze",
-                           lambda: bronze_ops.dedup_by_key(fixture.previous_extract(self.extract)))
+                           lambda: bronze_ops.dedup_by_key(fixture.previous_extract(self.extract)),
+                           bucket_by=SOURCE_KEY)
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -175,7 +190,41 @@ class Warehouse:
     @cached_property
     def incoming_dedup(self) -> DataFrame:
         """The next delivery, one row per key (stored once, shared by CDC and loads)."""
-        return self._layer("scenario/incoming_dedup", lambda: bronze_ops.dedup_by_key(self.incoming))
+        return self._layer("scenario/incoming_dedup", lambda: bronze_ops.dedup_by_key(self.incoming),
+                           bucket_by=SOURCE_KEY)
+
+    def changes(self, mode: str) -> DataFrame:
+        """The classified stream of loading the next delivery in a mode."""
+        return bronze_ops.changes(self.previous, self.incoming_dedup, mode)
+
+    @cached_property
+    def correction(self) -> DataFrame:
+        """The classified stream of a full load that corrects, adds, removes and moves rows, stored once."""
+        return self._layer("scenario/correction", lambda: bronze_ops.changes(
+            self.previous, bronze_ops.dedup_by_key(fixture.corrected_extract(self.extract)), "full"),
+            partition_by=[bronze_ops.CHANGE])
+
+    @cached_property
+    def corrupted_bronze(self) -> DataFrame:
+        return self._layer("scenario/corrupted_bronze", lambda: bronze_ops.dedup_by_key(
+            fixture.corrupted_extract(self.extract)))
+
+    @cached_property
+    def snapshot_history(self) -> DataFrame:
+        """The history table after two snapshot runs, the second one repeated."""
+        from shelfmart.plans.q_changes import FIRST_SNAPSHOT, SECOND_SNAPSHOT
+        first, second = fixture.previous_extract(self.extract), self.incoming
+        runs = [bronze_ops.snapshot_rows(df, r.run_id, r.ingested_at)
+                for df, r in ((first, FIRST_SNAPSHOT), (second, SECOND_SNAPSHOT), (second, SECOND_SNAPSHOT))]
+        if self.store is None:
+            return runs[0].unionByName(runs[1])
+        path = f"{self.store}/scenario/snapshots"
+        with _lock(path):
+            if not store_ops.exists(self.spark, f"{path}/_DONE"):
+                for rows, r in zip(runs, (FIRST_SNAPSHOT, SECOND_SNAPSHOT, SECOND_SNAPSHOT)):
+                    store_ops.write_log(rows, path, r.run_id)
+                store_ops.write_text(self.spark, f"{path}/_DONE", "")
+        return store_ops.read_log(self.spark, path)
 
     @cached_property
     def customer_batches(self) -> DataFrame:

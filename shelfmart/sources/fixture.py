@@ -107,6 +107,28 @@ def incoming_extract(extract: DataFrame) -> DataFrame:
                         .otherwise(col("Quantity"))))
 
 
+#: Keys with this residue move to another day in the correcting delivery.
+MOVED_MODULUS, MOVED_RESIDUE, MOVED_TO = 11, 4, "7/4/1997"
+
+#: Texts that are no value of their column's type, on the rows whose key is a multiple.
+BAD_VALUES = {"Quantity": (101, "n/a"), "Sales": (103, "12,50"), "Order Date": (107, "2/30/1997"),
+              "Ship Date": (109, "soon"), "Discount": (109, "ten percent")}
+
+
+def corrected_extract(extract: DataFrame) -> DataFrame:
+    """The next delivery with some order dates corrected as well."""
+    moved = col("Row ID").cast("long") % MOVED_MODULUS == MOVED_RESIDUE
+    return incoming_extract(extract).withColumn(
+        "Order Date", F.when(moved, F.lit(MOVED_TO)).otherwise(col("Order Date")))
+
+
+def corrupted_extract(extract: DataFrame) -> DataFrame:
+    """The extract with values that cannot be cast (BAD_VALUES)."""
+    rid = col("Row ID").cast("long")
+    return extract.withColumns({c: F.when(rid % m == 0, F.lit(text)).otherwise(col(c))
+                                for c, (m, text) in BAD_VALUES.items()})
+
+
 def customer_number(customer_id: Column) -> Column:
     return F.substr(customer_id, F.lit(3)).cast("long")
 

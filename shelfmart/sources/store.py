@@ -9,13 +9,21 @@ Versioned publish (for the pipeline): a table is a set of ``v=N`` directories. A
 version is written beside the old one and becomes live by a small write after the data is
 complete: all tables of a warehouse together in its ``_PUBLISHED`` manifest, a table on its
 own in its ``_CURRENT`` pointer. A reader never sees a half-written table and the table
-being read is never overwritten in place.
+being read is never overwritten in place. A table that is partitioned may be live in
+several versions, each partition in one: the manifest then maps partitions to versions, and
+a run that touches a few of them writes only these.
+
+Bucketed tables: a folder written in buckets of a key is registered in the session's
+catalog, so that joins and aggregations on the key read it without an exchange. Its layout
+is stored beside the data, and any later session registers it again from there.
 """
 
 from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession
@@ -78,6 +86,66 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
     w.parquet(path)
 
 
+# ---- bucketed tables ---------------------------------------------------------------------
+
+def _table_name(path: str) -> str:
+    return "shelfmart_" + hashlib.sha256(path.encode()).hexdigest()[:24]
+
+
+def _quoted(names: Iterable[str]) -> str:
+    return ", ".join(f"`{n.replace('`', '``')}`" for n in names)
+
+
+def layout(spark: SparkSession, path: str) -> dict | None:
+    """How a bucketed table is laid out (key, buckets, partition and sort columns), None for others."""
+    text = read_text(spark, f"{path}/_LAYOUT")
+    return None if text is None else json.loads(text)
+
+
+@contextmanager
+def shuffled_into(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Plans made and run inside exchange into ``partitions`` partitions."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, partition_by: Iterable[str] = (),
+                   sort_by: str | None = None) -> None:
+    """Write ``df`` in ``buckets`` buckets of ``key``, replacing the folder.
+
+    Rows that come hash-partitioned on the key into as many partitions, as from an
+    aggregation or join on it (``shuffled_into``), make one file per bucket and partition
+    value; no exchange is added here."""
+    spark, name, parts = df.sparkSession, _table_name(path), list(partition_by)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")             # the catalog entry; the files are not the catalog's
+    delete(spark, path)
+    w = df.write.format("parquet").bucketBy(buckets, key).sortBy(sort_by or key).option("path", path)
+    (w.partitionBy(*parts) if parts else w).saveAsTable(name)
+    write_text(spark, f"{path}/_LAYOUT", json.dumps({
+        "key": key, "buckets": buckets, "partition_by": parts, "sort_by": sort_by or key,
+        "columns": spark.table(name)._jdf.schema().toDDL()}))
+
+
+def read_table(spark: SparkSession, path: str) -> DataFrame:
+    """A stored folder; bucketed ones with their buckets, whichever session wrote them."""
+    found = layout(spark, path)
+    if found is None:
+        return spark.read.parquet(path)
+    name = _table_name(path)
+    if not spark.catalog.tableExists(name):
+        parts = f"PARTITIONED BY ({_quoted(found['partition_by'])})" if found["partition_by"] else ""
+        spark.sql(f"CREATE TABLE {name} ({found['columns']}) USING parquet {parts} CLUSTERED BY ({_quoted([found['key']])}) "
+                  f"SORTED BY ({_quoted([found['sort_by']])}) INTO {found['buckets']} BUCKETS LOCATION '{path}'")
+        if parts:
+            spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+    return spark.table(name)
+
+
 def _manifest_hash(files: DataFrame) -> DataFrame:
     """One row that changes with any file's row: count, bytes and two order-free digests."""
     row = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in files.columns])
@@ -119,14 +187,14 @@ def _pointer(spark: SparkSession, table: str) -> dict | None:
     return None if text is None else json.loads(text)
 
 
-def current_version(spark: SparkSession, table: str) -> int | None:
+def current_version(spark: SparkSession, table: str) -> int | dict | None:
     """The live version: of the warehouse's manifest if the table is in one, else its own pointer."""
     root, layer, name = table.rsplit("/", 2)
     v = published(spark, root)["tables"].get(f"{layer}/{name}")
     if v is not None:
         return v
     own = _pointer(spark, table)
-    return None if own is None else int(own["version"])
+    return None if own is None else own["version"]
 
 
 def published(spark: SparkSession, root: str) -> dict:
@@ -135,13 +203,13 @@ def published(spark: SparkSession, root: str) -> dict:
     return json.loads(text) if text else {"run_id": None, "tables": {}, "base": {}}
 
 
-def base_versions(spark: SparkSession, root: str, run_id: str) -> dict[str, int]:
+def base_versions(spark: SparkSession, root: str, run_id: str) -> dict[str, int | dict]:
     """Versions a run starts from: a repeated run starts where its first attempt did."""
     now = published(spark, root)
     return now["base"] if now["run_id"] == run_id else now["tables"]
 
 
-def publish_all(spark: SparkSession, root: str, run_id: str, versions: dict[str, int]) -> None:
+def publish_all(spark: SparkSession, root: str, run_id: str, versions: dict[str, int | dict]) -> None:
     """Make the staged versions of one run live together, by one write of the manifest."""
     base = base_versions(spark, root, run_id)
     write_text(spark, f"{root.rstrip('/')}/_PUBLISHED", json.dumps(
@@ -149,20 +217,75 @@ def publish_all(spark: SparkSession, root: str, run_id: str, versions: dict[str,
 
 
 def read_current(spark: SparkSession, table: str) -> DataFrame | None:
-    v = current_version(spark, table)
-    return None if v is None else spark.read.parquet(f"{table}/v={v}")
+    return read_version(spark, table, current_version(spark, table))
+
+
+def read_version(spark: SparkSession, table: str, live: int | dict | None) -> DataFrame | None:
+    """A table at a version, or with each partition at its own (``live_parts``)."""
+    if live is None:
+        return None
+    if isinstance(live, int):
+        return read_table(spark, f"{table}/v={live}")
+    by: dict[int, list[str]] = {}
+    for part, v in live["parts"].items():
+        by.setdefault(v, []).append(part)
+    if not by:                                             # no partition is left
+        return spark.read.parquet(f"{table}/v={live['latest']}").filter(F.lit(False))
+    out = None
+    for v, parts in sorted(by.items()):
+        base = f"{table}/v={v}"
+        df = spark.read.option("basePath", base).parquet(*[f"{base}/{live['by']}={p}" for p in sorted(parts)])
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+def next_version(spark: SparkSession, table: str) -> int:
+    """A version number that no earlier write used; one left by a stopped run is never reused."""
+    now = current_version(spark, table)
+    v = 1 + (now if isinstance(now, int) else now["latest"] if now else 0)
+    while exists(spark, f"{table}/v={v}"):
+        v += 1
+    return v
 
 
 def stage(df: DataFrame, table: str, partition_by: list[str] | None = None) -> int:
     """Write the next version beside the current one without making it visible."""
-    spark = df.sparkSession
-    v = (current_version(spark, table) or 0) + 1
-    while exists(spark, f"{table}/v={v}"):  # an abandoned staged version is never reused
-        v += 1
+    v = next_version(df.sparkSession, table)
     write_table(df, f"{table}/v={v}", partition_by)
     return v
 
 
+def partitions(spark: SparkSession, path: str, by: str) -> list[str]:
+    """Values, as folder names hold them, of the first partition column of a stored folder."""
+    fs, p, _ = _jvm_fs(spark, path)
+    names = [f.getPath().getName() for f in fs.listStatus(p) if f.isDirectory()]
+    return sorted(n[len(by) + 1:] for n in names if n.startswith(f"{by}="))
+
+
+def stage_parts(df: DataFrame, table: str, by: str, before: int | dict | None = None,
+                replaced: Iterable[str] | None = None) -> dict:
+    """Stage the partitions that ``df`` holds and say where each partition of the table is then.
+
+    Partitions of ``before`` stay where they are, files untouched, unless they are in
+    ``replaced`` (None: all) or written anew."""
+    spark, v = df.sparkSession, next_version(df.sparkSession, table)
+    write_table(df, f"{table}/v={v}", [by])
+    kept: dict[str, int] = {}
+    if before is not None and replaced is not None:
+        old = before["parts"] if isinstance(before, dict) else {
+            p: before for p in partitions(spark, f"{table}/v={before}", by)}
+        gone = set(replaced)
+        kept = {p: n for p, n in old.items() if p not in gone}
+    return {"by": by, "latest": v, "parts": {**kept, **{p: v for p in partitions(spark, f"{table}/v={v}", by)}}}
+
+
+def live_parts(spark: SparkSession, table: str, live: int | dict | None, by: str) -> list[str]:
+    """Partition values of a table at a version."""
+    if live is None:
+        return []
+    return sorted(live["parts"]) if isinstance(live, dict) else partitions(spark, f"{table}/v={live}", by)
+
+
 def commit(spark: SparkSession, table: str, version: int, **notes) -> None:
     """Make a staged version of a table outside a warehouse the current one, by one small
     write; ``notes`` are kept beside it."""
@@ -193,3 +316,8 @@ def read_log(spark: SparkSession, path: str) -> DataFrame | None:
     if not exists(spark, path):
         return None
     return spark.read.parquet(path).drop("run")
+
+
+def read_run_log(spark: SparkSession, path: str, run_id: str) -> DataFrame:
+    """One run's rows of a log: its part is read alone, however many runs there were."""
+    return spark.read.parquet(f"{path}/run={quote(run_id, safe='')}")

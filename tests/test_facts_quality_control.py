@@ -84,10 +84,14 @@ def test_watermark_monotone_and_replay(spark):
     assert control.advance(cur, prop).first()["watermark_date"] == dt.date(2024, 1, 10)
     assert control.advance(cur, prop.withColumn("replay", F.lit(True))).count() == 0
     assert spark.range(1).select(control.overlap_start(F.lit(dt.date(2024, 1, 10)))).first()[0] == dt.date(2024, 1, 8)
-    assert control.is_noop(0, "append", False) and not control.is_noop(0, "full", False)
-    assert not control.is_noop(0, "upsert", True) and not control.is_noop(5, "upsert", False)
-    assert control.rebuild_bounds("append", "2024-01-01", None) == (None, None)
-    assert control.rebuild_bounds("full", "2024-01-01", None) == ("2024-01-01", None)
+    asked = [(0, "append", False), (0, "full", False), (0, "upsert", True), (5, "upsert", False), (0, "upsert", False), (None, "append", False)]
+    runs = spark.createDataFrame([(f"r{k}", m, r, n) for k, (n, m, r) in enumerate(asked)],
+                                 "run_id string, mode string, replay boolean, window_rows long")
+    assert [r["noop"] for r in control.noop_decisions(runs).orderBy("run_id").collect()] == [True, False, False, False, True, False]
+    scopes = control.rebuild_scopes(spark.createDataFrame(
+        [("a", "append", "2024-01-01", None), ("f", "full", "2024-01-01", None)],
+        "run_id string, mode string, start_date string, end_date string")).orderBy("run_id").collect()
+    assert [tuple(r)[2:] for r in scopes] == [(None, None), ("2024-01-01", None)]
 
 
 def test_ledger_latest_state(spark):
