@@ -7,8 +7,8 @@ compatible with the last token of the prefix before it: a suffix automaton over
 vocabulary lists the entries ending at each place, longest first, and the chain of last
 tokens, read from the end, gives the ids. No merge is ever replayed. Texts are split into
 words, and at the strings of special tokens, as the tokenizer file says; a word's ids depend
-on nothing outside it. Words are taken in sorted order, so that the prefix a word shares
-with the one before is not worked out again.
+on nothing outside it. The words of a batch go through the prefixes side by side, one byte
+of all of them at a time.
 
 On Spark it is one pass over the rows without a shuffle: a task holds one Arrow batch, the
 automaton of the (fixed) vocabulary and a bounded table of recent words.
@@ -18,7 +18,6 @@ from __future__ import annotations
 
 import json
 import re
-import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -30,9 +29,8 @@ from pyspark.sql import functions as F
 from shelfmart.llm.common import hand_back, worker_cache
 
 CACHE_WORDS = 200_000
-CACHE_PAIRS = 400_000
-CACHE_STEPS = 400_000
-LONG_WORD = 64                     # longer words are encoded each time and not remembered
+CACHE_PAIRS = 1 << 20              # places of remembered pairs; a new pair takes the place of an old one
+LONG_WORD = 64                     # longer words (in bytes) are encoded one by one and not remembered
 SLICE_CHARS = 1 << 20
 NONE = 1 << 40                     # rank of a merge that is not in the file
 
@@ -71,7 +69,7 @@ class Codec:
                 raise ValueError(f"two merges make the token {a + b!r}")
             self.rank[pair], self.halves[vocab[a + b]] = n, pair
         self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        self.pairs: dict[int, bool] = {}
+        self.pair_keys, self.pair_ok = np.full(CACHE_PAIRS, -1, np.int64), np.zeros(CACHE_PAIRS, bool)
         alphabet = byte_alphabet()
         if any(c not in vocab for c in alphabet):
             raise ValueError("a byte has no token")
@@ -95,48 +93,38 @@ class Codec:
     # ---- suffix automaton of the vocabulary -------------------------------------------------
 
     def _build_automaton(self) -> None:
-        """States are the prefixes of entries; a state stands for the longest one that ends at
-        a place, ``shorter`` for the next longest, and ``ending`` lists the entries among them
-        as (length, token), longest first."""
-        self.edges: dict[int, int] = {}                   # state << 8 | byte -> state
-        depth_order, ends = [0], [0]                      # token + 1 that a state is, or 0
+        """States are the prefixes of entries; a state stands for the longest one that ends at a
+        place. ``step[state, byte]`` is the next state, ``longest[state]`` the longest entry that
+        ends there, ``shorter[token]`` the next longest entry that ends where a token does (-1:
+        none) and ``size[token]`` its bytes."""
+        ends, children = [-1], [{}]                       # the token that a state is, and its longer states
         for text, token in self.whole.items():
             state = 0
             for byte in text:
-                key = state << 8 | byte
-                state = self.edges.get(key, 0)
-                if not state:
-                    state = self.edges[key] = len(ends)
-                    ends.append(0)
-            ends[state] = token + 1
-        children: list[list[tuple[int, int]]] = [[] for _ in ends]
-        for key, child in self.edges.items():
-            children[key >> 8].append((key & 255, child))
-        self.shorter = [0] * len(ends)
-        self.ending: list[tuple[tuple[int, int], ...]] = [()] * len(ends)
-        depth = [0] * len(ends)
-        for state in depth_order:                         # breadth first: shorter states are done
-            for byte, child in children[state]:
-                depth_order.append(child)
-                depth[child] = depth[state] + 1
-                if state:
-                    self.shorter[child] = self._walk(self.shorter[state], byte)
-                own = ((depth[child], ends[child] - 1),) if ends[child] else ()
-                self.ending[child] = own + self.ending[self.shorter[child]]
-        self.steps: dict[int, int] = {}
-
-    def _walk(self, state: int, byte: int) -> int:
-        found = self.edges.get(state << 8 | byte)
-        while found is None and state:
-            state = self.shorter[state]
-            found = self.edges.get(state << 8 | byte)
-        return found or 0
-
-    def _step(self, key: int) -> int:
-        if len(self.steps) >= CACHE_STEPS:
-            self.steps.clear()
-        found = self.steps[key] = self._walk(key >> 8, key & 255)
-        return found
+                if byte not in children[state]:
+                    children[state][byte] = len(ends)
+                    ends.append(-1)
+                    children.append({})
+                state = children[state][byte]
+            ends[state] = token
+        self.step = np.zeros((len(ends), 256), np.int32)
+        self.longest = np.full(len(ends), -1, np.int32)
+        self.size, self.shorter = (np.full(1 + max(self.bytes), fill, np.int32) for fill in (0, -1))
+        for text, token in self.whole.items():
+            self.size[token] = len(text)
+        suffix = [0] * len(ends)                          # the state of a state's longest proper suffix
+        order = [0]
+        for state in order:                               # breadth first: suffixes are done
+            if state:
+                self.step[state] = self.step[suffix[state]]
+                self.longest[state] = below = self.longest[suffix[state]]
+                if ends[state] >= 0:
+                    self.longest[state], self.shorter[ends[state]] = ends[state], below
+            for byte, child in children[state].items():
+                suffix[child] = int(self.step[suffix[state], byte]) if state else 0
+                order.append(child)
+            for byte, child in children[state].items():
+                self.step[state, byte] = child
 
     # ---- pair compatibility --------------------------------------------------------------
 
@@ -174,63 +162,97 @@ class Codec:
             else:
                 j += 1
 
-    def compatible(self, left: int, right: int) -> bool:
-        key = left << 32 | right
-        found = self.pairs.get(key)
-        if found is None:
-            if len(self.pairs) >= CACHE_PAIRS:
-                self.pairs.clear()
-            found = self.pairs[key] = self._compatible(left, right)
-        return found
+    def compatible(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """``_compatible`` of pairs of tokens. Pairs recur, so they are remembered, each at one place."""
+        key = left.astype(np.int64) << 32 | right
+        mixed = (key.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)
+        place = mixed.astype(np.int64) % len(self.pair_keys)
+        ok, new = self.pair_ok[place], np.flatnonzero(self.pair_keys[place] != key)
+        if len(new):
+            kinds, which = np.unique(key[new], return_inverse=True)
+            found = np.array([self._compatible(k >> 32, k & 0xFFFFFFFF) for k in kinds.tolist()], bool)
+            ok[new] = found[which]
+            self.pair_keys[place[new]], self.pair_ok[place[new]] = key[new], ok[new]
+        return ok
 
     # ---- encoding ----------------------------------------------------------------------------
 
     def encode_words(self, words: list[str]) -> list[bytes]:
-        """The ids of each word as little-endian int32 bytes. Sorted words share the work on
-        their common prefixes."""
-        step, known, ending = self.steps.get, self.pairs.get, self.ending
-        before = b""                                      # of its prefix of n bytes:
-        last, start, states = [-1], [0], [0]              # last token, where that starts, automaton state
-        out = []
-        for word in words:
-            text = word.encode("utf-8", "replace")
-            token = self.whole.get(text)
+        """The ids of each word as little-endian int32 bytes."""
+        texts = [w.encode("utf-8", "replace") for w in words]
+        out: list[bytes] = [b""] * len(texts)
+        short = []
+        for k, t in enumerate(texts):
+            token = self.whole.get(t)
             if token is not None:
-                out.append(token.to_bytes(4, "little"))
-                continue
-            n = 0
-            for n, (a, b) in enumerate(zip(before, text)):
-                if a != b:
-                    break
+                out[k] = token.to_bytes(4, "little")
+            elif len(t) <= LONG_WORD:
+                short.append(k)
             else:
-                n = min(len(before), len(text))
-            del last[n + 1:], start[n + 1:], states[n + 1:]
-            state, before = states[n], text
-            for end in range(n, len(text)):
-                key = state << 8 | text[end]
-                state = step(key)
-                if state is None:
-                    state = self._step(key)
-                for size, token in ending[state]:
-                    at = end + 1 - size
-                    if not at:
-                        break
-                    ok = known(last[at] << 32 | token)
-                    if ok is None:
-                        ok = self.compatible(last[at], token)
-                    if ok:
-                        break
-                last.append(token)
-                start.append(at)
-                states.append(state)
-            ids, at = [], len(text)
-            while at:
-                ids.append(last[at])
-                at = start[at]
-            ids.reverse()
-            out.append(struct.pack(f"<{len(ids)}i", *ids))
+                out[k] = self._encode_long(t)
+        short.sort(key=lambda k: -len(texts[k]))
+        for k, ids in zip(short, self._encode_short([texts[k] for k in short])):
+            out[k] = ids
         return out
 
+    def _encode_short(self, texts: list[bytes]) -> list[bytes]:
+        """Words side by side, longest first: after byte n, ``last`` holds the last token of the
+        prefix of n + 1 bytes of every word that is so long."""
+        if not texts:
+            return []
+        lengths = np.array([len(t) for t in texts], np.int64)
+        width = int(lengths[0])
+        data = np.frombuffer(b"".join([t.ljust(width, b"\0") for t in texts]), np.uint8).reshape(len(texts), width)
+        last, state = np.zeros((len(texts), width + 1), np.int32), np.zeros(len(texts), np.int32)
+        for n in range(width):
+            active = int(np.searchsorted(-lengths, -n, "left"))       # words longer than n
+            state = self.step[state[:active], data[:active, n]]
+            token = self.longest[state]
+            open_ = np.arange(active)
+            while len(open_):
+                t = token[open_]
+                at = n + 1 - self.size[t]
+                inside = np.flatnonzero(at > 0)           # a token from the start on needs no partner
+                ok = self.compatible(last[open_[inside], at[inside]], t[inside])
+                open_ = open_[inside[~ok]]
+                token[open_] = self.shorter[token[open_]]
+            last[:active, n + 1] = token
+        steps, who, at = [], np.arange(len(texts)), lengths.copy()
+        while len(who):                                   # back from the end
+            token = last[who, at[who]]
+            steps.append((who, token))
+            at[who] -= self.size[token]
+            who = who[at[who] > 0]
+        who, token = (np.concatenate(c) for c in zip(*steps))
+        ids = token[np.lexsort((-np.arange(len(who)), who))].astype("<i4").tobytes()
+        ends = (4 * np.cumsum(np.bincount(who, minlength=len(texts)))).tolist()
+        return [ids[s:e] for s, e in zip([0, *ends], ends)]
+
+    def _encode_long(self, text: bytes) -> bytes:
+        """One word, byte by byte."""
+        last, start, state, known = [-1], [0], 0, {}
+        size, shorter, longest = self.size.tolist(), self.shorter.tolist(), self.longest
+        for n, byte in enumerate(text):
+            state = self.step[state, byte]
+            token = int(longest[state])
+            while True:
+                at = n + 1 - size[token]
+                if not at:
+                    break
+                pair = last[at], token
+                if pair not in known:
+                    known[pair] = self._compatible(*pair)
+                if known[pair]:
+                    break
+                token = shorter[token]
+            last.append(token)
+            start.append(at)
+        ids, at = [], len(text)
+        while at:
+            ids.append(last[at])
+            at = start[at]
+        return np.array(ids[::-1], "<i4").tobytes()
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian int32 bytes."""
         parts = [[(self.special.get(p), p) for p in self.split(t)] if self.special else [(None, t)] for t in texts]
@@ -243,7 +265,7 @@ class Codec:
             for i, words in row:
                 if i is None:
                     missing.update(words)
-        new = sorted(missing.difference(self.known))
+        new = list(missing.difference(self.known))
         if new:
             self.known.update(zip(new, self.encode_words(new)))
         get = self.known.__getitem__
