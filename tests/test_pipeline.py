@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shelfmart.errors import DataQualityError
+from shelfmart.operators import bronze as bronze_ops
 from shelfmart.plans import pipeline
 from shelfmart.plans.pipeline import PipelineConfig
 from shelfmart.sources import files, fixture, store
@@ -147,6 +148,89 @@ def test_replay_of_changed_years(spark, sources, tmp_path):
     assert c.filter("customer_id = 'C-0new'").first()["customer_key"] == c.agg(F.max("customer_key")).first()[0]
 
 
+def part_files(root, table):
+    """Data files of a published year-partitioned table, by year, with their modification times."""
+    import glob
+    import json
+    import os
+    live = json.load(open(f"{root}/_PUBLISHED"))["tables"][table]
+    return {int(y): {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{root}/{table}/v={v}/order_year={y}/*.parquet")}
+            for y, v in live["parts"].items()}
+
+
+def test_replay_keeps_rows_that_move_out_of_the_window(spark, sources, tmp_path):
+    root = str(tmp_path / "wh")
+    pipeline.run(spark, cfg(root, sources["clean"], "run1"))
+    before, files_before = years(spark, root), {t: part_files(root, t) for t in (
+        "gold/fact_sales", "gold/sales_daily", "gold/sales_monthly", "silver/sales")}
+    extract = files.read_extract_csv(spark, sources["clean"])
+    out = (F.split("`Order Date`", "/")[2] == "1996") & (F.col("`Row ID`").cast("long") % 5 == 0)
+    n_out = extract.filter(out).select("Row ID").distinct().count()
+    files.write_extract_csv(extract.withColumn("Order Date", F.when(out, F.lit("6/15/1997")).otherwise(F.col("`Order Date`"))),
+                            str(tmp_path / "moved"))
+    r = pipeline.run(spark, cfg(root, str(tmp_path / "moved"), "run2", start_date="1996-01-01", end_date="1996-12-31",
+                                replay=True))
+    after = years(spark, root)
+    assert r.status == "SUCCESS" and n_out > 5 and r.silver_rows == r.gold_rows == r.bronze_rows - (
+        extract.count() - extract.select("Row ID").distinct().count())
+    assert after[1996][0] == before[1996][0] - n_out and after[1997][0] == before[1997][0] + n_out
+    assert all(after[y] == before[y] for y in before if y not in (1996, 1997))
+    totals_agree(spark, root)
+    daily = store.read_current(spark, f"{root}/gold/sales_daily").filter("order_date = date'1997-06-15'")
+    assert daily.agg(F.sum("transaction_count")).first()[0] >= n_out
+    for t, old in files_before.items():                     # other years are the very files of the first run
+        now = part_files(root, t)
+        assert set(now) == set(old) and all(now[y] == old[y] for y in old if y not in (1996, 1997)), t
+        assert all(not set(now[y]) & set(old[y]) for y in (1996, 1997)), t
+
+
+def test_a_replay_that_would_lose_rows_is_refused(spark, sources, tmp_path, monkeypatch):
+    from shelfmart.errors import ReconciliationError
+    from shelfmart.operators import silver as silver_ops
+    root = str(tmp_path / "wh")
+    pipeline.run(spark, cfg(root, sources["clean"], "run1"))
+    before = years(spark, root)
+    extract = files.read_extract_csv(spark, sources["clean"])
+    late = (F.split("`Order Date`", "/")[2] == "1996") & (F.col("`Row ID`").cast("long") % 5 == 0)
+    files.write_extract_csv(extract.withColumn("Order Date", F.when(late, F.lit("6/15/1997")).otherwise(F.col("`Order Date`"))),
+                            str(tmp_path / "moved"))
+    # a fault as it was before: rows that left the window are not rebuilt under their new date
+    plain = silver_ops.clean
+    monkeypatch.setattr(silver_ops, "clean", lambda rows, ctx, *a: plain(rows, ctx, *a).filter(F.lit(ctx.start_date is not None)))
+    with pytest.raises(ReconciliationError, match="would lose"):
+        pipeline.run(spark, cfg(root, str(tmp_path / "moved"), "run2", start_date="1996-01-01", end_date="1996-12-31",
+                                replay=True))
+    assert years(spark, root) == before
+
+
+def test_bad_values_fail_the_run_or_are_set_aside(spark, sources, tmp_path):
+    root = str(tmp_path / "wh")
+    bad = str(tmp_path / "bad")
+    files.write_extract_csv(fixture.corrupted_extract(fixture.source_extract(spark, SF_SMALL, dirty=False)), bad)
+    with pytest.raises(Exception):
+        pipeline.run(spark, cfg(root, bad, "run1"))
+    assert gold_count(spark, root) is None
+    r = pipeline.run(spark, cfg(root, bad, "run2", bad_values="route"))
+    rejected = spark.read.parquet(f"{root}/quarantine/sales_rejected")
+    bronze = bronze_ops.live(store.read_current(spark, f"{root}/bronze/sales"))
+    assert r.status == "SUCCESS" and r.rejected_rows == rejected.count() > 0
+    assert r.silver_rows == r.gold_rows == bronze.count() - r.rejected_rows
+    assert rejected.filter("failed_columns = ''").isEmpty()
+    totals_agree(spark, root)
+    names = {x[0] for x in store.read_current(spark, f"{root}/silver/sales").select("source_file").distinct().collect()}
+    assert names and all(n.startswith("part-") for n in names)       # the file each row came in
+    # the stored region summary is that of the fact
+    region = store.read_current(spark, f"{root}/gold/sales_by_region").agg(F.sum("sales"), F.sum("transaction_count")).first()
+    fact = store.read_current(spark, f"{root}/gold/fact_sales").agg(F.sum("sales"), F.count(F.lit(1))).first()
+    assert tuple(region) == tuple(fact)
+    # a replayed year of the same extract, still with bad values, loses nothing
+    again = pipeline.run(spark, cfg(root, bad, "run3", bad_values="route", start_date="1996-01-01", end_date="1996-12-31",
+                                    replay=True))
+    assert again.status == "SUCCESS" and again.silver_rows == r.silver_rows
+    with pytest.raises(ValueError):
+        pipeline.run(spark, cfg(root, bad, "run4", bad_values="drop"))
+
+
 def state(spark, root):
     """All logs and published tables as sorted rows, without the file names."""
     import glob
