@@ -1,31 +1,36 @@
 """Packing tokenised documents into training sequences: best-fit decreasing.
 
-Documents are tokenised in Arrow batches and cut into pieces of at most one window: full
-windows first, the rest of the document last. Pieces are dealt into groups whose number
-follows the text volume, so a group is bounded however large the corpus or one document is:
-by hash, or, where the order of the rows counts, by consecutive ranges of it. Inside a group the pieces are placed longest first into the tightest open
-window, which a segment tree indexed by remaining capacity finds in logarithmic time.
+Documents are tokenised where they are read and cut into pieces of at most one window: full
+windows first, the rest of the document last. The pieces of consecutive rows make a group
+of bounded size, and a task packs its groups one after the other, so no text and no token is
+shuffled. Inside a group the pieces are placed longest first into the tightest open window,
+which a segment tree indexed by remaining capacity finds in logarithmic time.
 """
 
 from __future__ import annotations
 
+import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.llm.common import id_and_text, null_ids, worker_cache
-from shelfmart.operators.keys import cumulative_count
+from shelfmart.llm.bpe_codec import byte_alphabet
+from shelfmart.llm.common import hand_back, worker_cache
+from shelfmart.operators.keys import PARTITION_SHIFT
 from shelfmart.session import ensure_checkpoint_dir
 
 END_ID = 1
 GROUP_CHARS = 16 << 20
-CACHE_WORDS = 400_000
-PIECE_SCHEMA = "doc_id long, no_id boolean, start long, length long, doc_tokens long, ids binary, at long"
+CACHE_WORDS = 300_000
+GROUP_BITS = 40                    # a sequence id holds its group's number above so many bits
+LEAST_GROUPS = 1 << 22             # and group numbers stay below twice this
+PACKED_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
 
 class WordIds(dict):
@@ -33,12 +38,16 @@ class WordIds(dict):
 
     The tokenizer drops white space and never joins text across it, so a text's ids are the
     ids of its words in order. Words are remembered because most recur; the memory is
-    bounded by CACHE_WORDS and forgotten as a whole. Words of ASCII letters, with at most
-    one ASCII mark behind, go to the model directly after lower-casing, as the normalizer
-    and the pre-tokenizer would pass them; all others go through the whole tokenizer.
+    bounded by CACHE_WORDS and forgotten as a whole. Words of printable ASCII and composed
+    Latin letters are lower-cased and split here, as the normalizer and the pre-tokenizer
+    would do, and go to the model part by part; all others, and all if the file turns out to
+    treat a trial otherwise, go through the whole tokenizer.
     """
 
-    MARKS = frozenset(",.;:!?")
+    SIMPLE = "[!-~\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+"
+    #: The split pattern of the file over these characters.
+    PARTS = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w]|_)+").findall
+    TRIAL = "Ab. don't (x12) ***é_ÀÉ'S 'll, <a|b> it's3,4 Œuvre"
 
     def __init__(self, tokenizer_json: str, special_tokens: bool = False):
         super().__init__()
@@ -46,25 +55,34 @@ class WordIds(dict):
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         if not special_tokens:                            # their strings in a text are ordinary text
             self.tokenizer.encode_special_tokens = True
-        self.model = self.tokenizer.model
-        probe = self.tokenizer.encode("Ab.", add_special_tokens=False).ids
-        self.direct = probe == self._model_ids("ab") + self._model_ids(".")
+        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special_tokens else []
+        without = "".join(f"(?!.*{re.escape(t)})" for t in special)
+        self.simple = re.compile(without + self.SIMPLE).fullmatch
+        self.model, self.alphabet = self.tokenizer.model, dict(enumerate(byte_alphabet()))
+        self.direct = True
+        self.direct = all(self._split(w) == self._whole(w) for w in self.TRIAL.split(" "))
+
+    def _whole(self, word: str) -> bytes:
+        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _part(self, part: str) -> bytes:
+        plain = part if part.isascii() else part.encode().decode("latin-1").translate(self.alphabet)
+        ids = [t.id for t in self.model.tokenize(plain)]
+        found = self[part] = struct.pack(f"<{len(ids)}I", *ids)
+        return found
 
-    def _model_ids(self, word: str) -> list[int]:
-        return [t.id for t in self.model.tokenize(word)]
+    def _split(self, word: str) -> bytes:
+        parts, known = self.PARTS(word.lower()), self.get
+        return b"".join([known(p) or self._part(p) for p in parts])
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
-        stem, mark = (word[:-1], word[-1]) if word[-1:] in self.MARKS else (word, "")
-        if self.direct and stem.isascii() and stem.isalpha():
-            low = stem.lower()
-            if mark or low != word:
-                found = self[low] + (self[mark] if mark else b"")
-            else:
-                found = np.array(self._model_ids(low), "<u4").tobytes()
+        if self.direct and self.simple(word):
+            found = self._split(word)
         else:
-            found = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+            found = self._whole(word)
         self[word] = found
         return found
 
@@ -169,68 +187,50 @@ def even_out(lengths: np.ndarray, window: np.ndarray, capacity: int) -> list[tup
     return rows
 
 
-def in_row_order(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, no_id, text, at): ``at`` counts the characters of the rows before, and one for each row.
+def _row_places(docs: DataFrame) -> tuple[DataFrame, Column, Column, list[Column]]:
+    """(docs, unit, row, order): the file or partition that a row is read from, the row's number
+    in it, and what orders the units.
 
-    The order is that of the files and the rows in them, as a writer numbers its files; of
-    rows that are not read from Parquet, that of the partitions.
-    """
-    ensure_checkpoint_dir(docs.sparkSession)
-    keys = ["part", "chunk", "name", "row"]
-    columns = [*id_and_text(docs, id_col, text_col).columns, *keys]
-    text = F.col(text_col).cast("string")
-    i = F.col(id_col).cast("long")
-    body = [F.coalesce(i, F.lit(0)), i.isNull(), text]
+    Files come in the order in which a writer numbers them; a name without a part number has
+    no place in it. Rows that are not read from files are in the order of their partitions."""
     try:
         meta = docs.metadataColumn("_metadata")
-        path = meta["file_name"]
-        number = lambda mark: F.coalesce(F.regexp_extract(path, mark, 1).try_cast("long"), F.lit(-1))
-        rows = docs.select(*body, number(r"part-(\d+)"), number(r"-c(\d+)"), F.xxhash64(meta["file_path"]),
-                           meta["row_index"]).toDF(*columns)
+        name = meta["file_name"]
+        number = lambda mark: F.regexp_extract(name, mark, 1).try_cast("long")
+        return docs, meta["file_path"], meta["row_index"], [number(r"part-(\d+)"), F.coalesce(number(r"-c(\d+)"), F.lit(-1))]
     except AnalysisException:
-        none = F.lit(0).cast("long")
-        rows = docs.select(*body, none, none, none, F.monotonically_increasing_id()).toDF(*columns).checkpoint()
-    narrow = rows.select(*keys, F.lit(1).alias("all"), (F.coalesce(F.length("text"), F.lit(0)) + 1).alias("n"))
-    counted = cumulative_count(narrow, "all", keys, "n", "at").select(*keys, "at")
-    return rows.join(counted, keys).select("doc_id", "no_id", "text", "at")
-
-
-def tokenise(rows: DataFrame, tokenizer_json: str, window: int, special_tokens: bool = False) -> DataFrame:
-    """PIECE_SCHEMA rows: every document's ids, then END_ID, cut into pieces of at most ``window``.
-
-    A piece's ``at`` is its document's plus its share of the characters. If ``rows`` have no
-    ``at``, it tells equal pieces of a task apart: 0 for the first of them."""
-    spark = rows.sparkSession
-    placed = "at" in rows.columns
-    shared = spark.sparkContext.broadcast(tokenizer_json)     # the vocabulary file: fixed size
-    end = np.array([END_ID], "<u4").tobytes()
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, task = _word_ids(shared.value, special_tokens), TaskContext.get().partitionId() + 1
-        for b in batches:
-            place = b["at"].tolist() if placed else [0] * len(b)
-            out, held = [], 0
-            for doc_id, no_id, text, at in zip(b["doc_id"].tolist(), b["no_id"].tolist(), b["text"], place):
-                ids = words.ids(text or "") + end
-                n, chars = len(ids) // 4, len(text or "") + 1
-                for s in range(0, n, window):
-                    piece = ids[4 * s:4 * (s + window)]
-                    out.append((doc_id, no_id, s, len(piece) // 4, n, piece, at + s * chars // n if placed else 0))
-                held += n
-                if held > 1 << 21:
-                    yield _frame(out, None if placed else task)
-                    out, held = [], 0
-            yield _frame(out, None if placed else task)
+        ensure_checkpoint_dir(docs.sparkSession)
+        kept = docs.checkpoint()
+        place = F.monotonically_increasing_id()
+        unit = F.shiftright(place, PARTITION_SHIFT)
+        return (kept, unit.cast("string"), place.bitwiseAND(F.lit((1 << PARTITION_SHIFT) - 1)), [unit, F.lit(0).cast("long")])
 
-    return rows.mapInPandas(run, PIECE_SCHEMA)
 
+def in_row_order(docs: DataFrame, id_col: str, text_col: str, group_chars: int) -> tuple[DataFrame, int]:
+    """((doc_id, text, at, step), positions per group): ``at`` rises with the order of the rows,
+    from one row to the next of a file by ``step``, which no row has as many tokens as.
 
-def _frame(rows: list[tuple], task: int | None) -> pd.DataFrame:
-    f = pd.DataFrame(rows, columns=["doc_id", "no_id", "start", "length", "doc_tokens", "ids", "at"])
-    if task is not None and f.duplicated(["doc_id", "start"]).any():
-        again = f.groupby(["doc_id", "start", "ids"], sort=False).cumcount()
-        f["at"] = np.where(again > 0, again + (task << 32), 0)
-    return f
+    Only one row per file (rows and longest text) is gathered, to give each file its range
+    of positions; the texts stay where they are read."""
+    spark = docs.sparkSession
+    placed, unit, row, order = _row_places(docs)
+    text = F.col(text_col).cast("string")
+    i = F.col(id_col).cast("long")
+    rows = placed.select(i, text, unit, row, *order).toDF("doc_id", "text", "unit", "row", "part", "chunk")
+    found = rows.groupBy("unit", "part", "chunk").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.coalesce(F.octet_length("text"), F.lit(0))).alias("longest"),
+        F.max("row").alias("last"), F.sum(F.coalesce(F.length("text"), F.lit(0)) + 1).alias("chars")).collect()
+    if any(f["part"] is None for f in found):
+        raise ValueError("the order of the rows is not known: a file's name holds no part number")
+    at, files = 0, []
+    for f in sorted(found, key=lambda f: (f["part"], f["chunk"], f["unit"])):
+        step = 4 * f["longest"] + 2                       # lower-casing and composing lengthen a text by less
+        files.append((f["unit"], at, step))
+        at += step * (f["last"] + 1)
+    chars = sum(f["chars"] for f in found)
+    span = max(group_chars * at // max(chars, 1), at // LEAST_GROUPS, 1)
+    starts = spark.createDataFrame(files, "unit string, first long, step long")
+    return rows.join(F.broadcast(starts), "unit").select("doc_id", "text", (F.col("first") + F.col("row") * F.col("step")).alias("at"), "step"), span
 
 
 def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str = "doc_id",
@@ -245,60 +245,78 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = 2048, id_col: str =
     leaves open is filled by cutting pieces of the emptiest windows. Repeated rows and null
     ids are documents like any other. An empty table gives no rows.
 
-    With ``in_order`` the order of the rows counts (``in_row_order``): a group takes the pieces
-    of consecutive rows, and sequences are numbered by group and by their earliest piece.
+    A group holds the pieces of consecutive rows of a task, of about ``group_chars``
+    characters. With ``in_order`` the order of the rows counts (``in_row_order``): groups do
+    not reach over a break in it, and sequences are numbered in it, by group and then by
+    their earliest piece.
     With ``special_tokens`` the strings of special tokens in a text get their own ids, as the
     tokenizer does when loaded; otherwise they are ordinary text.
     """
-    spark = docs.sparkSession
     with open(tokenizer_path, encoding="utf-8") as f:
         tokenizer_json = f.read()
-    chars = docs.agg(F.sum(F.length(F.col(text_col).cast("string"))) + F.count(F.lit(1))).first()[0] or 0
-    groups = max(1, -(-chars // group_chars))
     if in_order:
-        rows, group = in_row_order(docs, id_col, text_col), F.floor(F.col("at") / F.lit(group_chars))
+        rows, span = in_row_order(docs, id_col, text_col, group_chars)
     else:
-        rows = id_and_text(docs, id_col, text_col)
-        group = F.pmod(F.xxhash64("doc_id", "start", F.crc32("ids"), "at"), F.lit(groups))
-    pieces = tokenise(rows, tokenizer_json, window, special_tokens).withColumn("g", group)
-    order = ["at", "start"] if in_order else ["doc_id", "start"]
-
-    def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
-        for b in batches:                                    # rows are sorted by group
-            for g, part in b.groupby("g", sort=False):
-                if held and held[0]["g"].iat[0] != g:
-                    yield from _packed(pd.concat(held), window, in_order)
-                    held = []
-                held.append(part)
-        if held:
-            yield from _packed(pd.concat(held), window, in_order)
-
-    dealt = pieces.repartition(groups, "g").sortWithinPartitions("g", F.desc("length"), *order)
-    return null_ids(dealt.mapInPandas(place, "doc_id long, no_id boolean, start long, length long, doc_tokens long, "
-                                             "sequence_id long, offset long, ids binary"))
-
-
-def _packed(f: pd.DataFrame, window: int, in_order: bool = False) -> Iterator[pd.DataFrame]:
-    """Place one group; its sequences are numbered from group * 2^40."""
-    base = int(f["g"].iat[0]) << 40
-    lengths = f["length"].to_numpy(np.int64)
+        none = F.lit(None).cast("long")
+        rows, span = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                                 none.alias("at"), none.alias("step")), 0
+    shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)     # the vocabulary file: fixed size
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words, end = _word_ids(shared.value, special_tokens), struct.pack("<I", END_ID)
+        group: list[tuple] = []                           # (doc_id, start, length, doc_tokens, ids) in row order
+        held, number, expected, counted = 0, None, None, TaskContext.get().partitionId() << GROUP_BITS
+        for b in batches:
+            for doc_id, text, at, step in zip(b.column(0).to_pylist(), b.column(1), b.column(2).to_pylist(),
+                                              b.column(3).to_pylist()):
+                text = text.as_py() or ""
+                if group and in_order and (at != expected or at // span != number):
+                    yield from _packed(group, first, window, in_order)
+                    group, held = [], 0
+                ids = words.ids(text) + end
+                n = len(ids) // 4
+                for s in range(0, n, window):
+                    if not group:
+                        number = at // span if in_order else None
+                        first = (number << GROUP_BITS) + at - number * span + s if in_order else counted
+                    piece = ids[4 * s:4 * (s + window)]
+                    group.append((doc_id, s, len(piece) // 4, n, piece))
+                    held += 1 + len(text) * len(piece) // len(ids)
+                    if held >= group_chars:
+                        counted += len(group) + window
+                        yield from _packed(group, first, window, in_order)
+                        group, held = [], 0
+                expected = at + step if in_order else None
+        if group:
+            yield from _packed(group, first, window, in_order)
+        del group
+        hand_back()
+
+    return rows.mapInArrow(run, PACKED_SCHEMA)
+
+
+def _packed(group: list[tuple], first: int, window: int, in_order: bool = False) -> Iterator[pa.RecordBatch]:
+    """Place one group; its sequences are numbered from ``first``, fewer of them than its tokens."""
+    doc_id, start, length, doc_tokens, ids = zip(*group)
+    lengths = np.array(length, np.int64)
     which, _ = best_fit_decreasing(lengths, window)
-    rows = even_out(lengths, which, window)
-    at = np.array(rows, np.int64)
+    at = np.array(even_out(lengths, which, window), np.int64)
+    used, at[:, 3] = np.unique(at[:, 3], return_inverse=True)
     if in_order:
-        earliest = np.full(at[:, 3].max() + 1, np.iinfo(np.int64).max)
-        np.minimum.at(earliest, at[:, 3], f["at"].to_numpy(np.int64)[at[:, 0]])
+        earliest = np.full(len(used), len(group))
+        np.minimum.at(earliest, at[:, 3], at[:, 0])
         nth = np.empty_like(earliest)
         nth[np.argsort(earliest, kind="stable")] = np.arange(len(nth))
         at[:, 3] = nth[at[:, 3]]
-    ids, start = f["ids"].to_numpy(), f["start"].to_numpy(np.int64)
+    start, tokens = np.array(start, np.int64), np.array(doc_tokens, np.int64)
     for s in range(0, len(at), 4096):
         p, cut, n, w, offset = at[s:s + 4096].T
-        yield pd.DataFrame({
-            "doc_id": f["doc_id"].to_numpy()[p], "no_id": f["no_id"].to_numpy()[p], "start": start[p] + cut, "length": n,
-            "doc_tokens": f["doc_tokens"].to_numpy()[p], "sequence_id": base + w, "offset": offset,
-            "ids": [ids[i][4 * a:4 * (a + m)] for i, a, m in zip(p.tolist(), cut.tolist(), n.tolist())]})
+        rows = p.tolist()
+        yield pa.RecordBatch.from_arrays([
+            pa.array([doc_id[i] for i in rows], pa.int64()), pa.array(start[p] + cut), pa.array(n), pa.array(tokens[p]),
+            pa.array(first + w), pa.array(offset),
+            pa.array([ids[i][4 * a:4 * (a + m)] for i, a, m in zip(rows, cut.tolist(), n.tolist())], pa.binary())],
+            names=["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"])
 
 
 def default_tokenizer() -> str:
@@ -310,9 +328,3 @@ def digest(packed: DataFrame) -> DataFrame:
     """The pieces with a checksum of their ids instead of the ids."""
     return packed.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens",
                          "sequence_id", "offset")
-
-
-def write_sequences(packed: DataFrame, path: str) -> None:
-    """Store the pieces ordered within sequences, one file per shuffle partition."""
-    (packed.repartition("sequence_id").sortWithinPartitions("sequence_id", "offset")
-           .write.mode("overwrite").parquet(path))
