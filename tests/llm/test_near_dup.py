@@ -154,6 +154,31 @@ def test_remove_spans_keeps_the_other_words(spark):
     assert texts[None] == "no id"
 
 
+def test_keep_one_decides_by_row(spark):
+    long = "one two three four five six seven eight nine ten " * 8
+    other = "entirely different words stand in this second text of the very same document id " * 6
+    rows = [(1, "alpha beta gamma delta"), (1, other), (1, other), (2, long), (3, long), (None, "lost text"), (None, "lost text"),
+            (None, long), (4, None), (5, "")]
+    df = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], DOCS)
+    kept = simhash.keep_one(df)
+    assert kept.columns == df.columns
+    assert sorted(((r["doc_id"], r["text"]) for r in kept.collect()), key=str) == sorted(
+        [(1, "alpha beta gamma delta"), (1, other), (2, long), (None, "lost text"), (4, None)], key=str)
+
+
+def test_spans_are_cut_from_their_own_text(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = " ".join(f"q{i}" for i in range(90))
+    rows = [(1, passage + " first"), (2, "before " + passage), (2, own), (3, None), (None, passage)]
+    df = spark.createDataFrame([(i, t, 1, "x", 2) for i, t in rows], DOCS)
+    out = sorted(((r["doc_id"], r["text"]) for r in suffix_dedup.cut_repeats(df).collect()), key=str)
+    assert out == sorted([(1, passage + " first"), (2, "before "), (2, own), (3, None), (None, passage)], key=str)
+    single = df.filter("doc_id <> 2 or text like 'before%'")
+    out = sorted(((r["doc_id"], r["text"]) for r in suffix_dedup.cut_repeats(single).collect()), key=str)
+    assert out == [(1, passage + " first"), (2, "before "), (3, None)]
+    assert suffix_dedup.cut_repeats(df.limit(0)).isEmpty()
+
+
 def test_suffix_dedup_repeated_rows_and_empty_table(spark):
     text = " ".join(f"u{i}" for i in range(80))
     df = spark.createDataFrame([(1, text), (1, text), (2, text)], "doc_id long, text string")

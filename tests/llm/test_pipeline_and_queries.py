@@ -46,6 +46,56 @@ def test_pipeline_stages(spark, tmp):
     assert {r[0] for r in out.select("doc_id").distinct().collect()} == {r[0] for r in last.select("doc_id").distinct().collect()}
 
 
+def test_whole_pipeline_on_odd_rows(spark, tmp):
+    """run() from table to sequences: copies, repeated rows, nulls, one very long text."""
+    from tokenizers import Tokenizer
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    first = docs.filter("lang = 'en' and length(text) > 300").orderBy("doc_id").first()
+    long = " ".join(f"{w}{k}" for k, w in enumerate((first["text"] + " ").split() * 400))
+    extra = [(first["doc_id"],) + tuple(first)[1:], (90001, first["text"], "en", "src1", 0), (90002, None, "en", "src1", 0),
+             (90003, first["text"] + " " + long, None, None, 0), (None, first["text"], "en", "src2", 0)]
+    odd = docs.unionByName(spark.createDataFrame(extra, docs.schema))
+    odd.write.parquet(f"{tmp}/t/documents.parquet")
+    out = [r.asDict() for r in corpus_pipeline.run(spark, f"{tmp}/t").collect()]
+    ids = {r["doc_id"] for r in out}
+    assert first["doc_id"] in ids and not ids & {90001, 90002, None} and 90003 in ids
+    by_doc, by_sequence = {}, {}
+    for r in out:
+        by_doc.setdefault(r["doc_id"], []).append(r)
+        by_sequence.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for rows in by_doc.values():
+        at = 0
+        for r in sorted(rows, key=lambda r: r["start"]):
+            assert r["start"] == at
+            at += r["length"]
+        assert at == rows[0]["doc_tokens"]
+    for pieces in by_sequence.values():
+        at = 0
+        for offset, n in sorted(pieces):
+            assert offset == at
+            at += n
+        assert at <= 2048
+    kept = Tokenizer.from_file(packing.default_tokenizer())
+    plain = len(kept.encode(first["text"], add_special_tokens=False).ids) + 1
+    assert by_doc[first["doc_id"]][0]["doc_tokens"] <= plain
+    docs.limit(0).write.parquet(f"{tmp}/e/documents.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp}/e").isEmpty()
+
+
+def test_packing_refuses_an_order_it_cannot_know(spark, tmp):
+    import os
+    import pytest
+    spark.range(9).selectExpr("id AS doc_id", "'some words' AS text").coalesce(1).write.parquet(f"{tmp}/t")
+    name = next(n for n in os.listdir(f"{tmp}/t") if n.startswith("part-"))
+    os.makedirs(f"{tmp}/u")
+    with open(f"{tmp}/t/{name}", "rb") as f, open(f"{tmp}/u/extract.parquet", "wb") as g:
+        g.write(f.read())
+    ordered = packing.pack(spark.read.parquet(f"{tmp}/t"), packing.default_tokenizer(), in_order=True)
+    assert ordered.select("doc_id").distinct().count() == 9
+    with pytest.raises(ValueError, match="order"):
+        packing.pack(spark.read.parquet(f"{tmp}/u"), packing.default_tokenizer(), in_order=True)
+
+
 def test_mix_decides_the_packed_order(spark, tmp, monkeypatch):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     packed, digests = {}, {}
