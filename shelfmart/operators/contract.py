@@ -72,8 +72,9 @@ def drift_events(history: DataFrame) -> DataFrame:
 
 
 def registry(history: DataFrame) -> DataFrame:
-    """Latest registry row per source (hash, columns, version)."""
+    """Latest registry row per source (hash, columns, version), in the order of ``drift_history``."""
+    order = [c for c in ("observed_at", "run_id") if c in history.columns]
     return (history.groupBy("source_name")
                    .agg(F.max_by(F.struct("schema_hash", "columns", "schema_version", "observed_at"),
-                                 F.col("observed_at")).alias("_r"))
+                                 F.struct(*order)).alias("_r"))
                    .select("source_name", "_r.*"))

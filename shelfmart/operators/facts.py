@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfmart.config import LOCATION_COLUMNS
@@ -54,18 +54,35 @@ def fact_sales_natural(silver: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def fact_scd2_asof(silver: DataFrame, history: DataFrame) -> DataFrame:
-    """Customer version valid on each order date (valid_from <= d < valid_to).
-
-    An equi-join on customer_id with a range condition: each fact row meets only the
-    few versions of its own customer, never a cross product.
-    """
-    f = silver.select("row_id", "customer_id", "order_date")
-    h = history.select(F.col("customer_id").alias("_cid"), F.col("customer_key").alias("asof_customer_key"),
-                       "valid_from", "valid_to")
-    d = F.col("order_date").cast("timestamp_ntz")
-    cond = ((F.col("customer_id") == F.col("_cid")) & (F.col("valid_from") <= d) &
-            (F.col("valid_to").isNull() | (d < F.col("valid_to"))))
-    return f.join(h, cond, "left").select("row_id", "customer_id", "order_date", "asof_customer_key")
+    """Customer version valid on each order date (valid_from <= d < valid_to), null if none is.
+
+    A merge by time instead of a join of every row with all versions of its customer: rows
+    and versions are laid out by customer and month, in the order of time, and the last
+    version before a row is carried to it. A month starts with the versions that are valid
+    when it does, which are looked up per customer and month, not per row. So a customer
+    with many rows is split by months, and a row meets one version.
+
+    Versions of one customer do not overlap. Rows without a customer or a date have none."""
+    month = lambda c: F.trunc(c, "month")
+    at = F.col("order_date").cast("timestamp_ntz")
+    f = silver.select("row_id", "customer_id", "order_date", month("order_date").alias("_month"), at.alias("_at"))
+    h = history.select(F.col("customer_id").alias("_cid"), F.struct(
+        F.col("customer_key").alias("key"), F.col("valid_to").alias("until")).alias("_version"), "valid_from", "valid_to")
+    months = f.filter(F.col("customer_id").isNotNull() & F.col("_month").isNotNull()).select(
+        "customer_id", "_month").distinct()
+    # the versions that some day of a customer's month can need, each at its start or the month's
+    begins, ends = F.col("_month").cast("timestamp_ntz"), F.add_months("_month", 1).cast("timestamp_ntz")
+    reach = months.join(h, (F.col("customer_id") == F.col("_cid")) & (F.col("valid_from") < ends)
+                        & (F.col("valid_to").isNull() | (F.col("valid_to") > begins)))
+    starts = reach.select(F.lit(None).cast("long").alias("row_id"), "customer_id", F.lit(None).cast("date").alias("order_date"),
+                          "_month", F.greatest("valid_from", begins).alias("_at"), "_version")
+    laid = starts.unionByName(f.withColumn("_version", F.lit(None).cast(h.schema["_version"].dataType)))
+    in_time = (Window.partitionBy("customer_id", "_month").orderBy("_at", F.col("_version").isNull())
+                     .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    carried = laid.withColumn("_last", F.last("_version", ignorenulls=True).over(in_time)).filter(F.col("_version").isNull())
+    until = F.col("_last.until")
+    valid = F.col("customer_id").isNotNull() & F.col("_at").isNotNull() & (until.isNull() | (F.col("_at") < until))
+    return carried.select("row_id", "customer_id", "order_date", F.when(valid, F.col("_last.key")).alias("asof_customer_key"))
 
 
 MEASURES = ["sales", "quantity", "profit", "transaction_count"]

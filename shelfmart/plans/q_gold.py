@@ -494,13 +494,41 @@ CTES.update({
 })
 
 
+DELIVERY_ROWS_PER_FILE = 500_000
+
+
+def _delivery_lines(w: Warehouse) -> DataFrame:
+    """(run_seq, file, line): the landed extract as the CSV lines of one delivery per order month,
+    in files of bounded size, each with the header of its delivery."""
+    runs = _runs(w).select("month", "run_seq")
+    seq = F.col("run_seq")
+    head = (F.when(seq % 10 == 0, F.lit(_ADDED)).when(seq % 10 == 5, F.lit(_DROPPED))
+             .when(seq % 20 == 7, F.lit(_BROKEN)).otherwise(F.lit(_STD)))
+    month = F.trunc(F.to_date(col("Order Date"), "M/d/yyyy"), "month")
+    n_files = 1 + w.extract.count() // DELIVERY_ROWS_PER_FILE
+    rows = w.extract.select("*", month.alias("month"), F.pmod(F.xxhash64(col("Row ID")), F.lit(n_files)).alias("file")).join(
+        F.broadcast(runs), "month")                      # one row per month
+    cell = lambda c: F.concat(F.lit('"'), F.replace(F.coalesce(col(c), F.lit("")), F.lit('"'), F.lit('""')), F.lit('"'))
+    column = {c: cell(c) for c in SOURCE_COLUMNS}
+    names = lambda text: [column.get(c, F.lit('""')) for c in text.split(",")]
+    line = F.when(seq % 10 == 0, F.concat_ws(",", *names(_ADDED))).when(seq % 10 == 5, F.concat_ws(",", *names(_DROPPED))).when(
+        seq % 20 == 7, F.concat_ws(",", *names(_BROKEN))).otherwise(F.concat_ws(",", *names(_STD)))
+    data = rows.select("run_seq", "file", F.lit(1).alias("place"), line.alias("line"))
+    heads = rows.select("run_seq", "file").distinct().select("run_seq", "file", F.lit(0).alias("place"), head.alias("line"))
+    return heads.unionByName(data)
+
+
 def _observations(w: Warehouse) -> DataFrame:
-    r = _runs(w)
-    cols = (F.when(F.col("run_seq") % 10 == 0, F.lit(_ADDED)).when(F.col("run_seq") % 10 == 5, F.lit(_DROPPED))
-             .when(F.col("run_seq") % 20 == 7, F.lit(_BROKEN)).otherwise(F.lit(_STD)))
-    return r.select(F.lit(SOURCE_NAME).alias("source_name"), "run_id",
-                    F.timestamp_add("MINUTE", F.col("run_seq"), F.lit(LEDGER_BASE).cast("timestamp_ntz"))
-                    .alias("observed_at"), cols.alias("columns"))
+    """The header of every delivery, read from the files it consists of."""
+    from shelfmart.sources import files, store
+    path = f"{w.store}/landing/deliveries"
+    if not store.committed(w.spark, path):
+        (_delivery_lines(w).repartition("run_seq", "file").sortWithinPartitions("run_seq", "file", "place")
+         .select("run_seq", "file", "line").write.mode("overwrite").partitionBy("run_seq", "file").text(path))
+    heads = files.file_headers(w.spark, path).select(F.col("run_seq").cast("long").alias("run_seq"), "columns").distinct()
+    return heads.join(_runs(w).select("run_id", "run_seq"), "run_seq").select(
+        F.lit(SOURCE_NAME).alias("source_name"), "run_id",
+        F.timestamp_add("MINUTE", F.col("run_seq"), F.lit(LEDGER_BASE).cast("timestamp_ntz")).alias("observed_at"), "columns")
 
 
 @query("schema_hash", build("SELECT source_name, run_id, columns, sha256(columns) AS schema_hash FROM obs", "obs"))

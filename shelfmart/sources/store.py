@@ -292,6 +292,27 @@ def commit(spark: SparkSession, table: str, version: int, **notes) -> None:
     write_text(spark, f"{table}/_CURRENT", json.dumps({"version": version, **notes}))
 
 
+def retire(spark: SparkSession, table: str, keep: int = 1) -> list[int]:
+    """Delete the versions of a table that are neither live, nor what a repeated run would start
+    from, nor among the ``keep`` newest of the others; returns them. A reader may hold a
+    version for as long as ``keep`` later ones take to be written."""
+    root, layer, name = table.rsplit("/", 2)
+    manifest_ = published(spark, root)
+    used: set[int] = set()
+    for now in (manifest_["tables"].get(f"{layer}/{name}"), manifest_["base"].get(f"{layer}/{name}"),
+                (_pointer(spark, table) or {}).get("version")):
+        if isinstance(now, dict):
+            used.update(now["parts"].values(), [now["latest"]])
+        elif now is not None:
+            used.add(now)
+    newest = max(used, default=0)
+    free = sorted((int(v) for v in partitions(spark, table, "v") if int(v) not in used and int(v) < newest), reverse=True)
+    for v in free[keep:]:
+        spark.sql(f"DROP TABLE IF EXISTS {_table_name(f'{table}/v={v}')}")
+        delete(spark, f"{table}/v={v}")
+    return sorted(free[keep:])
+
+
 def pointer_note(spark: SparkSession, table: str, name: str, default=None):
     return (_pointer(spark, table) or {}).get(name, default)
 

@@ -90,6 +90,38 @@ def test_microbatch_survivor_does_not_depend_on_the_batch(spark, tmp):
     assert [r["Quantity"] for r in store.read_current(spark, f"{tmp}/t").collect()] == ["1"]
 
 
+def test_polling_publishes_while_it_runs(spark, tmp):
+    from shelfmart.streaming.ingest import poll
+    ex = fixture.source_extract(spark, SF_SMALL).limit(300).cache()
+    key = F.col("`Row ID`").cast("long")
+    row = lambda parity: bronze.dedup_by_key(ex.filter(key % 2 == parity))
+    stage_files(ex.filter(key % 2 == 0), f"{tmp}/in", n_files=1)
+    query = poll(spark, f"{tmp}/in", f"{tmp}/bronze", f"{tmp}/ckpt", "0 seconds")
+    try:
+        query.processAllAvailable()
+        assert store.read_current(spark, f"{tmp}/bronze").exceptAll(row(0)).isEmpty()
+        ex.filter(key % 2 == 1).coalesce(1).write.mode("append").options(**files._CSV_OPTS).csv(f"{tmp}/in")
+        query.processAllAvailable()
+        assert query.isActive                               # current while the query runs
+        got, want = store.read_current(spark, f"{tmp}/bronze"), bronze.dedup_by_key(ex)
+        assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    finally:
+        query.stop()
+    assert store.partitions(spark, f"{tmp}/bronze/_landing", "batch") == []
+    assert store.retire(spark, f"{tmp}/bronze", keep=0) == [1] and store.read_current(spark, f"{tmp}/bronze").count() == want.count()
+
+
+def test_retired_versions_are_those_nobody_reads(spark, tmp):
+    df = spark.createDataFrame([(y, y) for y in (1, 2, 3)], "y int, n int")
+    t, now = f"{tmp}/wh/gold/t", None
+    for k in range(5):                                       # year 1 stays in version 1
+        now = store.stage_parts(df.filter("y <> 1") if k else df, t, "y", now, ["2", "3"] if k else None)
+        store.publish_all(spark, f"{tmp}/wh", f"run{k}", {"gold/t": now})
+    assert now["parts"] == {"1": 1, "2": 5, "3": 5}
+    assert store.retire(spark, t, keep=1) == [2]             # 4 is what a repeat of run4 starts from, 3 is kept
+    assert store.read_current(spark, t).count() == 3
+
+
 def test_checkpoint_folder_is_required_off_local_masters(spark):
     from types import SimpleNamespace
 
