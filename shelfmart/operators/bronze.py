@@ -56,7 +56,8 @@ CHANGE, LIVE, OLD = "_change", "_live", "_old"
 KEEP, INSERT, UPDATE, DELETE = "KEEP", "INSERT", "UPDATE", "DELETE"
 
 
-def changes(existing: DataFrame | None, delivery: DataFrame, mode: str, key: str = SOURCE_KEY) -> DataFrame:
+def changes(existing: DataFrame | None, delivery: DataFrame, mode: str, key: str = SOURCE_KEY,
+            window: tuple[str | None, str | None] = (None, None)) -> DataFrame:
     """Every key of the stored state or the delivery, once, with what the load does to it.
 
     Columns: the row as it is after the load (of a deleted key, as it was), then CHANGE
@@ -70,6 +71,8 @@ def changes(existing: DataFrame | None, delivery: DataFrame, mode: str, key: str
     full / snapshot: a key that does not arrive is a DELETE and leaves the state.
     upsert: it is a DELETE, recorded and hidden for this run, and stays in the state.
     append: a partial file deletes nothing; it is a KEEP.
+    With a ``window`` of order dates the delivery speaks for that window alone: a stored row
+    outside it that does not arrive is a KEEP in every mode.
     """
     check_load_mode(mode)
     if existing is None:
@@ -82,14 +85,18 @@ def changes(existing: DataFrame | None, delivery: DataFrame, mode: str, key: str
     arrived, stored = d_of[key].isNotNull(), e_of[key].isNotNull()
     compared, others = ([c for c in names if c != SOURCE_FILE] for names in (before, after))
     differs = rows_differ([e_of[c] for c in compared], [d_of[c] for c in compared]) if compared == others else F.lit(True)
-    missing = KEEP if mode == "append" else DELETE
-    change = F.when(~stored, INSERT).when(~arrived, missing).when(differs, UPDATE).otherwise(KEEP)
+    missing, spoken_for = (KEEP if mode == "append" else DELETE), F.lit(True)
+    for bound, at_least in zip(window, (True, False)):
+        if bound is not None:
+            day, limit = F.try_to_date(e_of["Order Date"], SOURCE_DATE_FORMAT), F.lit(bound).cast("date")
+            spoken_for = spoken_for & F.coalesce(day >= limit if at_least else day <= limit, F.lit(False))
+    change = F.when(~stored, INSERT).when(~arrived, F.when(spoken_for, missing).otherwise(KEEP)).when(differs, UPDATE).otherwise(KEEP)
     nothing = F.lit(None)
     row = [F.when(arrived, d_of.get(c, nothing)).otherwise(e_of.get(c, nothing)).alias(c)
            for c in [*before, *[c for c in after if c not in before]]]
     image = F.struct(*[e_of[c].alias(c) for c in before])
     return e.join(d, e_of[key] == d_of[key], "full_outer").select(
-        *row, change.alias(CHANGE), (F.lit(True) if mode in ("append", "upsert") else arrived).alias(LIVE),
+        *row, change.alias(CHANGE), (F.lit(True) if mode in ("append", "upsert") else arrived | ~spoken_for).alias(LIVE),
         F.when(stored & arrived & differs, image).alias(OLD))
 
 
@@ -99,6 +106,26 @@ def live(stored: DataFrame) -> DataFrame:
     return rows.drop(CHANGE, LIVE, OLD, ORDER_DAY, ORDER_YEAR)
 
 
+def years_to_load(stored: DataFrame, delivery: DataFrame, window: tuple[str | None, str | None], mode: str,
+                  key: str = SOURCE_KEY) -> DataFrame:
+    """(year): the order years whose stored rows an incremental load can change. Those of the
+    delivered rows, of stored rows with a delivered key (keys and years alone are read), of
+    rows that the last load hid, and, where missing rows are deletions, of the window."""
+    year = F.col(ORDER_YEAR).alias("year")
+    delivered = with_order_day(delivery, lenient=True).select(year)
+    keys = delivery.select(col(key).alias("_k"))
+    matched = stored.filter(F.col(LIVE)).join(keys, col(key) == F.col("_k"), "left_semi").select(year)
+    hidden = stored.filter(F.col(LIVE) & (F.col(CHANGE) == DELETE)).select(year)
+    out = delivered.unionByName(matched).unionByName(hidden)
+    if mode == "upsert":
+        held = stored.select(year)
+        for bound, at_least in zip(window, (True, False)):
+            if bound is not None:
+                held = held.filter(F.col("year") >= int(bound[:4]) if at_least else F.col("year") <= int(bound[:4]))
+        out = out.unionByName(held)
+    return out.distinct()
+
+
 def images(stored: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(before, after): the changed rows of a classified stream as they were and as they are."""
     names = [c for c in stored.columns if c not in (CHANGE, LIVE, OLD, ORDER_DAY, ORDER_YEAR)]

@@ -189,11 +189,6 @@ def years_touched(day: Column, start: str | None, end: str | None, more: list[in
     return F.coalesce(inside | year.isin(list(more)) if more else inside, F.lit(True))
 
 
-def replace_years(current: DataFrame, fresh: DataFrame, touched: Column) -> DataFrame:
-    """``current`` with its touched years replaced by those of ``fresh``."""
-    return current.filter(~touched).select(*fresh.columns).unionByName(fresh.filter(touched))
-
-
 def reconcile_fact_daily(fact: DataFrame, daily: DataFrame, tol: float) -> DataFrame:
     """Q1: totals of the fact and of the daily rollup must agree (NULL -> fail)."""
     f = fact.agg(F.sum("sales").alias("fact_sales"), F.sum("profit").alias("fact_profit"),

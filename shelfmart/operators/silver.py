@@ -82,6 +82,11 @@ def in_window(day: Column, start: str | None, end: str | None) -> Column:
     return inside
 
 
+def in_days(extract: DataFrame, start: str | None, end: str | None) -> DataFrame:
+    """Landed rows with an order date in the window; a date that cannot be read is in none."""
+    return _window_filter(extract, start, end, lenient=True)
+
+
 def selectable(bronze: DataFrame, run_id: str | None = None, deletions: DataFrame | None = None,
                start: str | None = None, end: str | None = None,
                key: str = SOURCE_KEY, lenient: bool = False) -> DataFrame:

@@ -28,6 +28,7 @@ from shelfmart.plans.warehouse import run_concurrently
 from shelfmart.sources import files, store
 
 LOGGER = logging.getLogger(__name__)
+SILVER_READ = "bronze/sales read by silver"      # manifest entry: the bronze version of each year that silver holds
 YEAR = "order_year"                 # partition column of the tables that a replay changes year by year
 
 
@@ -46,6 +47,8 @@ class PipelineConfig:
     bad_values: str = "fail"        # a value that cannot be cast fails the run, or 'route': its row is set aside
     pipeline_name: str = "retail_sales"
     source_name: str = field(default="")
+    incremental: bool = False       # append and upsert change only the order years they touch; an upsert's
+    #                                 delivery then speaks for the window that starts at the overlap alone
     deep_fingerprint: bool = False  # hash source bytes (small sources) instead of listing metadata
 
     def table(self, layer: str, name: str) -> str:
@@ -137,12 +140,16 @@ class _Stage:
         v = self.versions[f"{layer}/{name}"] = store.stage(df, t)
         return store.read_version(self.spark, t, v)
 
-    def put_bucketed(self, layer: str, name: str, df: DataFrame, key: str, buckets: int, partition_by: list[str],
-                     sort_by: str) -> DataFrame:
-        t = self.cfg.table(layer, name)
-        v = self.versions[f"{layer}/{name}"] = store.next_version(self.spark, t)
-        store.write_bucketed(df, f"{t}/v={v}", key, buckets, partition_by, sort_by)
-        return store.read_version(self.spark, t, v)
+    def put_bronze(self, df: DataFrame, key: str, buckets: int, replaced: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+        """Stage the classified stream of a load, in buckets of the key; (table, what was written). With
+        ``replaced`` it holds those order years alone and the others stay in the files they are in."""
+        t, before, by = self.cfg.table("bronze", "sales"), self.base.get("bronze/sales"), bronze_ops.ORDER_YEAR
+        v = store.next_version(self.spark, t)
+        store.write_bucketed(df, f"{t}/v={v}", key, buckets, [by, bronze_ops.CHANGE], bronze_ops.ORDER_DAY)
+        now = v if replaced is None else store.parts_map(
+            self.spark, t, v, by, store.layout(self.spark, f"{t}/v={v}")["columns"], before, replaced)
+        self.versions["bronze/sales"] = now
+        return store.read_version(self.spark, t, now), store.read_version(self.spark, t, v)
 
     def put_years(self, layer: str, name: str, df: DataFrame, day: str, touched=None) -> DataFrame:
         """Stage a table by the years of ``day``. With ``touched`` (years as a condition) ``df`` holds
@@ -176,17 +183,26 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
                         cfg.table("bronze", "sales_snapshots"), cfg.run_id)
     # the delivery is deduplicated once and stored in the buckets of the stored state, so the one
     # join that classifies every key exchanges neither side; all that follows reads its result
+    table, live = cfg.table("bronze", "sales"), stage.base.get("bronze/sales")
     stored, route = stage.before("bronze", "sales"), cfg.bad_values == "route"
-    laid = None if stored is None else store.layout(spark, f"{cfg.table('bronze', 'sales')}/v={stage.base['bronze/sales']}")
+    laid = None if live is None else store.layout(spark, f"{table}/v={live['latest'] if isinstance(live, dict) else live}")
     buckets = laid["buckets"] if laid else int(spark.conf.get("spark.sql.shuffle.partitions"))
     delivered = cfg.table("bronze", f"sales_delivery/run={cfg.run_id}")
+    few = cfg.incremental and mode in ("append", "upsert") and stored is not None and not cfg.replay
+    window = (start, end) if few and mode == "upsert" else (None, None)
+    loaded: list[str] | None = None
     with store.shuffled_into(spark, buckets):
-        store.write_bucketed(bronze_ops.dedup_by_key(extract), delivered, SOURCE_KEY, buckets)          # B13
+        store.write_bucketed(silver_ops.in_days(bronze_ops.dedup_by_key(extract), *window), delivered, SOURCE_KEY, buckets)  # B13
+        delivery = store.read_table(spark, delivered)
+        if few:                                                         # C3: only the order years it can change
+            years = [r["year"] for r in bronze_ops.years_to_load(stored, delivery, window, mode).collect()]
+            loaded = [store.NO_VALUE if y is None else str(y) for y in years]
+            stored = store.read_version(spark, table, store.only_parts(
+                store.as_map(spark, table, live, bronze_ops.ORDER_YEAR), loaded))
         existing = None if stored is None else bronze_ops.live(stored)
-        classified = bronze_ops.changes(existing, store.read_table(spark, delivered), mode)           # B4-B12
-        bronze = stage.put_bucketed("bronze", "sales", bronze_ops.with_order_day(classified, route), SOURCE_KEY, buckets,
-                                    [bronze_ops.CHANGE, bronze_ops.ORDER_YEAR], bronze_ops.ORDER_DAY)
-    log(cdc.events(bronze, cfg.run_id, cfg.now), "cdc_events")              # B7, from the changed partitions
+        classified = bronze_ops.changes(existing, delivery, mode, window=window)           # B4-B12
+        bronze, written = stage.put_bronze(bronze_ops.with_order_day(classified, route), SOURCE_KEY, buckets, loaded)
+    log(cdc.events(written, cfg.run_id, cfg.now), "cdc_events")              # B7, from the changed partitions
     log(cdc.source_deletions(store.read_run_log(spark, cfg.log("cdc_events"), cfg.run_id), mode), "source_deletions")   # B8
 
     # ---- NOOP decision (C4) -------------------------------------------------------------------
@@ -207,21 +223,35 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     ctx = RunContext(cfg.run_id, cfg.now, cfg.source_name, s_start, s_end)
     log(silver_ops.profile_long(silver_ops.profile(extract), cfg.run_id).withColumn("profiled_at", at("x")),   # V1, V2
         "data_profile_results")
-    fresh, rejected = silver_ops.route_bad_values(bronze, ctx) if route else (silver_ops.clean(bronze, ctx), None)
+    # silver last read these versions of the order years; an incremental load rebuilds the years that
+    # were written since, by this run or by one that stopped at bronze
+    years_now = store.as_map(spark, table, stage.versions["bronze/sales"], bronze_ops.ORDER_YEAR)
+    read_before = stage.base.get(SILVER_READ)
+    few = few and read_before is not None and stage.before("silver", "sales") is not None
+    source, changed = bronze, []
+    if few:
+        now, then = years_now["parts"], read_before["parts"]
+        changed = [p for p in {*now, *then} if now.get(p) != then.get(p)]
+        source = store.read_version(spark, table, store.only_parts(years_now, changed))
+    fresh, rejected = silver_ops.route_bad_values(source, ctx) if route else (silver_ops.clean(source, ctx), None)
     built = stage.put("silver", "sales_window", fresh)
     n_rejected = 0
     if route:                                                           # V4, V11, V13
         set_aside = cfg.table("quarantine", "sales_rejected")
         store.write_log(rejected, set_aside, cfg.run_id)
-        counts = silver_ops.reconcile_routed(bronze, built, store.read_run_log(spark, set_aside, cfg.run_id), ctx)
+        counts = silver_ops.reconcile_routed(source, built, store.read_run_log(spark, set_aside, cfg.run_id), ctx)
         n_rejected = counts.first()["rejected_rows"]
         silver_ops.assert_reconciled(counts)
     else:
-        silver_ops.assert_reconciled(silver_ops.reconcile_bronze_silver(bronze, built, ctx))     # V13
+        silver_ops.assert_reconciled(silver_ops.reconcile_bronze_silver(source, built, ctx))     # V13
     stored_silver = stage.before("silver", "sales")
     # a replay of a window keeps every row outside it
     partial = cfg.replay and stored_silver is not None and (s_start is not None or s_end is not None)
     touched, in_years = None, lambda day: F.lit(True)
+    if few:
+        numbers = [int(y) for y in changed if y != store.NO_VALUE]
+        touched = lambda y: y in numbers
+        in_years = lambda day: F.coalesce(F.year(day).isin(numbers), F.lit(True))
     if partial:
         old = stored_silver.drop(YEAR)
         outside = ~F.coalesce(silver_ops.in_window(F.col("order_date"), s_start, s_end), F.lit(False))
@@ -249,7 +279,7 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
 
     # ---- gold (staged, published after validation) -----------------------------------------------
     def dimension(name: str, df: DataFrame, business: list[str], key: str) -> DataFrame:
-        old = stage.before("gold", name) if partial else None
+        old = stage.before("gold", name) if partial or few else None
         return stage.put("gold", name, df if old is None else dims.keep_keys(old, df, business, key))
 
     # independent tables are written concurrently (their small jobs overlap)
@@ -294,6 +324,11 @@ def _run(spark: SparkSession, cfg: PipelineConfig, start: str | None, end: str |
     failed = quality.enforce(results, cfg.failure_mode)                 # raises under STOP
 
     # ---- publish all tables, watermark, ledger --------------------------------------------------------
+    if partial:                             # the other years of silver are not of this bronze
+        then = (read_before or {"parts": {}})["parts"]
+        years_now = {**years_now, "parts": {y: v if not y.isdigit() or touched(int(y)) else then.get(y, -1)
+                                            for y, v in years_now["parts"].items()}}
+    stage.versions[SILVER_READ] = years_now
     stage.publish()
     if not cfg.replay:                                                   # C2
         max_date = silver.agg(F.max("order_date")).first()[0]

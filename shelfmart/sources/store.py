@@ -88,6 +88,10 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 # ---- bucketed tables ---------------------------------------------------------------------
 
+#: Folder name of the partition of rows without a value.
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"
+
+
 def _table_name(path: str) -> str:
     return "shelfmart_" + hashlib.sha256(path.encode()).hexdigest()[:24]
 
@@ -128,7 +132,7 @@ def write_bucketed(df: DataFrame, path: str, key: str, buckets: int, partition_b
     (w.partitionBy(*parts) if parts else w).saveAsTable(name)
     write_text(spark, f"{path}/_LAYOUT", json.dumps({
         "key": key, "buckets": buckets, "partition_by": parts, "sort_by": sort_by or key,
-        "columns": spark.table(name)._jdf.schema().toDDL()}))
+        "columns": ddl(spark.table(name))}))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -230,15 +234,25 @@ def read_version(spark: SparkSession, table: str, live: int | dict | None) -> Da
     for part, v in live["parts"].items():
         by.setdefault(v, []).append(part)
     if not by:                                             # no partition is left
-        return spark.read.parquet(f"{table}/v={live['latest']}").filter(F.lit(False))
+        return spark.createDataFrame([], live["columns"])
     out = None
     for v, parts in sorted(by.items()):
-        base = f"{table}/v={v}"
-        df = spark.read.option("basePath", base).parquet(*[f"{base}/{live['by']}={p}" for p in sorted(parts)])
+        base, column = f"{table}/v={v}", F.col(live["by"])
+        if layout(spark, base) is None:
+            df = spark.read.option("basePath", base).parquet(*[f"{base}/{live['by']}={p}" for p in sorted(parts)])
+        else:                                             # a union of tables in the same buckets keeps them
+            named = column.isin([int(p) for p in parts if p != NO_VALUE])
+            df = read_table(spark, base).filter(named | column.isNull() if NO_VALUE in parts else named)
         out = df if out is None else out.unionByName(df)
     return out
 
 
+def only_parts(live: dict, keep: Iterable[str]) -> dict:
+    """A version map restricted to some partitions."""
+    wanted = set(keep)
+    return {**live, "parts": {p: v for p, v in live["parts"].items() if p in wanted}}
+
+
 def next_version(spark: SparkSession, table: str) -> int:
     """A version number that no earlier write used; one left by a stopped run is never reused."""
     now = current_version(spark, table)
@@ -270,20 +284,39 @@ def stage_parts(df: DataFrame, table: str, by: str, before: int | dict | None =
     ``replaced`` (None: all) or written anew."""
     spark, v = df.sparkSession, next_version(df.sparkSession, table)
     write_table(df, f"{table}/v={v}", [by])
+    return parts_map(spark, table, v, by, ddl(df), before, replaced)
+
+
+def ddl(df: DataFrame) -> str:
+    return df._jdf.schema().toDDL()
+
+
+def parts_map(spark: SparkSession, table: str, v: int, by: str, columns: str, before: int | dict | None = None,
+              replaced: Iterable[str] | None = None) -> dict:
+    """Where each partition is once version ``v`` was written (``stage_parts``); ``columns`` are
+    the table's, as DDL, for when no partition is left."""
     kept: dict[str, int] = {}
     if before is not None and replaced is not None:
-        old = before["parts"] if isinstance(before, dict) else {
-            p: before for p in partitions(spark, f"{table}/v={before}", by)}
         gone = set(replaced)
-        kept = {p: n for p, n in old.items() if p not in gone}
-    return {"by": by, "latest": v, "parts": {**kept, **{p: v for p in partitions(spark, f"{table}/v={v}", by)}}}
+        kept = {p: n for p, n in as_map(spark, table, before, by)["parts"].items() if p not in gone}
+    return {"by": by, "latest": v, "columns": columns,
+            "parts": {**kept, **{p: v for p in partitions(spark, f"{table}/v={v}", by)}}}
+
+
+def as_map(spark: SparkSession, table: str, live: int | dict, by: str) -> dict:
+    """A version as a map of its partitions."""
+    if isinstance(live, dict):
+        return live
+    path = f"{table}/v={live}"
+    return {"by": by, "latest": live, "columns": ddl(read_table(spark, path)),
+            "parts": {p: live for p in partitions(spark, path, by)}}
 
 
 def live_parts(spark: SparkSession, table: str, live: int | dict | None, by: str) -> list[str]:
     """Partition values of a table at a version."""
     if live is None:
         return []
-    return sorted(live["parts"]) if isinstance(live, dict) else partitions(spark, f"{table}/v={live}", by)
+    return sorted(as_map(spark, table, live, by)["parts"])
 
 
 def commit(spark: SparkSession, table: str, version: int, **notes) -> None:

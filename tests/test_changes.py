@@ -119,7 +119,8 @@ def test_untouched_partitions_stay_in_their_files(spark, tmp):
     three = store.stage_parts(df.filter("y = 2000"), table, "y", two, ["1995", "1997"])   # two years lose all rows
     assert three["parts"] == {"1996": 2} and store.read_version(spark, table, three).count() == 2
     none = store.stage_parts(df.limit(0), table, "y", three, ["1996"])
-    assert none["parts"] == {} and store.read_version(spark, table, {**none, "latest": 1}).isEmpty()
+    assert none["parts"] == {} and store.read_version(spark, table, none).columns == ["y", "n"]
+    assert store.read_version(spark, table, none).isEmpty()
     # a table written whole before is split up when it is first touched
     whole = store.stage(df, f"{tmp}/gold/u", ["y"])
     assert store.stage_parts(df.filter("y = 1995"), f"{tmp}/gold/u", "y", whole, ["1995"])["parts"] == {
@@ -156,6 +157,38 @@ def test_rollups_kept_by_deltas_equal_a_rebuild(spark):
     assert facts.rollup_delta(make(old), make(old), facts.DAILY_KEYS).isEmpty()
 
 
+# ---- as-of lookup -----------------------------------------------------------------------------------------
+
+def test_asof_merge_equals_brute_force(spark):
+    import datetime as dt
+    r = random.Random(7)
+    day = lambda n: dt.date(2020, 1, 1) + dt.timedelta(days=n)
+    at = lambda n: dt.datetime(2020, 1, 1) + dt.timedelta(days=n, hours=r.choice([0, 0, 5]))
+    versions, key = [], 0
+    for c in ("hot", "a", "b", "c"):
+        cuts = sorted({at(r.randrange(200)) for _ in range(r.choice([1, 3, 8]))})
+        for k, start in enumerate(cuts):
+            key += 1
+            end = cuts[k + 1] if k + 1 < len(cuts) else r.choice([None, start + dt.timedelta(days=9)])
+            if r.random() < 0.8:                            # gaps between versions
+                versions.append((key, c, start, end))
+    lines = [(n, r.choice(["hot"] * 6 + ["a", "b", "c", "none", None]), r.choice([day(r.randrange(260)), None] + [day(31)] * 2))
+             for n in range(400)]
+    h = spark.createDataFrame(versions, "customer_key long, customer_id string, valid_from timestamp_ntz, valid_to timestamp_ntz")
+    s = spark.createDataFrame(lines, "row_id long, customer_id string, order_date date")
+    want = {}
+    for n, c, d in lines:
+        t = None if d is None else dt.datetime(d.year, d.month, d.day)
+        found = [k for k, vc, a, b in versions if t is not None and vc == c and a <= t and (b is None or t < b)]
+        assert len(found) < 2
+        want[n] = (c, d, found[0] if found else None)
+    out = facts.fact_scd2_asof(s, h)
+    assert out.columns == ["row_id", "customer_id", "order_date", "asof_customer_key"]
+    assert {x[0]: tuple(x)[1:] for x in out.collect()} == want and out.count() == len(lines)
+    assert facts.fact_scd2_asof(s, h.limit(0)).filter("asof_customer_key is not null").isEmpty()
+    assert facts.fact_scd2_asof(s.limit(0), h).isEmpty()
+
+
 # ---- routed casts ------------------------------------------------------------------------------------------
 
 CTX = RunContext("r1", "2024-01-01 00:00:00", "f.csv")
