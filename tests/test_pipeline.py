@@ -295,7 +295,7 @@ def test_incremental_loads_equal_full_ones_and_touch_few_years(spark, sources, t
     gone = spark.read.parquet(f"{root}/control/source_deletions").filter("run_id = 'run6'")
     assert gone.count() > 0
     held = bronze_ops.live(store.read_current(spark, f"{root}/bronze/sales"))
-    assert held.join(gone, F.col("`Row ID`") == F.col("row_id")).filter(year != "1998").isEmpty()
+    assert held.join(gone, F.col("`Row ID`") == F.col("row_id")).filter(year < "1998").isEmpty()
     assert store.read_current(spark, f"{root}/silver/sales").filter("order_date < date'1998-01-01'").count() == older
     # what an upsert hides comes back with the next load
     pipeline.run(spark, cfg(root, str(tmp_path / "d2"), "run7", load_mode="append", start_date="1992-01-01", incremental=True))
