@@ -69,23 +69,19 @@ class Codec:
                 raise ValueError(f"two merges make the token {a + b!r}")
             self.rank[pair], self.halves[vocab[a + b]] = n, pair
         self.spines: dict[tuple[int, int], list[tuple[int, int]]] = {}
-        self.pair_keys, self.pair_ok = np.full(CACHE_PAIRS, -1, np.int64), np.zeros(CACHE_PAIRS, bool)
         alphabet = byte_alphabet()
         if any(c not in vocab for c in alphabet):
             raise ValueError("a byte has no token")
         back = {c: b for b, c in enumerate(alphabet)}
-        self.bytes = {i: bytes(map(back.__getitem__, t)) for t, i in vocab.items()}
-        # an entry that merging its own bytes never reaches is the last token of no prefix
-        self.whole = {b: i for i, b in self.bytes.items()
-                      if len(b) == 1 or (i in self.halves and self._compatible(*self.halves[i], joined=True))}
-        self._build_automaton()
+        self.tokens = {i: bytes(map(back.__getitem__, t)) for t, i in vocab.items()}
+        self.whole: dict[bytes, int] = {}                 # filled with the automaton, which decoding does not need
         added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         if any(t["single_word"] or t["lstrip"] or t["rstrip"] for t in spec["added_tokens"]):
             raise ValueError("special tokens that take neighbouring text are not read")
         self.special = {s: i for s, i in added.items() if s}
         self.split = (re.compile("(" + "|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) + ")").split
                       if self.special else lambda text: [text])
-        self.bytes.update({i: s.encode() for s, i in self.special.items()})
+        self.bytes = self.tokens | {i: s.encode() for s, i in self.special.items()}
         self.words, self.plain = regex.compile(WORDS).findall, re.compile(PLAIN_WORDS).findall
         self.not_plain = re.compile(NOT_PLAIN).search
         self.known: dict[str, bytes] = {}
@@ -97,6 +93,10 @@ class Codec:
         place. ``step[state, byte]`` is the next state, ``longest[state]`` the longest entry that
         ends there, ``shorter[token]`` the next longest entry that ends where a token does (-1:
         none) and ``size[token]`` its bytes."""
+        # an entry that merging its own bytes never reaches is the last token of no prefix
+        self.whole = {b: i for i, b in self.tokens.items()
+                      if len(b) == 1 or (i in self.halves and self._compatible(*self.halves[i], joined=True))}
+        self.pair_keys, self.pair_ok = np.full(CACHE_PAIRS, -1, np.int64), np.zeros(CACHE_PAIRS, bool)
         ends, children = [-1], [{}]                       # the token that a state is, and its longer states
         for text, token in self.whole.items():
             state = 0
@@ -109,7 +109,7 @@ class Codec:
             ends[state] = token
         self.step = np.zeros((len(ends), 256), np.int32)
         self.longest = np.full(len(ends), -1, np.int32)
-        self.size, self.shorter = (np.full(1 + max(self.bytes), fill, np.int32) for fill in (0, -1))
+        self.size, self.shorter = (np.full(1 + max(self.tokens), fill, np.int32) for fill in (0, -1))
         for text, token in self.whole.items():
             self.size[token] = len(text)
         suffix = [0] * len(ends)                          # the state of a state's longest proper suffix
@@ -179,6 +179,8 @@ class Codec:
 
     def encode_words(self, words: list[str]) -> list[bytes]:
         """The ids of each word as little-endian int32 bytes."""
+        if not self.whole:
+            self._build_automaton()
         texts = [w.encode("utf-8", "replace") for w in words]
         out: list[bytes] = [b""] * len(texts)
         short = []
