@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,8 @@ _HELD: dict[str, object] = {}
 
 def hand_back() -> None:
     """Return freed memory to the system: a Python worker outlives its task, and what the C
-    library keeps for it counts against the executor."""
+    library and Arrow's pool keep for it counts against the executor."""
+    pa.default_memory_pool().release_unused()
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (AttributeError, OSError, TypeError):

@@ -26,8 +26,8 @@ from shelfmart.operators.keys import PARTITION_SHIFT
 from shelfmart.session import ensure_checkpoint_dir
 
 END_ID = 1
-GROUP_CHARS = 16 << 20
-CACHE_WORDS = 300_000
+GROUP_CHARS = 8 << 20
+CACHE_WORDS = 200_000
 GROUP_BITS = 40                    # a sequence id holds its group's number above so many bits
 LEAST_GROUPS = 1 << 22             # and group numbers stay below twice this
 PACKED_SCHEMA = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"

@@ -305,14 +305,15 @@ def cut_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_
     """``docs`` without the words of repeated passages but their first occurrences.
 
     As ``remove_spans(docs, repeated_spans(docs))``, but by row: spans found in one text are
-    cut from that text alone, also when other texts share its id. If any do, the texts are
+    cut from that text alone, also when other texts share its id. If ids repeat, the texts are
     numbered by id and digest for the search. Rows with a null id pass unchanged.
     """
     i, d, key = unused(docs, "own_id", "digest", "text_key")
+    ids = docs.select(F.col(id_col).cast("long").alias(i)).filter(F.col(i).isNotNull())
+    if ids.groupBy(i).count().filter("count > 1").isEmpty():
+        return remove_spans(docs, repeated_spans(docs, min_words, id_col=id_col, text_col=text_col), id_col, text_col)
     named = docs.select(F.col(id_col).cast("long").alias(i), F.sha2(F.col(text_col).cast("string"), 256).alias(d)).filter(
         F.col(i).isNotNull() & F.col(d).isNotNull())
-    if named.groupBy(i).agg(F.min(d).alias("a"), F.max(d).alias("b")).filter("a <> b").isEmpty():
-        return remove_spans(docs, repeated_spans(docs, min_words, id_col=id_col, text_col=text_col), id_col, text_col)
     numbered = Stored(dense_key(named.distinct(), [i, d], key)).df
     own = docs.withColumn(d, F.sha2(F.col(text_col).cast("string"), 256)).withColumn(i, F.col(id_col).cast("long"))
     keyed = own.join(numbered, [i, d], "left").select(*[F.col(f"`{c}`") for c in docs.columns], key)
