@@ -144,3 +144,20 @@ def test_source_fingerprint_query_matches_the_files(spark):
     folder = shared(spark, SF_SMALL).store.removeprefix("file:") + "/landing/extract_csv"
     names = [f for f in glob.glob(f"{folder}/*") if not os.path.basename(f).startswith(("_", "."))]
     assert got == sorted((os.path.getsize(f), hashlib.sha256(open(f, "rb").read()).hexdigest()) for f in names)
+
+
+def test_files_are_bounded_and_hashed_without_their_content(spark, tmp, monkeypatch):
+    import glob
+    import hashlib
+    import os
+
+    monkeypatch.setattr(files, "ROWS_PER_FILE", 100)
+    ex = fixture.source_extract(spark, SF_SMALL).limit(450).coalesce(1)
+    files.write_extract_csv(ex, f"{tmp}/a b=%41", "gzip")
+    names = glob.glob(f"{tmp}/a b=%41/part-*")
+    assert len(names) == 5
+    found = store.content_fingerprint(spark, f"{tmp}/a b=%41")
+    assert "content" not in found._jdf.queryExecution().executedPlan().toString()
+    assert sorted(r["sha256"] for r in found.collect()) == sorted(hashlib.sha256(open(f, "rb").read()).hexdigest() for f in names)
+    assert sum(r["length"] for r in found.collect()) == sum(os.path.getsize(f) for f in names)
+    assert files.read_extract_csv(spark, f"{tmp}/a b=%41").count() == 450
