@@ -35,6 +35,10 @@ DEMO_RUN = RunContext(
     source_file="sales_extract.csv",
 )
 
+#: Rows of the extract per task, bucket or shuffle partition of a build: what a task holds stays the
+#: same however large the tables are.
+ROWS_PER_TASK = 250_000
+
 INPUT_TABLES = ("lineitem", "orders", "customer", "nation", "region", "part")
 
 # Layers in dependency waves; the layers of one wave are independent of each other.
@@ -73,19 +77,28 @@ class Warehouse:
                  store: str | None = None):
         self.spark, self.sf_dir, self.ctx, self.store = spark, sf_dir, ctx, store
 
+    @cached_property
+    def tasks(self) -> int:
+        """Partitions of the build's exchanges and buckets of the extract: more for more rows (the
+        count is read from the file footers)."""
+        least = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        lines = fixture.read_table(self.spark, self.sf_dir, "lineitem").count()
+        return max(least, -(-lines // ROWS_PER_TASK))
+
     def _layer(self, name: str, build, partition_by: list[str] | None = None, bucket_by: str | None = None) -> DataFrame:
-        """A stored layer; ``bucket_by`` a key it is in as many buckets as a shuffle has partitions,
-        so that joins on the key read it without an exchange."""
+        """A stored layer; ``bucket_by`` a key it is in ``tasks`` buckets, so that joins and
+        aggregations on the key read it without an exchange."""
         if self.store is None:
             return build()
         path = f"{self.store}/{name}"
         with _lock(path):            # one writer per table, even if callers run in threads
             if not store_ops.committed(self.spark, path):
-                if bucket_by is None:
-                    store_ops.write_table(build(), path, partition_by)
-                else:
-                    store_ops.write_bucketed(build(), path, bucket_by,
-                                             int(self.spark.conf.get("spark.sql.shuffle.partitions")))
+                tasks = self.tasks
+                with store_ops.shuffled_into(self.spark, tasks):
+                    if bucket_by is None:
+                        store_ops.write_table(build(), path, partition_by)
+                    else:
+                        store_ops.write_bucketed(build(), path, bucket_by, tasks)
             return store_ops.read_table(self.spark, path)
 
     def build(self, phase: str) -> None:
@@ -96,19 +109,24 @@ class Warehouse:
     # ---- bronze ------------------------------------------------------------------
     @cached_property
     def extract(self) -> DataFrame:
-        """The landing copy of the raw extract (all text)."""
-        return self._layer("landing/extract", lambda: fixture.source_extract(self.spark, self.sf_dir))
+        """The landing copy of the raw extract (all text), in buckets of its key: every table that
+        has one row per key of the extract is made from it without an exchange."""
+        if self.store is None:
+            return fixture.source_extract(self.spark, self.sf_dir)
+        return self._layer("landing/extract", lambda: fixture.source_extract(
+            self.spark, self.sf_dir, partitions=self.tasks), bucket_by=SOURCE_KEY)
 
     @cached_property
     def bronze_dated(self) -> DataFrame:
         """Bronze with its typed order day, partitioned by order year."""
         return self._layer("bronze/sales", lambda: bronze_ops.with_order_day(
-            bronze_ops.dedup_by_key(self.extract)).sortWithinPartitions(bronze_ops.ORDER_YEAR, bronze_ops.ORDER_DAY),
+            self.bronze).sortWithinPartitions(bronze_ops.ORDER_YEAR, bronze_ops.ORDER_DAY),
             partition_by=[bronze_ops.ORDER_YEAR])
 
     @cached_property
     def bronze(self) -> DataFrame:
-        return self.bronze_dated.drop(bronze_ops.ORDER_DAY, bronze_ops.ORDER_YEAR)
+        """One row per key, taken from the buckets of the extract as they are read."""
+        return bronze_ops.dedup_by_key(self.extract)
 
     # ---- silver ------------------------------------------------------------------
     @cached_property
@@ -178,10 +196,8 @@ class Warehouse:
     # ---- scenario inputs ----------------------------------------------------------------
     @cached_property
     def previous(self) -> DataFrame:
-        """Stored bronze before the next delivery."""
-        return self._layer("scenario/previous_bronze",
-                           lambda: bronze_ops.dedup_by_key(fixture.previous_extract(self.extract)),
-                           bucket_by=SOURCE_KEY)
+        """Bronze before the next delivery."""
+        return bronze_ops.dedup_by_key(fixture.previous_extract(self.extract))
 
     @cached_property
     def incoming(self) -> DataFrame:
@@ -189,9 +205,8 @@ class Warehouse:
 
     @cached_property
     def incoming_dedup(self) -> DataFrame:
-        """The next delivery, one row per key (stored once, shared by CDC and loads)."""
-        return self._layer("scenario/incoming_dedup", lambda: bronze_ops.dedup_by_key(self.incoming),
-                           bucket_by=SOURCE_KEY)
+        """The next delivery, one row per key."""
+        return bronze_ops.dedup_by_key(self.incoming)
 
     def changes(self, mode: str) -> DataFrame:
         """The classified stream of loading the next delivery in a mode."""
@@ -199,15 +214,15 @@ class Warehouse:
 
     @cached_property
     def correction(self) -> DataFrame:
-        """The classified stream of a full load that corrects, adds, removes and moves rows, stored once."""
+        """The changed rows in the classified stream of a full load that corrects, adds, removes and
+        moves rows, stored once."""
         return self._layer("scenario/correction", lambda: bronze_ops.changes(
-            self.previous, bronze_ops.dedup_by_key(fixture.corrected_extract(self.extract)), "full"),
-            partition_by=[bronze_ops.CHANGE])
+            self.previous, bronze_ops.dedup_by_key(fixture.corrected_extract(self.extract)), "full").filter(
+            F.col(bronze_ops.CHANGE) != bronze_ops.KEEP), partition_by=[bronze_ops.CHANGE])
 
     @cached_property
     def corrupted_bronze(self) -> DataFrame:
-        return self._layer("scenario/corrupted_bronze", lambda: bronze_ops.dedup_by_key(
-            fixture.corrupted_extract(self.extract)))
+        return bronze_ops.dedup_by_key(fixture.corrupted_extract(self.extract))
 
     @cached_property
     def snapshot_history(self) -> DataFrame:

@@ -30,13 +30,16 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def source_extract(spark: SparkSession, sf_dir: str, dirty: bool = True) -> DataFrame:
-    """All lineitems as raw text rows; duplicate ``Row ID`` values occur naturally."""
+def source_extract(spark: SparkSession, sf_dir: str, dirty: bool = True, partitions: int | None = None) -> DataFrame:
+    """All lineitems as raw text rows; duplicate ``Row ID`` values occur naturally.
+
+    With ``partitions`` the rows come hash-partitioned on ``Row ID`` into so many; they are
+    exchanged before they are rendered as text, which is wider."""
     li = read_table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice",
-        "l_discount", "l_shipdate")
+        "l_discount", F.col("l_shipdate").cast("date").alias("l_shipdate"))
     orders = read_table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
+        "o_orderkey", "o_custkey", F.col("o_orderdate").cast("date").alias("o_orderdate"), "o_orderpriority")
     customer = read_table(spark, sf_dir, "customer").select(
         "c_custkey", "c_name", "c_nationkey", "c_mktsegment")
     # nation (25 rows) and region (5 rows) are fixed-size reference tables.
@@ -45,15 +48,19 @@ def source_extract(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Data
     part = read_table(spark, sf_dir, "part").select(
         "p_partkey", "p_name", "p_brand", "p_type", "p_retailprice")
 
-    # orders grows with lineitem (about 1:4), so it is joined by shuffle on the order key
-    # at every scale; customer and part are left to AQE's runtime size check.
-    j = (li.join(orders.hint("merge"), li.l_orderkey == orders.o_orderkey)
-           .join(customer, orders.o_custkey == customer.c_custkey)
-           .join(nation, customer.c_nationkey == nation.n_nationkey)
-           .join(region, nation.n_regionkey == region.r_regionkey)
-           .join(part, li.l_partkey == part.p_partkey))
+    # Customers go to the orders, not to their lines, of which there are several times more; so
+    # the lines are exchanged by part and by order only. orders grows with lineitem, so it is
+    # joined by shuffle on the order key at every scale; customer and part are left to AQE's
+    # runtime size check.
+    placed = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("o_custkey")
+    j = (li.join(part, li.l_partkey == part.p_partkey).drop("p_partkey")
+           .join(placed.hint("merge"), li.l_orderkey == placed.o_orderkey).drop("o_orderkey"))
 
     row_id = F.col("l_orderkey") * 10 + F.col("l_linenumber")
+    if partitions is not None:
+        j = j.repartition(partitions, row_id.cast("string"))
+    j = (j.join(nation, F.col("c_nationkey") == nation.n_nationkey)
+          .join(region, nation.n_regionkey == region.r_regionkey))
     price = F.col("l_extendedprice").cast("decimal(12,2)")
     disc = F.col("l_discount").cast("decimal(4,2)")
     qty = F.col("l_quantity").cast("int")
@@ -71,8 +78,8 @@ def source_extract(spark: SparkSession, sf_dir: str, dirty: bool = True) -> Data
     return j.select(
         row_id.cast("string").alias("Row ID"),
         order_id.alias("Order ID"),
-        render_source_date(F.col("o_orderdate").cast("date")).alias("Order Date"),
-        render_source_date(F.col("l_shipdate").cast("date")).alias("Ship Date"),
+        render_source_date(F.col("o_orderdate")).alias("Order Date"),
+        render_source_date(F.col("l_shipdate")).alias("Ship Date"),
         F.col("o_orderpriority").alias("Ship Mode"),
         F.concat(F.lit("C-"), custkey.cast("string")).alias("Customer ID"),
         F.concat(F.lit(" "), F.col("c_name"), F.lit("  ")).alias("Customer Name"),
