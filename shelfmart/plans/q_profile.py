@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from shelfmart.config import SOURCE_COLUMNS
+from shelfmart.config import SOURCE_COLUMNS, SOURCE_KEY
+from shelfmart.functions.columns import col
 from shelfmart.operators import eda
 from shelfmart.plans.catalog import query
 from shelfmart.plans.oracle import CTES, build
@@ -79,7 +80,10 @@ def eda_missing(w: Warehouse) -> DataFrame:
     FROM (SELECT count(*) AS n FROM pf) t, (SELECT count(*) AS n FROM (SELECT DISTINCT * FROM pf)) d""", "pf"))
 def eda_duplicates(w: Warehouse) -> DataFrame:
     """Identical rows beyond the first."""
-    return eda.exact_duplicates(_frame(w))
+    # The key's text, rendered from a number, is the same wherever rows are; as the extract lies in
+    # buckets of it, identical rows are compared where they lie.
+    keyed = eda.profile_frame(w.extract.select("*", col(SOURCE_KEY).alias("_key")))
+    return w._layer("report/duplicates", lambda: eda.exact_duplicates(keyed))
 
 
 @query("eda_describe", build(f"""
