@@ -201,12 +201,16 @@ class Warehouse:
 
     @cached_property
     def incoming(self) -> DataFrame:
-        return fixture.incoming_extract(self.extract)
+        """The next delivery as files come: read without the buckets of the extract."""
+        landed = self.extract
+        if self.store is not None:
+            landed = self.spark.read.parquet(f"{self.store}/landing/extract")
+        return fixture.incoming_extract(landed)
 
     @cached_property
     def incoming_dedup(self) -> DataFrame:
         """The next delivery, one row per key."""
-        return bronze_ops.dedup_by_key(self.incoming)
+        return bronze_ops.dedup_by_key(fixture.incoming_extract(self.extract))
 
     def changes(self, mode: str) -> DataFrame:
         """The classified stream of loading the next delivery in a mode."""
