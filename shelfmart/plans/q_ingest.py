@@ -14,7 +14,7 @@ from shelfmart.operators import silver as silver_ops
 from shelfmart.plans.catalog import _dbl, query
 from shelfmart.plans.oracle import CTES, SRC_COLS, build, silver_select
 from shelfmart.plans.warehouse import DEMO_RUN, Warehouse
-from shelfmart.sources import files
+from shelfmart.sources import files, store
 
 # Scenario parameters: the second delivery and an explicit silver window.
 CDC_RUN = replace(DEMO_RUN, run_id="00000000-0000-7000-8000-000000000002",
@@ -199,7 +199,8 @@ def src_csv_scan(w: Warehouse) -> DataFrame:
     path = f"{w.store}/landing/extract_csv" if w.store else None
     if path is None:
         return w.extract
-    files.write_extract_csv(w.extract, path, "gzip")
+    with store.shuffled_into(w.spark, w.tasks):
+        files.write_extract_csv(w.landing_rows(), path, "gzip")
     return files.read_extract_csv(w.spark, path)
 
 
@@ -215,7 +216,6 @@ def ingest_microbatch(w: Warehouse) -> DataFrame:
     """The extract dealt into files (six, or as many as keep them bounded; a key may be in
     several), landed a third of the files per micro-batch by a Structured Streaming file source
     and merged once after the drain."""
-    from shelfmart.sources import store
     from shelfmart.streaming.ingest import ingest_microbatch as run_ingest, stage_files
     if w.store is None:
         return w.bronze
@@ -231,17 +231,17 @@ def ingest_microbatch(w: Warehouse) -> DataFrame:
 @query("source_fingerprint")
 def source_fingerprint(w: Warehouse) -> DataFrame:
     """Length and digest of the landed files (their names differ from run to run, so the
-    result is checked against the files themselves in the tests)."""
-    from shelfmart.sources import store
-    src_csv_scan(w.spark, w.sf_dir)
-    return store.content_fingerprint(w.spark, f"{w.store}/landing/extract_csv").select("length", "sha256")
+    result is checked against the files themselves in the tests). The digests are those of files
+    by key, so the stored extract is landed here."""
+    path = f"{w.store}/landing/extract_csv"
+    files.write_extract_csv(w.extract, path, "gzip")
+    return store.content_fingerprint(w.spark, path).select("length", "sha256")
 
 
 @query("versioned_replace", build("""
     SELECT *, CAST(2 AS BIGINT) AS version FROM incoming_dedup""", "incoming_dedup"))
 def versioned_replace(w: Warehouse) -> DataFrame:
     """The stored snapshot, replaced by a version that was made while reading it."""
-    from shelfmart.sources import store
     table = f"{w.store}/scenario/replaced"
     if store.current_version(w.spark, table) != 2:
         store.delete(w.spark, table)

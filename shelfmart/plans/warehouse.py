@@ -116,6 +116,13 @@ class Warehouse:
         return self._layer("landing/extract", lambda: fixture.source_extract(
             self.spark, self.sf_dir, partitions=self.tasks), bucket_by=SOURCE_KEY)
 
+    def landing_rows(self) -> DataFrame:
+        """The rows of the extract for one reader that needs no key order: the landing copy if a
+        layer has stored it, else made from the tables, without exchanging and storing it by key."""
+        if self.store is None or store_ops.committed(self.spark, f"{self.store}/landing/extract"):
+            return self.extract
+        return fixture.source_extract(self.spark, self.sf_dir)
+
     @cached_property
     def bronze_dated(self) -> DataFrame:
         """Bronze with its typed order day, partitioned by order year."""

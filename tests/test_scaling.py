@@ -43,6 +43,17 @@ def test_tables_by_key_come_from_the_buckets_of_the_extract(spark, w):
     assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
 
 
+def test_landed_csv_is_made_from_the_tables_without_the_extract(spark, tmp_path):
+    w = warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path))
+    want = fixture.source_extract(spark, SF_SMALL)
+    got = catalog.run_on("src_csv_scan", w)
+    assert not store.exists(spark, f"{w.store}/landing/extract")
+    assert _same(got, want)
+    assert w.extract.count() == want.count()                # once a layer has stored it, it is read
+    assert "shelfmart_" in _plan(w.landing_rows())
+    assert _same(catalog.run_on("src_csv_scan", w), want)
+
+
 def test_lines_are_exchanged_by_part_order_and_key_only(spark):
     joined = fixture.source_extract(spark, SF_SMALL, partitions=4)
     plan = joined._jdf.queryExecution().optimizedPlan().toString()
