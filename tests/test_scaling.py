@@ -1,6 +1,8 @@
 """Layers whose tasks stay the same size and that are not exchanged more often than needed."""
 
+import os
 import threading
+import time
 
 import pytest
 from conftest import SF_SMALL
@@ -8,8 +10,9 @@ from pyspark.sql import functions as F
 
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import dims, facts
+from shelfmart.operators import silver as silver_ops
 from shelfmart.plans import catalog, warehouse
-from shelfmart.sources import fixture, store
+from shelfmart.sources import files, fixture, store
 
 
 @pytest.fixture(scope="module")
@@ -127,3 +130,33 @@ def test_duplicates_are_counted_in_the_buckets(spark, w):
 def test_correction_stores_changed_rows_only(w):
     assert w.correction.filter(F.col(bronze_ops.CHANGE) == bronze_ops.KEEP).isEmpty()
     assert not w.correction.isEmpty()
+
+
+def test_exchanged_rows_go_when_a_layer_is_stored(spark, tmp_path):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    held = lambda: {n for n in files.getAllFiles().mkString("|").split("|") if "/shuffle_" in n}
+    before, w = held(), warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path))
+    assert w.fact_partitioned.count() > 0
+    left = held() - before
+    for _ in range(50):                                     # they are removed in the background
+        if not left:
+            break
+        time.sleep(0.1)
+        left = held() - before
+    assert not {n for n in left if n.endswith(".data") and os.path.getsize(n) > 10_000}
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == "false"
+
+
+def test_silver_needs_no_landing_copy(spark, tmp_path):
+    w = warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path))
+    want = bronze_ops.dedup_by_key(fixture.source_extract(spark, SF_SMALL))
+    with store.shuffled_into(spark, w.tasks):
+        rows = bronze_ops.dedup_by_key(w.landing_rows(by_key=True))
+        plan = _plan(rows)
+        assert plan[:plan.index("REPARTITION_BY_NUM")].count("Exchange") == 1   # the aggregate adds none
+        assert _same(rows, want)
+    assert w.silver.count() == silver_ops.clean(want, warehouse.DEMO_RUN).count()
+    assert not store.exists(spark, f"{w.store}/landing/extract")
+    from shelfmart.plans import q_gold
+    q_gold._runs(warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path / "other")))   # of both: made of the copy
+    assert store.committed(spark, f"{tmp_path}/other/landing/extract")
