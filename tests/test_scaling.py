@@ -160,3 +160,10 @@ def test_silver_needs_no_landing_copy(spark, tmp_path):
     from shelfmart.plans import q_gold
     q_gold._runs(warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path / "other")))   # of both: made of the copy
     assert store.committed(spark, f"{tmp_path}/other/landing/extract")
+
+
+def test_a_replayed_year_is_exchanged_into_the_partitions_of_a_build(spark, w, monkeypatch):
+    seen, real = [], store.stage_parts
+    monkeypatch.setattr(store, "stage_parts", lambda *a: (seen.append(spark.conf.get("spark.sql.shuffle.partitions")), real(*a))[1])
+    assert catalog.run_on("fact_partition_overwrite", w).count() > 0
+    assert seen == ["12", "12"]
