@@ -167,3 +167,16 @@ def test_a_replayed_year_is_exchanged_into_the_partitions_of_a_build(spark, w, m
     monkeypatch.setattr(store, "stage_parts", lambda *a: (seen.append(spark.conf.get("spark.sql.shuffle.partitions")), real(*a))[1])
     assert catalog.run_on("fact_partition_overwrite", w).count() > 0
     assert seen == ["12", "12"]
+
+
+def test_files_of_the_stream_are_dealt_without_an_exchange(spark, tmp_path):
+    from shelfmart.streaming.ingest import stage_in_turn
+    row = fixture.source_extract(spark, SF_SMALL).limit(1)
+    copies = spark.createDataFrame(row.collect() * 12, row.schema).repartition(2)
+    assert stage_in_turn(copies, f"{tmp_path}/in", 3) == 6  # each of two tasks deals to three folders
+    per_file = [r["count"] for r in files.read_extract_csv(spark, f"{tmp_path}/in/*").groupBy(F.input_file_name()).count().collect()]
+    assert len(per_file) == 6 and sum(per_file) == 12 and max(per_file) <= 3
+    w = warehouse.Warehouse(spark, SF_SMALL, store=str(tmp_path / "store"))
+    assert _same(catalog.run_on("ingest_microbatch", w), bronze_ops.dedup_by_key(fixture.source_extract(spark, SF_SMALL)))
+    assert not store.exists(spark, f"{w.store}/landing/extract")
+    assert len(store.partitions(spark, f"{w.store}/landing/stream_files", "folder")) == 6
