@@ -180,3 +180,9 @@ def test_files_of_the_stream_are_dealt_without_an_exchange(spark, tmp_path):
     assert _same(catalog.run_on("ingest_microbatch", w), bronze_ops.dedup_by_key(fixture.source_extract(spark, SF_SMALL)))
     assert not store.exists(spark, f"{w.store}/landing/extract")
     assert len(store.partitions(spark, f"{w.store}/landing/stream_files", "folder")) == 6
+
+
+def test_logs_are_stored_compactly(spark, tmp_path):
+    store.write_log(spark.range(5), str(tmp_path / "log"), "r1")
+    assert [p.name for p in tmp_path.glob("log/run=r1/part-*") if ".zstd." not in p.name] == []
+    assert store.read_log(spark, str(tmp_path / "log")).count() == 5
