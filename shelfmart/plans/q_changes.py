@@ -8,7 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfmart.config import LOCATION_COLUMNS
+from shelfmart.config import LOCATION_COLUMNS, SOURCE_KEY
 from shelfmart.operators import bronze as bronze_ops
 from shelfmart.operators import facts
 from shelfmart.operators import silver as silver_ops
@@ -150,7 +150,10 @@ def bronze_snapshot_append(w: Warehouse) -> DataFrame:
 def load_snapshot(w: Warehouse) -> DataFrame:
     """The state is replaced by the delivery, one row per key, and the history holds the
     delivery as it came: the rows that this run stored there, per key of the state."""
-    state = bronze_ops.live(w.changes("snapshot"))
-    own = (w.snapshot_history.filter(F.col("snapshot_run_id") == SECOND_SNAPSHOT.run_id)
-           .groupBy("`Row ID`").agg(F.count(F.lit(1)).alias("delivered_rows")))
+    # both are stored in the buckets of the key, so that joining them exchanges neither: the state
+    # lies in them already, of the history the keys and their counts are exchanged
+    state = w._layer("scenario/snapshot_state", lambda: bronze_ops.live(w.changes("snapshot")), bucket_by=SOURCE_KEY)
+    own = w._layer("scenario/snapshot_delivered", lambda: w.snapshot_history.filter(
+        F.col("snapshot_run_id") == SECOND_SNAPSHOT.run_id).groupBy("`Row ID`").agg(
+        F.count(F.lit(1)).alias("delivered_rows")), bucket_by=SOURCE_KEY)
     return state.join(own, "Row ID").select(*[f"`{c}`" for c in state.columns], "delivered_rows")

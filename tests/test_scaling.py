@@ -162,6 +162,18 @@ def test_silver_needs_no_landing_copy(spark, tmp_path):
     assert store.committed(spark, f"{tmp_path}/other/landing/extract")
 
 
+def test_snapshot_state_and_history_are_joined_in_their_buckets(spark, w):
+    small, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set(small, "-1")
+    try:
+        got = catalog.run_on("load_snapshot", w)
+        assert "Exchange" not in _plan(got)
+    finally:
+        spark.conf.set(small, before)
+    lazy = catalog.run_on("load_snapshot", warehouse.Warehouse(spark, SF_SMALL))
+    assert _same(got, lazy)
+
+
 def test_a_replayed_year_is_exchanged_into_the_partitions_of_a_build(spark, w, monkeypatch):
     seen, real = [], store.stage_parts
     monkeypatch.setattr(store, "stage_parts", lambda *a: (seen.append(spark.conf.get("spark.sql.shuffle.partitions")), real(*a))[1])
