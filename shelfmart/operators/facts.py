@@ -133,9 +133,12 @@ def rollup_delta(before: DataFrame, after: DataFrame, keys: list[str], partition
 
 def merge_rollup(stored: DataFrame, delta: DataFrame, keys: list[str], partitions: int | None = None) -> DataFrame:
     """The rollup after the change. Sums are exact, so a group without rows left has none of its
-    measures left and goes."""
-    merged = stored.select(*keys, *MEASURES).unionByName(delta.select(*keys, *MEASURES))
-    return _summed(merged, keys, partitions).filter("transaction_count <> 0")
+    measures left and goes. With ``partitions`` the stored rows go into the partitions that a
+    delta made with as many lies in, so it is not exchanged a second time."""
+    before, change = stored.select(*keys, *MEASURES), delta.select(*keys, *MEASURES)
+    if partitions is not None and len(keys) > 1:
+        before = before.repartition(partitions, *keys)
+    return _summed(before.unionByName(change), keys, None).filter("transaction_count <> 0")
 
 
 def monthly_delta(daily_delta: DataFrame) -> DataFrame:

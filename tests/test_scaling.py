@@ -162,6 +162,14 @@ def test_silver_needs_no_landing_copy(spark, tmp_path):
     assert store.committed(spark, f"{tmp_path}/other/landing/extract")
 
 
+def test_a_changed_rollup_is_exchanged_once(spark):
+    rows = spark.createDataFrame([(1, "a", 2, 3, 4, 1), (1, "b", 1, 1, 1, 1)],
+                                 "d int, c string, sales int, quantity int, profit int, transaction_count long")
+    merged = facts.merge_rollup(rows, facts.rollup_delta(rows.limit(0), rows.filter("c = 'b'"), ["d", "c"], 5), ["d", "c"], 5)
+    assert _plan(merged).count("Exchange hashpartitioning") == 2
+    assert sorted((r["c"], r["transaction_count"]) for r in merged.collect()) == [("a", 1), ("b", 2)]
+
+
 def test_snapshot_state_and_history_are_joined_in_their_buckets(spark, w):
     small, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set(small, "-1")
